@@ -17,8 +17,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key even when the split costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # lets an upsert replace only the partitions its batch touches
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
