@@ -131,13 +131,11 @@ def read_by_suffix(spark: SparkSession, path: str) -> DataFrame:
     raise ValueError(f"no reader for .{suffix}")
 
 
-_PLACEMARK = T.StructType.fromDDL(
-    "name string, description string, styleUrl string, "
-    "Style struct<IconStyle: struct<Icon: struct<href: string>>>, "
-    "Point struct<coordinates: string>, MultiGeometry struct<Point: struct<coordinates: string>>"
-)
-_LAYER = T.StructType(
-    [T.StructField("name", T.StringType()), T.StructField("Placemark", T.ArrayType(_PLACEMARK))]
+_LAYER = (
+    "name string, Placemark array<struct<"
+    "name: string, description: string, styleUrl: string, "
+    "Style: struct<IconStyle: struct<Icon: struct<href: string>>>, "
+    "Point: struct<coordinates: string>, MultiGeometry: struct<Point: struct<coordinates: string>>>>"
 )
 
 
@@ -155,7 +153,10 @@ def read_placemarks(spark: SparkSession, path: str) -> DataFrame:
         layers = found if layers is None else layers.unionByName(found)
     return (
         layers.where(F.col("Placemark").isNotNull())
-        .select(F.coalesce(F.nullif(F.trim("name"), F.lit("")), F.lit("sem_camada")).alias("camada"), F.explode("Placemark").alias("p"))
+        .select(
+            F.coalesce(F.nullif(F.trim("name"), F.lit("")), F.lit("sem_camada")).alias("camada"),
+            F.explode("Placemark").alias("p"),
+        )
         .select(
             F.coalesce(F.trim("p.name"), F.lit("")).alias("nome"),
             "camada",

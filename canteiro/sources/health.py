@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from canteiro import vocab
 from canteiro.functions.dates import parse_timestamp
@@ -140,7 +139,7 @@ def works(df: DataFrame, as_of: Column) -> DataFrame:
         columns[target] = parse_timestamp(truthy(*map(text, sources)), digits_as_epoch=False)
     columns["percentual_executado"] = health_percent(to_double(text("vlPercentualExecutado")), columns["situacao"])
     columns["municipio_ibge"] = F.lit(vocab.MUNICIPALITY_CODE_HEALTH)
-    groups = field(df, "gruposFotografias", T._parse_datatype_string(PHOTO_GROUPS))
+    groups = field(df, "gruposFotografias", PHOTO_GROUPS)
     columns["fotos_grupos"] = photo_list(groups)
     columns["qtd_fotos"] = photo_count(groups)
     companies = field(df, "empresas", "array<string>")
