@@ -28,21 +28,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def rename_guarded(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
-    """Rename where the source exists and the target does not yet."""
-    present = set(df.columns)
+    """Rename where the source exists and the target does not yet; of several sources for one
+    target the first listed is renamed and the others keep their names."""
+    taken = set(df.columns)
     chosen: dict[str, str] = {}
     for source, target in renames.items():
-        if source in present and target not in present:
+        if source in df.columns and target not in taken:
             chosen[source] = target
-    taken: set[str] = set()
-    columns = []
-    for name in df.columns:
-        target = chosen.get(name, name)
-        if target in taken:
-            raise ValueError(f"two source columns would both become {target}")
-        taken.add(target)
-        columns.append(F.col(f"`{name}`").alias(target))
-    return df.select(*columns)
+            taken.add(target)
+    return df.select(*[F.col(f"`{name}`").alias(chosen.get(name, name)) for name in df.columns])
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
