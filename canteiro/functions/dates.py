@@ -9,33 +9,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from canteiro import vocab
-from canteiro.functions.text import _col, is_missing, strip
+from canteiro.functions.text import _col, strip
 
-_CLOCK = r"\d{1,2}:\d{2}(:\d{2})?"
-_DAY_FIRST = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})(\s+" + _CLOCK + r")?$"
+_CLOCK = r"\d{1,2}:\d{2}(?::\d{2})?"
+_DAY_FIRST = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})(?:\s+(" + _CLOCK + r"))?$"
 _YEAR_FIRST = (
-    r"^\d{4}([/-])\d{1,2}\1\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s?(Z|[+-]\d{2}:?\d{2})?)?$"
+    r"^\d{4}([/-])\d{1,2}\1\d{1,2}"
+    r"(?: |[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s?(?:Z|[+-]\d{2}:?\d{2})?)?$"
 )
 _MILLIS_FROM = 100_000_000_000
-_LAST_SECOND = 9_223_372_036  # 2262-04-11, the last second of a 64-bit nanosecond clock
+_LAST_MICRO = 9_223_372_036_000_000  # 2262-04-11, the last second of a 64-bit nanosecond clock
 _DAY_MICROS = 86_400_000_000
 
 
 def epoch(number: Column | str) -> Column:
     """Seconds, or milliseconds when above 1e11, since 1970 (UTC)."""
     number = _col(number).try_cast("double")
-    seconds = F.when(number > _MILLIS_FROM, number / 1000).otherwise(number)
-    return F.when(F.abs(seconds) <= _LAST_SECOND, F.timestamp_micros((seconds * 1_000_000).cast("bigint")))
+    micros = number * F.when(number > _MILLIS_FROM, 1_000).otherwise(1_000_000)
+    return F.timestamp_micros(F.when(micros.between(-_LAST_MICRO, _LAST_MICRO), micros.cast("bigint")))
 
 
 def calendar_text(text: Column | str) -> Column:
     """Day-first and year-first dates with optional time; month-first is never accepted."""
-    trimmed = strip(text)
-    year_first = F.regexp_replace(trimmed, _DAY_FIRST, "$4-$3-$1$5")
-    return (
-        F.when(trimmed.rlike(_DAY_FIRST), year_first.try_cast("timestamp"))
-        .when(trimmed.rlike(_YEAR_FIRST), F.replace(trimmed, F.lit("/"), F.lit("-")).try_cast("timestamp"))
-    )
+    year_first = F.regexp_replace(strip(text), _DAY_FIRST, "$4-$3-$1 $5")
+    readable = F.regexp_extract(year_first, _YEAR_FIRST, 0)
+    return F.translate(readable, "/", "-").try_cast("timestamp")
 
 
 def parse_timestamp(text: Column | str, digits_as_epoch: bool = True) -> Column:
@@ -46,9 +44,8 @@ def parse_timestamp(text: Column | str, digits_as_epoch: bool = True) -> Column:
     text = _col(text).cast("string")
     parsed = calendar_text(text)
     if digits_as_epoch:
-        trimmed = strip(text)
-        parsed = F.when(trimmed.rlike(r"^\d+$"), epoch(trimmed)).otherwise(parsed)
-    return F.when(~is_missing(text), parsed)
+        parsed = F.coalesce(parsed, epoch(F.regexp_extract(strip(text), r"^\d+$", 0)))
+    return parsed
 
 
 def month_and_year(text: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from canteiro.functions.text import _col, is_missing
+from canteiro.functions.text import _col
 
 TAX_ID_LENGTH = 14
 
@@ -27,18 +27,14 @@ def _check_digit(number: Column, first: int, last: int) -> Column:
 def company_tax_id(text: Column | str) -> Column:
     """14-digit company tax number when both check digits hold, else NULL.
 
-    Arithmetic on one long per row: no arrays, no per-digit strings.
+    Arithmetic on one long per row: no arrays, no per-digit strings. The check digits come first
+    in the condition, where generated code shares the long between all its uses.
     """
     digits = F.regexp_replace(_col(text), r"\D", "")
     number = digits.try_cast("bigint")
-    repeated = digits == F.repeat(F.substring(digits, 1, 1), F.lit(TAX_ID_LENGTH))
     checked = _check_digit(number, 2, 13) * 10 + _check_digit(number, 1, 13)
-    valid = (
-        ~is_missing(text)
-        & (F.length(digits) == TAX_ID_LENGTH)
-        & ~repeated
-        & (number % 100 == checked)
-    )
+    repeated = F.repeat(F.substring(digits, 1, 1), F.lit(TAX_ID_LENGTH))
+    valid = (number % 100 == checked) & (F.length(digits) == TAX_ID_LENGTH) & (digits != repeated)
     return F.when(valid, digits)
 
 

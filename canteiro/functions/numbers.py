@@ -6,15 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from canteiro import vocab
-from canteiro.functions.text import WHITESPACE, _col, is_missing, strip, text_or_null
+from canteiro.functions.text import WHITESPACE, _col, strip, text_or_null
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Parsers below refer to their input once, or in every branch, so that generated code shares it.
+
+_NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 
 def to_double(text: Column | str) -> Column:
     """Plain decimal text to double; anything else, NaN and infinities included, is NULL."""
     trimmed = strip(_col(text).cast("string"))
-    return F.when(trimmed.rlike(_NUMBER), trimmed.try_cast("double"))
+    return F.regexp_extract(trimmed, _NUMBER, 0).try_cast("double")
 
 
 def to_long(text: Column | str) -> Column:
@@ -22,10 +24,8 @@ def to_long(text: Column | str) -> Column:
     return to_double(text).try_cast("bigint")
 
 
-def _drop(text: Column, *pieces: str) -> Column:
-    for piece in pieces:
-        text = F.replace(text, F.lit(piece), F.lit(""))
-    return text
+def _without(text: Column, characters: str) -> Column:
+    return F.translate(text, characters, "")
 
 
 def _comma_is_last(text: Column) -> Column:
@@ -34,27 +34,28 @@ def _comma_is_last(text: Column) -> Column:
 
 
 def _comma_decimal(text: Column) -> Column:
-    return F.replace(_drop(text, "."), F.lit(","), F.lit("."))
+    return F.translate(text, ",.", ".")
+
+
+def _last_separator_decimal(bare: Column, otherwise: Column) -> Column:
+    """The last of dot and comma is decimal; ``otherwise`` is for texts without a comma."""
+    return (
+        F.when(~bare.contains(","), otherwise)
+        .when(_comma_is_last(bare), _comma_decimal(bare))
+        .otherwise(_without(bare, ","))
+    )
 
 
 def money(text: Column | str) -> Column:
     """Money text in Brazilian or US notation.
 
     The last separator is the decimal one. A single dot before exactly three digits, and any
-    repeated dot, separates thousands.
+    repeated dot, separates thousands. Missing tokens hold no digits, so they give NULL.
     """
-    text = _col(text).cast("string")
-    bare = F.regexp_replace(text, r"[^\d,.\-]", "")
-    commas, dots = bare.contains(","), bare.contains(".")
-    dot_count = F.length(bare) - F.length(_drop(bare, "."))
-    decimals = F.length(F.substring_index(bare, ".", -1))
-    plain = (
-        F.when(commas & (~dots | _comma_is_last(bare)), _comma_decimal(bare))
-        .when(commas, _drop(bare, ","))
-        .when((dot_count > 1) | ((dot_count == 1) & (decimals == 3)), _drop(bare, "."))
-        .otherwise(bare)
-    )
-    return F.when(~is_missing(text), to_double(plain))
+    bare = F.regexp_replace(_col(text).cast("string"), r"[^\d,.\-]", "")
+    thousands = bare.rlike(r"\..*\.|\.[^.]{3}$")
+    without_comma = F.when(thousands, _without(bare, ".")).otherwise(bare)
+    return to_double(_last_separator_decimal(bare, without_comma))
 
 
 def amount(text: Column | str, style: str) -> Column:
@@ -65,23 +66,16 @@ def amount(text: Column | str, style: str) -> Column:
     ``comma_decimal``   a comma is decimal; dots separate thousands only next to a comma
     ``dump``            as comma_decimal, but blank and unreadable text is 0.0
     """
-    text = _col(text).cast("string")
-    bare = _drop(text, "R$", *WHITESPACE)
+    bare = _without(F.replace(_col(text).cast("string"), F.lit("R$"), F.lit("")), WHITESPACE)
     if style == "br_strict":
-        return F.when(~is_missing(text), to_double(_comma_decimal(bare)))
-    commas = bare.contains(",")
+        return to_double(_comma_decimal(bare))
     if style == "last_separator":
-        plain = (
-            F.when(commas & (~bare.contains(".") | _comma_is_last(bare)), _comma_decimal(bare))
-            .when(commas, _drop(bare, ","))
-            .otherwise(bare)
-        )
-        return F.when(~is_missing(text), to_double(plain))
-    plain = F.when(commas, _comma_decimal(bare)).otherwise(bare)
+        return to_double(_last_separator_decimal(bare, bare))
+    plain = to_double(F.when(bare.contains(","), _comma_decimal(bare)).otherwise(bare))
     if style == "comma_decimal":
-        return F.when(~is_missing(text), to_double(plain))
+        return plain
     if style == "dump":
-        return F.coalesce(to_double(plain), F.lit(0.0))
+        return F.coalesce(plain, F.lit(0.0))
     raise ValueError(f"unknown amount style: {style}")
 
 
@@ -94,7 +88,7 @@ def loose_number(text: Column | str) -> Column:
 def percent(text: Column | str) -> Column:
     """``40,00%`` to 40.0."""
     kept = text_or_null(_col(text).cast("string"), vocab.NULL_TEXTS_LEGACY_CELL)
-    return to_double(F.replace(_drop(kept, "%", " "), F.lit(","), F.lit(".")))
+    return to_double(F.translate(kept, ",% ", "."))
 
 
 def integer(text: Column | str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from canteiro import vocab
 from canteiro.functions.numbers import amount
-from canteiro.functions.text import _col, contains_any, fold, is_missing, strip
+from canteiro.functions.text import _col, contains_any, fold, strip
 from canteiro.functions.dates import (
     elapsed_percent,
     expected_end,
@@ -28,8 +28,7 @@ def official_status(raw: Column | str) -> Column:
     """
     trimmed = strip(raw)
     lowered = F.lower(trimmed)
-    undefined = is_missing(raw) | lowered.isin(*vocab.MISSING_TOKENS)
-    status = F.when(undefined, vocab.UNDEFINED_STATUS)
+    status = F.when(F.coalesce(lowered.isin(*vocab.MISSING_TOKENS), F.lit(True)), vocab.UNDEFINED_STATUS)
     for official, spellings in vocab.STATUS_SPELLINGS.items():
         status = status.when(lowered.isin(*spellings), official)
     return status.otherwise(trimmed)

@@ -153,23 +153,35 @@ def raw_payload(df: DataFrame) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns]), {"ignoreNullFields": "false"})
 
 
-def payload_maps(payload: Column) -> list[Column]:
-    """A record kept as JSON text, then the record nested in its own ``payload_bruto``."""
-    outer = F.from_json(payload, _STRING_MAP)
-    inner = F.from_json(F.try_element_at(outer, F.lit("payload_bruto")), _STRING_MAP)
-    return [outer, inner]
+PAYLOAD_MAPS = ("__outer", "__outer_keys", "__inner", "__inner_keys")
 
 
-def payload_value(payloads: Sequence[Column], *keys: str) -> Column:
-    """First filled value under one of the keys: outer record first, exact spelling first."""
+def with_payload_maps(df: DataFrame, payload: str) -> DataFrame:
+    """Add the maps of a record kept as JSON text and of the record nested in its own
+    ``payload_bruto``, each also by key form. As columns they are parsed once per row."""
+    raw = F.col(payload) if payload in df.columns else F.lit(None).cast("string")
 
-    def usable(value: Column) -> Column:
-        trimmed = strip(value)
+    def by_form(name: str) -> Column:
+        return F.transform_keys(name, lambda key, _: key_form(key))
+
+    outer = df.withColumn("__outer", F.from_json(raw, _STRING_MAP))
+    nested = F.try_element_at("__outer", F.lit("payload_bruto"))
+    inner = outer.withColumn("__inner", F.from_json(nested, _STRING_MAP))
+    return inner.withColumns({"__outer_keys": by_form("__outer"), "__inner_keys": by_form("__inner")})
+
+
+def payload_value(*keys: str) -> Column:
+    """First filled value under one of the keys: outer record first, exact spelling first.
+
+    For frames from ``with_payload_maps``.
+    """
+
+    def usable(name: str, key: str) -> Column:
+        trimmed = strip(F.try_element_at(F.col(name), F.lit(key)))
         return F.when(~trimmed.isin("", "nan", "None", "NaT"), trimmed)
 
     values = []
-    for payload in payloads:
-        by_key = F.transform_keys(payload, lambda key, _: key_form(key))
-        values += [usable(F.try_element_at(payload, F.lit(key))) for key in keys]
-        values += [usable(F.try_element_at(by_key, F.lit(key_name(key)))) for key in keys]
+    for level in ("outer", "inner"):
+        values += [usable(f"__{level}", key) for key in keys]
+        values += [usable(f"__{level}_keys", form) for form in dict.fromkeys(map(key_name, keys))]
     return F.coalesce(*values)

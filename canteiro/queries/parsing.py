@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canteiro.functions import dates, geo, ids, markup, numbers, status, text
-from canteiro.operators.fields import payload_maps, payload_value
+from canteiro.operators.fields import payload_value, with_payload_maps
 from canteiro.plans.works import place_queries
 from canteiro.queries.registry import Tables, as_of, day, query
 from canteiro.sources.costs import with_reference_cost
@@ -33,8 +33,9 @@ def money_parse(t: Tables) -> DataFrame:
         .otherwise(F.lit("sem informação"))
     )
     strict = F.when(F.col("l_returnflag") == "A", written).otherwise(F.lit("texto"))
-    return t.lineitem.select(
-        "l_orderkey", "l_linenumber", numbers.money(written).alias("valor"), numbers.amount(strict, "br_strict").alias("valor_br")
+    texts = t.lineitem.select("l_orderkey", "l_linenumber", written.alias("escrito"), strict.alias("estrito"))
+    return texts.select(
+        "l_orderkey", "l_linenumber", numbers.money("escrito").alias("valor"), numbers.amount("estrito", "br_strict").alias("valor_br")
     )
 
 
@@ -52,15 +53,21 @@ def source_number_styles(t: Tables) -> DataFrame:
     either = F.when(F.col("l_linestatus") == "F", us).otherwise(F.concat(F.lit("R$"), br))
     comma = F.when(F.col("l_linestatus") == "F", F.replace(us, F.lit(","), F.lit(""))).otherwise(br)
     rate = F.concat(F.format_number(F.col("l_discount") * 100, 2), F.lit("%"))
-    return t.lineitem.select(
+    texts = t.lineitem.select(
+        "l_orderkey", "l_linenumber", either.alias("a"), comma.alias("b"),
+        F.when(F.col("l_returnflag") == "R", " ").otherwise(comma).alias("c"),
+        F.replace(rate, F.lit("."), F.lit(",")).alias("d"), F.date_format("l_shipdate", "'ano' yyyy").alias("e"),
+        F.replace(F.format_number("l_quantity", 1), F.lit("."), F.lit(",")).alias("f"),
+    )
+    return texts.select(
         "l_orderkey",
         "l_linenumber",
-        numbers.amount(either, "last_separator").alias("ultimo_separador"),
-        numbers.amount(comma, "comma_decimal").alias("virgula"),
-        numbers.amount(F.when(F.col("l_returnflag") == "R", " ").otherwise(comma), "dump").alias("carga"),
-        numbers.percent(F.replace(rate, F.lit("."), F.lit(","))).alias("percentual"),
-        numbers.integer(F.date_format("l_shipdate", "'ano' yyyy")).alias("ano"),
-        numbers.statistic(F.replace(F.format_number("l_quantity", 1), F.lit("."), F.lit(","))).alias("estatistica"),
+        numbers.amount("a", "last_separator").alias("ultimo_separador"),
+        numbers.amount("b", "comma_decimal").alias("virgula"),
+        numbers.amount("c", "dump").alias("carga"),
+        numbers.percent("d").alias("percentual"),
+        numbers.integer("e").alias("ano"),
+        numbers.statistic("f").alias("estatistica"),
     )
 
 
@@ -87,11 +94,12 @@ def date_parse(t: Tables) -> DataFrame:
     )
     names = F.array(*[F.lit(name) for name in dates.vocab.MONTHS])
     month = F.concat(F.initcap(F.get(names, F.month(shipped) - 1)), F.lit("/"), F.year(shipped))
-    return t.lineitem.select(
+    texts = t.lineitem.select("l_orderkey", "l_linenumber", written.alias("escrito"), month.alias("mes_escrito"))
+    return texts.select(
         "l_orderkey",
         "l_linenumber",
-        day(dates.parse_timestamp(written)).alias("dia"),
-        day(dates.month_and_year(month)).alias("mes"),
+        day(dates.parse_timestamp("escrito")).alias("dia"),
+        day(dates.month_and_year("mes_escrito")).alias("mes"),
     )
 
 
@@ -106,11 +114,12 @@ FROM lineitem
 def duration_days(t: Tables) -> DataFrame:
     unit = F.when(F.col("l_returnflag") == "A", " dias").when(F.col("l_returnflag") == "N", "MESES").otherwise(" Anos")
     written = F.concat(F.lit("prazo: "), F.col("l_quantity").cast("bigint").cast("string"), unit)
-    return t.lineitem.select(
-        "l_orderkey",
-        "l_linenumber",
-        dates.duration_days(written).alias("dias"),
-        day(dates.expected_end(written, F.col("l_shipdate").cast("timestamp"))).alias("termino"),
+    texts = t.lineitem.select(
+        "l_orderkey", "l_linenumber", written.alias("prazo"), F.col("l_shipdate").cast("timestamp").alias("inicio")
+    )
+    return texts.select(
+        "l_orderkey", "l_linenumber", dates.duration_days("prazo").alias("dias"),
+        day(dates.expected_end("prazo", "inicio")).alias("termino"),
     )
 
 
@@ -141,9 +150,9 @@ def tax_id_check(t: Tables) -> DataFrame:
         F.substring(base, 1, 2), F.lit("."), F.substring(base, 3, 3), F.lit("."), F.substring(base, 6, 3),
         F.lit("/"), branch, F.lit("-"), check,
     )
-    pairs = t.lineitem.select("l_partkey", "l_suppkey").distinct()
+    pairs = t.lineitem.select("l_partkey", "l_suppkey").distinct().withColumn("escrito", written)
     return pairs.select(
-        "l_partkey", "l_suppkey", ids.company_tax_id(written).alias("cnpj"), text.digits_only(written).alias("digitos")
+        "l_partkey", "l_suppkey", ids.company_tax_id("escrito").alias("cnpj"), text.digits_only("escrito").alias("digitos")
     )
 
 
@@ -305,9 +314,10 @@ def amended_agreements(t: Tables) -> DataFrame:
     count = F.format_number(F.col("l_discount") * 100, 0)
     dated = F.when((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F"), "2000-01-01").otherwise("null")
     flag = F.when(F.col("l_returnflag") == "A", "Convênio ADITIVÁDO").otherwise("Original")
-    return t.lineitem.where(status.has_amendment(count, F.lit("0,00"), dated, flag)).select(
-        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"
+    texts = t.lineitem.select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", count.alias("n"), dated.alias("d"), flag.alias("f")
     )
+    return texts.where(status.has_amendment("n", F.lit("0,00"), "d", "f")).drop("n", "d", "f")
 
 
 @query(
@@ -400,7 +410,8 @@ def dms_coordinates(t: Tables) -> DataFrame:
         .when(F.col("l_returnflag") == "N", F.concat(F.replace(parts, F.lit("."), F.lit("° ")), F.lit('" N')))
         .otherwise(F.concat(F.lit("-"), (F.col("l_partkey") % 90).cast("string"), F.lit(",5")))
     )
-    return t.lineitem.select("l_orderkey", "l_linenumber", geo.coordinate(written).alias("coordenada"))
+    texts = t.lineitem.select("l_orderkey", "l_linenumber", written.alias("escrito"))
+    return texts.select("l_orderkey", "l_linenumber", geo.coordinate("escrito").alias("coordenada"))
 
 
 @query(
@@ -446,7 +457,8 @@ def attribute_map(t: Tables) -> DataFrame:
         F.concat(F.lit("Linha: "), "p_type"), F.concat(F.lit("obra: "), state),
     )
     html = F.when(F.col("p_size") > 25, table).otherwise(lines)
-    parsed = t.part.select("p_partkey", "p_type", markup.html_attributes(html).alias("m"))
+    described = t.part.select("p_partkey", html.alias("html"))
+    parsed = described.select("p_partkey", markup.html_attributes("html").alias("m"))
     layer = F.lit("Obras em curso")
     return parsed.select(
         "p_partkey",
@@ -470,12 +482,12 @@ def json_payload(t: Tables) -> DataFrame:
         F.substring("props", 1, F.length("props") - 1), F.lit(', "payload_bruto": '), F.to_json(F.struct(inner.alias("x"))), F.lit("}")
     )
     nested = F.regexp_replace(outer, r'"payload_bruto": \{"x":(.*)\}\}$', '"payload_bruto": $1}')
-    maps = payload_maps(F.col("registro"))
-    return t.events.select("event_id", nested.alias("registro")).select(
+    kept = with_payload_maps(t.events.select("event_id", nested.alias("registro")), "registro")
+    return kept.select(
         "event_id",
-        payload_value(maps, "zz", "k").alias("externo"),
-        payload_value(maps, "tipo").alias("interno"),
-        payload_value(maps, "nº usuario").alias("dobrado"),
+        payload_value("zz", "k").alias("externo"),
+        payload_value("tipo").alias("interno"),
+        payload_value("nº usuario").alias("dobrado"),
     )
 
 

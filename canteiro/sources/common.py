@@ -26,9 +26,23 @@ def payload(df: DataFrame) -> Column:
     return F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
 
 
-def project(df: DataFrame, columns: dict[str, Column], as_of: Column, source: str | None = None) -> DataFrame:
+def with_texts(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
+    """Chosen source cells under their target names, the raw record, and the position.
+
+    Parsers then refer to plain columns, so a cell is read and trimmed once per row however often
+    a parser looks at it.
+    """
+    return df.select(
+        *[column.alias(name) for name, column in texts.items()], payload(df).alias("__record"), *carried(df)
+    )
+
+
+def project(
+    df: DataFrame, columns: dict[str, Column], as_of: Column, source: str | None = None
+) -> DataFrame:
     """Normalised record: the given columns, source, collection time, raw record, position."""
+    record = F.col("__record") if "__record" in df.columns else payload(df)
     if source is not None:
         columns = {**columns, "fonte": F.lit(source)}
-    columns = {**columns, "coletado_em": as_of.cast("timestamp"), "payload_bruto": payload(df)}
+    columns = {**columns, "coletado_em": as_of.cast("timestamp"), "payload_bruto": record}
     return df.select(*[column.alias(name) for name, column in columns.items()], *carried(df))

@@ -10,7 +10,7 @@ from canteiro.functions.dates import parse_timestamp
 from canteiro.functions.numbers import to_double
 from canteiro.functions.status import health_percent
 from canteiro.operators.fields import field, truthy, truthy_number
-from canteiro.sources.common import project
+from canteiro.sources.common import project, with_texts
 
 # fixed values: target -> source fields, the first filled one counts
 TEXT_FIELDS = {
@@ -131,17 +131,21 @@ def works(df: DataFrame, as_of: Column) -> DataFrame:
     def text(name: str) -> Column:
         return field(df, name).cast("string")
 
-    columns = {target: truthy(*map(text, sources)) for target, sources in TEXT_FIELDS.items()}
+    cells = {target: truthy(*map(text, sources)) for target, sources in {**TEXT_FIELDS, **DATE_FIELDS}.items()}
     for target, sources in NUMBER_FIELDS.items():
         numbers = [to_double(text(name)) for name in sources]
-        columns[target] = truthy_number(*numbers) if len(numbers) > 1 else numbers[0]
-    for target, sources in DATE_FIELDS.items():
-        columns[target] = parse_timestamp(truthy(*map(text, sources)), digits_as_epoch=False)
-    columns["percentual_executado"] = health_percent(to_double(text("vlPercentualExecutado")), columns["situacao"])
-    columns["municipio_ibge"] = F.lit(vocab.MUNICIPALITY_CODE_HEALTH)
-    groups = field(df, "gruposFotografias", PHOTO_GROUPS)
-    columns["fotos_grupos"] = photo_list(groups)
-    columns["qtd_fotos"] = photo_count(groups)
+        cells[target] = truthy_number(*numbers) if len(numbers) > 1 else numbers[0]
+    cells["__percent"] = to_double(text("vlPercentualExecutado"))
+    cells["__photos"] = field(df, "gruposFotografias", PHOTO_GROUPS)
     companies = field(df, "empresas", "array<string>")
-    columns["qtd_empresas"] = F.when(companies.isNotNull(), F.size(companies)).otherwise(F.lit(0))
-    return project(df, columns, as_of, "sismob_cidadao")
+    cells["qtd_empresas"] = F.when(companies.isNotNull(), F.size(companies)).otherwise(F.lit(0))
+    rows = with_texts(df, cells)
+    columns = {
+        **{name: F.col(name) for name in (*TEXT_FIELDS, *NUMBER_FIELDS, "qtd_empresas")},
+        **{name: parse_timestamp(name, digits_as_epoch=False) for name in DATE_FIELDS},
+        "percentual_executado": health_percent(F.col("__percent"), F.col("situacao")),
+        "municipio_ibge": F.lit(vocab.MUNICIPALITY_CODE_HEALTH),
+        "fotos_grupos": photo_list(F.col("__photos")),
+        "qtd_fotos": photo_count(F.col("__photos")),
+    }
+    return project(rows, columns, as_of, "sismob_cidadao")

@@ -22,11 +22,11 @@ from canteiro.operators.dedup import merge_localities
 from canteiro.operators.fields import (
     field,
     first_containing_folded,
-    payload_maps,
     payload_value,
     resolved,
+    with_payload_maps,
 )
-from canteiro.sources.common import project, record_columns
+from canteiro.sources.common import project, record_columns, with_texts
 from canteiro.sources.snapshots import first_with_rows
 
 CURRENT_SOURCE = "painel_obras_atual_macae"
@@ -54,6 +54,7 @@ CURRENT_COLUMNS = {
     "num_contrato": ("num_contrato", "numero contrato", "numerocontrato"),
     "num_licitacao": ("num_licitacao", "processo licitatorio", "licitacao", "edital"),
 }
+CURRENT_NUMBERS = ("percentual_executado", "valor_contrato", "valor_aditivos", "latitude", "longitude")
 # fixed values: keys under which the nested record may hold what the row lacks
 NESTED_CONTRACT_KEYS = ("id_contrato", "contrato", "num_contrato", "numero contrato", "nº contrato")
 NESTED_TENDER_KEYS = ("num_licitacao", "numero_licitacao", "nº licitacao", "nº licitação", "numero licitacao")
@@ -90,51 +91,41 @@ LEGACY_FIELDS = {
 }
 
 
-def _date(text: Column) -> Column:
+def _date(text: Column | str) -> Column:
     return parse_timestamp(text, digits_as_epoch=False)
 
 
-def _money(text: Column) -> Column:
-    return amount(text_or_null(text, vocab.NULL_TEXTS_LEGACY_CELL), "br_strict")
-
-
 def current_works(df: DataFrame, as_of: Column) -> DataFrame:
     """Current panel rows; a row without an id gets one derived from its content."""
     names = record_columns(df)
-    text = {
+    texts = {
         target: text_or_null(resolved(first_containing_folded(names, *words)).cast("string"))
         for target, words in CURRENT_COLUMNS.items()
     }
-    nested = payload_maps(field(df, "payload_bruto"))
-    content = F.to_json(F.struct(*[F.col(f"`{name}`") for name in names]), {"ignoreNullFields": "false"})
-    work_id = F.coalesce(text["id_obra"], F.concat(F.lit("obra_"), F.substring(F.sha2(content, 256), 1, 16)))
-    start = F.coalesce(_date(text["data_inicio"]), _date(payload_value(nested, *NESTED_START_KEYS)))
-    deadline = _date(text["data_prevista_fim"])
-
-    def number(name: str) -> Column:
-        return amount(text[name], "last_separator")
-
+    texts["__nested"] = field(df, "payload_bruto")
+    rows = with_payload_maps(with_texts(df, texts), "__nested")
+    found = rows.withColumns(
+        {
+            "id_obra": F.coalesce(
+                "id_obra", F.concat(F.lit("obra_"), F.substring(F.sha2("__record", 256), 1, 16))
+            ),
+            "num_contrato": F.coalesce("num_contrato", payload_value(*NESTED_CONTRACT_KEYS)),
+            "num_licitacao": F.coalesce("num_licitacao", payload_value(*NESTED_TENDER_KEYS)),
+            "__place": F.when(F.col("bairro").isNull(), payload_value(*NESTED_PLACE_KEYS)),
+            "data_inicio": F.coalesce(_date("data_inicio"), _date(payload_value(*NESTED_START_KEYS))),
+            "data_prevista_fim": _date("data_prevista_fim"),
+            **{name: amount(name, "last_separator") for name in CURRENT_NUMBERS},
+        }
+    )
     columns = {
-        "id_obra": work_id,
-        "nome_obra": text["nome_obra"],
-        "situacao": text["situacao"],
+        **{name: F.col(name) for name in CURRENT_COLUMNS},
+        "num_contrato": F.coalesce("num_contrato", "id_obra"),
+        "bairro": F.coalesce("bairro", district_after_word("__place")),
         "percentual_executado": panel_percent(
-            text["situacao"], number("percentual_executado"), start, deadline, as_of
+            F.col("situacao"), F.col("percentual_executado"), F.col("data_inicio"), F.col("data_prevista_fim"), as_of
         ),
-        "valor_contrato": number("valor_contrato"),
-        "data_inicio": start,
-        "data_prevista_fim": deadline,
-        "secretaria": text["secretaria"],
-        "bairro": F.coalesce(text["bairro"], district_after_word(payload_value(nested, *NESTED_PLACE_KEYS))),
-        "latitude": number("latitude"),
-        "longitude": number("longitude"),
-        "cnpj_executora": text["cnpj_executora"],
-        "nome_executora": text["nome_executora"],
-        "valor_aditivos": number("valor_aditivos"),
-        "num_contrato": F.coalesce(text["num_contrato"], payload_value(nested, *NESTED_CONTRACT_KEYS), work_id),
-        "num_licitacao": F.coalesce(text["num_licitacao"], payload_value(nested, *NESTED_TENDER_KEYS)),
     }
-    return project(df, columns, as_of, CURRENT_SOURCE)
+    return project(found, columns, as_of, CURRENT_SOURCE)
 
 
 def of_municipality(df: DataFrame, word: str = vocab.MUNICIPALITY_KEY) -> DataFrame:
@@ -176,41 +167,44 @@ def best_strategy(
     )
 
 
+def _legacy_cell(df: DataFrame, source: str, target: str) -> Column:
+    cell = field(df, source).cast("string")
+    if target.startswith("valor_") or target == "execucao_fisica_str":
+        return amount(text_or_null(cell, vocab.NULL_TEXTS_LEGACY_CELL), "br_strict")
+    return cell
+
+
 def legacy_works(df: DataFrame, as_of: Column) -> DataFrame:
     """Legacy panel rows with typed amounts, percents, dates and coordinates."""
-    raw = {target: field(df, source).cast("string") for source, target in LEGACY_FIELDS.items()}
-    value, paid = _money(raw["valor_contrato_str"]), _money(raw["valor_executado_financeiro_str"])
-    generic_name = (raw["nome_obra"] == "CONSTRUCAO") & raw["objeto"].isNotNull()
+    rows = with_texts(df, {target: _legacy_cell(df, source, target) for source, target in LEGACY_FIELDS.items()})
+    generic_name = (F.col("nome_obra") == "CONSTRUCAO") & F.col("objeto").isNotNull()
     columns = {
-        "id_obra": raw["id_obra"],
-        "num_contrato": raw["num_contrato"],
-        "num_licitacao": raw["num_licitacao"],
-        "nome_obra": F.when(generic_name, F.concat_ws(" — ", raw["objeto"], raw["nome_obra"])).otherwise(
-            raw["nome_obra"]
-        ),
-        "objeto": raw["objeto"],
-        "situacao": raw["situacao"],
-        "secretaria": raw["secretaria"],
-        "orgao_superior": raw["orgao_superior"],
-        "endereco": raw["endereco"],
-        "latitude": coordinate(raw["latitude"]),
-        "longitude": coordinate(raw["longitude"]),
+        **{
+            name: F.col(name)
+            for name in (
+                "id_obra", "num_contrato", "num_licitacao", "objeto", "situacao", "secretaria", "orgao_superior",
+                "endereco",
+            )
+        },
+        "nome_obra": F.when(generic_name, F.concat_ws(" — ", "objeto", "nome_obra")).otherwise(F.col("nome_obra")),
+        "latitude": coordinate("latitude"),
+        "longitude": coordinate("longitude"),
         "municipio": F.lit(vocab.MUNICIPALITY),
         "uf": F.lit(vocab.STATE),
-        "valor_contrato": value,
-        "valor_final": _money(raw["execucao_fisica_str"]),
-        "percentual_executado": percent(raw["percentual_executado_str"]),
-        "percentual_executado_financeiro": financial_percent(paid, value),
-        "data_inicio": _date(raw["data_inicio_str"]),
-        "data_prevista_fim": _date(raw["data_prevista_fim_str"]),
-        "ano_referencia": integer(raw["ano_referencia"]),
-        "ano_conclusao": integer(raw["ano_conclusao"]),
-        "sistema_origem": text_or_null(raw["sistema_origem"], vocab.NULL_TEXTS_LEGACY, ignore_case=True),
-        "valor_repasse": _money(raw["valor_repasse_str"]),
-        "valor_contrapartida": _money(raw["valor_contrapartida_str"]),
-        "valor_executado_financeiro": paid,
+        "valor_contrato": F.col("valor_contrato_str"),
+        "valor_final": F.col("execucao_fisica_str"),
+        "percentual_executado": percent("percentual_executado_str"),
+        "percentual_executado_financeiro": financial_percent("valor_executado_financeiro_str", "valor_contrato_str"),
+        "data_inicio": _date("data_inicio_str"),
+        "data_prevista_fim": _date("data_prevista_fim_str"),
+        "ano_referencia": integer("ano_referencia"),
+        "ano_conclusao": integer("ano_conclusao"),
+        "sistema_origem": text_or_null("sistema_origem", vocab.NULL_TEXTS_LEGACY, ignore_case=True),
+        "valor_repasse": F.col("valor_repasse_str"),
+        "valor_contrapartida": F.col("valor_contrapartida_str"),
+        "valor_executado_financeiro": F.col("valor_executado_financeiro_str"),
     }
-    return project(df, columns, as_of, LEGACY_SOURCE)
+    return project(rows, columns, as_of, LEGACY_SOURCE)
 
 
 def legacy_localities(parts: Sequence[DataFrame], order: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from canteiro.functions.status import contract_status
 from canteiro.functions.text import mentions_works, text_or_null
 from canteiro.operators.dedup import merge_extracts
 from canteiro.operators.fields import first_containing, resolved
-from canteiro.sources.common import project, record_columns
+from canteiro.sources.common import project, record_columns, with_texts
 
 # fixed values: contract type of the export form, source names
 WORKS_CONTRACT_TYPE = "Obras e Serviços de Engenharia"
@@ -52,35 +52,43 @@ TENDER_COLUMNS = {
 }
 
 
-def _texts(df: DataFrame, columns: dict[str, Sequence[str]]) -> dict[str, Column]:
+def _texts(df: DataFrame, columns: dict[str, Sequence[str]]) -> DataFrame:
     names = record_columns(df)
-    return {
-        target: text_or_null(resolved(first_containing(names, *words)), vocab.NULL_TEXTS_PORTAL)
-        for target, words in columns.items()
-    }
+    return with_texts(
+        df,
+        {
+            target: text_or_null(resolved(first_containing(names, *words)), vocab.NULL_TEXTS_PORTAL)
+            for target, words in columns.items()
+        },
+    )
 
 
-def _date(text: Column) -> Column:
-    return parse_timestamp(text, digits_as_epoch=False)
+def _date(name: str) -> Column:
+    return parse_timestamp(name, digits_as_epoch=False)
 
 
 def contracts(df: DataFrame, as_of: Column) -> DataFrame:
-    columns = _texts(df, CONTRACT_COLUMNS)
-    columns["valor"] = amount(columns["valor"], "br_strict")
-    for name in ("data_assinatura", "data_vigencia_fim"):
-        columns[name] = _date(columns[name])
-    columns["situacao"] = contract_status(columns["situacao"], columns["data_vigencia_fim"], as_of)
-    columns["prazo_dias"] = duration_days(columns["prazo_dias"])
-    columns["tipo_contrato"] = F.lit(WORKS_CONTRACT_TYPE)
-    return project(df, columns, as_of, CONTRACTS_SOURCE)
+    texts = _texts(df, CONTRACT_COLUMNS)
+    columns = {
+        **{name: F.col(name) for name in CONTRACT_COLUMNS},
+        "valor": amount("valor", "br_strict"),
+        "data_assinatura": _date("data_assinatura"),
+        "data_vigencia_fim": _date("data_vigencia_fim"),
+        "prazo_dias": duration_days("prazo_dias"),
+        "tipo_contrato": F.lit(WORKS_CONTRACT_TYPE),
+    }
+    typed = project(texts, columns, as_of, CONTRACTS_SOURCE)
+    return typed.withColumn("situacao", contract_status("situacao", "data_vigencia_fim", as_of))
 
 
 def tenders(df: DataFrame, as_of: Column) -> DataFrame:
-    columns = _texts(df, TENDER_COLUMNS)
-    columns["valor_estimado"] = amount(columns["valor_estimado"], "br_strict")
-    for name in ("data_abertura", "data_publicacao"):
-        columns[name] = _date(columns[name])
-    return project(df, columns, as_of, TENDERS_SOURCE)
+    columns = {
+        **{name: F.col(name) for name in TENDER_COLUMNS},
+        "valor_estimado": amount("valor_estimado", "br_strict"),
+        "data_abertura": _date("data_abertura"),
+        "data_publicacao": _date("data_publicacao"),
+    }
+    return project(_texts(df, TENDER_COLUMNS), columns, as_of, TENDERS_SOURCE)
 
 
 def works_tenders(extracts: Sequence[DataFrame], order: Sequence[str]) -> DataFrame:

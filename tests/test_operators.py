@@ -181,9 +181,8 @@ def test_first_column_with_values_is_a_whole_frame_choice(spark):
 def test_payload_lookup(spark):
     outer = '{"Nº Contrato": "", "payload_bruto": "{\\"nº contrato\\": \\"77\\", \\"Início\\": \\"2020-01-01\\"}"}'
     frame = spark.createDataFrame([(outer,), ("not json",), (None,)], "p string")
-    maps = fields.payload_maps(F.col("p"))
-    got = frame.select(
-        fields.payload_value(maps, "contrato", "nº contrato").alias("a"), fields.payload_value(maps, "inicio").alias("b")
+    got = fields.with_payload_maps(frame, "p").select(
+        fields.payload_value("contrato", "nº contrato").alias("a"), fields.payload_value("inicio").alias("b")
     ).collect()
     assert [tuple(r) for r in got] == [("77", "2020-01-01"), (None, None), (None, None)]
 
