@@ -43,20 +43,21 @@ def in_bounding_box(
     return F.coalesce(inside, F.lit(False))
 
 
+_DEGREES_MINUTES_SECONDS = r"(\d+)(?:\D+(\d+))?(?:\D+(\d+))?"
+
+
 def coordinate(text: Column | str) -> Column:
     """Decimal degrees, or degrees-minutes-seconds with a hemisphere letter (``22.21.21.S``)."""
     upper = F.upper(text_or_null(_col(text).cast("string"), vocab.NULL_TEXTS_LEGACY, ignore_case=True))
-    numbers = F.regexp_extract_all(upper, F.lit(r"(\d+)"), 1)
 
     def part(index: int) -> Column:
-        return F.coalesce(F.get(numbers, F.lit(index)).try_cast("double"), F.lit(0.0))
+        return F.regexp_extract(upper, _DEGREES_MINUTES_SECONDS, index).try_cast("double")
 
-    hemisphere = F.regexp_extract(upper, "([NSEW])", 1)
-    degrees = part(0) + part(1) / 60 + part(2) / 3600
-    signed = F.when(hemisphere.isin("S", "W"), -degrees).otherwise(degrees)
-    return F.when(hemisphere == "", to_double(F.replace(upper, F.lit(","), F.lit(".")))).when(
-        F.size(numbers) > 0, signed
-    )
+    zero = F.lit(0.0)
+    degrees = part(1) + F.coalesce(part(2), zero) / 60 + F.coalesce(part(3), zero) / 3600
+    south_or_west = upper.rlike("^[^NSEW]*[SW]")
+    sign = F.when(south_or_west, -1.0).otherwise(1.0)
+    return F.when(upper.rlike("[NSEW]"), degrees * sign).otherwise(to_double(F.translate(upper, ",", ".")))
 
 
 def point_from_text(text: Column | str) -> tuple[Column, Column]:

@@ -7,7 +7,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from canteiro.functions.text import _col
+from canteiro.functions.text import _col, once
 
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<![a-z][^>]*>"
 _TAG = r"(?s)</?[a-zA-Z][^>]*>"
@@ -30,15 +30,18 @@ def _entity_char(name: Column) -> Column:
 
 def unescape(text: Column | str) -> Column:
     """Replace character references; ``&amp;`` last, so ``&amp;lt;`` stays ``&lt;``."""
-    text = _col(text)
-    names = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&(#?\w+);"), 1))
-    others = F.filter(names, lambda n: n != "amp")
-    decoded = F.aggregate(
-        others,
-        text,
-        lambda acc, n: F.coalesce(F.replace(acc, F.concat(F.lit("&"), n, F.lit(";")), _entity_char(n)), acc),
-    )
-    return F.when(text.contains("&"), F.replace(decoded, F.lit("&amp;"), F.lit("&"))).otherwise(text)
+
+    def decoded(whole: Column) -> Column:
+        names = F.array_distinct(F.regexp_extract_all(whole, F.lit(r"&(#?\w+);"), 1))
+        return F.aggregate(
+            F.filter(names, lambda n: n != "amp"),
+            whole,
+            lambda acc, n: F.coalesce(
+                F.replace(acc, F.concat(F.lit("&"), n, F.lit(";")), _entity_char(n)), acc
+            ),
+        )
+
+    return F.replace(once(_col(text), decoded), F.lit("&amp;"), F.lit("&"))
 
 
 def _text_nodes(html: Column, joiner: str) -> Column:
@@ -87,7 +90,7 @@ def html_attributes(html: Column | str) -> Column:
     from_table = _pairs(F.transform(rows, row_entry))
     lines = F.filter(F.split(_text_nodes(html, "\n"), "\n"), lambda line: line.contains(":"))
     from_lines = _pairs(F.transform(lines, line_entry))
-    found = F.when(F.size(from_table) > 0, from_table).otherwise(from_lines)
+    found = once(from_table, lambda pairs: F.when(F.size(pairs) > 0, pairs).otherwise(from_lines))
     empty = F.create_map().cast("map<string,string>")
     return F.coalesce(found, empty)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from canteiro import vocab
 from canteiro.functions.numbers import amount
-from canteiro.functions.text import _col, contains_any, fold, strip
+from canteiro.functions.text import _col, contains_any, fold, once, strip
 from canteiro.functions.dates import (
     elapsed_percent,
     expected_end,
@@ -112,7 +112,8 @@ def marker_status(attributes: Column, marker: Column, layer: Column) -> Column:
         value = None if stage == "indefinido" else stage
         hit = icon.contains(colour)
         by_icon = F.when(hit, F.lit(value)) if by_icon is None else by_icon.when(hit, F.lit(value))
-    return F.coalesce(own, _stage(joined, broad), by_icon, _stage(F.lower(layer), broad), F.lit("indefinido"))
+    by_other = once(joined, lambda text: _stage(text, broad))
+    return F.coalesce(own, by_other, by_icon, _stage(F.lower(layer), broad), F.lit("indefinido"))
 
 
 def marker_percent(attributes: Column, as_of: Column) -> Column:

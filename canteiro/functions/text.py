@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import cache
 
 from pyspark.sql import Column
@@ -110,12 +111,20 @@ def slug_name(name: str) -> str:
 
 
 def contains_any(text: Column | str, words: Sequence[str]) -> Column:
-    """True when ``text`` holds any of the words; NULL text gives False."""
-    text = _col(text)
-    found = F.lit(False)
-    for word in words:
-        found = found | text.contains(word)
-    return F.coalesce(found, F.lit(False))
+    """True when ``text`` holds any of the words; NULL text gives False.
+
+    One alternation of literal words, so the text is computed and scanned once.
+    """
+    return F.coalesce(_col(text).rlike("|".join(re.escape(word) for word in words)), F.lit(False))
+
+
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with the value computed once however often the body uses it.
+
+    For bodies that are higher-order functions already; plain expressions are better shared as a
+    column of an earlier projection.
+    """
+    return F.get(F.transform(F.array(value), lambda bound: body(bound)), F.lit(0))
 
 
 def mentions_works(text: Column | str, keywords: Sequence[str] = vocab.WORKS_KEYWORDS) -> Column:

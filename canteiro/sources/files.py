@@ -169,9 +169,9 @@ def read_placemarks(spark: SparkSession, path: str) -> DataFrame:
 
 def matrix_records(df: DataFrame, header: Sequence[str], rows: str = "rows") -> DataFrame:
     """Rows of text cells under a header, as columns with slug names; short rows give NULLs."""
-    names = [slug_name(name) for name in header]
-    cells = df.select(F.explode(rows).alias("cells"))
-    return cells.select(*[F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names)])
+    # the outer form keeps Spark from computing the matrix once more for a filter
+    cells = df.select(F.explode_outer(rows).alias("cells")).where(F.col("cells").isNotNull())
+    return cells.select(*[F.get("cells", F.lit(i)).alias(slug_name(name)) for i, name in enumerate(header)])
 
 
 def datasets(spark: SparkSession, folder: str) -> list[tuple[str, str]]:

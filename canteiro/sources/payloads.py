@@ -18,17 +18,22 @@ def _list_text(text: Column) -> Column:
     return F.when(trimmed.startswith("["), trimmed)
 
 
-def record_list(
-    payload: Column, preferred: Sequence[str] = (), generic: Sequence[str] = RECORD_KEYS, any_list: bool = True
-) -> Column:
-    """JSON text of the record list: the payload itself, a preferred key, a generic one, any list."""
-    members = F.from_json(payload, "map<string,string>")
-    named = [_list_text(F.try_element_at(members, F.lit(key))) for key in (*preferred, *generic)]
-    choices = [_list_text(payload), *named]
+def with_record_list(
+    df: DataFrame,
+    payload: str,
+    preferred: Sequence[str] = (),
+    generic: Sequence[str] = RECORD_KEYS,
+    any_list: bool = True,
+) -> DataFrame:
+    """Add ``__list``, the JSON text of the record list: the payload itself, a preferred key, a
+    generic one, any list."""
+    members = df.withColumn("__members", F.from_json(payload, "map<string,string>"))
+    choices = [_list_text(F.col(payload))]
+    choices += [_list_text(F.try_element_at("__members", F.lit(key))) for key in (*preferred, *generic)]
     if any_list:
-        lists = F.filter(F.map_values(members), lambda v: F.trim(v).startswith("["))
+        lists = F.filter(F.map_values("__members"), lambda v: F.trim(v).startswith("["))
         choices.append(F.get(lists, F.lit(0)))
-    return F.coalesce(*choices)
+    return members.withColumn("__list", F.coalesce(*choices)).drop("__members")
 
 
 def explode_records(
@@ -41,9 +46,9 @@ def explode_records(
 ) -> DataFrame:
     """One row per record, the other columns of ``df`` kept; list items that are no objects drop."""
     schema = T.StructType.fromDDL(record_schema) if isinstance(record_schema, str) else record_schema
-    listed = record_list(F.col(payload), preferred, generic, any_list)
-    texts = F.from_json(listed, "array<string>")
+    listed = with_record_list(df, payload, preferred, generic, any_list)
     others = [name for name in df.columns if name != payload]
-    items = df.select(*others, F.explode(texts).alias("__item")).where(F.trim("__item").startswith("{"))
-    record = items.withColumn("__record", F.from_json("__item", schema))
-    return record.select(*others, "__record.*")
+    # the outer form keeps Spark from parsing the list once more for a filter
+    items = listed.select(*others, F.explode_outer(F.from_json("__list", "array<string>")).alias("__item"))
+    records = items.where(F.trim("__item").startswith("{"))
+    return records.withColumn("__record", F.from_json("__item", schema)).select(*others, "__record.*")
