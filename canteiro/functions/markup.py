@@ -16,9 +16,8 @@ _CUT = "\u0001"
 
 def _entity_char(name: Column) -> Column:
     """Character of one entity name; numeric references up to the basic plane."""
-    table = F.create_map(
-        *[F.lit(part) for key, code in sorted(name2codepoint.items()) for part in (key, chr(code))]
-    )
+    names = ";".join(f"{key}:{chr(code)}" for key, code in name2codepoint.items())
+    table = F.str_to_map(F.lit(names), F.lit(";"), F.lit(":"))  # constant, folded by the optimizer
     code = F.when(
         name.rlike(r"^#[xX][0-9a-fA-F]{1,4}$"), F.conv(F.substring(name, 3, 4), 16, 10).try_cast("int")
     ).when(name.rlike(r"^#\d{1,5}$"), F.substring(name, 2, 5).try_cast("int"))

@@ -8,49 +8,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from canteiro.functions.text import slug_name
-from canteiro.operators.dedup import with_source_position
+from canteiro.functions.text import WHITESPACE, slug_name
+from canteiro.operators.dedup import SOURCE_POSITION, with_source_position
 from canteiro.operators.merge import list_names
 
 CORRUPT = "_corrupt_record"
 
 
+def _record_schema(spark: SparkSession, path: str, lines: bool) -> T.StructType:
+    """Inferred schema of the records, looked up inside the envelope where there is one."""
+    found = spark.read.option("multiLine", not lines).json(path).schema
+    if "dados" in found.names and isinstance(found["dados"].dataType, T.ArrayType):
+        found = found["dados"].dataType.elementType
+    return T.StructType([f for f in found.fields if f.name != CORRUPT])
+
+
 def read_json_records(
     spark: SparkSession, path: str, schema: T.StructType | None = None, lines: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Records of JSON files, and the unreadable rows.
+    """Records of JSON files in source order, and the unreadable ones.
 
-    A file is a list of records, one record, or an envelope whose ``dados`` holds the list.
-    ``lines`` reads one record per line, which Spark can split; prefer it for large inputs.
-    Give the record schema to spare the inference pass.
+    A file is a list of records, one record, or an envelope whose ``dados`` holds the list; such
+    a file is read by one task. ``lines`` reads one record per line, which Spark can split;
+    prefer it for large inputs. Give the record schema to spare the inference pass.
     """
-    reader = spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    if not lines:
-        reader = reader.option("multiLine", True)
-    if schema is not None:
-        # one schema that fits both shapes: record fields at the top, and the enveloped list
-        fields = [f for f in schema.fields if f.name != "dados"]
-        enveloped = T.StructField("dados", T.ArrayType(schema))
-        reader = reader.schema(T.StructType([*fields, enveloped, T.StructField(CORRUPT, T.StringType())]))
-    raw = with_source_position(reader.json(path))
-    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in raw.columns else F.lit(False)
-    rejects = raw.where(corrupt).select(
-        (F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")).alias(CORRUPT), "_file"
+    schema = schema or _record_schema(spark, path, lines)
+    texts = with_source_position(spark.read.option("wholetext", not lines).text(path))
+    if lines:
+        items = texts.where(F.trim("value") != "").withColumn("_item", F.lit(0))
+    else:
+        trimmed = F.btrim("value", F.lit(WHITESPACE + "\ufeff"))
+        enveloped = F.try_element_at(F.from_json("value", "map<string,string>"), F.lit("dados"))
+        single = F.concat(F.lit("["), trimmed, F.lit("]"))
+        listed = (
+            F.when(trimmed.startswith("["), trimmed)
+            .when(F.trim(enveloped).startswith("["), enveloped)
+            .otherwise(single)
+        )
+        exploded = texts.select(
+            *SOURCE_POSITION, "value", F.posexplode_outer(F.from_json(listed, "array<string>")).alias("_item", "__text")
+        )
+        # a file that is no JSON at all is one unreadable record
+        items = exploded.withColumn("value", F.when(F.col("_item").isNotNull(), F.col("__text")).otherwise(F.col("value")))
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = items.select(
+        *SOURCE_POSITION, F.coalesce("_item", F.lit(0)).alias("_item"), F.from_json("value", with_corrupt, options).alias("__record")
     )
-    rows = raw.where(~corrupt).drop(CORRUPT)
-    listed = "dados" in raw.columns and isinstance(raw.schema["dados"].dataType, T.ArrayType)
-    if not listed:
-        return rows, rejects
-    flat = [name for name in rows.columns if name not in ("dados", "metadata", "_file", "_block", "_row")]
-    from_envelope = rows.where(F.col("dados").isNotNull()).select(
-        "_file", "_block", "_row", F.posexplode("dados").alias("_item", "_record")
-    ).select("_record.*", "_file", "_block", "_row", "_item")
-    if not flat:
-        return from_envelope, rejects
-    direct = rows.where(F.col("dados").isNull()).select(
-        *flat, "_file", "_block", "_row", F.lit(0).alias("_item")
+    corrupt = F.col(f"__record.{CORRUPT}")
+    rows = parsed.where(F.col("__record").isNotNull() & corrupt.isNull())
+    rejects = parsed.where(corrupt.isNotNull()).select(corrupt.alias(CORRUPT), "_file")
+    return (
+        rows.select(*[F.col("__record").getField(name).alias(name) for name in schema.names], *SOURCE_POSITION, "_item"),
+        rejects,
     )
-    return direct.unionByName(from_envelope, allowMissingColumns=True), rejects
 
 
 def read_csv_records(
@@ -90,8 +101,7 @@ def read_delimited(
     UTF-8 when every line decodes, else Windows-1252. The first separator that gives at least two
     columns and one row wins.
     """
-    undecodable = spark.read.text(path).where(F.col("value").contains("�"))
-    utf8 = undecodable.isEmpty()
+    utf8 = spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
     for separator in separators:
         frame = read_csv_records(spark, path, separator, "UTF-8" if utf8 else "ISO-8859-1")
         names = [name for name in frame.columns if not name.startswith("_")]
