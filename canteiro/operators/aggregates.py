@@ -51,27 +51,38 @@ def supplier_metrics(contracts: DataFrame, amended: Column | None) -> DataFrame:
     )
 
 
-def supplier_profile(contracts: DataFrame, order: Sequence[str] = ("ano",)) -> DataFrame:
+def supplier_profile(contracts: DataFrame) -> DataFrame:
     """Historical profile per supplier.
 
     Values are counted, summed and averaged over contracts with a value; the amended share is
-    over contracts whose flag is known. ``order`` decides which name is the first.
+    over contracts whose flag is known. The name is the one of the earliest year, of several the
+    alphabetically first. Two steps as in ``supplier_metrics``, for the same reason.
     """
     flag = F.lower(F.col("possui_aditivo"))
     amended = F.when(flag.isin("sim", "true", "1", "s"), 1).when(flag.isNotNull(), 0)
     known = F.col("cnpj_fornecedor").isNotNull() & (F.col("cnpj_fornecedor") != "")
-    rows = contracts.where(known).withColumn("__amended", amended)
-    total = F.sum(F.col("valor_contrato").cast("decimal(38,2)"))
-    first_name = F.min_by("nome_fornecedor", F.when(F.col("nome_fornecedor").isNotNull(), F.struct(*order)))
-    return rows.groupBy("cnpj_fornecedor").agg(
-        first_name.alias("nome_fornecedor"),
-        F.count("valor_contrato").alias("total_contratos"),
+    by_name_and_year = (
+        contracts.where(known)
+        .withColumn("com_aditivo", amended)
+        .groupBy("cnpj_fornecedor", "nome_fornecedor", "ano")
+        .agg(
+            F.count("valor_contrato").alias("n"),
+            F.sum(F.col("valor_contrato").cast("decimal(38,2)")).alias("valor"),
+            F.sum("com_aditivo").alias("com_aditivo"),
+            F.count("com_aditivo").alias("com_marca"),
+        )
+    )
+    total = F.sum("valor")
+    name_order = F.when(F.col("nome_fornecedor").isNotNull(), F.struct("ano", "nome_fornecedor"))
+    return by_name_and_year.groupBy("cnpj_fornecedor").agg(
+        F.min_by("nome_fornecedor", name_order).alias("nome_fornecedor"),
+        F.sum("n").alias("total_contratos"),
         F.coalesce(total, F.lit(0)).cast("double").alias("valor_total"),
-        (total.cast("double") / F.count("valor_contrato")).alias("valor_medio"),
+        (total.cast("double") / F.nullif(F.sum("n"), F.lit(0))).alias("valor_medio"),
         F.size(F.collect_set("ano")).cast("bigint").alias("anos_atuacao"),
         F.min("ano").alias("primeiro_ano"),
         F.max("ano").alias("ultimo_ano"),
-        (F.sum("__amended") / F.count("__amended")).alias("taxa_aditivo"),
+        (F.sum("com_aditivo") / F.nullif(F.sum("com_marca"), F.lit(0))).alias("taxa_aditivo"),
     )
 
 

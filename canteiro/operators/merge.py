@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canteiro.operators.dedup import keep_last, split_null_keys
+from canteiro.session import checkpoint_dir
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -84,11 +86,23 @@ class VersionedTable:
         current = self.read()
         return self.write(batch if current is None else upsert(current, batch, keys))
 
+    def discard(self) -> None:
+        self._fs.delete(self._path(self.path), True)
+
     def drop_older(self, keep: int = 2) -> None:
         for version in self.versions()[:-keep]:
             self._fs.delete(self._path(self.folder(version)), True)
 
 
+def staging_table(spark: SparkSession, name: str) -> VersionedTable:
+    """Table for intermediate rows, in the shared folder of the cluster's checkpoints.
+
+    Writing rows there cuts their lineage: a lost executor re-reads them instead of repeating the
+    work behind them.
+    """
+    return VersionedTable(spark, f"{checkpoint_dir(spark)}/canteiro/{name}-{uuid.uuid4().hex}")
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of any file system Spark can reach; empty when it does not exist."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from canteiro.operators.dedup import SOURCE_POSITION
 from canteiro.operators.fields import absent_columns, conform, keep_columns, raw_payload, rename_guarded, with_defaults
-from canteiro.operators.merge import VersionedTable, prepare_batch
+from canteiro.operators.merge import VersionedTable, prepare_batch, staging_table
 from canteiro.plans.cleaning import clean, roles_by_schema
 from canteiro.routes import ROUTES, Route, check_routes, column_names, table_schema
 from canteiro.sources.files import datasets, read_by_suffix
@@ -27,29 +27,39 @@ def apply_route(df: DataFrame, route: Route) -> DataFrame:
     return with_defaults(renamed, route.defaults).withColumn("fonte", F.lit(route.source))
 
 
-def raw_rows(df: DataFrame, route: Route, as_of: Column, order: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Rows ready for the raw table, unique by its key, and the rejected rows.
+def source_order(df: DataFrame) -> tuple[str, ...]:
+    """Columns that give the rows' order in their source."""
+    return tuple(name for name in (*SOURCE_POSITION, "_item") if name in df.columns)
+
+
+def routed_rows(df: DataFrame, route: Route, as_of: Column, order: tuple[str, ...] = ()) -> DataFrame:
+    """Cleaned rows in the columns of the raw table, order columns still attached.
 
     The raw record is kept as JSON after routing, so an earlier one nests inside it.
     """
-    order = order or tuple(name for name in (*SOURCE_POSITION, "_item") if name in df.columns)
+    order = order or source_order(df)
     schema = table_schema(route.table)
     roles = roles_by_schema([n for n in df.columns if n not in order], schema, route.renames)
     routed = apply_route(clean(df, as_of, roles, order), route)
     missing = absent_columns(routed, route.keys)
     if missing:
         raise ValueError(f"no key column {missing} for {route.table}")
-    record = routed.drop(*order)
-    stamped = routed.withColumns({"payload_bruto": raw_payload(record), "coletado_em": as_of.cast("timestamp")})
-    # the order columns ride along until the key deduplication
-    allowed = [name for name in column_names(route.table) if name in stamped.columns]
-    batch, rejected = prepare_batch(stamped.select(*allowed, *order), route.keys, order or list(route.keys))
-    batch = keep_columns(batch, column_names(route.table))
-    types = {f.name: f.dataType for f in schema.fields}
-    return (
-        batch.select(*[F.col(name).cast(types[name]).alias(name) for name in batch.columns]),
-        rejected.drop(*order),
+    stamped = routed.withColumns(
+        {"payload_bruto": raw_payload(routed.drop(*order)), "coletado_em": as_of.cast("timestamp")}
     )
+    kept = keep_columns(stamped, (*column_names(route.table), *order))
+    types = {f.name: f.dataType for f in schema.fields}
+    return kept.select(*[F.col(n).cast(types[n]).alias(n) if n in types else F.col(n) for n in kept.columns])
+
+
+def raw_rows(
+    df: DataFrame, route: Route, as_of: Column, order: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Rows ready for the raw table, unique by its key, and the rejected rows."""
+    order = order or source_order(df)
+    rows = routed_rows(df, route, as_of, order)
+    batch, rejected = prepare_batch(rows, route.keys, order or list(route.keys))
+    return batch.drop(*order), rejected.drop(*order)
 
 
 def load_dataset(
@@ -57,29 +67,35 @@ def load_dataset(
 ) -> tuple:
     """Upsert one dataset into its raw table; returns its run-log line.
 
-    Each source of a raw table is a versioned table of its own, so a load rewrites one source.
+    Parsed rows are staged once, then deduplicated, counted and merged from there. Each source
+    of a raw table is a versioned table of its own, so a load rewrites one source. Required
+    columns that are absent are named in the line and do not stop the load.
     """
     route = routes.get(name)
     if route is None:
         return (name, None, "ignorado", 0, 0, 0.0, "no route")
     started = time.monotonic()
+    staged = staging_table(spark, name)
     try:
-        batch, rejected = raw_rows(df, route, as_of)
+        order = source_order(df)
+        staged.write(routed_rows(df, route, as_of, order))
+        batch, rejected = prepare_batch(staged.read(), route.keys, order or list(route.keys))
+        batch = batch.drop(*order)
         table = VersionedTable(spark, f"{root}/{route.table}/{route.source}")
-        staged = VersionedTable(spark, f"{root}/_staging/{name}")
-        staged.write(batch)
-        ready = staged.read()
-        counts = ready.count(), rejected.count()
         if table.current() is None:
-            table.write(conform(ready, table_schema(route.table)))
+            table.write(conform(batch, table_schema(route.table)))
         else:
-            table.upsert(ready, route.keys)
-        staged.drop_older(keep=1)
+            table.upsert(batch, route.keys)
+        counts = batch.count(), rejected.count()
         table.drop_older()
-        return (name, route.source, "ok", *counts, round(time.monotonic() - started, 3), None)
+        absent = absent_columns(df, [n for n in route.required if n != "fonte" and n not in batch.columns])
+        message = f"colunas ausentes: {', '.join(absent)}" if absent else None
+        return (name, route.source, "ok", *counts, round(time.monotonic() - started, 3), message)
     except Exception as error:  # one bad dataset must not stop the others
         spent = round(time.monotonic() - started, 3)
         return (name, route.source, "erro", 0, 1, spent, str(error)[:500])
+    finally:
+        staged.discard()
 
 
 def ingest_folder(spark: SparkSession, folder: str, root: str, as_of: Column) -> DataFrame:

@@ -80,4 +80,4 @@ def supplier_profile(t: Tables) -> DataFrame:
         "case l_returnflag when 'A' then 'Sim' when 'N' then 'não' end as possui_aditivo",
         "cast(year(l_shipdate) as bigint) as ano",
     )
-    return profile_of(lines, order=("ano", "nome_fornecedor"))
+    return profile_of(lines)

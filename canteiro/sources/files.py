@@ -45,8 +45,9 @@ def read_json_records(
             .when(F.trim(enveloped).startswith("["), enveloped)
             .otherwise(single)
         )
-        exploded = texts.select(
-            *SOURCE_POSITION, "value", F.posexplode_outer(F.from_json(listed, "array<string>")).alias("_item", "__text")
+        parsed = texts.withColumn("__items", F.from_json(listed, "array<string>"))
+        exploded = parsed.where(F.col("__items").isNull() | (F.size("__items") > 0)).select(
+            *SOURCE_POSITION, "value", F.posexplode_outer("__items").alias("_item", "__text")
         )
         # a file that is no JSON at all is one unreadable record
         items = exploded.withColumn("value", F.when(F.col("_item").isNotNull(), F.col("__text")).otherwise(F.col("value")))
