@@ -105,12 +105,13 @@ def status_by_source(t: Tables) -> DataFrame:
 @query(
     """
 SELECT c_mktsegment AS fonte_origem, CAST(c_custkey AS VARCHAR) AS id_origem, c_name AS nome, 'x' AS situacao, CAST(NULL AS DOUBLE) AS percentual_executado
-FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
+FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
 """
 )
 def must_be_empty(t: Tables) -> DataFrame:
     """The audit for works without a percent, on data that has some."""
-    joined = t.customer.join(t.orders.groupBy("o_custkey").agg(F.max("o_totalprice").alias("p")), F.col("o_custkey") == F.col("c_custkey"), "left")
+    urgent = t.orders.where("o_orderpriority = '1-URGENT'").groupBy("o_custkey").agg(F.max("o_totalprice").alias("p"))
+    joined = t.customer.join(urgent, F.col("o_custkey") == F.col("c_custkey"), "left")
     return quality.works_without_percent(
         joined.selectExpr(
             "c_mktsegment as fonte_origem", "cast(c_custkey as string) as id_origem", "c_name as nome", "'x' as situacao",
@@ -207,10 +208,11 @@ def run_summary(t: Tables) -> DataFrame:
 @query(
     """
 SELECT c_custkey, strftime(TIMESTAMP '2000-01-01', '%Y-%m-%d') AS atualizado_em FROM customer
-WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) ORDER BY c_custkey LIMIT 20
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') ORDER BY c_custkey LIMIT 20
 """
 )
 def rejected_keys_sample(t: Tables) -> DataFrame:
-    """The first twenty keys without an order: a report line, the limit is the feature."""
-    lost = t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left_anti")
+    """The first twenty keys without an urgent order: a report line, the limit is the feature."""
+    urgent = t.orders.where("o_orderpriority = '1-URGENT'")
+    lost = t.customer.join(urgent, F.col("o_custkey") == F.col("c_custkey"), "left_anti")
     return stamped(profile.sample_keys(lost, "c_custkey"), day(as_of()))

@@ -71,6 +71,8 @@ def main(folder, wanted):
         try:
             frame = item.build(spark, folder)
             problem = f"rows only: {frame.count()}" if item.sql is None else compare(frame, connection, item.sql)
+            if problem is None and not connection.sql(item.sql).limit(1).fetchall():
+                print(f"note {name} is empty on this folder", flush=True)
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         ok = problem is None or problem.startswith("rows only")
