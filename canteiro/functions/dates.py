@@ -33,7 +33,7 @@ def calendar_text(text: Column | str) -> Column:
     """Day-first and year-first dates with optional time; month-first is never accepted."""
     year_first = F.regexp_replace(strip(text), _DAY_FIRST, "$4-$3-$1 $5")
     readable = F.regexp_extract(year_first, _YEAR_FIRST, 0)
-    return F.translate(readable, "/", "-").try_cast("timestamp")
+    return F.replace(readable, F.lit("/"), F.lit("-")).try_cast("timestamp")
 
 
 def parse_timestamp(text: Column | str, digits_as_epoch: bool = True) -> Column:

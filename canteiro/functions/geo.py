@@ -57,7 +57,7 @@ def coordinate(text: Column | str) -> Column:
     degrees = part(1) + F.coalesce(part(2), zero) / 60 + F.coalesce(part(3), zero) / 3600
     south_or_west = upper.rlike("^[^NSEW]*[SW]")
     sign = F.when(south_or_west, -1.0).otherwise(1.0)
-    return F.when(upper.rlike("[NSEW]"), degrees * sign).otherwise(to_double(F.translate(upper, ",", ".")))
+    return F.when(upper.rlike("[NSEW]"), degrees * sign).otherwise(to_double(F.replace(upper, F.lit(","), F.lit("."))))
 
 
 def point_from_text(text: Column | str) -> tuple[Column, Column]:

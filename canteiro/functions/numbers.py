@@ -6,10 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from canteiro import vocab
-from canteiro.functions.text import WHITESPACE, _col, strip, text_or_null
+from canteiro.functions.text import _col, strip, text_or_null
 
 # Parsers below refer to their input once, or in every branch, so that generated code shares it.
 
+_CURRENCY_OR_BLANK = r"R\$|[\s\x1c-\x1f\x85\xa0]+"
 _NUMBER = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
 
 
@@ -24,8 +25,8 @@ def to_long(text: Column | str) -> Column:
     return to_double(text).try_cast("bigint")
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def _swap(text: Column, old: str, new: str = "") -> Column:
+    return F.replace(text, F.lit(old), F.lit(new))
 
 
 def _comma_is_last(text: Column) -> Column:
@@ -34,7 +35,7 @@ def _comma_is_last(text: Column) -> Column:
 
 
 def _comma_decimal(text: Column) -> Column:
-    return F.translate(text, ",.", ".")
+    return _swap(_swap(text, "."), ",", ".")
 
 
 def _last_separator_decimal(bare: Column, otherwise: Column) -> Column:
@@ -42,7 +43,7 @@ def _last_separator_decimal(bare: Column, otherwise: Column) -> Column:
     return (
         F.when(~bare.contains(","), otherwise)
         .when(_comma_is_last(bare), _comma_decimal(bare))
-        .otherwise(_without(bare, ","))
+        .otherwise(_swap(bare, ","))
     )
 
 
@@ -54,7 +55,7 @@ def money(text: Column | str) -> Column:
     """
     bare = F.regexp_replace(_col(text).cast("string"), r"[^\d,.\-]", "")
     thousands = bare.rlike(r"\..*\.|\.[^.]{3}$")
-    without_comma = F.when(thousands, _without(bare, ".")).otherwise(bare)
+    without_comma = F.when(thousands, _swap(bare, ".")).otherwise(bare)
     return to_double(_last_separator_decimal(bare, without_comma))
 
 
@@ -66,7 +67,7 @@ def amount(text: Column | str, style: str) -> Column:
     ``comma_decimal``   a comma is decimal; dots separate thousands only next to a comma
     ``dump``            as comma_decimal, but blank and unreadable text is 0.0
     """
-    bare = _without(F.replace(_col(text).cast("string"), F.lit("R$"), F.lit("")), WHITESPACE)
+    bare = F.regexp_replace(_col(text).cast("string"), _CURRENCY_OR_BLANK, "")
     if style == "br_strict":
         return to_double(_comma_decimal(bare))
     if style == "last_separator":
@@ -88,7 +89,7 @@ def loose_number(text: Column | str) -> Column:
 def percent(text: Column | str) -> Column:
     """``40,00%`` to 40.0."""
     kept = text_or_null(_col(text).cast("string"), vocab.NULL_TEXTS_LEGACY_CELL)
-    return to_double(F.translate(kept, ",% ", "."))
+    return to_double(_swap(F.regexp_replace(kept, "[% ]", ""), ",", "."))
 
 
 def integer(text: Column | str) -> Column:
@@ -99,7 +100,7 @@ def integer(text: Column | str) -> Column:
 
 def statistic(text: Column | str) -> Column:
     """Published statistic: comma decimal, ``...`` for not available."""
-    return to_double(F.replace(_col(text).cast("string"), F.lit(","), F.lit(".")))
+    return to_double(_swap(_col(text).cast("string"), ",", "."))
 
 
 def exact_sum(value: Column | str) -> Column:

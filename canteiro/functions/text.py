@@ -78,7 +78,8 @@ def fold(text: Column | str, trim: bool = True) -> Column:
     """Lower case without accents, for comparisons."""
     source, target = _fold_table()
     lowered = F.lower(strip(text) if trim else _col(text))
-    return F.translate(lowered, source, target)
+    plain = F.octet_length(lowered) == F.length(lowered)  # ASCII only, nothing to translate
+    return F.when(plain, lowered).otherwise(F.translate(lowered, source, target))
 
 
 def fold_upper(text: Column | str) -> Column:

@@ -153,21 +153,25 @@ def raw_payload(df: DataFrame) -> Column:
     return F.to_json(F.struct(*[F.col(f"`{name}`") for name in df.columns]), {"ignoreNullFields": "false"})
 
 
-PAYLOAD_MAPS = ("__outer", "__outer_keys", "__inner", "__inner_keys")
-
-
 def with_payload_maps(df: DataFrame, payload: str) -> DataFrame:
     """Add the maps of a record kept as JSON text and of the record nested in its own
-    ``payload_bruto``, each also by key form. As columns they are parsed once per row."""
+    ``payload_bruto``, each also by key form. As columns they are parsed and cleaned once per
+    row; values are trimmed, unusable ones left out."""
     raw = F.col(payload) if payload in df.columns else F.lit(None).cast("string")
 
+    def usable(name: str) -> Column:
+        trimmed = F.transform_values(name, lambda _, value: strip(value))
+        return F.map_filter(trimmed, lambda _, value: ~value.isin("", "nan", "None", "NaT"))
+
     def by_form(name: str) -> Column:
         return F.transform_keys(name, lambda key, _: key_form(key))
 
-    outer = df.withColumn("__outer", F.from_json(raw, _STRING_MAP))
-    nested = F.try_element_at("__outer", F.lit("payload_bruto"))
-    inner = outer.withColumn("__inner", F.from_json(nested, _STRING_MAP))
-    return inner.withColumns({"__outer_keys": by_form("__outer"), "__inner_keys": by_form("__inner")})
+    outer = df.withColumn("__parsed", F.from_json(raw, _STRING_MAP)).withColumn("__outer", usable("__parsed"))
+    nested = F.try_element_at("__parsed", F.lit("payload_bruto"))
+    inner = outer.withColumn("__nested", F.from_json(nested, _STRING_MAP)).withColumn("__inner", usable("__nested"))
+    return inner.withColumns({"__outer_keys": by_form("__outer"), "__inner_keys": by_form("__inner")}).drop(
+        "__parsed", "__nested"
+    )
 
 
 def payload_value(*keys: str) -> Column:
@@ -175,13 +179,8 @@ def payload_value(*keys: str) -> Column:
 
     For frames from ``with_payload_maps``.
     """
-
-    def usable(name: str, key: str) -> Column:
-        trimmed = strip(F.try_element_at(F.col(name), F.lit(key)))
-        return F.when(~trimmed.isin("", "nan", "None", "NaT"), trimmed)
-
     values = []
     for level in ("outer", "inner"):
-        values += [usable(f"__{level}", key) for key in keys]
-        values += [usable(f"__{level}_keys", form) for form in dict.fromkeys(map(key_name, keys))]
+        values += [F.try_element_at(f"__{level}", F.lit(key)) for key in keys]
+        values += [F.try_element_at(f"__{level}_keys", F.lit(form)) for form in dict.fromkeys(map(key_name, keys))]
     return F.coalesce(*values)

@@ -102,8 +102,8 @@ def current_works(df: DataFrame, as_of: Column) -> DataFrame:
         target: text_or_null(resolved(first_containing_folded(names, *words)).cast("string"))
         for target, words in CURRENT_COLUMNS.items()
     }
-    texts["__nested"] = field(df, "payload_bruto")
-    rows = with_payload_maps(with_texts(df, texts), "__nested")
+    texts["__payload"] = field(df, "payload_bruto")
+    rows = with_payload_maps(with_texts(df, texts), "__payload")
     found = rows.withColumns(
         {
             "id_obra": F.coalesce(
