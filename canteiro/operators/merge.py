@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from canteiro.operators.dedup import keep_last, split_null_keys
 from canteiro.session import checkpoint_dir
