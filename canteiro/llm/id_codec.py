@@ -2,143 +2,164 @@
 
 Each block is coded on its own from a reset model. For each id the model offers up to three predictions: the id that
 followed the last two ids (order 2), the last id (order 1), and the block's current favourite (order 0). The range is
-split by adaptive weights: the share of the order-2 prediction, then the share of order 1 in the rest, then of order 0,
-and what is left is spread evenly over all ids. Weights are learned per state, which is the confidence of the three
-predictions and whether they agree. Predictions and confidences sit in small hashed tables of the block.
+split by adaptive weights: the share of the order-2 prediction, then the share of order 1 in the rest, then of order 0;
+what is left says that no prediction is right, and the id follows among the block's literals, 16 bits each. Weights
+are learned per state, which is the confidence of the predictions and whether they agree. Predictions and confidences
+sit in small hashed tables of the block.
 
 The coder is a carry-less range coder with 64-bit bounds that moves 32 bits at a time. All blocks of a batch take one
 step per id as numpy arrays, so Python's cost per step is shared by all blocks; every step uses whole numbers only and
 gives the same bytes on every machine.
+
+A coded block is the number of its words (32 bits), the words of the range coder, and the literals (16 bits each), all
+little-endian.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-BLOCK_TOKENS = 2048
+BLOCK_TOKENS = 1024
 # ids must be below this
 ID_SPACE = 1 << 16
-WORD = np.dtype("<u4")
+IDS, WORDS, LITERALS = np.dtype("<u4"), np.dtype("<u4"), np.dtype("<u2")
 
-_TOTAL_BITS = 28
-_TOTAL = np.uint64(1 << _TOTAL_BITS)
 _LOW_RANGE = np.uint64(1 << 32)
-_ORDER1, _ORDER2 = 2048, 4096
+_ORDER1, _ORDER2, _STATES = 512, 1024, 32
 _RATE = 4
-# highest weight of each order out of 65536; what is left is never less than one part per id
-_CEILING = np.array([65536 - 1024, 49152, 49152], dtype=np.int64)
+# weights are parts of 65536 between a floor and a ceiling, so every outcome keeps a share of the range
 _FLOOR = 64
+_ABOVE_FLOOR = (65536 - 1024 - _FLOOR, 49152 - _FLOOR, 49152 - _FLOOR)
+_START = (16384, 16384, 4096)
 
 
 class _Model:
     """Predictions and weights of all blocks of a batch."""
 
     def __init__(self, lanes: int):
-        self._lane = np.arange(lanes)
-        self._base1, self._base2 = self._lane * _ORDER1, self._lane * _ORDER2
+        lane = np.arange(lanes)
+        self._base1, self._base2, self._base_state = lane * _ORDER1, lane * _ORDER2, lane * _STATES
         # entries are id * 4 + confidence
-        self._order0 = np.zeros(lanes, dtype=np.int64)
+        self._order0 = np.zeros(lanes, dtype=np.int32)
         self._order1 = np.zeros(lanes * _ORDER1, dtype=np.int32)
         self._order2 = np.zeros(lanes * _ORDER2, dtype=np.int32)
-        start = np.array([32768, 16384, 4096], dtype=np.int32)
-        self._weights = [np.full(lanes * 256, w, dtype=np.int32) for w in start]
-        self._base_state = self._lane * 256
+        start = sum(weight << (16 * order) for order, weight in enumerate(_START))
+        self._weights = np.full(lanes * _STATES, start, dtype=np.int64)
         self._last = np.zeros(lanes, dtype=np.int64)
         self._slot1, self._slot2 = self._base1.copy(), self._base2.copy()
 
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-        """The three predictions, and the upper bounds of their shares out of the total."""
-        self._e2, self._e1, self._e0 = self._order2[self._slot2].astype(np.int64), self._order1[self._slot1].astype(np.int64), self._order0
-        p2, p1, p0 = self._e2 >> 2, self._e1 >> 2, self._e0 >> 2
-        agree = ((p1 == p2).astype(np.int64) << 6) | (((p0 == p1) | (p0 == p2)).astype(np.int64) << 7)
-        self._state = self._base_state + ((self._e2 & 3) | ((self._e1 & 3) << 2) | ((self._e0 & 3) << 4) | agree)
-        self._now = [w[self._state].astype(np.int64) for w in self._weights]
-        rest = np.int64(1 << _TOTAL_BITS)
-        share2 = rest * self._now[0] >> 16
-        rest = rest - share2
-        share1 = rest * self._now[1] >> 16
-        share0 = (rest - share1) * self._now[2] >> 16
-        upper1 = share2 + share1
-        return p2, p1, p0, [share2, upper1, upper1 + share0]
-
-    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
-        """Take the true ids; outcome: 0, 1, 2 for the order whose prediction was coded, 3 for none."""
-        for order, now in enumerate(self._now):
-            hit, reached = outcome == order, outcome >= order
-            moved = now + np.where(hit, (65536 - now) >> _RATE, -(now >> _RATE)) * reached
-            self._weights[order][self._state] = np.minimum(np.maximum(moved, _FLOOR), _CEILING[order])
-        self._order2[self._slot2] = self._entry(self._e2, ids)
-        self._order1[self._slot1] = self._entry(self._e1, ids)
-        self._order0 = self._entry(self._e0, ids)
-        mix = ids * 40503
+    def predict(self) -> None:
+        """Set the three predictions, and the three weights."""
+        self._e2, self._e1, self._e0 = self._order2.take(self._slot2), self._order1.take(self._slot1), self._order0
+        self.p2, self.p1, self.p0 = self._e2 >> 2, self._e1 >> 2, self._e0 >> 2
+        self._c2, self._c1 = self._e2 & 3, self._e1 & 3
+        state = self._c1 << 2
+        state |= self._c2
+        state |= (self.p1 == self.p2).astype(np.int32) << 4
+        self._state = self._base_state + state
+        packed = self._weights.take(self._state)
+        self.w2, self.w1, self.w0 = packed & 0xFFFF, (packed >> 16) & 0xFFFF, packed >> 32
+
+    def learn(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray, right0: np.ndarray) -> None:
+        """Take the true ids (int32) and whether each order's prediction is right."""
+        missed2 = ~right2
+        w2 = self.w2 + (((right2 * _ABOVE_FLOOR[0] + _FLOOR) - self.w2) >> _RATE)
+        w1 = self.w1 + ((((right1 * _ABOVE_FLOOR[1] + _FLOOR) - self.w1) >> _RATE) * missed2)
+        w0 = self.w0 + ((((right0 * _ABOVE_FLOOR[2] + _FLOOR) - self.w0) >> _RATE) * (missed2 & ~right1))
+        w0 <<= 16
+        w0 |= w1
+        w0 <<= 16
+        w0 |= w2
+        self._weights[self._state] = w0
+        fresh = (ids << 2) | 1
+        self._order2[self._slot2] = _entry(self._e2, self._c2, right2, fresh)
+        self._order1[self._slot1] = _entry(self._e1, self._c1, right1, fresh)
+        self._order0 = _entry(self._e0, self._e0 & 3, right0, fresh)
+        now = ids.astype(np.int64)
+        mix = now * 40503
         self._slot1 = self._base1 + ((mix >> 4) & (_ORDER1 - 1))
         self._slot2 = self._base2 + (((mix >> 3) ^ (self._last * 30011 >> 2)) & (_ORDER2 - 1))
-        self._last = ids
+        self._last = now
+
+
+def _entry(entry: np.ndarray, confidence: np.ndarray, right: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """A right prediction gains confidence; a wrong one loses it, and is replaced when it has none."""
+    made = np.where(right, entry + (confidence != 3), entry - 1)
+    np.copyto(made, fresh, where=~right & (confidence == 0))
+    return made
+
+
+def _cut(at: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Cut the range at the next multiple of 2**32, so the upper 32 bits are settled."""
+    crosses = (at ^ (at + width)) >= _LOW_RANGE
+    return np.where(crosses, (~at + np.uint64(1)) & np.uint64(0xFFFFFFFF), width)
 
-    @staticmethod
-    def _entry(entry: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """A right prediction gains confidence; a wrong one loses it, and is replaced when it has none."""
-        confidence = entry & 3
-        right = (entry >> 2) == ids
-        kept = np.where(right, entry + (confidence < 3), entry - 1)
-        return np.where(~right & (confidence == 0), ids * 4 + 1, kept)
 
+def _shares(span: np.ndarray, model: _Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The range of each order, and what is left."""
+    parts = []
+    for weight in (model.w2, model.w1, model.w0):
+        part = (span >> np.uint64(16)) * weight.view(np.uint64)
+        parts.append(part)
+        span = span - part
+    return *parts, span
 
-def encoded(blocks: list[np.ndarray]) -> list[bytes]:
-    """The coded bytes of each block of ids."""
-    if not blocks:
+
+def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
+    """The coded bytes of each block of ids; the last block may be shorter."""
+    if not len(ids):
         return []
-    lanes, steps = len(blocks), max(len(block) for block in blocks)
-    table = np.zeros((steps, lanes), dtype=np.int64)
-    for lane, block in enumerate(blocks):
-        table[: len(block), lane] = block
-    if table.size and table.max() >= ID_SPACE:
+    if ids.max() >= ID_SPACE:
         raise ValueError(f"ids must be below {ID_SPACE}")
+    lanes = -(-len(ids) // block_ids)
+    last = len(ids) - (lanes - 1) * block_ids
+    steps = block_ids if lanes > 1 else last
+    table = np.zeros(lanes * steps, dtype=np.int32)
+    table[: len(ids)] = ids
+    table = np.ascontiguousarray(table.reshape(lanes, steps).T)
+    literal = np.zeros(table.shape, dtype=bool)
     model = _Model(lanes)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-    words = np.zeros((lanes, steps + 4), dtype=WORD)
+    words = np.zeros((lanes, steps + 4), dtype=WORDS)
     filled = np.zeros(lanes, dtype=np.int64)
-    # a block that ends early keeps the words it had then; later steps code nothing that is read
-    ends = np.array([len(block) for block in blocks])
-    final: list[np.ndarray | None] = [None] * lanes
+    early = None
     for step in range(steps):
-        for lane in np.flatnonzero(ends == step):
-            final[lane] = _closed(words[lane], filled[lane], low[lane])
-        _shift(low, span, words, filled)
-        ids = table[step]
-        p2, p1, p0, (u2, u1, u0) = model.predict()
-        outcome = np.where(ids == p2, 0, np.where(ids == p1, 1, np.where(ids == p0, 2, 3)))
-        each = ((1 << _TOTAL_BITS) - u0) >> 16
-        bottom = np.choose(outcome, (np.zeros_like(u2), u2, u1, u0 + ids * each))
-        width = np.choose(outcome, (u2, u1 - u2, u0 - u1, each))
-        unit = span >> np.uint64(_TOTAL_BITS)
-        low += unit * bottom.astype(np.uint64)
-        span = unit * width.astype(np.uint64)
-        model.learn(ids, outcome)
-    for lane in np.flatnonzero(ends == steps):
-        final[lane] = _closed(words[lane], filled[lane], low[lane])
-    return [part.tobytes() for part in final]
+        if step == last:
+            # the last block is complete; what its lane codes from here on is not read
+            early = _closed(words[-1], filled[-1], low[-1])
+        small = np.flatnonzero(span < _LOW_RANGE)
+        if len(small):
+            at = low[small]
+            width = _cut(at, span[small])
+            words[small, filled[small]] = at >> np.uint64(32)
+            filled[small] += 1
+            low[small], span[small] = at << np.uint64(32), width << np.uint64(32)
+        now = table[step]
+        model.predict()
+        right2, right1, right0 = now == model.p2, now == model.p1, now == model.p0
+        share2, share1, share0, rest = _shares(span, model)
+        miss2 = ~right2
+        miss1 = miss2 & ~right1
+        miss0 = miss1 & ~right0
+        literal[step] = miss0
+        low += miss2 * share2
+        low += miss1 * share1
+        low += miss0 * share0
+        span = np.where(right2, share2, np.where(right1, share1, np.where(right0, share0, rest)))
+        model.learn(now, right2, right1, right0)
+    closed = [_closed(words[lane], filled[lane], low[lane]) for lane in range(lanes)]
+    if early is not None:
+        closed[-1] = early
+    values, held = np.ascontiguousarray(table.T).astype(LITERALS), np.ascontiguousarray(literal.T)
+    held[-1, last:] = False
+    return [
+        np.array([len(part)], dtype=WORDS).tobytes() + part.tobytes() + values[lane][held[lane]].tobytes()
+        for lane, part in enumerate(closed)
+    ]
 
 
 def _closed(words: np.ndarray, filled: int, low: np.uint64) -> np.ndarray:
-    return np.append(words[:filled], [int(low) >> 32, int(low) & 0xFFFFFFFF]).astype(WORD)
-
-
-def _shift(low: np.ndarray, span: np.ndarray, words: np.ndarray, filled: np.ndarray) -> None:
-    """Write out 32 bits of the blocks whose range has become small."""
-    lanes = np.flatnonzero(span < _LOW_RANGE)
-    if len(lanes):
-        at, width = low[lanes], span[lanes]
-        width = _cut(at, width)
-        words[lanes, filled[lanes]] = (at >> np.uint64(32)).astype(WORD)
-        filled[lanes] += 1
-        low[lanes], span[lanes] = at << np.uint64(32), width << np.uint64(32)
-
-
-def _cut(at: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """Cut the range at the next multiple of 2**32, so the upper 32 bits are settled."""
-    crosses = (at ^ (at + width)) >= _LOW_RANGE
-    return np.where(crosses, (~at + np.uint64(1)) & np.uint64(0xFFFFFFFF), width)
+    return np.append(words[:filled], [int(low) >> 32, int(low) & 0xFFFFFFFF]).astype(WORDS)
 
 
 def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
@@ -146,35 +167,45 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     if not coded:
         return []
     lanes, steps = len(coded), max(lengths)
-    longest = max(len(part) for part in coded) // WORD.itemsize
-    words = np.zeros((lanes, longest + steps + 2), dtype=np.uint64)
-    for lane, part in enumerate(coded):
-        words[lane, : len(part) // WORD.itemsize] = np.frombuffer(part, dtype=WORD)
+    counts = [int.from_bytes(part[:4], "little") for part in coded]
+    words = np.zeros((lanes, max(counts) + steps + 2), dtype=np.uint64)
+    literals = np.zeros((lanes, steps + 1), dtype=np.int32)
+    for lane, (part, n) in enumerate(zip(coded, counts, strict=True)):
+        words[lane, :n] = np.frombuffer(part, dtype=WORDS, offset=4, count=n)
+        some = np.frombuffer(part, dtype=LITERALS, offset=4 + 4 * n)
+        literals[lane, : len(some)] = some
+    width = literals.shape[1]
+    literals, next_literal = literals.reshape(-1), np.arange(lanes) * width
+    # lanes of shorter blocks run on over zeros; their places stay inside their rows
+    ends = next_literal + width - 1
     model = _Model(lanes)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
     code = (words[:, 0] << np.uint64(32)) | words[:, 1]
     used = np.full(lanes, 2, dtype=np.int64)
-    table = np.zeros((steps, lanes), dtype=np.uint16)
+    table = np.zeros((steps, lanes), dtype=np.int32)
     for step in range(steps):
-        short = np.flatnonzero(span < _LOW_RANGE)
-        if len(short):
-            at = low[short]
-            width = _cut(at, span[short])
-            code[short] = (code[short] << np.uint64(32)) | words[short, used[short]]
-            used[short] += 1
-            low[short], span[short] = at << np.uint64(32), width << np.uint64(32)
-        p2, p1, p0, (u2, u1, u0) = model.predict()
-        unit = span >> np.uint64(_TOTAL_BITS)
+        small = np.flatnonzero(span < _LOW_RANGE)
+        if len(small):
+            at = low[small]
+            cut = _cut(at, span[small])
+            code[small] = (code[small] << np.uint64(32)) | words[small, used[small]]
+            used[small] += 1
+            low[small], span[small] = at << np.uint64(32), cut << np.uint64(32)
+        model.predict()
+        share2, share1, share0, rest = _shares(span, model)
         past = code - low
-        b2, b1, b0 = (unit * u.astype(np.uint64) for u in (u2, u1, u0))
-        outcome = (past >= b2).astype(np.int64) + (past >= b1) + (past >= b0)
-        each = ((1 << _TOTAL_BITS) - u0) >> 16
-        spread = np.minimum((past - b0) // (unit * each.astype(np.uint64)), np.uint64(ID_SPACE - 1)).astype(np.int64)
-        ids = np.choose(outcome, (p2, p1, p0, spread))
-        bottom = np.choose(outcome, (np.zeros_like(u2), u2, u1, u0 + ids * each))
-        width = np.choose(outcome, (u2, u1 - u2, u0 - u1, each))
-        low += unit * bottom.astype(np.uint64)
-        span = unit * width.astype(np.uint64)
-        table[step] = ids
-        model.learn(ids, outcome)
-    return [table[:n, lane].astype(WORD) for lane, n in enumerate(lengths)]
+        above1 = share2 + share1
+        miss2, miss1, miss0 = past >= share2, past >= above1, past >= above1 + share0
+        now = np.where(miss1, model.p0, np.where(miss2, model.p1, model.p2))
+        open_lanes = np.flatnonzero(miss0)
+        places = next_literal[open_lanes]
+        now[open_lanes] = literals[places]
+        next_literal[open_lanes] = np.minimum(places + 1, ends[open_lanes])
+        low += miss2 * share2
+        low += miss1 * share1
+        low += miss0 * share0
+        span = np.where(miss1, np.where(miss0, rest, share0), np.where(miss2, share1, share2))
+        table[step] = now
+        model.learn(now, now == model.p2, now == model.p1, now == model.p0)
+    blocks = np.ascontiguousarray(table.T).astype(IDS)
+    return [blocks[lane, :n] for lane, n in enumerate(lengths)]

@@ -53,14 +53,15 @@ class FileWriter:
             self._flush(last=False)
 
     def _flush(self, last: bool) -> None:
-        from canteiro.llm.id_codec import WORD, encoded
+        from canteiro.llm.id_codec import IDS, encoded
 
-        data = np.frombuffer(b"".join(self._waiting), dtype=WORD)
+        data = np.frombuffer(b"".join(self._waiting), dtype=IDS)
         whole = len(data) if last else len(data) // self._block_ids * self._block_ids
-        blocks = [data[at : min(at + self._block_ids, whole)] for at in range(0, whole, self._block_ids)]
-        for begin in range(0, len(blocks), BLOCKS_AT_ONCE):
-            some = blocks[begin : begin + BLOCKS_AT_ONCE]
-            for block, coded in zip(some, encoded(some), strict=True):
+        stride = self._block_ids * BLOCKS_AT_ONCE
+        for begin in range(0, whole, stride):
+            some = data[begin : min(begin + stride, whole)]
+            for at, coded in enumerate(encoded(some, self._block_ids)):
+                block = some[at * self._block_ids : (at + 1) * self._block_ids]
                 self._sink.write(coded)
                 self._blocks.append((len(block), len(coded), zlib.crc32(block)))
         self._waiting = [data[whole:].tobytes()]

@@ -125,7 +125,10 @@ def groups(
     bands: int = BANDS,
     rows_per_band: int = ROWS_PER_BAND,
 ) -> DataFrame:
-    """One row per document: doc, n_shingles, node and component (the least id of the group)."""
+    """One row per document: doc, content (hash of its text), n_shingles, node, root and component.
+
+    ``node`` is the key of the document's set and ``root`` of its group; ``component`` is the least id of the group.
+    """
     texts = documents.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text"))
     hashed = texts.select("doc", row_hash("text").alias("content"), "text")
     signed = written(_signed(hashed, width, bands, rows_per_band), "signatures")
@@ -171,10 +174,10 @@ def groups(
 
     placed = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = placed.groupBy("root").agg(F.min("least").alias("component"))
-    component = placed.join(ids, "root").select("node", "component")
+    component = placed.join(ids, "root").select("node", "root", "component")
     grouped = whole.join(component, "node")
-    alone = signed.where("node IS NULL").withColumn("component", F.col("doc"))
-    columns = ("doc", "content", "n_shingles", "node", "component")
+    alone = signed.where("node IS NULL").withColumn("component", F.col("doc")).withColumn("root", F.col("node"))
+    columns = ("doc", "content", "n_shingles", "node", "root", "component")
     return grouped.select(*columns).unionByName(alone.select(*columns))
 
 
@@ -184,9 +187,9 @@ def without_near_duplicates(
     """One document of each group, with all columns: a row with the group's least id. Texts without words all stay."""
     found = written(groups(documents, id_column, text_column, **options).where("node IS NOT NULL"), "groups")
     order = F.struct(F.col("doc").isNull(), F.col("doc"), F.col("content"))
-    pairs = found.groupBy("component", "doc", "content").agg(F.count("*").alias("n"))
-    chosen = pairs.groupBy(F.col("component").alias("group")).agg(F.min(order).alias("first"))
-    judged = pairs.join(chosen, F.col("component").eqNullSafe(F.col("group")))
+    pairs = found.groupBy("root", "doc", "content").agg(F.count("*").alias("n"))
+    chosen = pairs.groupBy("root").agg(F.min(order).alias("first"))
+    judged = pairs.join(chosen, "root")
     stays = F.col("doc").eqNullSafe(F.col("first")["doc"]) & (F.col("content") == F.col("first")["content"])
     judged = written(judged.select(F.col("doc").alias("__doc"), F.col("content").alias("__content"), stays.alias("__stays"), "n"), "judged")
     rows = documents.withColumn("__hash", row_hash(text_column))
