@@ -23,7 +23,11 @@ _DAY_MICROS = 86_400_000_000
 
 
 def epoch(number: Column | str) -> Column:
-    """Seconds, or milliseconds when above 1e11, since 1970 (UTC)."""
+    """Seconds, or milliseconds when above 1e11, since 1970 (UTC).
+
+    Values after 2262-04-11 are NULL, as they are for the 64-bit nanosecond clock of the sources'
+    own tools; calendar texts have no such limit.
+    """
     number = _col(number).try_cast("double")
     micros = number * F.when(number > _MILLIS_FROM, 1_000).otherwise(1_000_000)
     return F.timestamp_micros(F.when(micros.between(-_LAST_MICRO, _LAST_MICRO), micros.cast("bigint")))
@@ -36,18 +40,26 @@ def calendar_text(text: Column | str) -> Column:
     return F.replace(readable, F.lit("/"), F.lit("-")).try_cast("timestamp")
 
 
-def parse_timestamp(text: Column | str, digits_as_epoch: bool = True) -> Column:
+def parse_timestamp(text: Column | str, digits_as_epoch: bool = True, parity: bool = False) -> Column:
     """Date text to a UTC timestamp; unreadable text is NULL.
 
-    With ``digits_as_epoch`` a text of digits only counts as an epoch, a bare year included.
+    With ``digits_as_epoch`` a text of digits only counts as an epoch. Up to four digits are a bare
+    year, which names no day and is NULL; with ``parity`` it is an epoch like any other number.
     """
     text = _col(text).cast("string")
     parsed = calendar_text(text)
     if digits_as_epoch:
-        parsed = F.coalesce(parsed, epoch(F.regexp_extract(strip(text), r"^\d+$", 0)))
+        digits = r"^\d+$" if parity else r"^\d{5,}$"
+        parsed = F.coalesce(parsed, epoch(F.regexp_extract(strip(text), digits, 0)))
     return parsed
 
 
+def unreadable_date(text: Column | str, parity: bool = False) -> Column:
+    """Whether a filled cell gives no date; sums of it are the reject count of a load."""
+    text = _col(text).cast("string")
+    return F.coalesce(strip(text) != "", F.lit(False)) & parse_timestamp(text, parity=parity).isNull()
+
+
 def month_and_year(text: Column | str) -> Column:
     """``Abril/2022`` to the first day of that month."""
     parts = F.split(_col(text), "/")

@@ -15,15 +15,14 @@ _CUT = "\u0001"
 
 
 def _entity_char(name: Column) -> Column:
-    """Character of one entity name; numeric references up to the basic plane."""
+    """Character of one entity name or numeric reference, of any plane."""
     names = ";".join(f"{key}:{chr(code)}" for key, code in name2codepoint.items())
     table = F.str_to_map(F.lit(names), F.lit(";"), F.lit(":"))  # constant, folded by the optimizer
     code = F.when(
-        name.rlike(r"^#[xX][0-9a-fA-F]{1,4}$"), F.conv(F.substring(name, 3, 4), 16, 10).try_cast("int")
-    ).when(name.rlike(r"^#\d{1,5}$"), F.substring(name, 2, 5).try_cast("int"))
-    by_code = F.when(
-        code.between(1, 0xFFFF), F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 4, "0")), "UTF-16BE")
-    )
+        name.rlike(r"^#[xX]0*[0-9a-fA-F]{1,6}$"), F.conv(F.regexp_extract(name, "([0-9a-fA-F]{1,6})$", 1), 16, 10).try_cast("int")
+    ).when(name.rlike(r"^#0*\d{1,7}$"), F.regexp_extract(name, r"(\d{1,7})$", 1).try_cast("int"))
+    known = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    by_code = F.when(known, F.decode(F.unhex(F.lpad(F.hex(code.cast("bigint")), 8, "0")), "UTF-32"))
     return F.coalesce(F.try_element_at(table, name), by_code)
 
 

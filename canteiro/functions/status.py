@@ -15,12 +15,6 @@ from canteiro.functions.dates import (
     status_by_end,
 )
 
-_FINISHED = ("conclu", "finaliz", "entreg")
-_RUNNING = ("andamento", "execu")
-_STOPPED = ("paralis", "suspens")
-_PLANNED = ("planeja", "projeto", "previs")
-
-
 def official_status(raw: Column | str) -> Column:
     """Raw status to the official vocabulary; an unknown spelling is kept as written.
 
@@ -50,13 +44,13 @@ def tender_status(opinion: Column | str, approved_on: Column | str) -> Column:
 
 
 def agreement_cancelled(status: Column | str) -> Column:
-    return contains_any(fold(status, trim=False), ("anulad", "cancelad", "rescis"))
+    return contains_any(fold(status, trim=False), vocab.CANCELLED_WORDS)
 
 
 def agreement_settled(status: Column | str) -> Column:
     """Agreement that ended in completion rather than cancellation."""
     folded = fold(status, trim=False)
-    return contains_any(folded, ("conclu", "aprovad", "prestacao de contas")) & ~agreement_cancelled(status)
+    return contains_any(folded, vocab.SETTLED_WORDS) & ~agreement_cancelled(status)
 
 
 def has_amendment(
@@ -81,25 +75,25 @@ def is_active_work(
     since = as_of - F.expr(f"INTERVAL {vocab.ACTIVE_WINDOW_DAYS} DAYS")
     false = F.lit(False)
     recent = F.coalesce(_col(deadline) >= since, false) | F.coalesce(_col(start) >= since, false)
-    running = contains_any(lowered, ("andamento", "execu", "iniciada", "vigente"))
-    over = contains_any(lowered, ("cancelada", "rescindida", "concluída", "concluida"))
+    running = contains_any(lowered, vocab.ACTIVE_WORDS)
+    over = contains_any(lowered, vocab.OVER_WORDS)
     return (running | recent) & ~over
 
 
 def _stage(text: Column, running_words: tuple[str, ...]) -> Column:
     return (
-        F.when(contains_any(text, _FINISHED), "concluída")
+        F.when(contains_any(text, vocab.FINISHED_WORDS), "concluída")
         .when(contains_any(text, running_words), "em andamento")
-        .when(contains_any(text, _STOPPED), "paralisada")
-        .when(contains_any(text, _PLANNED), "planejada")
+        .when(contains_any(text, vocab.HALTED_WORDS), "paralisada")
+        .when(contains_any(text, vocab.PLANNED_WORDS), "planejada")
     )
 
 
 def marker_status(attributes: Column, marker: Column, layer: Column) -> Column:
     """Status of a map marker: its own attribute, then other attributes, icon, layer."""
-    own = _stage(F.lower(F.try_element_at(attributes, F.lit("obra"))), _RUNNING)
+    own = _stage(F.lower(F.try_element_at(attributes, F.lit("obra"))), vocab.RUNNING_WORDS)
     entries = F.map_entries(attributes)
-    broad = (*_RUNNING, "obra")
+    broad = (*vocab.RUNNING_WORDS, "obra")
 
     def named(word: str) -> Column:
         return F.filter(entries, lambda e: F.lower(e["key"]).contains(word))
@@ -123,8 +117,8 @@ def marker_percent(attributes: Column, as_of: Column) -> Column:
     start_text = F.coalesce(F.when(first != "", first), F.try_element_at(attributes, F.lit("inicio")))
     start = month_and_year(start_text)
     end = expected_end(F.try_element_at(attributes, F.lit("fim")), start)
-    running = contains_any(status, ("ANDAMENTO", "EXECU"))
-    return F.when(contains_any(status, ("CONCLU", "FINALIZ")), F.lit(100.0)).when(
+    running = contains_any(status, vocab.MARKER_RUNNING_WORDS)
+    return F.when(contains_any(status, vocab.MARKER_FINISHED_WORDS), F.lit(100.0)).when(
         running & (end > start), elapsed_percent(start, end, as_of)
     )
 
@@ -137,12 +131,12 @@ def panel_percent(
     by_time = F.coalesce(elapsed_percent(start, deadline, as_of), F.lit(0.0))
     fallback = (
         F.when(F.coalesce(status == "", F.lit(True)), F.lit(None).cast("double"))
-        .when(contains_any(lowered, ("conclu", "finaliz", "entregue", "funcionamento")), F.lit(100.0))
+        .when(contains_any(lowered, vocab.PANEL_FINISHED_WORDS), F.lit(100.0))
         .when(
-            contains_any(lowered, ("cadastrad", "planejad", "previs", "fase de planejamento")),
+            contains_any(lowered, vocab.PANEL_PLANNED_WORDS),
             F.lit(0.0),
         )
-        .when(contains_any(lowered, ("andamento", "execu", "obra")), by_time)
+        .when(contains_any(lowered, vocab.PANEL_RUNNING_WORDS), by_time)
         .otherwise(F.lit(0.0))
     )
     return F.when(given >= 0, given).otherwise(fallback)
@@ -150,5 +144,5 @@ def panel_percent(
 
 def health_percent(given: Column, status: Column) -> Column:
     """Percent of a health work: the source's, else 100 when done, else 0."""
-    done = contains_any(F.lower(status), ("funcionamento", "conclu"))
+    done = contains_any(F.lower(status), vocab.HEALTH_FINISHED_WORDS)
     return F.coalesce(given, F.when(done, F.lit(100.0)).otherwise(F.lit(0.0)))

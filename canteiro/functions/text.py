@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import cache
 
 from pyspark.sql import Column
@@ -57,21 +57,45 @@ def text_or_null(
 
 @cache
 def _fold_table() -> tuple[str, str]:
-    """Letters whose compatibility form is one ASCII character, then the marks to delete.
+    """Letters whose compatibility form without marks is one other character, then the marks to delete.
 
     Derived from the Unicode data of the standard library for the Basic Multilingual Plane.
     """
-    source, target = [], []
+    source, target, marks = [], [], []
+    for code, char, plain in _plain_forms():
+        if not plain:
+            marks.append(char)
+        elif len(plain) == 1 and plain != char:
+            source.append(char)
+            target.append(plain)
+    return "".join(source + marks), "".join(target)
+
+
+def _plain_forms() -> Iterator[tuple[int, str, str]]:
+    """Code, character and lower-case compatibility form without marks, beyond ASCII."""
     for code in range(0x80, 0x10000):
-        char = chr(code)
-        if 0xD800 <= code <= 0xDFFF or unicodedata.combining(char):
+        if 0xD800 <= code <= 0xDFFF:
             continue
+        char = chr(code)
         plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-        if len(plain) == 1 and ord(plain) < 0x80 and plain != char:
-            source.append(char)
-            target.append(plain.lower())
-    marks = [chr(code) for code in range(0x300, 0x370)]
-    return "".join(source + marks), "".join(target)
+        if plain != char:
+            yield code, char, plain.lower()
+
+
+@cache
+def _long_forms() -> tuple[tuple[str, str], ...]:
+    """Letters whose form has several letters or digits, such as ligatures and Roman numerals."""
+    return tuple((c, plain) for _, c, plain in _plain_forms() if len(plain) > 1 and plain.isascii() and plain.isalnum())
+
+
+def _expanded(text: Column) -> Column:
+    """Letters with a form of several characters, replaced; only such texts are touched."""
+    forms = ";".join(f"{char}:{plain}" for char, plain in _long_forms())
+    table = F.str_to_map(F.lit(forms), F.lit(";"), F.lit(":"))  # constant, folded by the optimizer
+    pattern = "[" + "".join(c for c, _ in _long_forms()) + "]"
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    replaced = F.aggregate(found, text, lambda acc, c: F.replace(acc, c, F.try_element_at(table, c)))
+    return F.when(text.rlike(pattern), replaced).otherwise(text)
 
 
 def fold(text: Column | str, trim: bool = True) -> Column:
@@ -79,7 +103,7 @@ def fold(text: Column | str, trim: bool = True) -> Column:
     source, target = _fold_table()
     lowered = F.lower(strip(text) if trim else _col(text))
     plain = F.octet_length(lowered) == F.length(lowered)  # ASCII only, nothing to translate
-    return F.when(plain, lowered).otherwise(F.translate(lowered, source, target))
+    return F.when(plain, lowered).otherwise(_expanded(F.translate(lowered, source, target)))
 
 
 def fold_upper(text: Column | str) -> Column:

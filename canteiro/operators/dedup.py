@@ -38,7 +38,7 @@ SOURCE_POSITION = ("_file", "_block", "_row")
 
 
 def _columns(names: Sequence[str | Column]) -> list[Column]:
-    return [F.col(n) if isinstance(n, str) else n for n in names]
+    return [F.col(f"`{n}`") if isinstance(n, str) else n for n in names]
 
 
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
@@ -53,7 +53,7 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 
 def all_present(keys: Sequence[str]) -> Column:
-    return reduce(lambda left, right: left & right, [F.col(key).isNotNull() for key in keys])
+    return reduce(lambda left, right: left & right, [F.col(f"`{key}`").isNotNull() for key in keys])
 
 
 def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -107,17 +107,19 @@ def merge_extracts(
     extracts: Sequence[DataFrame],
     order: Sequence[str | Column],
     candidates: Sequence[str] = ("número", "numero", "processo", "código", "codigo"),
+    parity: bool = False,
 ) -> DataFrame:
     """Union of several extracts, one row per number.
 
     The key is the first candidate that equals a whole column name; without one, whole rows
-    are compared.
+    are compared. Rows without a number all stay; ``parity`` makes one row of them.
     """
     merged = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), extracts)
     lowered = {name.strip().lower(): name for name in reversed(merged.columns)}
     for candidate in candidates:
         if candidate in lowered:
-            return keep_first(merged, [F.col(f"`{lowered[candidate]}`")], order)
+            keep = keep_first if parity else keep_first_known
+            return keep(merged, [lowered[candidate]], order)
     ignored = [name for name in order if isinstance(name, str)]
     return distinct_rows(merged, order, ignore=ignored)
 
@@ -129,7 +131,7 @@ def merge_localities(
     identifier, else by their whole content."""
     marked = [part.withColumn("_part", F.lit(place)) for place, part in enumerate(parts)]
     merged = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), marked)
-    content = [name for name in parts[0].columns if name not in order]
-    digest = F.sha2(F.to_json(F.struct(*content), {"ignoreNullFields": "false"}), 256)
-    identity = F.coalesce(*[F.nullif(F.col(name).cast("string"), F.lit("")) for name in identifiers], digest)
+    content = [name for name in merged.columns if name not in order and name != "_part"]
+    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in content]), {"ignoreNullFields": "false"}), 256)
+    identity = F.coalesce(*[F.nullif(F.col(f"`{name}`").cast("string"), F.lit("")) for name in identifiers], digest)
     return keep_first(merged, [identity], ["_part", *order]).drop("_part")

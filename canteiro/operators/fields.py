@@ -100,6 +100,20 @@ def first_named(names: Sequence[str], *candidates: str) -> str | None:
     return None
 
 
+def first_spelling(names: Sequence[str], *candidates: str) -> Column:
+    """Text under the first candidate that a record has: exact spelling before case-insensitive.
+
+    Records of one frame may spell a field differently. A cell that is NULL counts as absent; an
+    empty text is present and ends the search.
+    """
+    found: list[str] = []
+    for candidate in candidates:
+        exact = [name for name in names if name == candidate]
+        found += exact + [name for name in names if name.lower() == candidate.lower() and name not in exact]
+    cells = [F.col(f"`{name}`").cast("string") for name in dict.fromkeys(found)]
+    return F.coalesce(*cells) if cells else F.lit(None).cast("string")
+
+
 def first_overlapping(names: Sequence[str], *candidates: str) -> str | None:
     """First column whose key form contains a candidate's, or is contained in it."""
     wanted = [key_name(candidate) for candidate in candidates if candidate]

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from canteiro.operators.dedup import keep_last, split_null_keys
-from canteiro.session import checkpoint_dir
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,17 +88,19 @@ class VersionedTable:
         self._fs.delete(self._path(self.path), True)
 
     def drop_older(self, keep: int = 2) -> None:
+        """Delete all but the newest versions. No load does this by itself: call it when no reader
+        of an older version can be running, for example a day after the newest one was written."""
         for version in self.versions()[:-keep]:
             self._fs.delete(self._path(self.folder(version)), True)
 
 
-def staging_table(spark: SparkSession, name: str) -> VersionedTable:
-    """Table for intermediate rows, in the shared folder of the cluster's checkpoints.
+def staging_table(spark: SparkSession, name: str, folder: str) -> VersionedTable:
+    """Table for intermediate rows below a folder that all executors share.
 
     Writing rows there cuts their lineage: a lost executor re-reads them instead of repeating the
     work behind them.
     """
-    return VersionedTable(spark, f"{checkpoint_dir(spark)}/canteiro/{name}-{uuid.uuid4().hex}")
+    return VersionedTable(spark, f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}")
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:

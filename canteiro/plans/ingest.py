@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from canteiro.operators.dedup import SOURCE_POSITION
@@ -13,12 +14,16 @@ from canteiro.operators.fields import absent_columns, conform, keep_columns, raw
 from canteiro.operators.merge import VersionedTable, prepare_batch, staging_table
 from canteiro.plans.cleaning import clean, roles_by_schema
 from canteiro.routes import ROUTES, Route, check_routes, column_names, table_schema
-from canteiro.sources.files import datasets, read_by_suffix
+from canteiro.sources.common import record_columns
+from canteiro.sources.files import CORRUPT, datasets, read_by_suffix
 
 RUN_LOG = (
-    "dataset string, fonte string, status string, qtd_registros bigint, qtd_erros bigint, "
-    "duracao_segundos double, mensagem string"
+    "dataset string, fonte string, status string, qtd_lidos bigint, qtd_registros bigint, "
+    "qtd_substituidos bigint, qtd_erros bigint, duracao_segundos double, mensagem string"
 )
+REJECTS = "rejeitados"
+
+Normaliser = Callable[[DataFrame, Column], DataFrame]
 
 
 def apply_route(df: DataFrame, route: Route) -> DataFrame:
@@ -62,49 +67,115 @@ def raw_rows(
     return batch.drop(*order), rejected.drop(*order)
 
 
+def _listed_rejects(rejected: DataFrame, reason: str) -> DataFrame:
+    """Rejected rows in the columns of the reject table."""
+    if "payload_bruto" in rejected.columns:
+        record = F.col("payload_bruto")
+    elif CORRUPT in rejected.columns:
+        record = F.col(CORRUPT)
+    else:
+        record = raw_payload(rejected)
+    return rejected.select(F.lit(reason).alias("motivo"), record.alias("registro"))
+
+
 def load_dataset(
-    spark: SparkSession, name: str, df: DataFrame, root: str, as_of: Column, routes: Mapping[str, Route] = ROUTES
+    spark: SparkSession,
+    name: str,
+    source: DataFrame | Callable[[], tuple[DataFrame, DataFrame]],
+    root: str,
+    as_of: Column,
+    routes: Mapping[str, Route] = ROUTES,
+    normalisers: Mapping[str, Normaliser] | None = None,
+    staging: str | None = None,
 ) -> tuple:
     """Upsert one dataset into its raw table; returns its run-log line.
 
-    Parsed rows are staged once, then deduplicated, counted and merged from there. Each source
-    of a raw table is a versioned table of its own, so a load rewrites one source. Required
-    columns that are absent are named in the line and do not stop the load.
+    ``source`` is a frame, or a reader that gives rows and unreadable records; reading and parsing
+    happen inside the isolation, so a bad file is a line of the log. Parsed rows are staged once
+    below ``staging`` (default: below the raw root), then deduplicated, counted and merged from
+    there. Each source of a raw table is a versioned table of its own, so a load rewrites one
+    source. Rows without a key and unreadable records go to the table ``rejeitados`` with their
+    reason; rows read = written + replaced by later rows of their key + rejected. Required columns
+    that are absent are named in the line and do not stop the load.
     """
     route = routes.get(name)
     if route is None:
-        return (name, None, "ignorado", 0, 0, 0.0, "no route")
+        return (name, None, "ignorado", 0, 0, 0, 0, 0.0, "no route")
     started = time.monotonic()
-    staged = staging_table(spark, name)
+    staged = staging_table(spark, name, staging or f"{root}/_staging")
+    unread_table = staging_table(spark, f"{name}-unread", staging or f"{root}/_staging")
     try:
+        df, unread = source() if callable(source) else (source, None)
+        if unread is not None:
+            unread_table.write(_listed_rejects(unread, "registro ilegível"))
+        n_unread = unread_table.read().count() if unread is not None else 0
+        if not record_columns(df) or df.isEmpty():
+            if n_unread:
+                _keep_rejects(unread_table.read(), name, route, root, as_of)
+            spent = round(time.monotonic() - started, 3)
+            return (name, route.source, "vazio", n_unread, 0, 0, n_unread, spent, None)
+        if normalisers and name in normalisers:
+            df = normalisers[name](df, as_of)
+        seen = Observation()
         order = source_order(df)
-        staged.write(routed_rows(df, route, as_of, order))
+        counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        staged.write(routed_rows(counted, route, as_of, order))
         batch, rejected = prepare_batch(staged.read(), route.keys, order or list(route.keys))
-        batch = batch.drop(*order)
+        batch, rejected = batch.drop(*order), rejected.drop(*order)
         table = VersionedTable(spark, f"{root}/{route.table}/{route.source}")
         if table.current() is None:
             table.write(conform(batch, table_schema(route.table)))
         else:
             table.upsert(batch, route.keys)
-        counts = batch.count(), rejected.count()
-        table.drop_older()
+        written, without_key = batch.count(), rejected.count()
+        if without_key:
+            _keep_rejects(_listed_rejects(rejected, "sem chave"), name, route, root, as_of)
+        if n_unread:
+            _keep_rejects(unread_table.read(), name, route, root, as_of)
+        read = seen.get["n"]
+        counts = (read + n_unread, written, read - written - without_key, without_key + n_unread)
         absent = absent_columns(df, [n for n in route.required if n != "fonte" and n not in batch.columns])
         message = f"colunas ausentes: {', '.join(absent)}" if absent else None
         return (name, route.source, "ok", *counts, round(time.monotonic() - started, 3), message)
     except Exception as error:  # one bad dataset must not stop the others
         spent = round(time.monotonic() - started, 3)
-        return (name, route.source, "erro", 0, 1, spent, str(error)[:500])
+        return (name, route.source, "erro", 0, 0, 0, 1, spent, str(error))
     finally:
         staged.discard()
-
-
-def ingest_folder(spark: SparkSession, folder: str, root: str, as_of: Column) -> DataFrame:
-    """Every landed dataset of a folder; the run log of this run is returned and appended."""
+        unread_table.discard()
+
+
+def _keep_rejects(rejects: DataFrame, name: str, route: Route, root: str, as_of: Column) -> None:
+    """Append rejected records to the reject table."""
+    rejects.select(
+        F.lit(name).alias("dataset"),
+        F.lit(route.source).alias("fonte"),
+        "motivo",
+        "registro",
+        as_of.cast("timestamp").alias("executado_em"),
+    ).write.mode("append").parquet(f"{root}/{REJECTS}")
+
+
+def ingest_folder(
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    as_of: Column,
+    normalisers: Mapping[str, Normaliser] | None = None,
+    staging: str | None = None,
+) -> DataFrame:
+    """Every landed dataset of a folder; the run log of this run is returned and appended.
+
+    Records are expected in normal form; for extracts as the sources give them pass
+    ``canteiro.plans.extracts.NORMALISERS``.
+    """
     problems = check_routes()
     if problems:
         raise ValueError("; ".join(problems))
     lines = [
-        load_dataset(spark, name, read_by_suffix(spark, path), root, as_of)
+        load_dataset(
+            spark, name, partial(read_by_suffix, spark, path), root, as_of, normalisers=normalisers, staging=staging
+        )
         for name, path in datasets(spark, folder)
     ]
     log = spark.createDataFrame(lines, RUN_LOG).withColumn("executado_em", as_of.cast("timestamp"))

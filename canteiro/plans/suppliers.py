@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canteiro import vocab
 from canteiro.functions.text import is_blank, strip
 from canteiro.operators.aggregates import supplier_metrics
 from canteiro.operators.fields import field
@@ -14,13 +15,14 @@ def amended_flag(contracts: DataFrame, parity: bool = False) -> Column | None:
     """Whether a contract was amended.
 
     With the published flag present, ``sim`` counts; so does a text naming an amendment, which
-    is what the portal publishes, unless ``parity`` is asked for. Without the flag the count
-    decides.
+    is what the portal publishes, unless it denies one or ``parity`` is asked for. Without the
+    flag the count decides.
     """
     if "possui_aditivo" in contracts.columns:
         flag = strip(F.lower(F.col("possui_aditivo")))
         said = flag == "sim"
-        return F.coalesce(said if parity else said | flag.contains("aditivo"), F.lit(False))
+        names_one = flag.contains("aditivo") & ~flag.rlike(vocab.DENIED_AMENDMENT)
+        return F.coalesce(said if parity else said | names_one, F.lit(False))
     if "qtd_aditivos" in contracts.columns:
         return F.coalesce(F.col("qtd_aditivos").try_cast("double") > 0, F.lit(False))
     return None

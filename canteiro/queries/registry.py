@@ -23,11 +23,23 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+_CONFIGURED: set[str] = set()
+
+
+def _configured(spark: SparkSession) -> SparkSession:
+    """The session with the library's settings, which are applied once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _CONFIGURED:
+        _CONFIGURED.add(application)
+        configure(spark)
+    return spark
+
+
 class Tables:
     """The given tables of one folder, read when asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = configure(spark), folder.rstrip("/")
+        self.spark, self.folder = _configured(spark), folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

@@ -122,7 +122,9 @@ FROM orders
 )
 def court_tenders(t: Tables) -> DataFrame:
     records = t.orders.selectExpr(
-        "cast(o_orderkey as string) as ProcessoLicitatorio", "case when o_orderstatus = 'F' then 'Fracassada' else 'None' end as Parecer",
+        "case when o_custkey % 3 = 0 then cast(o_orderkey as string) end as NumeroEdital",
+        "case when o_custkey % 3 = 1 then cast(o_orderkey as string) end as processo_licitatorio",
+        "case when o_custkey % 3 = 2 then cast(o_orderkey as string) end as ProcessoLicitatorio", "case when o_orderstatus = 'F' then 'Fracassada' else 'None' end as Parecer",
         f"concat('R$ ', {_br('o_totalprice')}) as valorestimado", "o_orderpriority as Tipo", "concat('U', o_custkey) as Unidade",
         "case when o_custkey % 2 = 0 then date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") end as DataHomologacao",
     )
@@ -141,7 +143,8 @@ FROM orders
 )
 def court_purchases(t: Tables) -> DataFrame:
     records = t.orders.selectExpr(
-        "cast(o_orderkey as string) as numeroContrato", "case when o_orderstatus = 'F' then 'Rescindido' else '' end as Situacao",
+        "case when o_custkey % 2 = 0 then cast(o_orderkey as string) end as numeroContrato",
+        "case when o_custkey % 2 = 1 then cast(o_orderkey as string) end as CODIGO", "case when o_orderstatus = 'F' then 'Rescindido' else '' end as Situacao",
         "format_number(o_totalprice, 2) as ValorContrato", "cast(o_custkey as string) as CNPJCPFContratado",
         "date_format(o_orderdate, 'dd-MM-yyyy') as DataVencimentoContrato",
     )

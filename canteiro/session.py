@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings; all can be changed on a live session.
@@ -38,18 +36,3 @@ def build_session(app: str = "canteiro", master: str | None = None, **conf: str)
     for key, value in conf.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the cluster's own, else a local one (tests only)."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="canteiro-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from canteiro.functions.markup import unescape
 from canteiro.functions.text import WHITESPACE, slug_name
 from canteiro.operators.dedup import SOURCE_POSITION, with_source_position
 from canteiro.operators.merge import list_names
@@ -65,21 +67,83 @@ def read_json_records(
     )
 
 
+def csv_cells(record: Column | str, separator: str) -> Column:
+    """Cells of one CSV record as texts: quotes removed, doubled quotes single.
+
+    The pattern is possessive, so a record of any length is read in one pass.
+    """
+    record = F.col(record) if isinstance(record, str) else record
+    mark = re.escape(separator)
+    # a cell starts with a quote or not, and may hold text after its closing quote
+    cell = rf'((?:"(?:[^"]++|"")*+")?+[^{mark}]*+){mark}'
+    found = F.regexp_extract_all(F.concat(record, F.lit(separator)), F.lit(cell), F.lit(1))
+    quoted = r'(?s)^"(.*)"([^"]*)$'
+
+    def text(cell: Column) -> Column:
+        inner = F.regexp_replace(cell, quoted, "$1$2")
+        return F.when(cell.rlike(quoted), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(cell)
+
+    return F.transform(found, text)
+
+
+def with_cells(rows: DataFrame, cells: str, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of cells under column names, and the rows with too many cells.
+
+    A short row is padded with NULLs. An empty cell is NULL. Both results hold the same rows
+    whichever of their columns are read.
+    """
+    width = len(names)
+    fits = F.size(cells) <= width
+    kept = rows.where(fits).select(
+        *[F.nullif(F.get(cells, F.lit(i)), F.lit("")).alias(name) for i, name in enumerate(names)],
+        *[c for c in rows.columns if c != cells],
+    )
+    return kept, rows.where(~fits)
+
+
+def _records(spark: SparkSession, path: str, separator: str, encoding: str) -> DataFrame:
+    """Records of CSV files with their place, blank lines left out; a line break inside quotes does not end one.
+
+    A file is read by one task, because a quoted line break can't be told from a record's end
+    without what stands before it. Land large tables as JSON lines or Parquet.
+    """
+    whole = spark.read.format("binaryFile").load(path).select(
+        F.col("path").alias("_file"), F.decode("content", encoding).alias("value")
+    )
+    mark = re.escape(separator)
+    record = rf'(?:(?:"(?:[^"]++|"")*+")?+[^{mark}\r\n]*+(?:{mark}|(?=[\r\n]|\z)))++'
+    listed = F.regexp_extract_all(F.regexp_replace("value", "^\ufeff", ""), F.lit(record), F.lit(0))
+    found = F.filter(listed, lambda text: F.btrim(text, F.lit(WHITESPACE)) != "")
+    return whole.select("_file", F.lit(0).cast("long").alias("_block"), F.posexplode(found).alias("_row", CORRUPT)).select(
+        "_file", "_block", F.col("_row").cast("long").alias("_row"), CORRUPT
+    )
+
+
 def read_csv_records(
     spark: SparkSession, path: str, separator: str = ",", encoding: str = "UTF-8"
-) -> DataFrame:
-    """CSV with a header, every cell as text, rows with a wrong cell count dropped."""
-    frame = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("sep", separator)
-        .option("encoding", encoding)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "DROPMALFORMED")
-        .csv(path)
-    )
-    return with_source_position(frame)
+) -> tuple[DataFrame, DataFrame]:
+    """CSV with a header, every cell as text in source order, and the records with too many cells.
+
+    Short records are padded; a quoted cell may hold separators and line breaks.
+    """
+    records = _records(spark, path, separator, encoding)
+    parsed = records.withColumn("__cells", csv_cells(CORRUPT, separator))
+    header = parsed.where("_row = 0").select("__cells").first()
+    if header is None:
+        return spark.createDataFrame([], "_file string, _block long, _row long"), records.where(F.lit(False))
+    names = _unique_names(header[0])
+    body = parsed.where("_row > 0")
+    rows, rejects = with_cells(body, "__cells", names)
+    return rows.select(*[F.col(f"`{n}`") for n in names], *SOURCE_POSITION), rejects.select(CORRUPT, "_file")
+
+
+def _unique_names(cells: Sequence[str]) -> list[str]:
+    """Header cells as column names; a name that repeats, in any case, gets its place behind it."""
+    lowered = [cell.strip().lower() for cell in cells]
+    return [
+        (cell.strip() or "_c") + (str(place) if lowered.count(lowered[place]) > 1 or not cell.strip() else "")
+        for place, cell in enumerate(cells)
+    ]
 
 
 def _windows_1252_table() -> tuple[str, str]:
@@ -96,77 +160,103 @@ def _windows_1252_table() -> tuple[str, str]:
 
 def read_delimited(
     spark: SparkSession, path: str, separators: Sequence[str] = (";", ",", "\t")
-) -> DataFrame:
-    """Delimited text of unknown encoding and separator.
+) -> tuple[DataFrame, DataFrame]:
+    """Delimited text of unknown encoding and separator, and the records with too many cells.
 
-    UTF-8 when every line decodes, else Windows-1252. The first separator that gives at least two
-    columns and one row wins.
+    UTF-8 when every line decodes, else Windows-1252. The first separator that cuts the header
+    into at least two columns wins.
     """
     utf8 = spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
+    encoding = "UTF-8" if utf8 else "ISO-8859-1"
+    header = spark.read.text(path).where(F.btrim("value", F.lit(WHITESPACE)) != "").first()
     for separator in separators:
-        frame = read_csv_records(spark, path, separator, "UTF-8" if utf8 else "ISO-8859-1")
-        names = [name for name in frame.columns if not name.startswith("_")]
-        if len(names) < 2 or frame.isEmpty():
+        if header is None or separator not in re.sub(r'"(?:[^"]|"")*"', "", header[0]):
             continue
+        rows, rejects = read_csv_records(spark, path, separator, encoding)
         if utf8:
-            return frame
+            return rows, rejects
         source, target = _windows_1252_table()
-        return frame.select(
-            *[
-                F.translate(F.col(f"`{n}`"), source, target).alias(n.translate(str.maketrans(source, target)))
-                if n in names
-                else F.col(n)
-                for n in frame.columns
-            ]
+        return tuple(
+            frame.select(
+                *[
+                    F.translate(F.col(f"`{n}`"), source, target).alias(n.translate(str.maketrans(source, target)))
+                    if n not in SOURCE_POSITION
+                    else F.col(n)
+                    for n in frame.columns
+                ]
+            )
+            for frame in (rows, rejects)
         )
     raise ValueError(f"no separator gives a table for {path}")
 
 
-def read_dump(spark: SparkSession, path: str) -> DataFrame:
-    """National dump: ``;``-separated UTF-8, byte-order mark dropped from the first name."""
-    frame = read_csv_records(spark, path, ";")
-    return frame.select(*[F.col(f"`{name}`").alias(name.lstrip("﻿")) for name in frame.columns])
+def read_dump(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """National dump: ``;``-separated UTF-8, and the records with too many cells."""
+    return read_csv_records(spark, path, ";")
 
 
-def read_by_suffix(spark: SparkSession, path: str) -> DataFrame:
-    """Reader chosen by file suffix."""
+def read_by_suffix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Rows and unreadable records (``_corrupt_record``, ``_file``), by the reader for the suffix."""
     suffix = path.rsplit(".", 1)[-1].lower()
     if suffix == "json":
-        return read_json_records(spark, path)[0]
+        return read_json_records(spark, path)
     if suffix == "jsonl":
-        return read_json_records(spark, path, lines=True)[0]
+        return read_json_records(spark, path, lines=True)
     if suffix == "csv":
         return read_delimited(spark, path)
+    nothing = spark.createDataFrame([], f"{CORRUPT} string, _file string")
     if suffix == "parquet":
-        return spark.read.parquet(path)
+        return spark.read.parquet(path), nothing
+    if suffix in ("kml", "xml"):
+        return read_placemarks(spark, path), nothing
     raise ValueError(f"no reader for .{suffix}")
 
 
-_LAYER = (
-    "name string, Placemark array<struct<"
-    "name: string, description: string, styleUrl: string, "
-    "Style: struct<IconStyle: struct<Icon: struct<href: string>>>, "
-    "Point: struct<coordinates: string>, MultiGeometry: struct<Point: struct<coordinates: string>>>>"
-)
+def read_placemarks(spark: SparkSession, path: str) -> DataFrame:
+    """Placemarks of map layers at every level: each under the folder that holds it directly.
 
+    Folders nest, and a row tag stops at the outermost one. The rows of a folder are therefore read
+    from the text of the file: a placemark belongs to the folder or document that was opened last
+    and is still open. A map is one file of one task.
+    """
+    whole = spark.read.format("binaryFile").load(path).select(F.decode("content", "UTF-8").alias("text"))
+    return placemarks_in(whole, "text")
 
-def read_placemarks(spark: SparkSession, path: str) -> DataFrame:
-    """Placemarks of map layers: those of each folder, and those directly under the document."""
-    layers = None
-    for tag in ("Folder", "Document"):
-        found = (
-            spark.read.format("xml")
-            .option("rowTag", tag)
-            .option("ignoreNamespace", True)
-            .schema(_LAYER)
-            .load(path)
+
+def placemarks_in(maps: DataFrame, text: str) -> DataFrame:
+    """Placemarks of map texts, one row each, with the name of their layer."""
+    token = (
+        r"(?s)<(?:\w+:)?(?:Folder|Document)\b[^>]*+>(?:\s*+<(?:\w+:)?name\b[^>]*+>.*?</(?:\w+:)?name>)?"
+        r"|</(?:\w+:)?(?:Folder|Document)>|<(?:\w+:)?Placemark\b.*?</(?:\w+:)?Placemark>"
+    )
+    tokens = maps.select(F.regexp_extract_all(text, F.lit(token), F.lit(0)).alias("tokens"))
+    start = F.struct(
+        F.array().cast("array<string>").alias("open"),
+        F.array().cast("array<struct<layer: string, mark: string>>").alias("found"),
+    )
+
+    def step(state: Column, part: Column) -> Column:
+        closes, marks = part.startswith("</"), part.rlike(r"^<(?:\w+:)?Placemark")
+        name = _element(part, "name")
+        inner = F.slice(state["open"], F.lit(1), F.greatest(F.size(state["open"]) - 1, F.lit(0)))
+        found = F.struct(F.element_at(state["open"], -1).alias("layer"), part.alias("mark"))
+        return (
+            F.when(marks & (F.size(state["open"]) > 0), F.struct(state["open"].alias("open"), F.array_append(state["found"], found).alias("found")))
+            .when(marks, state)
+            .when(closes, F.struct(inner.alias("open"), state["found"].alias("found")))
+            .otherwise(F.struct(F.array_append(state["open"], F.coalesce(name, F.lit(""))).alias("open"), state["found"].alias("found")))
         )
-        layers = found if layers is None else layers.unionByName(found)
+
+    marks = tokens.select(F.explode(F.aggregate("tokens", start, step)["found"]).alias("f"))
+    schema = (
+        "name string, description string, styleUrl string, Style struct<IconStyle: struct<Icon: struct<href: string>>>, "
+        "Point struct<coordinates: string>, MultiGeometry struct<Point: struct<coordinates: string>>"
+    )
+    plain = F.regexp_replace("f.mark", r"<(/?)\w+:(\w)", "<$1$2")
     return (
-        layers.where(F.col("Placemark").isNotNull())
-        .select(
-            F.coalesce(F.nullif(F.trim("name"), F.lit("")), F.lit("sem_camada")).alias("camada"),
-            F.explode("Placemark").alias("p"),
+        marks.select(
+            F.coalesce(F.nullif(F.trim("f.layer"), F.lit("")), F.lit("sem_camada")).alias("camada"),
+            F.from_xml(plain, schema).alias("p"),
         )
         .select(
             F.coalesce(F.trim("p.name"), F.lit("")).alias("nome"),
@@ -178,6 +268,12 @@ def read_placemarks(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _element(text: Column, name: str) -> Column:
+    """Text of the first element of a name; NULL without one."""
+    found = F.regexp_extract(text, rf"(?s)<(?:\w+:)?{name}\b[^>]*+>\s*+(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</(?:\w+:)?{name}>", 1)
+    return F.nullif(unescape(F.trim(found)), F.lit(""))
+
+
 def matrix_records(df: DataFrame, header: Sequence[str], rows: str = "rows") -> DataFrame:
     """Rows of text cells under a header, as columns with slug names; short rows give NULLs."""
     # the outer form keeps Spark from computing the matrix once more for a filter
@@ -186,9 +282,9 @@ def matrix_records(df: DataFrame, header: Sequence[str], rows: str = "rows") ->
 
 
 def datasets(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
-    """(name, path) of the landed datasets: JSON before CSV, each sorted by name."""
+    """(name, path) of the landed datasets: JSON, then CSV, then maps, each sorted by name."""
     names = list_names(spark, folder)
     found = []
-    for suffix in (".json", ".jsonl", ".csv"):
+    for suffix in (".json", ".jsonl", ".csv", ".kml"):
         found += [(n[: -len(suffix)], f"{folder.rstrip('/')}/{n}") for n in names if n.endswith(suffix)]
     return found

@@ -11,8 +11,7 @@ from canteiro.functions.markup import attribute, html_attributes, html_text
 from canteiro.functions.status import marker_percent, marker_status
 from canteiro.sources.common import project
 
-# fixed values: map id, and words that find each attribute
-MAP_ID = "1tu5J6jl4n2xcg2A_uMpThe7H2E07nYc"
+# fixed values: words that find each attribute
 ATTRIBUTE_WORDS = {
     "secretaria": ("secretaria", "órgão", "responsavel"),
     "valor": ("valor", "investimento", "custo"),
@@ -42,13 +41,13 @@ def parse_placemarks(placemarks: DataFrame) -> DataFrame:
     )
 
 
-def works(placemarks: DataFrame, as_of: Column) -> DataFrame:
-    """Works from parsed placemarks; areas without a point are context, not works."""
+def works(placemarks: DataFrame, as_of: Column, map_id: str | None = None) -> DataFrame:
+    """Works from parsed placemarks of the configured map; areas without a point are context, not works."""
     extras = F.col("campos_extras")
     columns = {
         "nome_obra": F.col("nome"),
         "camada_mapa": F.col("camada"),
-        "map_id": F.lit(MAP_ID),
+        "map_id": F.lit(map_id).cast("string"),
         "latitude": F.col("latitude"),
         "longitude": F.col("longitude"),
         "status": F.col("status_icone"),

@@ -107,7 +107,7 @@ def current_works(df: DataFrame, as_of: Column) -> DataFrame:
     found = rows.withColumns(
         {
             "id_obra": F.coalesce(
-                "id_obra", F.concat(F.lit("obra_"), F.substring(F.sha2("__record", 256), 1, 16))
+                "id_obra", F.concat(F.lit("obra_"), F.sha2("__record", 256))
             ),
             "num_contrato": F.coalesce("num_contrato", payload_value(*NESTED_CONTRACT_KEYS)),
             "num_licitacao": F.coalesce("num_licitacao", payload_value(*NESTED_TENDER_KEYS)),

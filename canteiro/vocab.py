@@ -185,3 +185,24 @@ PACKED_TEXT_MIN_BYTES = 64
 
 # ---- fixed values: days a work stays "recent" in the active filter ----
 ACTIVE_WINDOW_DAYS = 730
+
+# ---- fixed values: words that tell the stage of a map marker, a panel row or a health work ----
+FINISHED_WORDS = ("conclu", "finaliz", "entreg")
+RUNNING_WORDS = ("andamento", "execu")
+HALTED_WORDS = ("paralis", "suspens")
+PLANNED_WORDS = ("planeja", "projeto", "previs")
+MARKER_FINISHED_WORDS = ("CONCLU", "FINALIZ")
+MARKER_RUNNING_WORDS = ("ANDAMENTO", "EXECU")
+PANEL_FINISHED_WORDS = ("conclu", "finaliz", "entregue", "funcionamento")
+PANEL_PLANNED_WORDS = ("cadastrad", "planejad", "previs", "fase de planejamento")
+PANEL_RUNNING_WORDS = ("andamento", "execu", "obra")
+HEALTH_FINISHED_WORDS = ("funcionamento", "conclu")
+
+# ---- fixed values: words that tell whether an agreement or a work is over or running ----
+CANCELLED_WORDS = ("anulad", "cancelad", "rescis")
+SETTLED_WORDS = ("conclu", "aprovad", "prestacao de contas")
+ACTIVE_WORDS = ("andamento", "execu", "iniciada", "vigente")
+OVER_WORDS = ("cancelada", "rescindida", "concluída", "concluida")
+
+# a flag text that says there is no amendment
+DENIED_AMENDMENT = r"^(?:sem|n[aã]o|nenhum|nada|0)(?:\W|$)"

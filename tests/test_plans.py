@@ -234,12 +234,15 @@ def test_ingest_and_structured_run(spark, as_of, tmp_path):
     }
     assert (log["tce_contratos"].qtd_registros, log["sinapi"].qtd_registros) == (2, 2)
     outcome = structured.run(spark, str(tmp_path / "raw"), str(tmp_path / "structured"), as_of)
-    assert outcome == {"fornecedores": 1, "obras": 1, "contratos": 1, "aditivos": 1}
+    assert {n: (o.version, o.error) for n, o in outcome.items()} == dict.fromkeys(("fornecedores", "obras", "contratos", "aditivos"), (1, None))
+    assert (outcome["contratos"].written, outcome["contratos"].rejected) == (1, 1)
+    lost = spark.read.parquet(str(tmp_path / "structured" / "rejeitados")).collect()
+    assert [(r.tabela, r.motivo) for r in lost] == [("contratos", "sem obra")] and "C2" in lost[0].registro
     read = lambda name: structured.VersionedTable(spark, str(tmp_path / "structured" / name)).read()
     assert read("obras").count() == 2
     assert read("contratos").count() == 1 and read("aditivos").first().valor == 10.0
     assert read("fornecedores").first().cnpj == "04252011000110"
-    assert structured.run(spark, str(tmp_path / "raw"), str(tmp_path / "structured"), as_of)["obras"] == 2
+    assert structured.run(spark, str(tmp_path / "raw"), str(tmp_path / "structured"), as_of)["obras"].version == 2
     assert read("obras").count() == 2
     sections = quality.report({"obras": read("obras"), "contratos": read("contratos"), "raw_contratos": structured.read_sources(spark, str(tmp_path / "raw" / "raw_contratos"))})
     assert sections["obras_sem_percentual"].isEmpty() and sections["contratos_sem_situacao"].isEmpty()
@@ -247,6 +250,51 @@ def test_ingest_and_structured_run(spark, as_of, tmp_path):
     assert sections["contagens"].count() == 3
 
 
+def test_no_row_vanishes_from_a_load(spark, as_of, tmp_path):
+    landed, raw = tmp_path / "landed", str(tmp_path / "raw")
+    landed.mkdir()
+    (landed / "sinapi.csv").write_text(
+        "uf;competencia;tipo_obra;custo_m2\nRJ;2026-01;ubs;1\nRJ;2026-01;ubs;2\n;;x;3\nRJ;2026-01;a;b;c\n", encoding="utf-8"
+    )
+    (landed / "tce_contratos.jsonl").write_text('{"id_contrato": "C1"}\n{broken\n{"id_contrato": null, "objeto": "o"}\n', encoding="utf-8")
+    (landed / "painel_atual.json").write_text("[]", encoding="utf-8")
+    (landed / "tce_licitacoes.csv").write_text("no separator\nhere\n", encoding="utf-8")
+    (landed / "sismob.json").write_text('[{"a": 1, "A": 2}]', encoding="utf-8")
+    log = {r.dataset: r for r in ingest.ingest_folder(spark, str(landed), raw, as_of).collect()}
+    assert {n: r.status for n, r in log.items()} == {
+        "sinapi": "ok", "tce_contratos": "ok", "painel_atual": "vazio", "tce_licitacoes": "erro", "sismob": "erro",
+    }
+    counts = {n: (r.qtd_lidos, r.qtd_registros, r.qtd_substituidos, r.qtd_erros) for n, r in log.items()}
+    assert counts["sinapi"] == (4, 1, 1, 2) and counts["tce_contratos"] == (3, 1, 0, 2)
+    lost = spark.read.parquet(f"{raw}/rejeitados").collect()
+    assert sorted((r.dataset, r.motivo) for r in lost) == [
+        ("sinapi", "registro ilegível"), ("sinapi", "sem chave"), ("tce_contratos", "registro ilegível"), ("tce_contratos", "sem chave"),
+    ]
+    assert {r.registro for r in lost if r.motivo == "registro ilegível"} == {"RJ;2026-01;a;b;c", "{broken"}
+
+
+def test_extracts_as_sources_give_them(spark, as_of, tmp_path):
+    from canteiro.plans.extracts import NORMALISERS
+
+    landed, raw = tmp_path / "landed", str(tmp_path / "raw")
+    landed.mkdir()
+    extracts = {
+        "tce_rj_contratos": '[{"Ente": "MACAÉ", "NumeroContrato": "1", "ValorContrato": "1.000,50"}, {"Ente": "X", "NumeroContrato": "2"}]',
+        "tce_rj_aditivos": '[{"Ente": "MACAE", "NumeroConvenio": "7", "AnoConvenio": "2020", "QuantidadeAditivos": "1"}]',
+        "tce_rj_obras": '[{"Ente": "MACAE", "NumeroContrato": "9", "DataParalisacao": "2020-01-02", "Nome": "n"}]',
+        "tce_contratos": '[{"NumeroContrato": "A"}, {"codigo": "B"}]',
+        "tce_licitacoes": '[{"ProcessoLicitatorio": "P"}, {"NumeroEdital": "E"}]',
+        "portal_macae_contratos": '[{"Contrato": "c", "Objeto": "o", "Valor": "R$ 1,00"}]',
+        "portal_macae_licitacoes": '[{"Número": "n", "Objeto": "o"}]',
+        "painel_atual": '[{"Id Obra": "i", "Nome da Obra": "n", "Situação": "Em andamento", "Município": "Macaé"}]',
+    }
+    for name, text in extracts.items():
+        (landed / f"{name}.json").write_text(text, encoding="utf-8")
+    log = {r.dataset: r for r in ingest.ingest_folder(spark, str(landed), raw, as_of, NORMALISERS).collect()}
+    assert {n: (r.status, r.mensagem) for n, r in log.items() if r.status != "ok"} == {}
+    assert {n: r.qtd_registros for n, r in log.items()} == {n: 2 if n in ("tce_contratos", "tce_licitacoes") else 1 for n in extracts}
+
+
 def test_structured_tables_are_one_plan(spark, raw_contracts, as_of):
     tables = structured.structured_tables({"raw_contratos": raw_contracts}, as_of)
     assert {n: df.count() for n, df in tables.items()} == {"fornecedores": 2, "obras": 3, "contratos": 3, "aditivos": 1}

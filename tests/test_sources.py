@@ -53,7 +53,7 @@ def test_json_with_schema_and_rejects(spark, tmp_path):
 
 def test_csv_is_all_text_in_source_order(spark, tmp_path):
     path = write(tmp_path / "x.csv", "a,b\n01,x\n2,\"y, z\"\n")
-    rows = files.read_csv_records(spark, path)
+    rows, _ = files.read_csv_records(spark, path)
     assert [(r.a, r.b) for r in rows.orderBy(*common.carried(rows)).collect()] == [("01", "x"), ("2", "y, z")]
 
 
@@ -63,18 +63,35 @@ def test_csv_is_all_text_in_source_order(spark, tmp_path):
 def test_delimited(spark, tmp_path, separator, encoding):
     lines = [["Situação", "Preço"], ["Concluída", "€ 5 – já"]]
     path = write(tmp_path / "x.csv", "\n".join(separator.join(line) for line in lines) + "\n", encoding)
-    rows = files.read_delimited(spark, path)
+    rows, _ = files.read_delimited(spark, path)
     assert names(rows) == ["Situação", "Preço"]
     assert [tuple(r) for r in rows.select("`Situação`", "`Preço`").collect()] == [("Concluída", "€ 5 – já")]
 
 
+def test_csv_loses_no_row(spark, tmp_path):
+    text = 'a;b;c\n1;"two\nlines; ""quoted""";3\n4;5\n\n6;7;8;9\n"";x"y;"z" w\n' + "10;" + "q" * 50_000 + ";12"
+    rows, rejects = files.read_csv_records(spark, write(tmp_path / "x.csv", text), ";")
+    expected = [("1", 'two\nlines; "quoted"', "3"), ("4", "5", None), (None, 'x"y', "z w"), ("10", "q" * 50_000, "12")]
+    assert [tuple(r)[:3] for r in rows.orderBy("_row").collect()] == expected
+    # as many rows whichever columns are read
+    assert rows.count() == rows.select("a").count() == len(rows.select("c").collect()) == 4
+    assert [r._corrupt_record for r in rejects.collect()] == ["6;7;8;9"]
+
+
+def test_csv_header_names(spark, tmp_path):
+    rows, _ = files.read_csv_records(spark, write(tmp_path / "x.csv", "A,a,,\n1,2,3,4\n"))
+    assert names(rows) == ["A0", "a1", "_c2", "_c3"]
+    rows, rejects = files.read_csv_records(spark, write(tmp_path / "y.csv", ""))
+    assert (rows.count(), rejects.count()) == (0, 0)
+
+
 def test_delimited_without_table(spark, tmp_path):
     with pytest.raises(ValueError):
         files.read_delimited(spark, write(tmp_path / "x.csv", "only\none\n"))
 
 
 def test_dump_drops_byte_order_mark(spark, tmp_path):
-    rows = files.read_dump(spark, write(tmp_path / "d.csv", "NR_CONVENIO;X\n1;2\n", "utf-8-sig"))
+    rows, _ = files.read_dump(spark, write(tmp_path / "d.csv", "NR_CONVENIO;X\n1;2\n", "utf-8-sig"))
     assert names(rows) == ["NR_CONVENIO", "X"]
 
 
@@ -84,7 +101,7 @@ def test_reader_by_suffix_and_listing(spark, tmp_path):
     write(tmp_path / "c.txt", "x")
     found = files.datasets(spark, str(tmp_path))
     assert [n for n, _ in found] == ["b", "a"]
-    assert [files.read_by_suffix(spark, p).count() for _, p in found] == [1, 1]
+    assert [files.read_by_suffix(spark, p)[0].count() for _, p in found] == [1, 1]
     with pytest.raises(ValueError):
         files.read_by_suffix(spark, str(tmp_path / "c.txt"))
     assert files.datasets(spark, str(tmp_path / "nada")) == []
@@ -114,6 +131,24 @@ def test_map_layers(spark, tmp_path, as_of):
     assert works["Solto"].camada_mapa == "Mapa" and works["Solto"].percentual is None
 
 
+def test_map_layers_nest(spark, tmp_path):
+    text = """<kml><Document><name>M</name><Folder><name>Fora</name><Folder><name>Dentro &amp; fundo</name>
+<Placemark><name>A</name><Point><coordinates>-41,-22</coordinates></Point></Placemark></Folder>
+<Placemark><name>B</name><Point><coordinates>-41,-22</coordinates></Point></Placemark></Folder>
+<Placemark><name>C</name><Point><coordinates>-41,-22</coordinates></Point></Placemark></Document></kml>"""
+    rows, _ = files.read_by_suffix(spark, write(tmp_path / "m.kml", text))
+    assert sorted((r.nome, r.camada) for r in rows.collect()) == [("A", "Dentro & fundo"), ("B", "Fora"), ("C", "M")]
+
+
+def test_spellings_are_found_per_record(spark, as_of):
+    frame = spark.createDataFrame(
+        [("P1", None, None), (None, "E2", None), (None, None, "E3"), ("", "E4", None)],
+        "ProcessoLicitatorio string, NumeroEdital string, numeroedital_ string",
+    ).withColumnRenamed("numeroedital_", "PROCESSO_LICITATORIO")
+    got = [r.id_licitacao for r in court.tenders(frame, as_of).collect()]
+    assert got == ["P1", "E2", "E3", None]
+
+
 def test_record_lists(spark):
     frame = spark.createDataFrame(
         [
@@ -200,8 +235,8 @@ def test_court(spark, as_of):
 
 
 def test_present_but_empty_field_stops_the_search(spark, as_of):
-    frame = spark.createDataFrame([(None, "x")], "Objeto string, descricao string")
-    assert court.purchases(frame, as_of).first().objeto is None
+    frame = spark.createDataFrame([("", "x"), (None, "y")], "Objeto string, descricao string")
+    assert [r.objeto for r in court.purchases(frame, as_of).collect()] == [None, "y"]
 
 
 def test_health(spark, as_of):
