@@ -25,68 +25,99 @@ ID_SPACE = 1 << 16
 IDS, WORDS, LITERALS = np.dtype("<u4"), np.dtype("<u4"), np.dtype("<u2")
 
 _LOW_RANGE = np.uint64(1 << 32)
+_SIXTEEN = np.uint64(16)
 _ORDER1, _ORDER2, _STATES = 512, 1024, 32
-_RATE = 4
-# weights are parts of 65536 between a floor and a ceiling, so every outcome keeps a share of the range
-_FLOOR = 64
-_ABOVE_FLOOR = (65536 - 1024 - _FLOOR, 49152 - _FLOOR, 49152 - _FLOOR)
+
+# Weights are parts of 65536. The three weights of a state share one number, 16 bits each: order 2 lowest, order 0
+# highest. A weight loses a sixteenth of itself, and gains a sixteenth of its target: the ceiling when its prediction
+# was right, the floor when it was wrong. Orders behind the one that was right are left as they are.
+_FLOOR, _CEILINGS = 64, (65536 - 1024, 49152, 49152)
 _START = (16384, 16384, 4096)
 
 
+def _packed(weights: tuple[int, ...]) -> int:
+    return sum(weight << (16 * place) for place, weight in enumerate(weights))
+
+
+# by outcome: the order that was right, or 3
+_TOUCHED = np.array([_packed((0xFFF,) * min(outcome + 1, 3)) for outcome in range(4)], dtype=np.uint64)
+_GAINED = np.array(
+    [
+        _packed(tuple((_CEILINGS[k] if k == outcome else _FLOOR) >> 4 for k in range(min(outcome + 1, 3))))
+        for outcome in range(4)
+    ],
+    dtype=np.uint64,
+)
+# by right predictions, as bits: order 2, order 1, order 0
+_OUTCOME = np.array([3, 0, 1, 0, 2, 0, 1, 0], dtype=np.uint8)
+# change of an entry by confidence, and 4 if its prediction was right; a wrong one without confidence is replaced
+_CHANGE = np.array([0, -1, -1, -1, 1, 1, 1, 0], dtype=np.int32)
+
+
 class _Model:
     """Predictions and weights of all blocks of a batch."""
 
     def __init__(self, lanes: int):
-        lane = np.arange(lanes)
-        self._base1, self._base2, self._base_state = lane * _ORDER1, lane * _ORDER2, lane * _STATES
+        self.lane = np.arange(lanes)
+        self._base1, self._base2, self._base_state = self.lane * _ORDER1, self.lane * _ORDER2, self.lane * _STATES
         # entries are id * 4 + confidence
         self._order0 = np.zeros(lanes, dtype=np.int32)
         self._order1 = np.zeros(lanes * _ORDER1, dtype=np.int32)
         self._order2 = np.zeros(lanes * _ORDER2, dtype=np.int32)
-        start = sum(weight << (16 * order) for order, weight in enumerate(_START))
-        self._weights = np.full(lanes * _STATES, start, dtype=np.int64)
+        self._weights = np.full(lanes * _STATES, _packed(_START), dtype=np.uint64)
         self._last = np.zeros(lanes, dtype=np.int64)
         self._slot1, self._slot2 = self._base1.copy(), self._base2.copy()
-
-    def predict(self) -> None:
-        """Set the three predictions, and the three weights."""
-        self._e2, self._e1, self._e0 = self._order2.take(self._slot2), self._order1.take(self._slot1), self._order0
-        self.p2, self.p1, self.p0 = self._e2 >> 2, self._e1 >> 2, self._e0 >> 2
-        self._c2, self._c1 = self._e2 & 3, self._e1 & 3
-        state = self._c1 << 2
-        state |= self._c2
-        state |= (self.p1 == self.p2).astype(np.int32) << 4
+        # rows by outcome: the predicted id (the last row is for literals), the range below it, and its own range
+        self._rows = np.arange(4) * lanes
+        self.ids = np.zeros((4, lanes), dtype=np.int32)
+        self.below = np.zeros((4, lanes), dtype=np.uint64)
+        self.ranges = np.zeros((4, lanes), dtype=np.uint64)
+
+    def places(self, outcome: np.ndarray) -> np.ndarray:
+        """Where the rows by outcome, laid out flat, hold each block's own cell."""
+        return self._rows.take(outcome) + self.lane
+
+    def predict(self, span: np.ndarray) -> None:
+        """Set the predictions, and split the ranges."""
+        self._e2, self._e1 = self._order2.take(self._slot2), self._order1.take(self._slot1)
+        entries = (self._e2, self._e1, self._order0)
+        for row, entry in enumerate(entries):
+            np.right_shift(entry, 2, out=self.ids[row])
+        self._confidence = [entry.astype(np.uint8) & 3 for entry in entries]
+        state = self._confidence[0] | (self._confidence[1] << 2) | ((self.ids[0] == self.ids[1]).view(np.uint8) << 4)
         self._state = self._base_state + state
-        packed = self._weights.take(self._state)
-        self.w2, self.w1, self.w0 = packed & 0xFFFF, (packed >> 16) & 0xFFFF, packed >> 32
-
-    def learn(self, ids: np.ndarray, right2: np.ndarray, right1: np.ndarray, right0: np.ndarray) -> None:
-        """Take the true ids (int32) and whether each order's prediction is right."""
-        missed2 = ~right2
-        w2 = self.w2 + (((right2 * _ABOVE_FLOOR[0] + _FLOOR) - self.w2) >> _RATE)
-        w1 = self.w1 + ((((right1 * _ABOVE_FLOOR[1] + _FLOOR) - self.w1) >> _RATE) * missed2)
-        w0 = self.w0 + ((((right0 * _ABOVE_FLOOR[2] + _FLOOR) - self.w0) >> _RATE) * (missed2 & ~right1))
-        w0 <<= 16
-        w0 |= w1
-        w0 <<= 16
-        w0 |= w2
-        self._weights[self._state] = w0
+        self._now = self._weights.take(self._state)
+        shifted = self._now
+        for row in range(3):
+            if row:
+                shifted = shifted >> _SIXTEEN
+            part = np.multiply(span >> _SIXTEEN, shifted & np.uint64(0xFFFF), out=self.ranges[row])
+            span = span - part
+            np.add(self.below[row], part, out=self.below[row + 1])
+        self.ranges[3] = span
+
+    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
+        """Take the true ids (int32) and the outcome: the first order that was right, or 3."""
+        now = self._now
+        now = now - ((now >> np.uint64(4)) & _TOUCHED.take(outcome)) + _GAINED.take(outcome)
+        self._weights[self._state] = now
         fresh = (ids << 2) | 1
-        self._order2[self._slot2] = _entry(self._e2, self._c2, right2, fresh)
-        self._order1[self._slot1] = _entry(self._e1, self._c1, right1, fresh)
-        self._order0 = _entry(self._e0, self._e0 & 3, right0, fresh)
-        now = ids.astype(np.int64)
-        mix = now * 40503
+        self._order2[self._slot2] = self._entry(0, self._e2, ids, fresh)
+        self._order1[self._slot1] = self._entry(1, self._e1, ids, fresh)
+        self._order0 = self._entry(2, self._order0, ids, fresh)
+        wide = ids.astype(np.int64)
+        mix = wide * 40503
         self._slot1 = self._base1 + ((mix >> 4) & (_ORDER1 - 1))
-        self._slot2 = self._base2 + (((mix >> 3) ^ (self._last * 30011 >> 2)) & (_ORDER2 - 1))
-        self._last = now
-
+        self._slot2 = self._base2 + (((mix >> 3) ^ self._last) & (_ORDER2 - 1))
+        self._last = wide * 30011 >> 2
 
-def _entry(entry: np.ndarray, confidence: np.ndarray, right: np.ndarray, fresh: np.ndarray) -> np.ndarray:
-    """A right prediction gains confidence; a wrong one loses it, and is replaced when it has none."""
-    made = np.where(right, entry + (confidence != 3), entry - 1)
-    np.copyto(made, fresh, where=~right & (confidence == 0))
-    return made
+    def _entry(self, row: int, entry: np.ndarray, ids: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+        """A right prediction gains confidence; a wrong one loses it, and is replaced when it has none."""
+        kind = (ids == self.ids[row]).view(np.uint8) << 2
+        kind |= self._confidence[row]
+        made = entry + _CHANGE.take(kind)
+        np.copyto(made, fresh, where=kind == 0)
+        return made
 
 
 def _cut(at: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -95,16 +126,6 @@ def _cut(at: np.ndarray, width: np.ndarray) -> np.ndarray:
     return np.where(crosses, (~at + np.uint64(1)) & np.uint64(0xFFFFFFFF), width)
 
 
-def _shares(span: np.ndarray, model: _Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The range of each order, and what is left."""
-    parts = []
-    for weight in (model.w2, model.w1, model.w0):
-        part = (span >> np.uint64(16)) * weight.view(np.uint64)
-        parts.append(part)
-        span = span - part
-    return *parts, span
-
-
 def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
     """The coded bytes of each block of ids; the last block may be shorter."""
     if not len(ids):
@@ -114,11 +135,13 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
     lanes = -(-len(ids) // block_ids)
     last = len(ids) - (lanes - 1) * block_ids
     steps = block_ids if lanes > 1 else last
-    table = np.zeros(lanes * steps, dtype=np.int32)
-    table[: len(ids)] = ids
-    table = np.ascontiguousarray(table.reshape(lanes, steps).T)
-    literal = np.zeros(table.shape, dtype=bool)
+    padded = np.zeros(lanes * steps, dtype=np.int32)
+    padded[: len(ids)] = ids
+    values = padded.reshape(lanes, steps)
+    table = np.ascontiguousarray(values.T)
+    outcomes = np.zeros(table.shape, dtype=np.uint8)
     model = _Model(lanes)
+    below, ranges = model.below.reshape(-1), model.ranges.reshape(-1)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
     words = np.zeros((lanes, steps + 4), dtype=WORDS)
     filled = np.zeros(lanes, dtype=np.int64)
@@ -135,26 +158,23 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
             filled[small] += 1
             low[small], span[small] = at << np.uint64(32), width << np.uint64(32)
         now = table[step]
-        model.predict()
-        right2, right1, right0 = now == model.p2, now == model.p1, now == model.p0
-        share2, share1, share0, rest = _shares(span, model)
-        miss2 = ~right2
-        miss1 = miss2 & ~right1
-        miss0 = miss1 & ~right0
-        literal[step] = miss0
-        low += miss2 * share2
-        low += miss1 * share1
-        low += miss0 * share0
-        span = np.where(right2, share2, np.where(right1, share1, np.where(right0, share0, rest)))
-        model.learn(now, right2, right1, right0)
+        model.predict(span)
+        right = (model.ids[0] == now).view(np.uint8) | ((model.ids[1] == now).view(np.uint8) << 1)
+        right |= (model.ids[2] == now).view(np.uint8) << 2
+        outcome = _OUTCOME.take(right, out=outcomes[step], mode="clip")
+        place = model.places(outcome)
+        low = low + below.take(place)
+        span = ranges.take(place)
+        model.learn(now, outcome)
     closed = [_closed(words[lane], filled[lane], low[lane]) for lane in range(lanes)]
     if early is not None:
         closed[-1] = early
-    values, held = np.ascontiguousarray(table.T).astype(LITERALS), np.ascontiguousarray(literal.T)
+    held = np.ascontiguousarray(outcomes.T) == 3
     held[-1, last:] = False
+    literals, ends = values[held].astype(LITERALS), np.cumsum(held.sum(axis=1))
     return [
-        np.array([len(part)], dtype=WORDS).tobytes() + part.tobytes() + values[lane][held[lane]].tobytes()
-        for lane, part in enumerate(closed)
+        np.array([len(part)], dtype=WORDS).tobytes() + part.tobytes() + some.tobytes()
+        for part, some in zip(closed, np.split(literals, ends[:-1]), strict=True)
     ]
 
 
@@ -168,19 +188,19 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         return []
     lanes, steps = len(coded), max(lengths)
     counts = [int.from_bytes(part[:4], "little") for part in coded]
-    words = np.zeros((lanes, max(counts) + steps + 2), dtype=np.uint64)
+    words = np.zeros((lanes, max(counts) + steps + 2), dtype=WORDS)
     literals = np.zeros((lanes, steps + 1), dtype=np.int32)
     for lane, (part, n) in enumerate(zip(coded, counts, strict=True)):
         words[lane, :n] = np.frombuffer(part, dtype=WORDS, offset=4, count=n)
         some = np.frombuffer(part, dtype=LITERALS, offset=4 + 4 * n)
         literals[lane, : len(some)] = some
     width = literals.shape[1]
+    # a lane has a place more than it has steps, so lanes of shorter blocks run on inside their rows
     literals, next_literal = literals.reshape(-1), np.arange(lanes) * width
-    # lanes of shorter blocks run on over zeros; their places stay inside their rows
-    ends = next_literal + width - 1
     model = _Model(lanes)
+    all_ids, below, ranges = model.ids.reshape(-1), model.below.reshape(-1), model.ranges.reshape(-1)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-    code = (words[:, 0] << np.uint64(32)) | words[:, 1]
+    code = (words[:, 0].astype(np.uint64) << np.uint64(32)) | words[:, 1]
     used = np.full(lanes, 2, dtype=np.int64)
     table = np.zeros((steps, lanes), dtype=np.int32)
     for step in range(steps):
@@ -191,21 +211,16 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             code[small] = (code[small] << np.uint64(32)) | words[small, used[small]]
             used[small] += 1
             low[small], span[small] = at << np.uint64(32), cut << np.uint64(32)
-        model.predict()
-        share2, share1, share0, rest = _shares(span, model)
+        model.predict(span)
         past = code - low
-        above1 = share2 + share1
-        miss2, miss1, miss0 = past >= share2, past >= above1, past >= above1 + share0
-        now = np.where(miss1, model.p0, np.where(miss2, model.p1, model.p2))
-        open_lanes = np.flatnonzero(miss0)
-        places = next_literal[open_lanes]
-        now[open_lanes] = literals[places]
-        next_literal[open_lanes] = np.minimum(places + 1, ends[open_lanes])
-        low += miss2 * share2
-        low += miss1 * share1
-        low += miss0 * share0
-        span = np.where(miss1, np.where(miss0, rest, share0), np.where(miss2, share1, share2))
-        table[step] = now
-        model.learn(now, now == model.p2, now == model.p1, now == model.p0)
+        outcome = (past >= model.below[1]).view(np.uint8) + (past >= model.below[2]).view(np.uint8)
+        outcome += (past >= model.below[3]).view(np.uint8)
+        literals.take(next_literal, out=model.ids[3], mode="clip")
+        place = model.places(outcome)
+        now = all_ids.take(place, out=table[step], mode="clip")
+        next_literal += outcome == 3
+        low = low + below.take(place)
+        span = ranges.take(place)
+        model.learn(now, outcome)
     blocks = np.ascontiguousarray(table.T).astype(IDS)
     return [blocks[lane, :n] for lane, n in enumerate(lengths)]
