@@ -39,7 +39,12 @@ def unescape(text: Column | str) -> Column:
             ),
         )
 
-    return F.replace(once(_col(text), decoded), F.lit("&amp;"), F.lit("&"))
+    def replaced(whole: Column) -> Column:
+        return F.when(
+            whole.contains("&"), F.replace(once(whole, decoded), F.lit("&amp;"), F.lit("&"))
+        ).otherwise(whole)
+
+    return once(_col(text), replaced)
 
 
 def _text_nodes(html: Column, joiner: str) -> Column:

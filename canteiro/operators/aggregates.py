@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canteiro.functions.numbers import exact_sum
+from canteiro.operators.dedup import keep_first
 
 
 def latest_value(df: DataFrame, key: str, value: str, order: Sequence[str], name: str) -> DataFrame:
-    """Last non-null value per key in the given order; NULL order values count as earliest."""
-    when_known = F.when(F.col(value).isNotNull(), F.struct(*order))
-    return df.groupBy(key).agg(F.max_by(value, when_known).alias(name))
+    """Last non-null value per key in the given order; NULL order values count as earliest.
+
+    A key without a value gives NULL. One row per key and task is sent, and no task sorts by text.
+    """
+    rows = df.select(key, value, *order)
+    latest = [F.col(value).isNull(), *[F.col(column).desc_nulls_last() for column in order]]
+    return keep_first(rows, [key], latest).select(key, F.col(value).alias(name))
 
 
 def supplier_metrics(contracts: DataFrame, amended: Column | None) -> DataFrame:

@@ -12,7 +12,7 @@ from canteiro.operators.fields import raw_payload
 from canteiro.operators.merge import VersionedTable, read_sources, staging_table, stamped
 from canteiro.plans.contracts import amendments, contracts
 from canteiro.plans.suppliers import suppliers
-from canteiro.plans.works import works
+from canteiro.plans.works import work_keys, works
 from canteiro.routes import RAW_TABLES
 
 @dataclass(frozen=True)
@@ -42,9 +42,10 @@ def structured_tables(
     to be written and read back to learn them."""
     result = {"fornecedores": suppliers(raw["raw_contratos"])}
     result["obras"], _ = works(raw, as_of, gazetteer)
-    result["contratos"], _ = contracts(
-        raw["raw_contratos"], result["obras"], result["fornecedores"], as_of
-    )
+    # a contract's work comes from the contract's own source: other sources, and what enriches a
+    # work, stay out of these two branches
+    keys = work_keys({"raw_contratos": raw["raw_contratos"]})
+    result["contratos"], _ = contracts(raw["raw_contratos"], keys, result["fornecedores"], as_of)
     result["aditivos"], _ = amendments(raw["raw_contratos"], result["contratos"])
     return result
 

@@ -322,6 +322,15 @@ def finished(works: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def work_keys(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """id, source and source id of every work, without anything else of it.
+
+    What refers to works needs only these: no enrichment, no choice among rows of one key.
+    """
+    known = union_of_sources(raw).select("fonte_origem", "id_origem").dropna().distinct()
+    return known.withColumn("id", surrogate_key("fonte_origem", "id_origem"))
+
+
 def works(
     raw: Mapping[str, DataFrame], as_of: Column, gazetteer: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:

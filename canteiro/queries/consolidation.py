@@ -275,8 +275,8 @@ FROM k WHERE rn = 1
 def contracts_structured(t: Tables) -> DataFrame:
     """Contracts linked to their work and supplier, the last of each number kept."""
     raw = raw_contracts(t)
-    works_df, _ = work_plans.works({"raw_contratos": raw}, as_of())
-    rows, _ = contract_plans.contracts(raw, works_df, supplier_plans.suppliers(raw), as_of())
+    keys = work_plans.work_keys({"raw_contratos": raw})
+    rows, _ = contract_plans.contracts(raw, keys, supplier_plans.suppliers(raw), as_of())
     return rows.select(
         "id_obra", "id_fornecedor", "numero", "objeto", "fonte_origem", "situacao", "valor_inicial", "valor_aditivos", "qtd_aditivos",
         day("data_fim").alias("data_fim"),
@@ -292,8 +292,8 @@ FROM k WHERE rn = 1 AND aditivos > 0
 )
 def amendments_structured(t: Tables) -> DataFrame:
     raw = raw_contracts(t)
-    works_df, _ = work_plans.works({"raw_contratos": raw}, as_of())
-    rows, _ = contract_plans.contracts(raw, works_df, supplier_plans.suppliers(raw), as_of())
+    keys = work_plans.work_keys({"raw_contratos": raw})
+    rows, _ = contract_plans.contracts(raw, keys, supplier_plans.suppliers(raw), as_of())
     return contract_plans.amendments(raw, rows)[0].select("id_contrato", "tipo", "motivo", "valor")
 
 
@@ -333,8 +333,8 @@ FROM c JOIN k ON c.id_contrato = k.id_contrato
 def features_per_work(t: Tables) -> DataFrame:
     """Feature table; NULL stands for unknown, never zero."""
     raw = raw_contracts(t)
-    works_df, _ = work_plans.works({"raw_contratos": raw}, as_of())
-    rows, _ = contract_plans.contracts(raw, works_df, supplier_plans.suppliers(raw), as_of())
+    keys = work_plans.work_keys({"raw_contratos": raw})
+    rows, _ = contract_plans.contracts(raw, keys, supplier_plans.suppliers(raw), as_of())
     people = t.customer.agg(F.count("*")).scalar()
     table = feature_plans.features(works_df, rows, as_of(), people)
     return table.select(

@@ -5,12 +5,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from canteiro.functions import dates, geo, ids, markup, numbers, status, text
 from canteiro.operators.fields import payload_value, with_payload_maps
 from canteiro.plans.works import place_queries
 from canteiro.queries.registry import Tables, as_of, day, query
 from canteiro.sources.costs import with_reference_cost
+from canteiro.sources.files import csv_cells, json_rows, with_cells
 from canteiro.sources.geography import perimeter_size
 from canteiro.sources.panels import match_locality
 
@@ -557,3 +559,52 @@ def perimeter_points(t: Tables) -> DataFrame:
         F.when(F.col("label") % 2 != 0, F.array(F.array(ring), F.array(ring, ring))).alias("multi_polygon"),
     )
     return perimeter_size(shapes)
+
+
+@query(
+    """
+SELECT o_orderkey, NULL::VARCHAR AS motivo, CAST(o_orderkey AS VARCHAR) AS a, o_orderpriority || ';' || chr(10) || '"' || o_orderstatus || '"' AS b, CASE WHEN o_custkey % 5 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2))::VARCHAR END AS c
+FROM orders WHERE o_custkey % 5 <> 1
+UNION ALL SELECT o_orderkey, 'células demais', o_orderkey || ';"' || o_orderpriority || ';' || chr(10) || '""' || o_orderstatus || repeat('"', 3) || ';' || CAST(o_totalprice AS DECIMAL(18,2)) || ';extra', NULL, NULL
+FROM orders WHERE o_custkey % 5 = 1
+"""
+)
+def csv_records(t: Tables) -> DataFrame:
+    """CSV records with quoted separators, quotes and line breaks; short ones are padded, long ones rejected."""
+    price = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
+    record = F.concat(
+        F.col("o_orderkey").cast("string"),
+        F.lit(';"'),
+        "o_orderpriority",
+        F.lit(';\n""'),
+        "o_orderstatus",
+        F.lit('"""'),
+        F.when(F.col("o_custkey") % 5 == 0, "").otherwise(F.concat(F.lit(";"), price)),
+        F.when(F.col("o_custkey") % 5 == 1, ";extra").otherwise(""),
+    )
+    records = t.orders.select("o_orderkey", record.alias("registro"))
+    rows, rejects = with_cells(records.withColumn("cells", csv_cells("registro", ";")), "cells", ["a", "b", "c"])
+    nothing = F.lit(None).cast("string")
+    return rows.select("o_orderkey", nothing.alias("motivo"), "a", "b", "c").unionByName(
+        rejects.select(
+            "o_orderkey", F.lit("células demais").alias("motivo"), F.col("registro").alias("a"), nothing.alias("b"), nothing.alias("c")
+        )
+    )
+
+
+@query(
+    """
+SELECT event_id, CASE WHEN event_type = 'error' THEN '{broken ' || event_id END AS motivo, CASE WHEN event_type <> 'error' THEN user_id END AS usuario,
+  CASE WHEN event_type NOT IN ('error', 'view') THEN event_type END AS tipo FROM events
+"""
+)
+def json_records(t: Tables) -> DataFrame:
+    """JSON records of a text column; a text that is no record is rejected with its text."""
+    texts = t.events.selectExpr(
+        "event_id",
+        "case event_type when 'error' then concat('{broken ', event_id) when 'view' then to_json(named_struct('usuario', user_id)) "
+        "else to_json(named_struct('usuario', user_id, 'tipo', event_type)) end as texto",
+    )
+    rows, rejects = json_rows(texts, "texto", T.StructType.fromDDL("usuario long, tipo string"))
+    lost = rejects.select("event_id", F.col("texto").alias("motivo"))
+    return rows.withColumn("motivo", F.lit(None).cast("string")).unionByName(lost, allowMissingColumns=True)

@@ -6,26 +6,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canteiro import vocab
-from canteiro.functions.text import fold
+from canteiro.functions.text import fold, once
 
 
 def cost_category(work_type: Column | str) -> Column:
     """Cost category of a work type: the first listed word it holds, else the default."""
-    folded = fold(work_type, trim=False)
-    category = None
-    for word, name in vocab.COST_CATEGORY_BY_WORD:
-        hit = folded.contains(word)
-        category = F.when(hit, name) if category is None else category.when(hit, name)
-    return category.otherwise(vocab.DEFAULT_COST_CATEGORY)
+
+    def category(folded: Column) -> Column:
+        found = None
+        for word, name in vocab.COST_CATEGORY_BY_WORD:
+            hit = folded.contains(word)
+            found = F.when(hit, name) if found is None else found.when(hit, name)
+        return found.otherwise(vocab.DEFAULT_COST_CATEGORY)
+
+    return once(fold(work_type, trim=False), category)
 
 
 def reference_cost(category: Column) -> Column:
     """R$ per square metre of a category."""
-    cost = None
-    for name, value in vocab.COST_PER_M2.items():
-        hit = category == name
-        cost = F.when(hit, F.lit(value)) if cost is None else cost.when(hit, F.lit(value))
-    return cost
+    table = F.create_map(*[F.lit(cell) for entry in vocab.COST_PER_M2.items() for cell in entry])
+    return F.try_element_at(table, category)
 
 
 def with_reference_cost(works: DataFrame, work_type: str = "tipo") -> DataFrame:

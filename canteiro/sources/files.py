@@ -53,18 +53,24 @@ def read_json_records(
         )
         # a file that is no JSON at all is one unreadable record
         items = exploded.withColumn("value", F.when(F.col("_item").isNotNull(), F.col("__text")).otherwise(F.col("value")))
+    found = items.select("value", *SOURCE_POSITION, F.coalesce("_item", F.lit(0)).alias("_item"))
+    rows, rejects = json_rows(found, "value", schema)
+    return rows, rejects.select(F.col("value").alias(CORRUPT), "_file")
+
+
+def json_rows(texts: DataFrame, text: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Records of a column of JSON texts as columns, and the rows whose text is no record.
+
+    The other columns are kept in both; a NULL text is in neither.
+    """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = items.select(
-        *SOURCE_POSITION, F.coalesce("_item", F.lit(0)).alias("_item"), F.from_json("value", with_corrupt, options).alias("__record")
-    )
-    corrupt = F.col(f"__record.{CORRUPT}")
-    rows = parsed.where(F.col("__record").isNotNull() & corrupt.isNull())
-    rejects = parsed.where(corrupt.isNotNull()).select(corrupt.alias(CORRUPT), "_file")
-    return (
-        rows.select(*[F.col("__record").getField(name).alias(name) for name in schema.names], *SOURCE_POSITION, "_item"),
-        rejects,
-    )
+    parsed = texts.withColumn("__record", F.from_json(text, with_corrupt, options))
+    corrupt = F.col(f"__record.{CORRUPT}").isNotNull()
+    others = [F.col(f"`{name}`") for name in texts.columns if name != text]
+    rows = parsed.where(F.col("__record").isNotNull() & ~corrupt)
+    cells = [F.col("__record").getField(name).alias(name) for name in schema.names]
+    return rows.select(*cells, *others), parsed.where(corrupt).drop("__record")
 
 
 def csv_cells(record: Column | str, separator: str) -> Column:

@@ -103,7 +103,11 @@ def current_works(df: DataFrame, as_of: Column) -> DataFrame:
         for target, words in CURRENT_COLUMNS.items()
     }
     texts["__payload"] = field(df, "payload_bruto")
-    rows = with_payload_maps(with_texts(df, texts), "__payload")
+    # the nested record is parsed only where a wanted cell is missing
+    gap = F.col("num_contrato").isNull() | F.col("num_licitacao").isNull() | F.col("bairro").isNull()
+    gap = gap | _date("data_inicio").isNull()
+    sparse = with_texts(df, texts).withColumn("__payload", F.when(gap, F.col("__payload")))
+    rows = with_payload_maps(sparse, "__payload")
     found = rows.withColumns(
         {
             "id_obra": F.coalesce(

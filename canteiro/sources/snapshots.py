@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from canteiro.operators.dedup import keep_last
 from canteiro.operators.merge import VersionedTable, list_names
 
 SNAPSHOT_LOG = "nome string, salvo_em timestamp, total_registros bigint, versao string"
@@ -38,10 +39,7 @@ def load_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame | None
 
 def latest_lines(log: DataFrame) -> DataFrame:
     """Newest log line per dataset."""
-    newest = F.max_by(F.struct("total_registros", "versao"), "salvo_em")
-    return log.groupBy("nome").agg(F.max("salvo_em").alias("salvo_em"), newest.alias("s")).select(
-        "nome", "salvo_em", "s.total_registros", "s.versao"
-    )
+    return keep_last(log.select("nome", "salvo_em", "total_registros", "versao"), ["nome"], ["salvo_em"])
 
 
 def freshness(log: DataFrame, as_of: Column, max_days: int = 1) -> DataFrame:
