@@ -216,3 +216,70 @@ def rejected_keys_sample(t: Tables) -> DataFrame:
     urgent = t.orders.where("o_orderpriority = '1-URGENT'")
     lost = t.customer.join(urgent, F.col("o_custkey") == F.col("c_custkey"), "left_anti")
     return stamped(profile.sample_keys(lost, "c_custkey"), day(as_of()))
+
+
+def _gaps(t: Tables, columns: list[str], source: str = "fonte") -> DataFrame:
+    """Lines as raw rows: the n-th column has no value on the lines with number n, counted around."""
+    cells = [
+        F.when(F.col("l_linenumber") != place % 7 + 1, F.col("l_partkey").cast("double")).alias(name)
+        for place, name in enumerate(columns)
+    ]
+    return t.lineitem.select(F.col("l_returnflag").alias(source), *cells)
+
+
+def _gaps_sql(names: list[str], source: str = "fonte", more: str = "") -> str:
+    counts = "".join(
+        f", count(*) FILTER (WHERE l_linenumber = {place % 7 + 1}) AS {name}" for place, name in enumerate(names)
+    )
+    return f"SELECT l_returnflag AS {source}, count(*) AS total{counts}{more} FROM lineitem GROUP BY l_returnflag"
+
+
+def _raw_works_section(table: str) -> None:
+    """Register the coverage section of one raw works table."""
+    checks = quality.RAW_WORKS_CHECKS[table]
+
+    def section(t: Tables) -> DataFrame:
+        return quality.raw_works(table, _gaps(t, list(checks.values())))
+
+    section.__name__ = f"coverage_{table}"
+    query(_gaps_sql(list(checks)))(section)
+
+
+for _table in quality.RAW_WORKS_CHECKS:
+    _raw_works_section(_table)
+
+
+@query(
+    """
+SELECT l_returnflag AS fonte, count(*) AS total, count(*) FILTER (WHERE l_linenumber = 1) AS sem_situacao, count(*) FILTER (WHERE l_linenumber = 2) AS sem_valor,
+  count(*) FILTER (WHERE l_linenumber = 3) AS sem_vencedor, count(*) FILTER (WHERE l_linenumber = 4 AND l_linestatus = 'F') AS sem_data
+FROM lineitem GROUP BY l_returnflag
+"""
+)
+def coverage_raw_tenders(t: Tables) -> DataFrame:
+    """Tenders count as undated only when both dates are missing."""
+    rows = t.lineitem.selectExpr(
+        "l_returnflag as fonte", "case when l_linenumber <> 1 then l_linestatus end as situacao",
+        "case when l_linenumber <> 2 then l_extendedprice end as valor_estimado",
+        "case when l_linenumber <> 3 then cast(l_suppkey as string) end as cnpj_vencedor",
+        "case when l_linenumber <> 4 then l_shipdate end as data_publicacao",
+        "case when l_linestatus <> 'F' then l_shipdate end as data_abertura",
+    )
+    return quality.raw_tenders(rows)
+
+
+_WORKS_GAPS = {
+    "sem_situacao": "situacao", "sem_percentual": "percentual_executado", "sem_valor": "valor_contrato",
+    "sem_lat": "latitude", "sem_data_inicio": "data_inicio", "sem_data_fim": "data_prevista_fim",
+}
+
+
+@query(
+    _gaps_sql(
+        list(_WORKS_GAPS),
+        "fonte_origem",
+        ", round(CAST(sum(CASE WHEN l_linenumber <> 2 THEN CAST(l_partkey AS DECIMAL(38,2)) END) AS DOUBLE) / nullif(count(CASE WHEN l_linenumber <> 2 THEN 1 END), 0), 1) AS media_percentual",
+    )
+)
+def coverage_works(t: Tables) -> DataFrame:
+    return quality.works_coverage(_gaps(t, list(_WORKS_GAPS.values()), "fonte_origem"))
