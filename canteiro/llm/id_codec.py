@@ -25,7 +25,7 @@ ID_SPACE = 1 << 16
 IDS, WORDS, LITERALS = np.dtype("<u4"), np.dtype("<u4"), np.dtype("<u2")
 
 _LOW_RANGE = np.uint64(1 << 32)
-_SIXTEEN = np.uint64(16)
+_FOUR, _SIXTEEN, _MASK = np.uint64(4), np.uint64(16), np.uint64(0xFFFF)
 _ORDER1, _ORDER2, _STATES = 512, 1024, 32
 
 # Weights are parts of 65536. The three weights of a state share one number, 16 bits each: order 2 lowest, order 0
@@ -55,20 +55,22 @@ _CHANGE = np.array([0, -1, -1, -1, 1, 1, 1, 0], dtype=np.int32)
 
 
 class _Model:
-    """Predictions and weights of all blocks of a batch."""
+    """Predictions and weights of all blocks of a batch; rows of its arrays stand for order 2, order 1 and order 0."""
 
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes)
-        self._base1, self._base2, self._base_state = self.lane * _ORDER1, self.lane * _ORDER2, self.lane * _STATES
+        # each block has the slots of order 2, then those of order 1, then the one of order 0
+        per_block = _ORDER2 + _ORDER1 + 1
+        first = self.lane * per_block
+        self._first = np.stack([first, first + _ORDER2])
+        self._slots = np.stack([first, first + _ORDER2, first + _ORDER2 + _ORDER1])
         # entries are id * 4 + confidence
-        self._order0 = np.zeros(lanes, dtype=np.int32)
-        self._order1 = np.zeros(lanes * _ORDER1, dtype=np.int32)
-        self._order2 = np.zeros(lanes * _ORDER2, dtype=np.int32)
+        self._entries = np.zeros(lanes * per_block, dtype=np.int32)
         self._weights = np.full(lanes * _STATES, _packed(_START), dtype=np.uint64)
+        self._base_state = self.lane * _STATES
         self._last = np.zeros(lanes, dtype=np.int64)
-        self._slot1, self._slot2 = self._base1.copy(), self._base2.copy()
-        # rows by outcome: the predicted id (the last row is for literals), the range below it, and its own range
         self._rows = np.arange(4) * lanes
+        # rows by outcome: the predicted id (the last row is for literals), the range below it, and its own range
         self.ids = np.zeros((4, lanes), dtype=np.int32)
         self.below = np.zeros((4, lanes), dtype=np.uint64)
         self.ranges = np.zeros((4, lanes), dtype=np.uint64)
@@ -79,45 +81,42 @@ class _Model:
 
     def predict(self, span: np.ndarray) -> None:
         """Set the predictions, and split the ranges."""
-        self._e2, self._e1 = self._order2.take(self._slot2), self._order1.take(self._slot1)
-        entries = (self._e2, self._e1, self._order0)
-        for row, entry in enumerate(entries):
-            np.right_shift(entry, 2, out=self.ids[row])
-        self._confidence = [entry.astype(np.uint8) & 3 for entry in entries]
-        state = self._confidence[0] | (self._confidence[1] << 2) | ((self.ids[0] == self.ids[1]).view(np.uint8) << 4)
+        self._now = self._entries.take(self._slots)
+        predicted = np.right_shift(self._now, 2, out=self.ids[:3])
+        self._confidence = self._now.astype(np.uint8) & 3
+        state = (predicted[0] == predicted[1]).view(np.uint8) << 4
+        state |= self._confidence[1] << 2
+        state |= self._confidence[0]
         self._state = self._base_state + state
-        self._now = self._weights.take(self._state)
-        shifted = self._now
+        self._weight = shifted = self._weights.take(self._state)
         for row in range(3):
             if row:
                 shifted = shifted >> _SIXTEEN
-            part = np.multiply(span >> _SIXTEEN, shifted & np.uint64(0xFFFF), out=self.ranges[row])
+            part = np.multiply(span >> _SIXTEEN, shifted & _MASK, out=self.ranges[row])
             span = span - part
             np.add(self.below[row], part, out=self.below[row + 1])
         self.ranges[3] = span
 
-    def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
-        """Take the true ids (int32) and the outcome: the first order that was right, or 3."""
-        now = self._now
-        now = now - ((now >> np.uint64(4)) & _TOUCHED.take(outcome)) + _GAINED.take(outcome)
-        self._weights[self._state] = now
-        fresh = (ids << 2) | 1
-        self._order2[self._slot2] = self._entry(0, self._e2, ids, fresh)
-        self._order1[self._slot1] = self._entry(1, self._e1, ids, fresh)
-        self._order0 = self._entry(2, self._order0, ids, fresh)
-        wide = ids.astype(np.int64)
-        mix = wide * 40503
-        self._slot1 = self._base1 + ((mix >> 4) & (_ORDER1 - 1))
-        self._slot2 = self._base2 + (((mix >> 3) ^ self._last) & (_ORDER2 - 1))
-        self._last = wide * 30011 >> 2
-
-    def _entry(self, row: int, entry: np.ndarray, ids: np.ndarray, fresh: np.ndarray) -> np.ndarray:
-        """A right prediction gains confidence; a wrong one loses it, and is replaced when it has none."""
-        kind = (ids == self.ids[row]).view(np.uint8) << 2
-        kind |= self._confidence[row]
-        made = entry + _CHANGE.take(kind)
-        np.copyto(made, fresh, where=kind == 0)
-        return made
+    def right(self, ids: np.ndarray) -> np.ndarray:
+        """Which predictions are right: a row of bytes for each order."""
+        return (self.ids[:3] == ids).view(np.uint8)
+
+    def learn(self, ids: np.ndarray, right: np.ndarray, outcome: np.ndarray) -> None:
+        """Take the true ids (int32), the right predictions, and the outcome: the first order that was right, or 3."""
+        weight = self._weight
+        self._weights[self._state] = weight - ((weight >> _FOUR) & _TOUCHED.take(outcome)) + _GAINED.take(outcome)
+        # a right prediction gains confidence; a wrong one loses it, and is replaced when it has none
+        kind = right << 2
+        kind |= self._confidence
+        entries = _CHANGE.take(kind)
+        entries += self._now
+        np.copyto(entries, (ids << 2) | 1, where=kind == 0)
+        self._entries[self._slots] = entries
+        mixed = ids.astype(np.int64)
+        mixed *= 40503
+        self._slots[0] = (((mixed >> 3) ^ self._last) & (_ORDER2 - 1)) + self._first[0]
+        self._slots[1] = ((mixed >> 4) & (_ORDER1 - 1)) + self._first[1]
+        self._last = mixed >> 7
 
 
 def _cut(at: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -159,13 +158,12 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
             low[small], span[small] = at << np.uint64(32), width << np.uint64(32)
         now = table[step]
         model.predict(span)
-        right = (model.ids[0] == now).view(np.uint8) | ((model.ids[1] == now).view(np.uint8) << 1)
-        right |= (model.ids[2] == now).view(np.uint8) << 2
-        outcome = _OUTCOME.take(right, out=outcomes[step], mode="clip")
+        right = model.right(now)
+        outcome = _OUTCOME.take(right[0] | (right[1] << 1) | (right[2] << 2), out=outcomes[step], mode="clip")
         place = model.places(outcome)
         low = low + below.take(place)
         span = ranges.take(place)
-        model.learn(now, outcome)
+        model.learn(now, right, outcome)
     closed = [_closed(words[lane], filled[lane], low[lane]) for lane in range(lanes)]
     if early is not None:
         closed[-1] = early
@@ -221,6 +219,6 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
         next_literal += outcome == 3
         low = low + below.take(place)
         span = ranges.take(place)
-        model.learn(now, outcome)
+        model.learn(now, model.right(now), outcome)
     blocks = np.ascontiguousarray(table.T).astype(IDS)
     return [blocks[lane, :n] for lane, n in enumerate(lengths)]
