@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from canteiro.operators.dedup import keep_last, split_null_keys
 
@@ -41,16 +44,21 @@ def stamped(df: DataFrame, as_of: Column) -> DataFrame:
     return df.withColumn("atualizado_em", as_of)
 
 
+BUCKETS = 64
+_MANIFEST = "bucket int, folder string, buckets int, schema string"
+
+
 class VersionedTable:
-    """Parquet table whose every change is a new complete folder.
+    """Parquet table in buckets of its key, with a list of bucket folders per version.
 
-    A version counts once Spark has committed it (its ``_SUCCESS`` marker exists), so a job that
-    dies halfway leaves the previous version readable. Keep one table per data source: a batch
-    then rewrites that source only.
+    A version counts once Spark has committed its list (the list's ``_SUCCESS`` marker exists), so a
+    job that dies halfway leaves the previous version readable. An upsert rewrites only the buckets
+    that its batch has keys in; the others are listed again. The number of buckets is fixed when
+    the table is first written; a table of n TB wants some thousand times n.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path, self._new_buckets = spark, path.rstrip("/"), buckets
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -58,40 +66,89 @@ class VersionedTable:
         """Committed versions, oldest first."""
         found = []
         for name in list_names(self.spark, self.path):
-            if name.startswith("v") and self._fs.exists(self._path(f"{self.path}/{name}/_SUCCESS")):
+            if name.startswith("v") and self._fs.exists(self._path(f"{self.path}/{name}/list/_SUCCESS")):
                 found.append(int(name[1:]))
         return sorted(found)
 
-    def folder(self, version: int) -> str:
-        return f"{self.path}/v{version:08d}"
-
-    def current(self) -> str | None:
-        versions = self.versions()
-        return self.folder(versions[-1]) if versions else None
+    def _listed(self, version: int) -> list[Row]:
+        """The list of a version: a row per bucket with rows, or one without a folder."""
+        return self.spark.read.schema(_MANIFEST).parquet(f"{self.path}/v{version:08d}/list").collect()
 
-    def read(self) -> DataFrame | None:
-        """Current version; None before the first write."""
-        folder = self.current()
-        return self.spark.read.parquet(folder) if folder else None
+    def folders(self, version: int | None = None) -> dict[int, str]:
+        """Folder of each bucket that has rows, in the newest or the given version."""
+        versions = [version] if version is not None else self.versions()[-1:]
+        return {
+            row["bucket"]: f"{self.path}/{row['folder']}" for v in versions for row in self._listed(v) if row["folder"]
+        }
 
-    def write(self, df: DataFrame) -> int:
-        """Write a complete new version and return its number."""
+    def read(self, only: Sequence[int] | None = None) -> DataFrame | None:
+        """Newest version, or some buckets of it; None before the first write."""
+        versions = self.versions()
+        if not versions:
+            return None
+        rows = self._listed(versions[-1])
+        schema = T.StructType.fromJson(json.loads(rows[0]["schema"]))
+        folders = [f"{self.path}/{r['folder']}" for r in rows if r["folder"] and (only is None or r["bucket"] in only)]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def write(self, df: DataFrame, keys: Sequence[str] = ()) -> int:
+        """Write a complete new version and return its number; without keys it is one bucket."""
+        return self._write(df, keys, self._new_buckets if keys else 1, {})
+
+    def _write(self, df: DataFrame, keys: Sequence[str], buckets: int, kept: dict[int, str]) -> int:
         version = (self.versions() or [0])[-1] + 1
-        df.write.mode("overwrite").option("compression", "zstd").parquet(self.folder(version))
+        base = f"v{version:08d}"
+        marked = df.withColumn(_BUCKET, _bucket(keys, buckets))
+        # files of one bucket come from few tasks; a bucket that is large is split among tasks
+        dealt = marked.hint("rebalance", F.col(_BUCKET)) if buckets > 1 else marked
+        writer = dealt.write.mode("overwrite").option("compression", "zstd").partitionBy(_BUCKET)
+        writer.parquet(f"{self.path}/{base}/rows")
+        schema = json.dumps(df.schema.jsonValue())
+        listed = [(bucket, folder.removeprefix(f"{self.path}/"), buckets, schema) for bucket, folder in kept.items()]
+        for name in list_names(self.spark, f"{self.path}/{base}/rows"):
+            if name.startswith(f"{_BUCKET}="):
+                listed.append((int(name.split("=")[1]), f"{base}/rows/{name}", buckets, schema))
+        rows = listed or [(None, None, buckets, schema)]
+        self.spark.createDataFrame(rows, _MANIFEST).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{base}/list")
         return version
 
     def upsert(self, batch: DataFrame, keys: Sequence[str]) -> int:
-        current = self.read()
-        return self.write(batch if current is None else upsert(current, batch, keys))
+        """Upsert a batch; pass a staged one, it is read more than once."""
+        versions = self.versions()
+        if not versions:
+            return self.write(batch, keys)
+        buckets = self._listed(versions[-1])[0]["buckets"]
+        touched = {row[0] for row in batch.select(_bucket(keys, buckets)).distinct().collect()}
+        kept = {bucket: folder for bucket, folder in self.folders().items() if bucket not in touched}
+        return self._write(upsert(self.read(sorted(touched)), batch, keys), keys, buckets, kept)
 
     def discard(self) -> None:
         self._fs.delete(self._path(self.path), True)
 
     def drop_older(self, keep: int = 2) -> None:
-        """Delete all but the newest versions. No load does this by itself: call it when no reader
-        of an older version can be running, for example a day after the newest one was written."""
-        for version in self.versions()[:-keep]:
-            self._fs.delete(self._path(self.folder(version)), True)
+        """Forget all but the newest versions and delete the folders that none of these lists. No load
+        does this by itself: call it when no reader of an older version can be running, for example a
+        day after the newest one was written."""
+        versions = self.versions()
+        used = {folder for version in versions[-keep:] for folder in self.folders(version).values()}
+        for version in versions[:-keep]:
+            base = f"{self.path}/v{version:08d}"
+            self._fs.delete(self._path(f"{base}/list"), True)
+            for name in list_names(self.spark, f"{base}/rows"):
+                if f"{base}/rows/{name}" not in used:
+                    self._fs.delete(self._path(f"{base}/rows/{name}"), True)
+
+
+_BUCKET = "_bucket"
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    """Bucket of a row by the text form of its key."""
+    if buckets == 1:
+        return F.lit(0)
+    return F.pmod(F.xxhash64(*[F.col(key).cast("string") for key in keys]), F.lit(buckets)).cast("int")
 
 
 def staging_table(spark: SparkSession, name: str, folder: str) -> VersionedTable:
@@ -114,7 +171,6 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 def read_sources(spark: SparkSession, table_path: str) -> DataFrame | None:
     """Current versions of all source tables under one folder, as one frame."""
-    children = list_names(spark, table_path)
-    folders = [VersionedTable(spark, f"{table_path}/{child}").current() for child in children]
-    folders = [folder for folder in folders if folder]
+    tables = [VersionedTable(spark, f"{table_path}/{child}") for child in list_names(spark, table_path)]
+    folders = [folder for table in tables for folder in table.folders().values()]
     return spark.read.parquet(*folders) if folders else None

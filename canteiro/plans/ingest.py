@@ -123,8 +123,8 @@ def load_dataset(
         batch, rejected = prepare_batch(staged.read(), route.keys, order or list(route.keys))
         batch, rejected = batch.drop(*order), rejected.drop(*order)
         table = VersionedTable(spark, f"{root}/{route.table}/{route.source}")
-        if table.current() is None:
-            table.write(conform(batch, table_schema(route.table)))
+        if not table.versions():
+            table.write(conform(batch, table_schema(route.table)), route.keys)
         else:
             table.upsert(batch, route.keys)
         written, without_key = batch.count(), rejected.count()
