@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canteiro.functions.dates import days_between
+from canteiro.sources.costs import cost_category, reference_cost
 
 
 def contract_counts(contracts: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def contract_counts(contracts: DataFrame) -> DataFrame:
 def features(
     works: DataFrame, contracts: DataFrame, as_of: Column, population: Column | None = None
 ) -> DataFrame:
-    """Money, schedule and contracting features.
+    """Money, schedule and contracting features, and the reference cost of the work's type.
 
     ``population`` is the municipality's, when known. Zero never stands for an unknown value.
     """
@@ -57,4 +58,6 @@ def features(
         "n_aditivos",
         "n_fornecedores",
         F.when(F.col("n_fornecedores") >= 1, F.col("n_fornecedores") == 1).alias("flag_fornecedor_unico"),
+        cost_category("tipo").alias("categoria_custo"),
+        reference_cost(cost_category("tipo")).alias("custo_m2_referencia"),
     )
