@@ -499,14 +499,68 @@ def test_pipeline_on_odd_rows(spark, odd_documents, no_documents, data):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, data).count() >= 0
 
 
-def test_pipeline_stages_follow_each_other(spark, data):
+def brute_frequent_lines(rows, most):
+    """(source, normal line) that more than ``most`` documents hold, most of them different ones."""
+    import re
+
+    normal = lambda line: re.sub("[0-9]", "0", re.sub("[ \t\n\x0b\x0c\r]+", " ", line).strip(" ").lower())
+    holders = defaultdict(set)
+    for doc, text, source in rows:
+        lines = {normal(x) for x in (text or "").split("\n")} - {""}
+        for line in lines:
+            holders[source, line].add((doc, text, min(lines), max(lines)))
+    frequent = {
+        key for key, held in holders.items() if len(held) > most and 2 * len({h[2:] for h in held}) >= len(held)
+    }
+    return frequent, normal
+
+
+def test_pipeline_against_brute_force(spark, data, vocabulary):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
-    verdict = {r.doc_id: r.kept for r in line_quality.verdicts(docs).collect()}
-    kept = spark.createDataFrame(stages["quality rules"](spark, docs, data).collect(), docs.schema)
-    assert {r.doc_id for r in kept.collect()} == {d for d, k in verdict.items() if k}
-    single = spark.createDataFrame(stages["near-duplicates"](spark, kept, data).collect(), docs.schema)
-    groups = near_dups.groups(kept).collect()
-    assert {r.doc_id for r in single.collect()} == {r.component for r in groups}
-    run = corpus_pipeline.run(spark, data)
-    assert {r.doc_id for r in run.select("doc_id").distinct().collect()} <= {r.doc_id for r in single.collect()}
+
+    def step(name, frame):
+        return spark.createDataFrame(stages[name](spark, frame, data).collect(), docs.schema)
+
+    rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+    frequent, normal = brute_frequent_lines(rows, line_quality.MAX_DOCUMENTS)
+    expected = {}
+    for doc, text, source in rows:
+        n_words, *_, repeated = brute_quality(text)
+        kept = [x for x in (text or "").split("\n") if (source, normal(x)) not in frequent]
+        left = sum(len(word_list(x)) for x in kept)
+        if n_words >= 50 and 100 * repeated <= 50 * n_words and 100 * left >= line_quality.LEAST_KEPT_PERCENT * n_words:
+            expected[doc] = "\n".join(kept)
+    cleaned = step("quality rules", docs)
+    assert {r.doc_id: r.text for r in cleaned.collect()} == expected
+    assert all(r.n_chars == len(r.text) for r in cleaned.collect())
+
+    rows = [(r.doc_id, r.text, r.source) for r in cleaned.collect()]
+    single = step("near-duplicates", cleaned)
+    assert {r.doc_id for r in single.collect()} == {c for _, _, c in brute_groups(rows, 5, 80)}
+
+    private = step("personal data", single)
+    before = {r.doc_id: r.text for r in single.collect()}
+    found = {r.doc_id: r.findings for r in pseudonyms.pseudonymized(single, corpus_pipeline.SAMPLE_KEY).collect()}
+    assert sum(len(f) for f in found.values()) > 0
+    assert all((r.text == before[r.doc_id]) == (not found[r.doc_id]) for r in private.collect())
+
+    mixed = step("mixed sources", private)
+    words = Counter()
+    for r in mixed.collect():
+        words[r.source] += len(word_list(r.text))
+    wanted = {r.source: r.n_taken for r in mixing.mix(private, seed=corpus_pipeline.SEED).sources.collect()}
+    assert words == Counter(wanted)
+
+    tokenizer = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    pieces = Counter()
+    for r in mixed.collect():
+        ids = [*tokenizer.encode(r.text, add_special_tokens=False).ids, 2]
+        start = 0
+        for length in piece_lengths(len(ids), 1024):
+            pieces[r.doc_id, start, length, zlib.crc32(np.array(ids[start : start + length], dtype="<u4").tobytes())] += 1
+            start += length
+    last = stages["packed sequences"](spark, mixed, data).collect()
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in last) == pieces
+    run = corpus_pipeline.run(spark, data).collect()
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in run) == pieces
