@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canteiro.functions import dates, geo, ids, markup, numbers, status, text
-from canteiro.operators.fields import payload_value, with_payload_maps
+from canteiro.operators.fields import first_overlapping, payload_value, with_payload_maps
 from canteiro.plans.works import place_queries
 from canteiro.queries.registry import Tables, as_of, day, query
 from canteiro.sources.costs import with_reference_cost
 from canteiro.sources.files import csv_cells, json_rows, with_cells
 from canteiro.sources.geography import perimeter_size
 from canteiro.sources.panels import match_locality
+from canteiro.sources.portal import about_works
 
 
 @query(
@@ -608,3 +609,32 @@ def json_records(t: Tables) -> DataFrame:
     rows, rejects = json_rows(texts, "texto", T.StructType.fromDDL("usuario long, tipo string"))
     lost = rejects.select("event_id", F.col("texto").alias("motivo"))
     return rows.withColumn("motivo", F.lit(None).cast("string")).unionByName(lost, allowMissingColumns=True)
+
+
+@query(
+    """
+SELECT c_custkey, 'ACAO ' || c_mktsegment || ' X' AS maiusculas, CAST(c_nationkey AS DOUBLE) + 0.5 AS numero, CAST(c_custkey AS BIGINT) AS inteiro,
+  CASE WHEN c_nationkey * 10 + 0.5 <= 180 THEN -(c_nationkey * 10 + 0.5) END::DOUBLE AS longitude, 'DRENAGEM ' || c_name AS objeto
+FROM customer WHERE c_nationkey % 3 = 0
+"""
+)
+def loose_texts(t: Tables) -> DataFrame:
+    """Column found by an overlapping name, works keywords, squeezed capitals, and numbers among other signs."""
+    rows = t.customer.selectExpr(
+        "c_custkey",
+        "concat('  Ação ', c_mktsegment, '   x ') as titulo",
+        "concat('R$ ', c_nationkey, ',5 mil') as valor",
+        "concat(' ', c_custkey, '.75') as codigo",
+        "-(c_nationkey * 10D + 0.5D) as lon",
+        "case when c_nationkey % 3 = 0 then concat('DRENAGEM ', c_name) else concat('Compra ', c_custkey) end as `Objeto da Compra`",
+    )
+    found = first_overlapping(rows.columns, "Objeto")
+    works = about_works(rows.withColumnRenamed(found, "objeto"))
+    return works.select(
+        "c_custkey",
+        text.fold_upper("titulo").alias("maiusculas"),
+        numbers.loose_number("valor").alias("numero"),
+        numbers.to_long("codigo").alias("inteiro"),
+        geo.longitude_or_null("lon").alias("longitude"),
+        "objeto",
+    )
