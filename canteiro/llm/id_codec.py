@@ -49,9 +49,7 @@ _GAINED = np.array(
     dtype=np.uint64,
 )
 # by right predictions, as bits: order 2, order 1, order 0
-_OUTCOME = np.array([3, 0, 1, 0, 2, 0, 1, 0], dtype=np.uint8)
-# change of an entry by confidence, and 4 if its prediction was right; a wrong one without confidence is replaced
-_CHANGE = np.array([0, -1, -1, -1, 1, 1, 1, 0], dtype=np.int32)
+_OUTCOME = np.array([3, 0, 1, 0, 2, 0, 1, 0], dtype=np.intp)
 
 
 class _Model:
@@ -105,12 +103,16 @@ class _Model:
         """Take the true ids (int32), the right predictions, and the outcome: the first order that was right, or 3."""
         weight = self._weight
         self._weights[self._state] = weight - ((weight >> _FOUR) & _TOUCHED.take(outcome)) + _GAINED.take(outcome)
-        # a right prediction gains confidence; a wrong one loses it, and is replaced when it has none
-        kind = right << 2
-        kind |= self._confidence
-        entries = _CHANGE.take(kind)
-        entries += self._now
-        np.copyto(entries, (ids << 2) | 1, where=kind == 0)
+        # a right prediction gains confidence; a wrong one loses it, and is replaced when it has none: the changes are
+        # 1 and -1, and a replaced entry takes all bits of the new one
+        confidence = self._confidence
+        change = right + ((confidence != 3).view(np.uint8) & right)
+        change -= np.uint8(1)
+        entries = self._now + change.view(np.int8)
+        replaced = ((right | confidence) == 0).astype(np.int32)
+        np.negative(replaced, out=replaced)
+        replaced &= entries ^ ((ids << 2) | 1)
+        entries ^= replaced
         self._entries[self._slots] = entries
         mixed = ids.astype(np.int64)
         mixed *= 40503
@@ -138,7 +140,7 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
     padded[: len(ids)] = ids
     values = padded.reshape(lanes, steps)
     table = np.ascontiguousarray(values.T)
-    outcomes = np.zeros(table.shape, dtype=np.uint8)
+    literal = np.zeros(table.shape, dtype=bool)
     model = _Model(lanes)
     below, ranges = model.below.reshape(-1), model.ranges.reshape(-1)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
@@ -159,7 +161,8 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
         now = table[step]
         model.predict(span)
         right = model.right(now)
-        outcome = _OUTCOME.take(right[0] | (right[1] << 1) | (right[2] << 2), out=outcomes[step], mode="clip")
+        outcome = _OUTCOME.take(right[0] | (right[1] << 1) | (right[2] << 2))
+        np.equal(outcome, 3, out=literal[step])
         place = model.places(outcome)
         low = low + below.take(place)
         span = ranges.take(place)
@@ -167,7 +170,7 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
     closed = [_closed(words[lane], filled[lane], low[lane]) for lane in range(lanes)]
     if early is not None:
         closed[-1] = early
-    held = np.ascontiguousarray(outcomes.T) == 3
+    held = np.ascontiguousarray(literal.T)
     held[-1, last:] = False
     literals, ends = values[held].astype(LITERALS), np.cumsum(held.sum(axis=1))
     return [
@@ -211,12 +214,12 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             low[small], span[small] = at << np.uint64(32), cut << np.uint64(32)
         model.predict(span)
         past = code - low
-        outcome = (past >= model.below[1]).view(np.uint8) + (past >= model.below[2]).view(np.uint8)
-        outcome += (past >= model.below[3]).view(np.uint8)
+        above = (past >= model.below[1:]).view(np.uint8)
+        outcome = (above[0] + above[1] + above[2]).astype(np.intp)
         literals.take(next_literal, out=model.ids[3], mode="clip")
         place = model.places(outcome)
         now = all_ids.take(place, out=table[step], mode="clip")
-        next_literal += outcome == 3
+        next_literal += above[2]
         low = low + below.take(place)
         span = ranges.take(place)
         model.learn(now, model.right(now), outcome)
