@@ -3,8 +3,9 @@
 Texts are compared as sets of word shingles. Texts with equal sets form a class; only classes are compared, so copies
 are never paired. Signatures of classes are cut into bands, and classes that agree on a band share a bucket. In each
 bucket every class is compared with the bucket's leader; the confirmed links are grouped, and then only classes of one
-bucket that are still in different groups are compared with each other. A link is confirmed on the full sets. A bucket
-of many copies of one text costs a comparison per class, not one per pair, and no pair of a bucket is left out.
+bucket that are still in different groups are compared with each other, in blocks. A link is confirmed on the full
+sets. No pair of a bucket is left out, and pairs are never rows of a table: a bucket of many versions of one text gives
+a row per version, and the blocks that are left give no more links than join them.
 
 Grouping is a union-find in rounds: each class takes the least label among its neighbours', then its label's label,
 until nothing changes. Every round is a table in the shared folder.
@@ -18,8 +19,10 @@ kept by ``without_near_duplicates``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,9 @@ WIDTH = 5
 PERCENT = 80
 BANDS = 30
 ROWS_PER_BAND = 5
+# classes and shingles of a block whose classes are compared at once
+BLOCK_ROWS = 512
+BLOCK_SHINGLES = 150_000
 
 
 def _signed(frame: DataFrame, width: int, bands: int, rows_per_band: int) -> DataFrame:
@@ -82,18 +88,75 @@ def _large_enough(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough; texts: node, text of each class."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    found = written(_sets(texts.join(wanted, "node", "left_semi"), width).dropDuplicates(["node"]), "sets")
-    both = pairs.join(found.select(F.col("node").alias("a"), F.col("found").alias("fa")), "a").join(
-        found.select(F.col("node").alias("b"), F.col("found").alias("fb")), "b"
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("found").alias("fa")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("found").alias("fb")), "b"
     )
     shared = F.size(F.array_intersect("fa", "fb"))
     union = F.size("fa") + F.size("fb") - shared
     return both.where(100 * shared.cast("long") >= percent * union.cast("long")).select("a", "b")
 
 
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes of one bucket that have different roots; members: bucket, node, root, size.
+
+    Buckets with the same members are taken once. A bucket's classes are dealt into blocks of bounded size, and each
+    pair of blocks is compared as a whole: its task counts the shared shingles of all pairs in an array and returns
+    no more links than join the roots it has seen. So pairs are never rows, and a task holds two blocks.
+    """
+    apart = members.groupBy("bucket").agg(
+        F.count("*").alias("n"),
+        F.sum("size").alias("shingles"),
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+        # a key of the member set that doesn't depend on order
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("key_1"),
+        F.sum(F.xxhash64(F.lit(1), "node").cast("decimal(38,0)")).alias("key_2"),
+    )
+    # the leader of a bucket of two was compared with the other one
+    wanted = apart.where("n > 2 AND low != high")
+    once = wanted.groupBy("key_1", "key_2", "n").agg(F.min("bucket").alias("bucket"), F.max("shingles").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.ceil(F.col("n") / BLOCK_ROWS)).cast("int")
+    dealt = members.join(once.select("bucket", blocks.alias("blocks")), "bucket").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    )
+    packed = (
+        dealt.join(sets, "node")
+        .groupBy("bucket", "block")
+        .agg(F.collect_list(F.struct("node", "root", "found")).alias("items"))
+    )
+    packed = written(packed, "blocks")
+    left = packed.select("bucket", F.col("block").alias("left_block"), F.col("items").alias("left_items"))
+    right = packed.select("bucket", F.col("block").alias("right_block"), F.col("items").alias("right_items"))
+    met = left.join(right, "bucket").where("left_block <= right_block").select("left_items", "right_items")
+    return in_tasks(met, partial(_compared, percent), "a binary, b binary").distinct()
+
+
+def _compared(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    from canteiro.llm.shingles import links_between
+
+    for batch in batches:
+        for index in range(batch.num_rows):
+            sides = []
+            for name in ("left_items", "right_items"):
+                items = batch.column(name)[index].values
+                found = items.field("found")
+                sides.append(
+                    (
+                        items.field("node").to_pylist(),
+                        items.field("root").to_pylist(),
+                        found.flatten().to_numpy(zero_copy_only=False),
+                        pc.list_value_length(found).to_numpy(zero_copy_only=False),
+                    )
+                )
+            links = links_between(*sides, percent)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in links], type=pa.binary()), pa.array([b for _, b in links], type=pa.binary())],
+                names=["a", "b"],
+            )
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and root of each node that a link (a, b) names; the root is the least node reachable."""
     edges = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "edges")
@@ -150,27 +213,28 @@ def groups(
         "pairs",
     )
 
-    # one text for each class that shares a bucket
+    # the full set of each class that shares a bucket, from one of its texts
     owners = classes.join(sizes.select("node"), "node", "left_semi").select("node", F.col("least").alias("owner"))
-    named = texts.join(owners, F.col("doc").eqNullSafe(F.col("owner"))).select("node", "text")
-    links = written(_confirmed(pairs, named, percent, width), "links")
+    named = texts.join(owners.select("owner").distinct(), F.col("doc").eqNullSafe(F.col("owner")), "left_semi")
+    listed = _sets(named, width).join(sizes.select("node"), "node", "left_semi")
+    sets = written(listed.dropDuplicates(["node"]), "sets")
+    links = written(_confirmed(pairs, sets, percent), "links")
     roots = components(links)
 
     # classes of a bucket that are not together yet
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    apart = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    open_members = written(placed.join(apart.select("bucket"), "bucket", "left_semi").drop("leader"), "open")
-    left, right = open_members.alias("l"), open_members.alias("r")
-    near = (
-        (F.col("l.bucket") == F.col("r.bucket"))
-        & (F.col("l.root") < F.col("r.root"))
-        & _large_enough(F.col("l.size"), F.col("r.size"), percent)
+    placed = written(
+        members.drop("leader").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "members"
     )
-    across = left.join(right, near).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
-    tested = pairs.select("a", "b").union(pairs.select("b", "a"))
-    more = written(_confirmed(written(across.join(tested, ["a", "b"], "left_anti"), "pairs"), named, percent, width), "links")
+    more = written(_across(placed, sets, percent), "links")
     if not more.isEmpty():
-        roots = components(links.union(more))
+        # groups that a new link joins: a link between nodes is a link between their roots
+        tops = placed.select("node", "root").distinct()
+        lifted = more.join(tops.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a").join(
+            tops.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b"
+        )
+        joined = components(lifted.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        above = joined.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        roots = tops.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
 
     placed = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = placed.groupBy("root").agg(F.min("least").alias("component"))

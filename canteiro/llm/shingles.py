@@ -194,3 +194,64 @@ def set_key(found: np.ndarray) -> bytes:
     total = np.add.reduce(mixed(found))
     other = np.bitwise_xor.reduce(mixed(found ^ np.uint64(0xA0761D6478BD642F)))
     return total.tobytes() + other.tobytes()
+
+
+# (node, root, all shingles, shingles per node) of a block
+Block = tuple[list[bytes], list[bytes], np.ndarray, np.ndarray]
+# shared shingles counted at once
+_COUNTED_AT_ONCE = 1_000_000
+
+
+def shared_counts(left: Block, right: Block) -> np.ndarray:
+    """How many shingles each node of one block shares with each node of the other."""
+    _, _, left_found, left_sizes = left
+    _, _, right_found, right_sizes = right
+    counts = np.zeros(len(left_sizes) * len(right_sizes), dtype=np.int32)
+    order = np.argsort(right_found, kind="stable")
+    sorted_found = right_found[order]
+    right_rows = np.repeat(np.arange(len(right_sizes)), right_sizes)[order]
+    first = np.searchsorted(sorted_found, left_found, side="left")
+    held = np.searchsorted(sorted_found, left_found, side="right") - first
+    left_rows = np.repeat(np.arange(len(left_sizes)), left_sizes)
+    some = held > 0
+    first, held, left_rows = first[some], held[some], left_rows[some]
+    done = np.cumsum(held)
+    begin = 0
+    while begin < len(held):
+        base = done[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(done, base + _COUNTED_AT_ONCE, side="right")))
+        n = held[begin:end]
+        total = int(n.sum())
+        places = np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[begin:end], n)
+        cells = np.repeat(left_rows[begin:end], n) * len(right_sizes) + right_rows[places]
+        counts += np.bincount(cells, minlength=len(counts)).astype(np.int32)
+        begin = end
+    return counts.reshape(len(left_sizes), len(right_sizes))
+
+
+def links_between(left: Block, right: Block, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links between nodes of different roots, as many as join the roots: a forest over them."""
+    shared = shared_counts(left, right).astype(np.int64)
+    union = left[3].astype(np.int64)[:, None] + right[3].astype(np.int64)[None, :] - shared
+    names: dict[bytes, int] = {}
+    left_roots = np.array([names.setdefault(root, len(names)) for root in left[1]])
+    right_roots = np.array([names.setdefault(root, len(names)) for root in right[1]])
+    alike = (100 * shared >= percent * union) & (left_roots[:, None] != right_roots[None, :])
+    parent = list(range(len(names)))
+
+    def top(root: int) -> int:
+        while parent[root] != root:
+            parent[root] = parent[parent[root]]
+            root = parent[root]
+        return root
+
+    links = []
+    rows, columns = np.nonzero(alike)
+    # one link for each pair of roots is enough
+    _, kept = np.unique(left_roots[rows] * len(names) + right_roots[columns], return_index=True)
+    for row, column in zip(rows[kept].tolist(), columns[kept].tolist(), strict=True):
+        a, b = top(left_roots[row]), top(right_roots[column])
+        if a != b:
+            parent[a] = b
+            links.append((left[0][row], right[0][column]))
+    return links
