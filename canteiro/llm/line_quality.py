@@ -1,10 +1,10 @@
 """Quality rules: text measures of each document, and lines that many documents of a host share.
 
 A line is hashed in a normal form (A-Z and other capitals lowered, runs of white space as one space, digits as 0). A
-line is *frequent* on a host when more than ``max_documents`` of its documents hold it and these documents are mostly
-different ones: at least half as many bodies as documents, a body being the least and the greatest line of a document.
-Copies of one page therefore do not make their own lines frequent. Frequent lines are removed; a document that keeps
-less than ``least_kept_percent`` of its words is depleted and rejected.
+line is *frequent* on a host when more than ``max_documents`` different texts of the host hold it. Copies of one text
+count once, so they do not make their own lines frequent, nor do they hide that other documents share a line; texts that
+differ in anything are different documents. Frequent lines are removed, from copies too; a document that keeps less than
+``least_kept_percent`` of its words is depleted and rejected.
 
 Defined cases: NULL and empty texts have no words and no lines and fail the base rules; a NULL host is a host of its
 own; rows that repeat get the same verdict; extra columns are kept by ``clean`` and ignored by ``verdicts``; an empty
@@ -131,18 +131,16 @@ def document_lines(documents: DataFrame, id_column: str, text_column: str, host_
         "doc",
         "content",
         "host",
-        F.xxhash64(F.array_min("lines"), F.array_max("lines")).alias("body"),
         F.posexplode("lines").alias("place", "text"),
     ).select(
         "doc",
         "content",
         "host",
-        "body",
         "place",
         F.xxhash64("text").alias("line"),
         _words_in_normal_line(F.col("text")).alias("n_words"),
     )
-    return rows.groupBy("doc", "content", "host", "body", "line").agg(
+    return rows.groupBy("doc", "content", "host", "line").agg(
         (F.max("n_words") * F.size(F.collect_set("place"))).cast("long").alias("n_words")
     )
 
@@ -156,16 +154,16 @@ def removed_lines(
 ) -> DataFrame:
     """The frequent lines of each document that has some: doc, content, lines (hashes), words_removed.
 
-    Rows are counted by (host, line, body) first and then by (host, line), both with partial sums, so a line that a
-    third of all documents hold meets as few rows.
+    Copies are collapsed by (host, line, content) first and then counted by (host, line), both with partial aggregates,
+    so a line that a third of all documents hold meets as few rows.
     """
     rows = written(document_lines(documents, id_column, text_column, host_column), "lines")
     frequent = (
-        rows.groupBy("host", "line", "body")
-        .agg(F.count("*").alias("n"))
+        rows.select("host", "line", "content")
+        .distinct()
         .groupBy("host", "line")
-        .agg(F.sum("n").alias("n_documents"), F.count("*").alias("n_bodies"))
-        .where((F.col("n_documents") > max_documents) & (2 * F.col("n_bodies") >= F.col("n_documents")))
+        .agg(F.count("*").alias("n_documents"))
+        .where(F.col("n_documents") > max_documents)
         .select("host", "line")
     )
     return (

@@ -69,6 +69,23 @@ def test_shared_lines_deplete_documents_but_copies_do_not(spark):
     assert texts[300] == f"{common}\n{own(300)}" and texts[200] == copy
 
 
+def test_copies_and_templates_do_not_hide_shared_lines(spark):
+    letters = lambda i: str(i).translate(str.maketrans("0123456789", "abcdefghij"))
+    own = lambda i: " ".join(f"own{letters(i)}x{letters(k)}" for k in range(60))
+    rows = [(i, f"shared line\n{own(i)}", "copies") for i in range(60)]
+    rows += [(100 + i, f"shared line\n{own(100)}", "copies") for i in range(200)]
+    rows += [(400 + i, f"(c) 2024 all rights\n{own(400 + i)}\n» next", "template") for i in range(21)]
+    rows += [(500 + i, f"few\n{own(500 + i)}", "limit") for i in range(20)]
+    rows += [(600 + i, f"few\n{own(500)}", "limit") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    texts = {r.doc_id: r.text for r in line_quality.clean(frame).collect()}
+    assert all(texts[i] == own(i) for i in range(60)) and all(texts[100 + i] == own(100) for i in range(200))
+    assert all(texts[400 + i] == own(400 + i) for i in range(21))
+    assert all(texts[d] == t for d, t, h in rows if h == "limit")
+    removed = {r.doc_id: r.words_removed for r in line_quality.verdicts(frame).collect()}
+    assert {removed[d] for d, _, h in rows if h == "copies"} == {2} and removed[400] == 6 and removed[500] == 0
+
+
 def test_quality_keeps_columns(odd_documents, no_documents):
     assert line_quality.clean(odd_documents).columns == odd_documents.columns
     assert line_quality.clean(no_documents).count() == 0
