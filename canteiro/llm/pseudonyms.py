@@ -8,7 +8,7 @@ secrets have no number to permute; they get a keyed digest in their form.
 | kind | validated by | stays |
 |---|---|---|
 | card | 13 to 19 digits, Luhn check | first digit, length, separators; new check digit |
-| phone | separators, +country | country code, layout; area and exchange codes stay valid |
+| phone | separators, or + and 8 to 15 digits in groups | country code, layout; area and exchange codes stay valid |
 | social | ddd-dd-dddd | layout |
 | address | four numbers up to 255 | layout |
 | date | calendar, years 1900 to 2099 | layout, order of day and month |
@@ -34,12 +34,22 @@ KINDS = ("mail", "key", "secret", "address", "date", "social", "card", "phone")
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _YEAR, _MONTH, _DAY = "(?:19|20)[0-9]{2}", "(?:0?[1-9]|1[0-2])", "(?:0?[1-9]|[12][0-9]|3[01])"
-MAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]*+@(?:[A-Za-z0-9\-]++\.){1,8}[A-Za-z]{2,24}"
+# a mail takes the whole run of its local part; a name has up to 253 characters, so up to 126 labels
+_LOCAL = r"A-Za-z0-9\u00C0-\u024F._%+'\-"
+MAIL = (
+    rf"(?<![{_LOCAL}])[{_LOCAL}]++@(?:[A-Za-z0-9\u00C0-\u024F\-]++\.){{1,126}}(?:xn--[A-Za-z0-9\-]{{1,59}}|[A-Za-z]{{2,63}})"
+)
+# signs before the first letter or digit of a mail are not part of it
+_BEFORE_MAIL = r"^[._%+'\-]+(?=[^._%+'\-@])"
 KEY = r"\bAKIA[0-9A-Z]{16}\b"
+# a value goes to its closing quote on the line, else to white space or a quote that ends a word
+_QUOTED = r"{q}[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+){{0,200}}(?={q})"
 SECRET = (
-    r"\b(?i:password|passwd|secret|token|api[_\-]?key)[\x20\t]{0,4}[=:][\x20\t]{0,4}[\"']?"
-    r"(?=[A-Za-z+/_\-]{0,64}[0-9])[0-9A-Za-z+/_\-]{8,128}"
+    r"(?<![A-Za-z0-9])(?i:password|passwd|secret|token|api[_\-]?key)(?:\\{0,3}[\"'])?[\x20\t]*+[=:]{1,2}>?[\x20\t]*+"
+    + "(?:" + _QUOTED.format(q='"') + "|" + _QUOTED.format(q="'")
+    + r"|[\"']?(?=\S{6})[^\s\"']++(?:[\"'](?=[A-Za-z0-9])[^\s\"']*+){0,200})"
 )
+LEAST_SECRET = 6
 ADDRESS = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 DATE = (
     rf"(?<![0-9/.\-])(?:{_YEAR}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])|{_DAY}[/.]{_MONTH}[/.]{_YEAR}"
@@ -48,8 +58,8 @@ DATE = (
 SOCIAL = r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ \-])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}[ \-][0-9]{6}[ \-][0-9]{5})(?![0-9])"
 PHONE = (
-    r"(?<![0-9A-Za-z+])(?:(?:\+[0-9]{1,3}[ .\-]?)?(?:\([0-9]{3}\)[ .\-]?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}"
-    r"|\+[0-9]{8,15}|\+[0-9]{1,3}(?:[ .\-][0-9]{2,4}){2,5})(?![0-9])"
+    r"(?<![0-9A-Za-z+])(?:(?:\+1[ .\-]?)?(?:\([0-9]{3}\)[ .\-]?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}"
+    r"|\+[0-9](?:(?:[ .\-/]?\(|\)[ .\-/]?|[ .\-/])?[0-9]){7,14})(?![0-9])"
 )
 _CARD_IN_PATTERN = CARD.replace(r"([ \-])", r"(?<gap>[ \-])").replace(r"\1", r"\k<gap>")
 PATTERN = f"{MAIL}|{KEY}|{SECRET}|(?=[0-9+(])(?:{ADDRESS}|{DATE}|{SOCIAL}|{_CARD_IN_PATTERN}|{PHONE})"
@@ -128,7 +138,7 @@ def _card(text: Column, of: RoundHash) -> Column:
 
 
 def _phone(text: Column, of: RoundHash) -> Column:
-    """The last ten digits with valid area and exchange codes, else all digits after the country code."""
+    """Ten digits, after 1 or nothing, with valid area and exchange codes; else all digits after the country code."""
 
     def numbered(digits: Column) -> Column:
         n = F.char_length(digits)
@@ -138,11 +148,12 @@ def _phone(text: Column, of: RoundHash) -> Column:
         valid = let(
             pair, lambda p: F.concat(country, _padded(p["l"] + 200, 3), _padded(p["r"] + 2_000_000, 7))
         )
-        kept = F.when(text.startswith("+"), 2).otherwise(0)
+        code = F.char_length(F.regexp_extract(text, r"^\+([0-9]{1,3})(?![0-9])", 1))
+        kept = F.when(~text.startswith("+"), 0).when(code > 0, code).otherwise(2)
         other = F.concat(
             F.substring(digits, F.lit(1), kept), _permuted_digits(F.substring(digits, kept + 1, n), of)
         )
-        fits = (n >= 10) & (area >= 200) & (exchange >= 200)
+        fits = ((n == 10) & ~text.startswith("+") | (n == 11) & digits.startswith("1")) & (area >= 200) & (exchange >= 200)
         return _laid_out(text, F.when(fits, valid).otherwise(other))
 
     return let(_digits(text), numbered)
@@ -191,20 +202,38 @@ def _digest(key: str, text: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), text), 256)
 
 
+def _secret_parts(text: Column) -> tuple[Column, Column]:
+    """What stands before the value of a secret, and the value."""
+    head = F.regexp_extract(text, r"^[^=:]*[=:]{1,2}>?[\x20\t]*[\"']?", 0)
+    return head, F.substring(text, F.char_length(head) + 1, F.char_length(text))
+
+
+def is_secret(text: Column) -> Column:
+    """A word of letters alone is no secret."""
+    value = _secret_parts(text)[1]
+    return (F.char_length(value) >= LEAST_SECRET) & value.rlike("[0-9@]|AKIA")
+
+
 def _secret(text: Column, key: str) -> Column:
-    head = F.regexp_extract(text, r"^[^=:]*[=:][\x20\t]{0,4}[\"']?", 0)
-    value = F.substring(text, F.char_length(head) + 1, F.char_length(text))
-    digest = _digest(key, value)
-    return F.concat(head, F.substring(F.concat(digest, digest), F.lit(1), F.char_length(value)))
+    """The digest of the value, repeated up to the value's length."""
+    head, value = _secret_parts(text)
+    times = whole_part(F.char_length(value), 64).cast("int") + 1
+    return F.concat(head, F.substring(F.repeat(_digest(key, value), times), F.lit(1), F.char_length(value)))
+
+
+def _mail(text: Column, key: str) -> Column:
+    before = F.regexp_extract(text, _BEFORE_MAIL, 0)
+    mail = F.substring(text, F.char_length(before) + 1, F.char_length(text))
+    return F.concat(before, F.lit("u"), F.substring(_digest(key, F.lower(mail)), 1, 16), F.lit("@mail.invalid"))
 
 
 def kind_of(match: Column) -> Column:
     """Kind of a match of the pattern; NULL when it isn't valid."""
     whole = lambda pattern: match.rlike(rf"^(?:{pattern})$")
     return (
-        F.when(match.contains("@"), "mail")
+        F.when(match.rlike("[=:]"), F.when(is_secret(match), "secret"))
+        .when(match.contains("@"), "mail")
         .when(whole(KEY), "key")
-        .when(match.rlike("[=:]"), "secret")
         .when(whole(ADDRESS), "address")
         .when(whole(DATE), F.when(_day_of(match)[0].isNotNull(), "date"))
         .when(whole(SOCIAL), "social")
@@ -219,7 +248,7 @@ def pseudonym(kind: Column, match: Column, key: str) -> Column:
     letters = F.translate(F.substring(_digest(key, match), 1, 16), "0123456789abcdef", "ABCDEFGHIJKLMNOP")
     return (
         F.when(kind.isNull(), match)
-        .when(kind == "mail", F.concat(F.lit("u"), F.substring(_digest(key, F.lower(match)), 1, 16), F.lit("@mail.invalid")))
+        .when(kind == "mail", _mail(match, key))
         .when(kind == "key", F.concat(F.lit("AKIA"), letters))
         .when(kind == "secret", _secret(match, key))
         .when(kind == "address", _address(match, of))

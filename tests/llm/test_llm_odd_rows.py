@@ -209,6 +209,53 @@ def test_forms_are_kept(spark):
         assert found and found[1] == found[2] and found[1] != value, (value, new)
 
 
+JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+
+
+PERSONAL = [
+    ("_jane.doe@example.com_", r"_u[0-9a-f]{16}@mail\.invalid_"),
+    ("-bob@example.org", r"-u[0-9a-f]{16}@mail\.invalid"),
+    ("'o'brien@example.org'", r"'u[0-9a-f]{16}@mail\.invalid'"),
+    ("müller@example.org", r"u[0-9a-f]{16}@mail\.invalid"),
+    ("__@example.org", r"u[0-9a-f]{16}@mail\.invalid"),
+    ("x@" + "a." * 20 + "com", r"u[0-9a-f]{16}@mail\.invalid"),
+    ("+44 7911 123456", r"\+44 \d{4} \d{6}"),
+    ("+33 1 23 45 67 89", r"\+33 \d \d\d \d\d \d\d \d\d"),
+    ("+49 30 12345678", r"\+49 \d\d \d{8}"),
+    ("+49 (30) 123456-78", r"\+49 \(\d\d\) \d{6}-\d\d"),
+    ("+1.9525554063", r"\+1\.\d{10}"),
+    ("password: P@ssw0rd123", r"password: [0-9a-f]{11}"),
+    ("password: P@ss'w0rd123", r"password: [0-9a-f]{12}"),
+    ('"password": "abcd12345"', r'"password": "[0-9a-f]{9}"'),
+    ('"password": "four words 4 you"', r'"password": "[0-9a-f]{16}"'),
+    ("{'api_key':'abcd12345','n':1}", r"\{'api_key':'[0-9a-f]{9}','n':1\}"),
+    ("access_token = " + "ab12" * 50, r"access_token = [0-9a-f]{200}"),
+    (f"token={JWT}", rf"token=[0-9a-f]{{{len(JWT)}}}"),
+    ("token=bob@example.com", r"token=[0-9a-f]{15}"),
+]
+
+
+def test_forms_of_personal_data(spark):
+    import re
+
+    made = pseudonymized(spark, [t for text, _ in PERSONAL for t in (text, f"see {text} and")])
+    for (text, form), new, inside in zip(PERSONAL, made[::2], made[1::2], strict=True):
+        assert re.fullmatch(form, new) and new != text, (text, new)
+        assert inside == f"see {new} and"
+
+
+def test_mails_stay_linked_and_phones_apart(spark):
+    new = pseudonymized(spark, ["_jane@example.com_", "jane@example.com", "+44 7911 123456 2024", "+44 7911 123456"])
+    assert new[0] == f"_{new[1]}_" and new[2] == f"{new[3]} 2024"
+    numbers = [f"+33 1 23 45 {i:02d} 89" for i in range(100)]
+    assert len(set(pseudonymized(spark, numbers))) == 100
+
+
+def test_words_and_long_runs_stay_or_end(spark):
+    texts = ["token: nothing", 'secret: "nothing here"', "token=" * 20_000, "a." * 50_000, "a@" + "b." * 50_000, "+1 " * 30_000]
+    assert pseudonymized(spark, texts) == texts
+
+
 def test_what_is_not_valid_stays(spark):
     texts = [
         "4556737586899856",
