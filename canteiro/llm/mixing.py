@@ -9,8 +9,8 @@ Sources weigh 1, 2, 3, repeating, by the code points of their names, NULL last,
 target stops at ``most_repeats`` times its source's words; the excess goes to the others by weight until none is above.
 
 Defined cases: NULL texts have no words and are never taken; a NULL source is a source of its own; rows that repeat
-are taken like any others; a source without words has target 0; an empty table gives an empty mix; other columns are
-ignored. Each source's taken words equal its target, rounded.
+are taken like any others; a source without words has target 0; an empty table gives an empty mix; other columns only
+tell rows apart. Each source's taken words equal its target, rounded.
 """
 
 from __future__ import annotations
@@ -37,9 +37,9 @@ CELL_BITS = 14
 class Mix:
     """The parts of a mix; all are tables in the shared folder or cheap plans over them."""
 
-    documents: DataFrame  # row, doc, content, source_id, size
+    documents: DataFrame  # row, doc, content, rest, source_id, size
     sources: DataFrame  # source_id, source, source_size, target, n_taken
-    pieces: DataFrame  # slot, source_id, block, row, doc, content, epoch, word_start, n_words
+    pieces: DataFrame  # slot, source_id, block, row, doc, content, rest, epoch, word_start, n_words
 
 
 def targets(sizes: DataFrame, most_repeats: int = MOST_REPEATS) -> DataFrame:
@@ -92,6 +92,16 @@ def _schedule(spark: SparkSession, sources: DataFrame, n_slots: int) -> DataFram
     return ranked.select("slot", "source_id", "block")
 
 
+def _rest(documents: DataFrame, *known: str) -> Column:
+    """64-bit hash of the other columns; maps, which have no hash, as JSON texts."""
+    others = [
+        F.to_json(F.struct(F.col(f"`{name}`")), {"ignoreNullFields": "false"}) if "map<" in kind else F.col(f"`{name}`")
+        for name, kind in documents.dtypes
+        if name not in known
+    ]
+    return row_hash(*others) if others else F.lit(0).cast("long")
+
+
 def mix(
     documents: DataFrame,
     id_column: str = "doc_id",
@@ -107,6 +117,7 @@ def mix(
             F.col(id_column).alias("doc"),
             F.col(source_column).alias("source"),
             row_hash(text_column).alias("content"),
+            _rest(documents, id_column, text_column, source_column).alias("rest"),
             word_count(text_column).alias("size"),
             F.monotonically_increasing_id().alias("row"),
         ),
@@ -130,7 +141,7 @@ def mix(
     order = F.xxhash64(F.lit(seed), "doc", "content")
     hashed = rows.withColumn("key", order).withColumn("bucket", F.shiftright("key", 64 - BUCKET_BITS))
     placed = with_running_total(
-        hashed.where("size > 0"), ["source_id"], "bucket", ["key", "doc", "content", "row"], F.col("size"), "at"
+        hashed.where("size > 0"), ["source_id"], "bucket", ["key", "doc", "content", "rest", "row"], F.col("size"), "at"
     )
     spread = placed.join(
         cut.where("n_taken > 0").select("source_id", "source_size", "n_taken", "block_size", "late"), "source_id"
@@ -152,6 +163,7 @@ def mix(
         "row",
         "doc",
         "content",
+        "rest",
         "epoch",
         (first - F.col("begin")).cast("long").alias("word_start"),
         (after - first).cast("long").alias("n_words"),
@@ -168,20 +180,29 @@ def mix(
 def mixed_texts(documents: DataFrame, text_column: str = "text", **options: object) -> DataFrame:
     """The mix as documents: a row for each time that a document is taken, cut where its source's target ends.
 
-    All columns are kept; rows that were equal are taken together.
+    All columns are kept. Rows that share id, source and text are told apart by a hash of their other columns; rows that
+    are equal in all columns stand for each other.
     """
     made = mix(documents, text_column=text_column, **options)
     id_column = options.get("id_column", "doc_id")
     source_column = options.get("source_column", "source")
-    taken = made.pieces.groupBy("row", "doc", "content", "source_id", "epoch").agg(F.sum("n_words").alias("__taken"))
+    taken = made.pieces.groupBy("row", "doc", "content", "rest", "source_id", "epoch").agg(F.sum("n_words").alias("__taken"))
     names = made.sources.select("source_id", F.col("source").alias("__source"))
     taken = taken.join(names, "source_id").select(
-        F.col("doc").alias("__doc"), F.col("content").alias("__content"), "__source", "__taken"
+        F.col("doc").alias("__doc"),
+        F.col("content").alias("__content"),
+        F.col("rest").alias("__others"),
+        "__source",
+        "__taken",
+    )
+    hashed = documents.withColumns(
+        {"__hash": row_hash(text_column), "__rest": _rest(documents, id_column, text_column, source_column)}
     )
-    rows = documents.withColumn("__hash", row_hash(text_column)).dropDuplicates([id_column, source_column, "__hash"])
+    rows = hashed.dropDuplicates([id_column, source_column, "__hash", "__rest"])
     same = (
         F.col(id_column).eqNullSafe(F.col("__doc"))
         & (F.col("__hash") == F.col("__content"))
+        & (F.col("__rest") == F.col("__others"))
         & F.col(source_column).eqNullSafe(F.col("__source"))
     )
     joined = rows.join(taken, same)

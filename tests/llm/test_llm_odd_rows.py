@@ -349,6 +349,16 @@ def test_mixed_texts(odd_documents, odd_rows, no_documents):
     assert mixing.mixed_texts(no_documents).count() == 0
 
 
+def test_mixed_texts_keep_the_columns_of_rows_with_one_text(spark):
+    rows = [(1, "a b c d e", "s", lang, tags) for lang, tags in (("en", {"k": 1}), ("fr", {"k": 1}), ("fr", {"k": 2}))]
+    rows += [(2, "f g h", "s", "de", None)] * 2 + [(3, "i j", "s", None, {}), (3, "i j", "s", "", {})]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, tags map<string, int>")
+    shape = lambda d, t, s, lang, tags: (d, t, s, lang, repr(tags))
+    for parts in (1, 3):
+        made = mixing.mixed_texts(frame.repartition(parts), seed=1, block_words=2).collect()
+        assert Counter(shape(*r) for r in made) == Counter(shape(*r) for r in rows)
+
+
 # ids, packing, counts
 
 
