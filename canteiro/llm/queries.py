@@ -133,6 +133,14 @@ def op10_packed(spark: SparkSession, folder: str) -> DataFrame:
     return made.withColumnRenamed("doc", "doc_id")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    from canteiro.llm.negatives import hard_negatives
+
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
 # name -> (query, checking SQL or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_mixed_sources": (op1_mixed_sources, None),
@@ -145,4 +153,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_top_k": (op8_top_k, checks.TOP_K),
     "op9_warc": (op9_warc, checks.WARC),
     "op10_packed": (op10_packed, None),
+    "op11_hard_negatives": (op11_hard_negatives, checks.HARD_NEGATIVES),
 }

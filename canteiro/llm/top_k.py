@@ -1,17 +1,14 @@
 """Exact top-k by inner product of whole-number weights, term at a time over postings.
 
-Queries and candidates are packed into blocks of rows, and every query block meets every candidate block once. A task
-turns a candidate block into postings, one list of (row, weight) per term. Terms are taken one after the other: the
-queries that hold the term scatter their weight times the posting weights into a dense array of scores. The best k of
-each query are found by partition selection, ties at the k-th score included, and the lists of all blocks are merged.
-
-Blocks bound the memory of a task; the work is queries times candidates, as an exhaustive search must be, and it is
-spread over (query block, candidate group) pairs. No pair of rows is ever a row of Spark's.
-
-Defined cases: a vector that is NULL, or holds a NULL, NaN or infinite component, takes no part, nor does a row
-without id or with a weight of 2**31 or more; missing components of shorter vectors count as 0; equal rows are one
-row, rows that share an id are told apart by their vectors; fewer than k candidates give fewer rows; an empty table
-gives an empty table; other columns are ignored.
+Asking rows and blocks of all rows meet in cells (``blocks``). A task turns a block into postings, one list of
+(row, weight) per term. Terms are taken one after the other: the asking rows that hold the term scatter their weight times
+the posting weights into a dense array of scores. The best k of each asking row are found by partition selection, ties at
+the k-th score included, and merged with those of the blocks before; the lists of all cells are merged by rank.
+
+Defined cases: a vector that is NULL, or holds a NULL, NaN or infinite component, takes no part, nor does a row without
+id; missing components of shorter vectors count as 0; rows that repeat, or share an id, are rows of their own, and a row
+is left out of its own candidates only as that row; a score beyond a long counts as the long's end; fewer than k
+candidates give fewer rows; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,113 +20,86 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from canteiro.llm.common import in_tasks, written
-
-QUERY_ROWS = 512
-CANDIDATE_ROWS = 4096
-# queries that scatter at once, so their scores stay in a core's cache
+from canteiro.llm.blocks import (
+    Chunk,
+    asked_weights,
+    asking_rows,
+    best,
+    blocked,
+    dealt,
+    exact,
+    held,
+    in_cells,
+    longs,
+    padded,
+)
+from canteiro.llm.common import written
+
+# asking rows that scatter at once, so their scores stay in a core's cache
 SCATTER_ROWS = 64
-# candidate blocks are dealt to this many groups; query blocks are copied to each
-CANDIDATE_GROUPS = 64
-OWN = np.iinfo(np.int64).min
-
-
-def weights(vector: str | Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component as a long; NULL when the vector takes no part."""
-    vector = F.col(vector) if isinstance(vector, str) else vector
-    scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
-    fits = F.forall(
-        vector,
-        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) * scale < float(2**31)),
-    )
-    return F.when(fits, scaled.cast("array<long>"))
-
-
-def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows (id, weights) packed into blocks: block, ids, lengths, flat weights."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, n = TaskContext.get().partitionId(), 0
-        ids: list[int] = []
-        vectors: list[list[int]] = []
-        for batch in batches:
-            ids += batch.column("id").to_pylist()
-            vectors += batch.column("weights").to_pylist()
-            while len(ids) >= size:
-                yield _block((part << 32) + n, ids[:size], vectors[:size])
-                ids, vectors, n = ids[size:], vectors[size:], n + 1
-        if ids:
-            yield _block((part << 32) + n, ids, vectors)
-
-    return in_tasks(rows, pack, "block long, ids array<long>, lengths array<int>, flat array<long>")
-
-
-def _block(block: int, ids: list[int], vectors: list[list[int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([block], type=pa.int64()),
-            pa.array([ids], type=pa.list_(pa.int64())),
-            pa.array([[len(v) for v in vectors]], type=pa.list_(pa.int32())),
-            pa.array([[w for v in vectors for w in v]], type=pa.list_(pa.int64())),
-        ],
-        names=["block", "ids", "lengths", "flat"],
-    )
-
-
-class _Rows:
-    """The rows of a block by term."""
-
-    def __init__(self, ids: np.ndarray, lengths: np.ndarray, flat: np.ndarray):
-        self.ids = ids
-        row = np.repeat(np.arange(len(ids)), lengths)
-        term = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        held = flat != 0
-        order = np.argsort(term[held], kind="stable")
-        self._row, self._weight, terms = row[held][order], flat[held][order], term[held][order]
-        self._terms, starts = np.unique(terms, return_index=True)
-        self._ends = np.append(starts, len(terms))
-        self._place = {int(t): k for k, t in enumerate(self._terms)}
-        self._lengths, self._flat = lengths, flat
-        self._starts = np.cumsum(lengths) - lengths
-
-    def terms(self) -> Iterator[int]:
-        return iter(self._place)
-
-    def postings(self, term: int) -> tuple[np.ndarray, np.ndarray] | None:
-        k = self._place.get(term)
-        return None if k is None else (self._row[self._ends[k] : self._ends[k + 1]], self._weight[self._ends[k] : self._ends[k + 1]])
-
-    def vector(self, row: int) -> bytes:
-        start = self._starts[row]
-        return self._flat[start : start + self._lengths[row]].tobytes()
-
-
-def block_scores(queries: _Rows, candidates: _Rows, first: int, last: int) -> np.ndarray:
-    """Scores of queries first to last - 1 with all candidates, the query's own row marked."""
-    scores = np.zeros((last - first, len(candidates.ids)), dtype=np.int64)
-    for term in queries.terms():
-        listed = candidates.postings(term)
-        if listed is None:
-            continue
-        rows, row_weights = queries.postings(term)
-        some = slice(*np.searchsorted(rows, (first, last)))
-        scores[np.ix_(rows[some] - first, listed[0])] += np.multiply.outer(row_weights[some], listed[1])
-    for query in range(first, last):
-        for row in np.flatnonzero(candidates.ids == queries.ids[query]):
-            if candidates.vector(row) == queries.vector(query):
-                scores[query - first, row] = OWN
+
+
+def postings(weights: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Rows that hold each term, and their weights; ``weights`` is terms by rows."""
+    lists = [np.flatnonzero(row) for row in weights]
+    return [(rows, weights[term, rows]) for term, rows in enumerate(lists)]
+
+
+def accumulated(asked: list[tuple[np.ndarray, np.ndarray]], listed: list[tuple[np.ndarray, np.ndarray]], first: int, last: int, n: int, kind) -> np.ndarray:
+    """Scores of asking rows first to last - 1 with n rows, from the postings of both."""
+    scores = np.zeros((last - first, n), dtype=kind)
+    for (askers, weights), (rows, row_weights) in zip(asked, listed, strict=True):
+        some = slice(*np.searchsorted(askers, (first, last)))
+        if some.start < some.stop and len(rows):
+            scores[np.ix_(askers[some] - first, rows)] += np.multiply.outer(weights[some], row_weights)
     return scores
 
 
-def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best of one query: highest scores, ties to smaller ids."""
-    places = np.flatnonzero(scores != OWN)
-    if len(places) > k:
-        edge = np.partition(scores[places], len(places) - k)[len(places) - k]
-        places = places[scores[places] >= edge]
-    return places[np.lexsort((ids[places], -scores[places]))][:k]
+class Search:
+    """The best k of each asking row of a cell."""
+
+    def __init__(self, asking: list[dict], scale: int, k: int):
+        self.asking, self.scale, self.k = asking, scale, k
+        self.asked = asked_weights(asking, scale)
+        self.ids = [np.empty(0, dtype=np.int64) for _ in asking]
+        self.scores = [np.empty(0, dtype=object) for _ in asking]
+
+    def meet(self, blocks: list) -> None:
+        if not blocks:
+            return
+        chunk = Chunk(blocks, self.scale, {})
+        width = chunk.weights.shape[0]
+        asked, weights = exact(padded(self.asked, width), chunk.weights, width)
+        asked_lists, listed = postings(asked.T), postings(weights)
+        own = {int(row): place for place, row in enumerate(chunk.rows)}
+        for first in range(0, len(self.asking), SCATTER_ROWS):
+            last = min(first + SCATTER_ROWS, len(self.asking))
+            scores = accumulated(asked_lists, listed, first, last, len(chunk.ids), weights.dtype)
+            for query in range(first, last):
+                found, ids = scores[query - first], chunk.ids
+                place = own.get(self.asking[query]["row"])
+                if place is not None:
+                    found, ids = np.delete(found, place), np.delete(ids, place)
+                self.add(query, held(found), ids)
+
+    def add(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        places = best(scores, ids, self.k)
+        scores = np.concatenate([self.scores[query], np.array([int(s) for s in scores[places]], dtype=object)])
+        ids = np.concatenate([self.ids[query], ids[places]])
+        order = best(scores, ids, self.k)
+        self.scores[query], self.ids[query] = scores[order], ids[order]
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        sizes = [len(ids) for ids in self.ids]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat([a["row"] for a in self.asking], sizes), type=pa.int64()),
+                pa.array(np.repeat([a["id"] for a in self.asking], sizes), type=pa.int64()),
+                pa.array(np.concatenate(self.ids), type=pa.int64()),
+                pa.array(longs(np.concatenate(self.scores)), type=pa.int64()),
+            ],
+            names=["row", "query_id", "id", "score"],
+        )
 
 
 def top_k(
@@ -141,48 +111,9 @@ def top_k(
     scale: int = 256,
 ) -> DataFrame:
     """query_id, rank (from 1), id and score of the k best candidates of each row that the condition picks."""
-    rows = written(
-        vectors.select(F.col(id_column).cast("long").alias("id"), weights(vector_column, scale).alias("weights"), F.coalesce(queries, F.lit(False)).alias("asks"))
-        .where("id IS NOT NULL AND weights IS NOT NULL")
-        .distinct(),
-        "vectors",
-    )
-    asked = written(_blocks(rows.where("asks").select("id", "weights"), QUERY_ROWS), "query-blocks")
-    listed = written(_blocks(rows.select("id", "weights"), CANDIDATE_ROWS), "candidate-blocks")
-    groups = max(1, min(CANDIDATE_GROUPS, listed.count()))
-    left = asked.select([F.col(c).alias(f"q_{c}") for c in asked.columns]).withColumn(
-        "group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
-    )
-    right = listed.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for index in range(batch.num_rows):
-                cell = lambda name: batch.column(name)[index].values.to_numpy(zero_copy_only=False)  # noqa: B023, E731
-                asking = _Rows(cell("q_ids"), cell("q_lengths"), cell("q_flat"))
-                found = _Rows(cell("ids"), cell("lengths"), cell("flat"))
-                block = batch.column("q_block")[index].as_py()
-                out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-                for first in range(0, len(asking.ids), SCATTER_ROWS):
-                    last = min(first + SCATTER_ROWS, len(asking.ids))
-                    scores = block_scores(asking, found, first, last)
-                    for query in range(first, last):
-                        places = best(scores[query - first], found.ids, k)
-                        out.append((query, int(asking.ids[query]), found.ids[places], scores[query - first][places]))
-                sizes = [len(ids) for _, _, ids, _ in out]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(sum(sizes), block), type=pa.int64()),
-                        pa.array(np.repeat([q for q, *_ in out], sizes), type=pa.int64()),
-                        pa.array(np.repeat([i for _, i, *_ in out], sizes), type=pa.int64()),
-                        pa.array(np.concatenate([ids for *_, ids, _ in out]), type=pa.int64()),
-                        pa.array(np.concatenate([scores for *_, scores in out]), type=pa.int64()),
-                    ],
-                    names=["block", "place", "query_id", "id", "score"],
-                )
-
-    met = left.join(right, "group").drop("group", "block")
-    partial = in_tasks(met, search, "block long, place long, query_id long, id long, score long")
-    order = Window.partitionBy("block", "place").orderBy(F.desc("score"), "id")
-    ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    blocks = blocked(vectors, id_column, vector_column, F.lit(""), queries)
+    asking = written(asking_rows(blocks), "asking")
+    found = in_cells(dealt(asking, blocks, by_label=False), lambda rows: Search(rows, scale, k), "row long, query_id long, id long, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_column), "score")

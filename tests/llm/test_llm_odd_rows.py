@@ -487,21 +487,6 @@ def test_shards_of_odd_rows(odd_documents, odd_rows, no_documents):
 # top-k
 
 
-def test_top_k_with_odd_vectors(spark):
-    nan, inf = float("nan"), float("inf")
-    vectors = {0: [0.1, -0.2, 0.3], 1: [0.1, -0.2, 0.3], 2: None, 3: [0.5, None], 4: [nan], 5: [inf, 1.0], 6: [], 7: [1.0], 50: [0.0, 0.0, 0.0], 100: [-1.0, 0.5, 0.25, 8.0], 8: [1e30], 9: [0.9, 0.9]}
-    rows = [(i, v, 1, "x") for i, v in vectors.items()] + [(None, [1.0], 1, "x"), (7, [1.0], 1, "x")]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int, `rank` string")
-    got = top_k.top_k(frame, F.pmod("vec_id", F.lit(50)) == 0, 3).collect()
-    weights = {i: [int(np.floor(256 * x)) for x in v] for i, v in vectors.items() if v is not None and i not in (3, 4, 5, 8)}
-    expected = []
-    for q in (0, 50, 100):
-        scored = [(-sum(a * b for a, b in zip(weights[q], w)), i) for i, w in weights.items() if i != q]
-        expected += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scored)[:3], 1)]
-    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == expected
-    assert top_k.top_k(frame.limit(0), F.col("vec_id") == 0, 3).count() == 0
-
-
 def test_top_k_of_many_equal_vectors(spark):
     rows = [(i, [0.5, 0.25]) for i in range(300)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(7)

@@ -42,7 +42,7 @@ def word_list(text):
 def test_registered():
     names = set(entry_points.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", [n for n, (_, sql) in QUERIES.items() if sql])
