@@ -141,6 +141,13 @@ def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, moved)
 
 
+def op12_spellings(spark: SparkSession, folder: str) -> DataFrame:
+    from canteiro.llm.spellings import counted_words, variants
+
+    words = counted_words(_table(spark, folder, "documents"))
+    return variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 # name -> (query, checking SQL or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_mixed_sources": (op1_mixed_sources, None),
@@ -153,5 +160,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_top_k": (op8_top_k, checks.TOP_K),
     "op9_warc": (op9_warc, checks.WARC),
     "op10_packed": (op10_packed, None),
+    "op12_spellings": (op12_spellings, None),
     "op11_hard_negatives": (op11_hard_negatives, checks.HARD_NEGATIVES),
 }
