@@ -148,6 +148,12 @@ def op12_spellings(spark: SparkSession, folder: str) -> DataFrame:
     return variants(words).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    from canteiro.llm.repeats import without_repeats
+
+    return without_repeats(_table(spark, folder, "documents"), width=200).withColumnRenamed("doc", "doc_id")
+
+
 # name -> (query, checking SQL or None)
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_mixed_sources": (op1_mixed_sources, None),
@@ -160,6 +166,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_top_k": (op8_top_k, checks.TOP_K),
     "op9_warc": (op9_warc, checks.WARC),
     "op10_packed": (op10_packed, None),
-    "op12_spellings": (op12_spellings, None),
     "op11_hard_negatives": (op11_hard_negatives, checks.HARD_NEGATIVES),
+    "op12_spellings": (op12_spellings, None),
+    "op13_repeats": (op13_repeats, None),
 }
