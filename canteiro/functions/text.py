@@ -55,6 +55,10 @@ def text_or_null(
     return F.when(~probe.isin(*null_texts), trimmed)
 
 
+# stands for a letter with a long form; a private character, so hardly a text has it
+_LONG = "\ue000"
+
+
 @cache
 def _fold_table() -> tuple[str, str]:
     """Letters whose compatibility form without marks is one other character, then the marks to delete.
@@ -88,22 +92,36 @@ def _long_forms() -> tuple[tuple[str, str], ...]:
     return tuple((c, plain) for _, c, plain in _plain_forms() if len(plain) > 1 and plain.isascii() and plain.isalnum())
 
 
+@cache
+def _long_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
+    """Letters with a long form, the first letters of the forms, and the letters by the rest of their form."""
+    forms = _long_forms()
+    rests: dict[str, str] = {}
+    for char, plain in forms:
+        rests[plain[1:]] = rests.get(plain[1:], "") + char
+    return "".join(c for c, _ in forms), "".join(plain[0] for _, plain in forms), tuple(sorted(rests.items()))
+
+
 def _expanded(text: Column) -> Column:
-    """Letters with a form of several characters, replaced; only such texts are touched."""
-    forms = ";".join(f"{char}:{plain}" for char, plain in _long_forms())
-    table = F.str_to_map(F.lit(forms), F.lit(";"), F.lit(":"))  # constant, folded by the optimizer
-    pattern = "[" + "".join(c for c, _ in _long_forms()) + "]"
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-    replaced = F.aggregate(found, text, lambda acc, c: F.replace(acc, c, F.try_element_at(table, c)))
-    return F.when(text.rlike(pattern), replaced).otherwise(text)
+    """Letters with a form of several characters, replaced: first the rest of the form is put behind each, then
+    the letters become the first of their form."""
+    letters, firsts, rests = _long_table()
+    for rest, chars in rests:
+        text = F.regexp_replace(text, f"([{chars}])", f"$1{rest}")
+    return F.translate(text, letters, firsts)
 
 
 def fold(text: Column | str, trim: bool = True) -> Column:
     """Lower case without accents, for comparisons."""
     source, target = _fold_table()
+    letters = _long_table()[0]
     lowered = F.lower(strip(text) if trim else _col(text))
     plain = F.octet_length(lowered) == F.length(lowered)  # ASCII only, nothing to translate
-    return F.when(plain, lowered).otherwise(_expanded(F.translate(lowered, source, target)))
+    # few texts hold a letter with a long form; one pass translates, and marks those that do
+    cut = len(target)
+    marked = F.translate(lowered, source[:cut] + letters + source[cut:], target + _LONG * len(letters))
+    long = marked.contains(_LONG)
+    return F.when(plain, lowered).when(long, _expanded(F.translate(lowered, source, target))).otherwise(marked)
 
 
 def fold_upper(text: Column | str) -> Column:

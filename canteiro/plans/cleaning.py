@@ -14,8 +14,10 @@ from canteiro.functions.dates import epoch, parse_timestamp
 from canteiro.functions.geo import in_range
 from canteiro.functions.ids import company_tax_id
 from canteiro.functions.numbers import money, to_double
+from canteiro.functions.text import is_blank
 from canteiro.operators.dedup import distinct_rows, keep_first, keep_first_known
 from canteiro.operators.fields import with_missing_filled
+from canteiro.sources.common import UNREADABLE
 
 _LIMITS = {"latitude": 90.0, "longitude": 180.0}
 
@@ -63,6 +65,19 @@ def to_timestamp(df: DataFrame, name: str) -> Column:
     return parse_timestamp(column)
 
 
+def with_dates(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Columns of dates as timestamps, and the names of those whose filled cell gives none, beside those that a
+    normaliser found already. Text and date are looked at in one projection, which shares the parsing."""
+    parsed = {name: to_timestamp(df, name) for name in names}
+    lost = [
+        F.when(~is_blank(F.col(f"`{name}`").cast("string")) & date.isNull(), F.lit(name)) for name, date in parsed.items()
+    ]
+    found = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+    if UNREADABLE in df.columns:
+        found = F.concat(UNREADABLE, found)
+    return df.withColumns({**parsed, UNREADABLE: found})
+
+
 def to_money(df: DataFrame, name: str) -> Column:
     numeric = isinstance(df.schema[name].dataType, T.NumericType)
     return F.col(name).cast("double") if numeric else money(name)

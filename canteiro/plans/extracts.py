@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
+from canteiro.operators.records import by_name
 from canteiro.plans.ingest import Normaliser
 from canteiro.sources import court, federal, georef, health, panels, portal
 from canteiro.sources.common import carried
 
 
 def _court_contracts(df: DataFrame, as_of: Column) -> DataFrame:
-    return court.contracts(court.of_municipality(df, "Ente"), as_of)
+    return court.contracts(court.of_municipality(by_name(df, ["Ente"]), "Ente"), as_of)
 
 
 def _court_amendments(df: DataFrame, as_of: Column) -> DataFrame:
-    return court.amendments(court.amended_agreements(court.of_municipality(df, "Ente")), as_of)
+    return court.amendments(court.amended_agreements(court.of_municipality(by_name(df, ["Ente"]), "Ente")), as_of)
 
 
 def _court_stopped_works(df: DataFrame, as_of: Column) -> DataFrame:
-    return court.stopped_works(court.of_municipality(df, "Ente"), as_of)
+    return court.stopped_works(court.of_municipality(by_name(df, ["Ente"]), "Ente"), as_of)
 
 
 def _current_panel(df: DataFrame, as_of: Column) -> DataFrame:
@@ -48,3 +49,6 @@ NORMALISERS: dict[str, Normaliser] = {
     "painel_legado_obras": panels.legacy_works,
     "transparencia_convenios": _federal_agreements,
 }
+
+# of these, the ones that look up the fields of records that have no schema in common
+BY_RECORD = frozenset({"tce_rj_contratos", "tce_rj_aditivos", "tce_rj_obras", "tce_contratos", "tce_licitacoes"})

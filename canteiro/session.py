@@ -10,6 +10,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # repeated attribute keys keep the last value
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # a record that repeats a key keeps its last value
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # runtime coalescing, broadcast switch and skew split
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

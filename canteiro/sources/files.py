@@ -13,28 +13,39 @@ from canteiro.functions.markup import unescape
 from canteiro.functions.text import WHITESPACE, slug_name
 from canteiro.operators.dedup import SOURCE_POSITION, with_source_position
 from canteiro.operators.merge import list_names
+from canteiro.operators.records import as_columns, parsed_records
 
 CORRUPT = "_corrupt_record"
 
 
-def _record_schema(spark: SparkSession, path: str, lines: bool) -> T.StructType:
-    """Inferred schema of the records, looked up inside the envelope where there is one."""
-    found = spark.read.option("multiLine", not lines).json(path).schema
-    if "dados" in found.names and isinstance(found["dados"].dataType, T.ArrayType):
-        found = found["dados"].dataType.elementType
-    return T.StructType([f for f in found.fields if f.name != CORRUPT])
+def read_records(spark: SparkSession, path: str, lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Records of JSON files as VARIANT values in source order, and the unreadable ones; no pass looks for a schema.
+
+    A file is a list of records, one record, or an envelope whose ``dados`` holds the list; such
+    a file is read by one task. ``lines`` reads one record per line, which Spark can split;
+    prefer it for large inputs.
+    """
+    rows, rejects = parsed_records(_record_texts(spark, path, lines), "value")
+    return rows, rejects.select(F.col("value").alias(CORRUPT), "_file")
 
 
 def read_json_records(
     spark: SparkSession, path: str, schema: T.StructType | None = None, lines: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Records of JSON files in source order, and the unreadable ones.
+    """As ``read_records``, with the records' keys as columns.
 
-    A file is a list of records, one record, or an envelope whose ``dados`` holds the list; such
-    a file is read by one task. ``lines`` reads one record per line, which Spark can split;
-    prefer it for large inputs. Give the record schema to spare the inference pass.
+    Without a schema one aggregate finds the keys of all records; keys that differ only in case
+    are one column, and each record gives the value that it has.
     """
-    schema = schema or _record_schema(spark, path, lines)
+    if schema is None:
+        rows, rejects = read_records(spark, path, lines)
+        return as_columns(rows), rejects
+    rows, rejects = json_rows(_record_texts(spark, path, lines), "value", schema)
+    return rows, rejects.select(F.col("value").alias(CORRUPT), "_file")
+
+
+def _record_texts(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    """The text (value) of each record of JSON files, with its place."""
     texts = with_source_position(spark.read.option("wholetext", not lines).text(path))
     if lines:
         items = texts.where(F.trim("value") != "").withColumn("_item", F.lit(0))
@@ -53,9 +64,7 @@ def read_json_records(
         )
         # a file that is no JSON at all is one unreadable record
         items = exploded.withColumn("value", F.when(F.col("_item").isNotNull(), F.col("__text")).otherwise(F.col("value")))
-    found = items.select("value", *SOURCE_POSITION, F.coalesce("_item", F.lit(0)).alias("_item"))
-    rows, rejects = json_rows(found, "value", schema)
-    return rows, rejects.select(F.col("value").alias(CORRUPT), "_file")
+    return items.select("value", *SOURCE_POSITION, F.coalesce("_item", F.lit(0)).alias("_item"))
 
 
 def json_rows(texts: DataFrame, text: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -201,13 +210,15 @@ def read_dump(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return read_csv_records(spark, path, ";")
 
 
-def read_by_suffix(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Rows and unreadable records (``_corrupt_record``, ``_file``), by the reader for the suffix."""
+def read_by_suffix(spark: SparkSession, path: str, as_records: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows and unreadable records (``_corrupt_record``, ``_file``), by the reader for the suffix.
+
+    ``as_records`` keeps JSON records as they are, for a normaliser that looks up their fields.
+    """
     suffix = path.rsplit(".", 1)[-1].lower()
-    if suffix == "json":
-        return read_json_records(spark, path)
-    if suffix == "jsonl":
-        return read_json_records(spark, path, lines=True)
+    if suffix in ("json", "jsonl"):
+        read = read_records if as_records else read_json_records
+        return read(spark, path, lines=suffix == "jsonl")
     if suffix == "csv":
         return read_delimited(spark, path)
     nothing = spark.createDataFrame([], f"{CORRUPT} string, _file string")
@@ -291,6 +302,6 @@ def datasets(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
     """(name, path) of the landed datasets: JSON, then CSV, then maps, each sorted by name."""
     names = list_names(spark, folder)
     found = []
-    for suffix in (".json", ".jsonl", ".csv", ".kml"):
+    for suffix in (".json", ".jsonl", ".csv", ".kml", ".xml"):
         found += [(n[: -len(suffix)], f"{folder.rstrip('/')}/{n}") for n in names if n.endswith(suffix)]
     return found

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,6 +67,11 @@ def _date(name: str) -> Column:
     return parse_timestamp(name, digits_as_epoch=False)
 
 
+def _dates(columns: Mapping[str, Sequence[str]]) -> dict[str, Column]:
+    """Text cells of the columns of dates."""
+    return {name: F.col(name) for name in columns if name.startswith("data_")}
+
+
 def contracts(df: DataFrame, as_of: Column) -> DataFrame:
     texts = _texts(df, CONTRACT_COLUMNS)
     columns = {
@@ -77,7 +82,7 @@ def contracts(df: DataFrame, as_of: Column) -> DataFrame:
         "prazo_dias": duration_days("prazo_dias"),
         "tipo_contrato": F.lit(WORKS_CONTRACT_TYPE),
     }
-    typed = project(texts, columns, as_of, CONTRACTS_SOURCE)
+    typed = project(texts, columns, as_of, CONTRACTS_SOURCE, _dates(CONTRACT_COLUMNS))
     return typed.withColumn("situacao", contract_status("situacao", "data_vigencia_fim", as_of))
 
 
@@ -88,7 +93,7 @@ def tenders(df: DataFrame, as_of: Column) -> DataFrame:
         "data_abertura": _date("data_abertura"),
         "data_publicacao": _date("data_publicacao"),
     }
-    return project(_texts(df, TENDER_COLUMNS), columns, as_of, TENDERS_SOURCE)
+    return project(_texts(df, TENDER_COLUMNS), columns, as_of, TENDERS_SOURCE, _dates(TENDER_COLUMNS))
 
 
 def works_tenders(extracts: Sequence[DataFrame], order: Sequence[str]) -> DataFrame:

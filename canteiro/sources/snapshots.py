@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,18 +56,21 @@ def freshness(log: DataFrame, as_of: Column, max_days: int = 1) -> DataFrame:
 
 
 def fresh_or_snapshot(fresh: DataFrame | None, spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """The new load, or the last snapshot when the new load gave nothing."""
-    if fresh is not None and not fresh.isEmpty():
-        return fresh
-    return load_snapshot(spark, root, name)
-
-
-def first_with_rows(
-    strategies: Sequence[Callable[[], DataFrame | None]],
-) -> DataFrame | None:
-    """Result of the first strategy that yields rows; later ones are not evaluated."""
-    for strategy in strategies:
-        frame = strategy()
-        if frame is not None and not frame.isEmpty():
-            return frame
-    return None
+    """The new load, or the last snapshot when the new load gives nothing; both in one plan."""
+    return first_with_rows([lambda: fresh, lambda: load_snapshot(spark, root, name)])
+
+
+def first_with_rows(strategies: Sequence[Callable[[], DataFrame | None]]) -> DataFrame | None:
+    """Rows of the first strategy that yields any; None when there is no frame at all.
+
+    Nothing runs before the result does: the frames are one union, tagged by place, and the least place that has a row
+    is a scalar subquery that stops at the first row of each. Columns that only some of them have are NULL in the others.
+    """
+    frames = [frame for frame in (strategy() for strategy in strategies) if frame is not None]
+    if len(frames) < 2:
+        return frames[0] if frames else None
+    present = [frame.select(F.lit(place).alias("place")).limit(1) for place, frame in enumerate(frames)]
+    first = reduce(DataFrame.unionAll, present).agg(F.min("place").alias("place")).scalar()
+    tagged = [frame.withColumn("__place", F.lit(place)) for place, frame in enumerate(frames)]
+    merged = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), tagged)
+    return merged.where(F.col("__place") == first).drop("__place")

@@ -93,6 +93,16 @@ def test_prepare_batch_conserves_rows(spark):
     assert rows(rejected.select("v")) == [(3,)]
 
 
+def test_marked_batch_is_one_pass(spark):
+    batch = spark.createDataFrame(
+        [(0, "a", 1), (1, "a", 2), (2, None, 3), (3, None, 4), (4, "b", 5)], "seq int, k string, v int"
+    )
+    marked = merge.marked_batch(batch, ["k"], ["seq"])
+    assert rows(marked.select("v", merge.OUTCOME)) == [(2, "mantido"), (3, "rejeitado"), (4, "rejeitado"), (5, "mantido")]
+    plan = marked.sparkSession._jvm.PythonSQLUtils.explainString(marked._jdf.queryExecution(), "simple")
+    assert plan.count("Window [") == 1 and plan.count("Exchange") == 1 and "WindowGroupLimit" in plan
+
+
 def test_versioned_table(spark, tmp_path):
     table = merge.VersionedTable(spark, str(tmp_path / "t"))
     assert table.read() is None
@@ -111,15 +121,43 @@ def test_versioned_table(spark, tmp_path):
     assert rows(table.read()) == [(1, "a"), (2, "c"), (3, "d"), (9, "z")]
 
 
-def test_upsert_rewrites_touched_buckets_only(spark, tmp_path):
+def test_small_upsert_rewrites_no_base_file(spark, tmp_path):
     table = merge.VersionedTable(spark, str(tmp_path / "t"), buckets=8)
-    table.write(spark.range(200).selectExpr("id as k", "'old' as v"), ["k"])
+    expected = spark.range(2000).selectExpr("id as k", "'old' as v", "cast(id as string) as w")
+    table.write(expected, ["k"])
     before = table.folders()
+    for turn in range(4):
+        batch = spark.range(turn * 10, turn * 10 + 20).selectExpr("id * 97 % 2010 as k", f"'new{turn}' as v", "'x' as w")
+        table.upsert(batch, ["k"])
+        expected = merge.upsert(expected, batch, ["k"])
+        assert table.folders() == before and len(table.folders(deltas=True)) == turn + 1
+        assert rows(table.read()) == rows(expected)
+    # a column that the batch does not carry keeps its value, also one from a delta
+    batch = spark.createDataFrame([(97, "part"), (5000, "added")], "k long, v string")
+    table.upsert(batch, ["k"])
+    expected = merge.upsert(expected, batch, ["k"])
+    assert rows(table.read()) == rows(expected) and table.folders() == before
+    # version by version, as it was written
+    old = table.versions()[1]
+    assert table.folders(old) == before and len(table.folders(old, deltas=True)) == 1
+
+
+def test_deltas_are_merged_into_the_buckets_they_touch(spark, tmp_path):
+    table = merge.VersionedTable(spark, str(tmp_path / "t"), buckets=8)
+    table.write(spark.range(1000).selectExpr("id as k", "'old' as v"), ["k"])
+    before = table.folders()
+    for turn in range(merge.MAX_DELTAS):
+        table.upsert(spark.createDataFrame([(5, f"v{turn}")], "k long, v string"), ["k"])
+    assert table.folders() == before
     table.upsert(spark.createDataFrame([(5, "new")], "k long, v string"), ["k"])
     after = table.folders()
-    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1 and not table.folders(deltas=True)
     got = {r.k: r.v for r in table.read().collect()}
-    assert len(got) == 200 and [k for k, v in got.items() if v == "new"] == [5]
+    assert len(got) == 1000 and [k for k, v in got.items() if v != "old"] == [5] and got[5] == "new"
+    table.upsert(spark.range(500, 900).selectExpr("id as k", "'many' as v"), ["k"])  # a large batch goes to the base
+    assert not table.folders(deltas=True) and table.read().where("v = 'many'").count() == 400
+    table.drop_older(keep=1)
+    assert table.read().count() == 1000
     table.write(spark.range(0).selectExpr("id as k", "'x' as v"), ["k"])
     assert table.read().count() == 0 and table.read().columns == ["k", "v"]
 

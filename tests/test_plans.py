@@ -256,7 +256,7 @@ def test_no_row_vanishes_from_a_load(spark, as_of, tmp_path):
     (landed / "sinapi.csv").write_text(
         "uf;competencia;tipo_obra;custo_m2\nRJ;2026-01;ubs;1\nRJ;2026-01;ubs;2\n;;x;3\nRJ;2026-01;a;b;c\n", encoding="utf-8"
     )
-    (landed / "tce_contratos.jsonl").write_text('{"id_contrato": "C1"}\n{broken\n{"id_contrato": null, "objeto": "o"}\n', encoding="utf-8")
+    (landed / "tce_contratos.jsonl").write_text('{"id_contrato": "C1", "data_assinatura": "logo"}\n{broken\n{"id_contrato": null, "objeto": "o"}\n', encoding="utf-8")
     (landed / "painel_atual.json").write_text("[]", encoding="utf-8")
     (landed / "tce_licitacoes.csv").write_text("no separator\nhere\n", encoding="utf-8")
     (landed / "sismob.json").write_text('[{"a": 1, "A": 2}]', encoding="utf-8")
@@ -266,6 +266,7 @@ def test_no_row_vanishes_from_a_load(spark, as_of, tmp_path):
     }
     counts = {n: (r.qtd_lidos, r.qtd_registros, r.qtd_substituidos, r.qtd_erros) for n, r in log.items()}
     assert counts["sinapi"] == (4, 1, 1, 2) and counts["tce_contratos"] == (3, 1, 0, 2)
+    assert log["tce_contratos"].datas_ilegiveis == {"data_assinatura": 1}
     lost = spark.read.parquet(f"{raw}/rejeitados").collect()
     assert sorted((r.dataset, r.motivo) for r in lost) == [
         ("sinapi", "registro ilegível"), ("sinapi", "sem chave"), ("tce_contratos", "registro ilegível"), ("tce_contratos", "sem chave"),
@@ -274,7 +275,7 @@ def test_no_row_vanishes_from_a_load(spark, as_of, tmp_path):
 
 
 def test_extracts_as_sources_give_them(spark, as_of, tmp_path):
-    from canteiro.plans.extracts import NORMALISERS
+    from canteiro.plans.extracts import BY_RECORD, NORMALISERS
 
     landed, raw = tmp_path / "landed", str(tmp_path / "raw")
     landed.mkdir()
@@ -282,7 +283,7 @@ def test_extracts_as_sources_give_them(spark, as_of, tmp_path):
         "tce_rj_contratos": '[{"Ente": "MACAÉ", "NumeroContrato": "1", "ValorContrato": "1.000,50"}, {"Ente": "X", "NumeroContrato": "2"}]',
         "tce_rj_aditivos": '[{"Ente": "MACAE", "NumeroConvenio": "7", "AnoConvenio": "2020", "QuantidadeAditivos": "1"}]',
         "tce_rj_obras": '[{"Ente": "MACAE", "NumeroContrato": "9", "DataParalisacao": "2020-01-02", "Nome": "n"}]',
-        "tce_contratos": '[{"NumeroContrato": "A"}, {"codigo": "B"}]',
+        "tce_contratos": '[{"NumeroContrato": "A", "DataRescisao": "x"}, {"Codigo": "B"}, {"CODIGO": 3, "Codigo": null}]',
         "tce_licitacoes": '[{"ProcessoLicitatorio": "P"}, {"NumeroEdital": "E"}]',
         "portal_macae_contratos": '[{"Contrato": "c", "Objeto": "o", "Valor": "R$ 1,00"}]',
         "portal_macae_licitacoes": '[{"Número": "n", "Objeto": "o"}]',
@@ -290,9 +291,11 @@ def test_extracts_as_sources_give_them(spark, as_of, tmp_path):
     }
     for name, text in extracts.items():
         (landed / f"{name}.json").write_text(text, encoding="utf-8")
-    log = {r.dataset: r for r in ingest.ingest_folder(spark, str(landed), raw, as_of, NORMALISERS).collect()}
+    ingested = ingest.ingest_folder(spark, str(landed), raw, as_of, NORMALISERS, by_record=BY_RECORD)
+    log = {r.dataset: r for r in ingested.collect()}
     assert {n: (r.status, r.mensagem) for n, r in log.items() if r.status != "ok"} == {}
-    assert {n: r.qtd_registros for n, r in log.items()} == {n: 2 if n in ("tce_contratos", "tce_licitacoes") else 1 for n in extracts}
+    assert {n: r.qtd_registros for n, r in log.items()} == {n: {"tce_contratos": 3, "tce_licitacoes": 2}.get(n, 1) for n in extracts}
+    assert log["tce_contratos"].datas_ilegiveis == {"data_rescisao": 1}
 
 
 def test_structured_tables_are_one_plan(spark, raw_contracts, as_of):

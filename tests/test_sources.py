@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from canteiro.operators.records import parsed_records
 from canteiro.sources import common, costs, court, federal, files, geography, georef, health, panels, payloads, portal, snapshots
 
 AS_OF = datetime(2026, 1, 1)
@@ -51,6 +52,51 @@ def test_json_with_schema_and_rejects(spark, tmp_path):
     assert [r.a for r in rows.orderBy("_item").collect()] == ["p", "q"]
 
 
+MIXED = [
+    '{"ProcessoLicitatorio": "P1", "ValorEstimado": 1234.5, "Extra": {"a": [1, "x"]}}',
+    '{"processoLicitatorio": "P2", "valorestimado": "R$ 1.234,50", "DataHomologacao": "logo"}',
+    '{"NumeroEdital": 7, "Parecer": null, "parecer": "Fracassada", "DataHomologacao": "2020-01-02"}',
+    '{"processo_licitatorio": "", "NumeroEdital": "8"}',
+    '{"NumeroEdital": "9", "NumeroEdital": "10"}',
+    "[1]",
+    "{broken",
+    None,
+]
+
+
+def test_records_keep_their_own_spellings_and_types(spark, as_of):
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(MIXED)], "_row long, t string")
+    records, rejects = parsed_records(texts, "t")
+    assert sorted(r.t for r in rejects.collect()) == ["[1]", "{broken"]
+    rows = {r._row: r for r in court.tenders(records, as_of).collect()}
+    assert {k: (r.id_licitacao, r.valor_estimado, r.situacao) for k, r in rows.items()} == {
+        0: ("P1", 1234.5, "Indefinido"), 1: ("P2", 1234.5, "Indefinido"), 2: ("7", None, "Fracassada"),
+        3: (None, None, "Indefinido"), 4: ("10", None, "Indefinido"),
+    }
+    assert json.loads(rows[0].payload_bruto)["Extra"] == {"a": [1, "x"]}
+    assert [rows[k]._ilegiveis for k in range(3)] == [[], ["data_homologacao"], []]
+
+
+def test_json_files_lose_no_key(spark, tmp_path, as_of):
+    path = write(tmp_path / "x.json", "[" + ",".join(t for t in MIXED[:4]) + "]")
+    records, rejects = files.read_records(spark, path)
+    assert rejects.count() == 0
+    assert [r.id_licitacao for r in court.tenders(records, as_of).orderBy("_item").collect()] == ["P1", "P2", "7", None]
+    columns, _ = files.read_json_records(spark, path)
+    got = columns.orderBy("_item").collect()
+    assert [r.ProcessoLicitatorio for r in got] == ["P1", "P2", None, None]
+    assert [r.ValorEstimado for r in got] == ["1234.5", "R$ 1.234,50", None, None]
+    assert got[0].Extra.a == ["1", "x"] and [r.Parecer for r in got] == [None, None, "Fracassada", None]
+    assert [r.id_licitacao for r in court.tenders(columns, as_of).orderBy("_item").collect()] == ["P1", "P2", "7", None]
+
+
+def test_court_records_by_name(spark, as_of):
+    texts = spark.createDataFrame([('{"Ente": "MACAÉ", "NumeroContrato": 5, "ValorContrato": "1.000,50", "outro": 1}',)], "t string")
+    records, _ = parsed_records(texts, "t")
+    row = court.contracts(records, as_of).first()
+    assert (row.id_contrato, row.valor_contrato, json.loads(row.payload_bruto)["outro"]) == ("5", 1000.5, 1)
+
+
 def test_csv_is_all_text_in_source_order(spark, tmp_path):
     path = write(tmp_path / "x.csv", "a,b\n01,x\n2,\"y, z\"\n")
     rows, _ = files.read_csv_records(spark, path)
@@ -189,17 +235,14 @@ def test_snapshots(spark, tmp_path):
 
 
 def test_strategy_order(spark):
-    calls = []
-
-    def strategy(name, frame):
-        def run():
-            calls.append(name)
-            return frame
-
-        return run
-
-    got = snapshots.first_with_rows([strategy("a", None), strategy("b", spark.range(0)), strategy("c", spark.range(1)), strategy("d", spark.range(2))])
-    assert got.count() == 1 and calls == ["a", "b", "c"]
+    strategies = [None, spark.range(0), spark.range(1, 2), spark.range(5)]
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    got = snapshots.first_with_rows([lambda frame=frame: frame for frame in strategies])
+    assert len(tracker.getJobIdsForGroup(None)) == before  # nothing runs before the result does
+    assert [r.id for r in got.collect()] == [1]
+    assert snapshots.first_with_rows([lambda: None]) is None
+    assert snapshots.first_with_rows([lambda: spark.range(0), lambda: spark.range(0)]).count() == 0
 
 
 def test_portal_contracts(spark, as_of):
