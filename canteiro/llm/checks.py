@@ -24,17 +24,15 @@ normal AS (
         regexp_replace(lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))), '[0-9]', '0', 'g') AS line
     FROM lines
 ),
-bodies AS (SELECT r, min(line) AS low, max(line) AS high FROM normal GROUP BY r),
 holders AS (
-    SELECT source, line, count(DISTINCT (d.doc_id, d.text)) AS n_documents, count(DISTINCT (low, high)) AS n_bodies
-    FROM (SELECT DISTINCT r, source, line FROM normal) JOIN bodies USING (r)
-        JOIN (SELECT r, doc_id, text FROM docs) d USING (r)
+    SELECT source, line, count(DISTINCT d.text) AS n_texts
+    FROM (SELECT DISTINCT r, source, line FROM normal) JOIN (SELECT r, text FROM docs) d USING (r)
     GROUP BY source, line
 ),
 removed AS (
     SELECT n.r, sum(len(n.line) - len(replace(n.line, ' ', '')) + 1) AS words_removed
     FROM normal n JOIN holders h ON n.line = h.line AND n.source IS NOT DISTINCT FROM h.source
-    WHERE n_documents > 20 AND 2 * n_bodies >= n_documents GROUP BY n.r
+    WHERE n_texts > 20 GROUP BY n.r
 ),
 measured AS (
     SELECT doc_id, len(ws)::BIGINT AS n_words, len(array_to_string(ws, ''))::BIGINT AS word_chars,

@@ -88,6 +88,18 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+# parts that a key with most of the rows is spread over
+SALTS = 16
+
+
+def spread_join(rows: DataFrame, small: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """Join of rows with a side that has each key once; rows of one key are dealt by a hash of ``by``, so they
+    don't meet in one task."""
+    copies = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    return salted.join(copies, [key, "__salt"], how).drop("__salt")
+
+
 def row_hash(*columns: str | Column) -> Column:
     """64-bit hash of cells; NULL and empty differ."""
     parts: list[Column] = []

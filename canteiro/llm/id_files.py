@@ -103,17 +103,17 @@ class FileReader:
                     raise ValueError("a block of an id file is damaged")
             yield b"".join(block.tobytes() for block in ids)
 
-    def documents(self) -> Iterator[tuple[int | None, list[bytes]]]:
+    def documents(self) -> Iterator[tuple[int | None, list[memoryview]]]:
         """Each document's id and its ids in one or more parts."""
-        batches, rest = self._batches(), b""
+        batches, rest, at = self._batches(), memoryview(b""), 0
         for doc, known, n_ids in self._documents.tolist():
             need, parts = 4 * n_ids, []
-            while need > len(rest):
-                parts.append(rest)
-                need -= len(rest)
-                rest = next(batches)
-            parts.append(rest[:need])
-            rest = rest[need:]
+            while need > len(rest) - at:
+                parts.append(rest[at:])
+                need -= len(rest) - at
+                rest, at = memoryview(next(batches)), 0
+            parts.append(rest[at : at + need])
+            at += need
             yield doc if known else None, parts
 
 

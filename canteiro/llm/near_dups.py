@@ -2,8 +2,8 @@
 
 Texts are compared as sets of word shingles. Texts with equal sets form a class; only classes are compared, so copies
 are never paired. Signatures of classes are cut into bands, and classes that agree on a band share a bucket. In each
-bucket every class is compared with the bucket's leader; the confirmed links are grouped, and then only classes of one
-bucket that are still in different groups are compared with each other, in blocks. A link is confirmed on the full
+bucket every class is compared with the bucket's leader; the confirmed links are grouped, and then classes of one bucket
+that are still apart from its largest group are compared with all of it, in blocks. A link is confirmed on the full
 sets. No pair of a bucket is left out, and pairs are never rows of a table: a bucket of many versions of one text gives
 a row per version, and the blocks that are left give no more links than join them.
 
@@ -21,12 +21,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canteiro.llm.common import in_tasks, row_hash, written
+from canteiro.llm.common import in_tasks, row_hash, spread_join, written
 
 WIDTH = 5
 PERCENT = 80
@@ -34,7 +34,10 @@ BANDS = 30
 ROWS_PER_BAND = 5
 # classes and shingles of a block whose classes are compared at once
 BLOCK_ROWS = 512
-BLOCK_SHINGLES = 150_000
+BLOCK_SHINGLES = 50_000
+# blocks of a bucket's rest that a task holds at once, and blocks of members that it takes one after the other
+HELD_BLOCKS = 8
+MET_BLOCKS = 64
 
 
 def _signed(frame: DataFrame, width: int, bands: int, rows_per_band: int) -> DataFrame:
@@ -101,60 +104,108 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between classes of one bucket that have different roots; members: bucket, node, root, size.
 
-    Buckets with the same members are taken once. A bucket's classes are dealt into blocks of bounded size, and each
-    pair of blocks is compared as a whole: its task counts the shared shingles of all pairs in an array and returns
-    no more links than join the roots it has seen. So pairs are never rows, and a task holds two blocks.
+    Buckets with the same members are taken once. The members of a bucket that are not of its most frequent root, its
+    rest, are compared with all members: two members of different roots are not both of the most frequent one. Rest and
+    members are dealt into blocks of bounded size. A task holds a few blocks of the rest, takes one block of members
+    after the other, counts the shared shingles of all pairs in an array, and returns no more links than join the roots
+    it has seen. So pairs are never rows.
     """
-    apart = members.groupBy("bucket").agg(
+    placed = members.groupBy("bucket", "root").agg(
         F.count("*").alias("n"),
         F.sum("size").alias("shingles"),
-        F.min("root").alias("low"),
-        F.max("root").alias("high"),
         # a key of the member set that doesn't depend on order
         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("key_1"),
         F.sum(F.xxhash64(F.lit(1), "node").cast("decimal(38,0)")).alias("key_2"),
     )
+    apart = placed.groupBy("bucket").agg(
+        F.sum("n").alias("n"),
+        F.count("*").alias("roots"),
+        F.sum("shingles").alias("shingles"),
+        F.max_by("root", F.struct("n", "root")).alias("main"),
+        F.max(F.struct("n", "root", "shingles")).alias("most"),
+        F.sum("key_1").alias("key_1"),
+        F.sum("key_2").alias("key_2"),
+    )
     # the leader of a bucket of two was compared with the other one
-    wanted = apart.where("n > 2 AND low != high")
-    once = wanted.groupBy("key_1", "key_2", "n").agg(F.min("bucket").alias("bucket"), F.max("shingles").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.ceil(F.col("n") / BLOCK_ROWS)).cast("int")
-    dealt = members.join(once.select("bucket", blocks.alias("blocks")), "bucket").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    wanted = apart.where("n > 2 AND roots > 1").withColumns(
+        {"rest": F.col("n") - F.col("most.n"), "rest_shingles": F.col("shingles") - F.col("most.shingles")}
+    )
+    once = wanted.groupBy("key_1", "key_2", "n").agg(F.min(F.struct("bucket", "main", "shingles", "rest", "rest_shingles")).alias("b"))
+
+    def blocks(shingles: str, n: str) -> Column:
+        return F.greatest(F.ceil(F.col(shingles) / BLOCK_SHINGLES), F.ceil(F.col(n) / BLOCK_ROWS)).cast("int")
+
+    buckets = once.select(
+        "b.bucket",
+        "b.main",
+        blocks("b.shingles", "n").alias("blocks"),
+        F.ceil(blocks("b.rest_shingles", "b.rest") / HELD_BLOCKS).cast("int").alias("groups"),
+    )
+    dealt = members.join(buckets, "bucket").withColumn("number", F.pmod(F.xxhash64("node"), F.lit(2**31 - 1)))
+    rest = dealt.where("root != main").select(
+        "bucket",
+        (F.col("number") % F.col("groups")).cast("int").alias("group"),
+        F.lit(0).alias("side"),
+        F.lit(0).alias("block"),
+        "node",
+        "root",
+        # blocks of members that this group meets, in as many shares
+        F.explode(F.sequence(F.lit(0), F.ceil(F.col("blocks") / MET_BLOCKS).cast("int") - 1)).alias("share"),
     )
-    packed = (
-        dealt.join(sets, "node")
-        .groupBy("bucket", "block")
-        .agg(F.collect_list(F.struct("node", "root", "found")).alias("items"))
+    block = (F.col("number") % F.col("blocks")).cast("int")
+    all_members = dealt.select(
+        "bucket",
+        F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"),
+        F.lit(1).alias("side"),
+        block.alias("block"),
+        "node",
+        "root",
+        F.floor(block / MET_BLOCKS).cast("int").alias("share"),
     )
-    packed = written(packed, "blocks")
-    left = packed.select("bucket", F.col("block").alias("left_block"), F.col("items").alias("left_items"))
-    right = packed.select("bucket", F.col("block").alias("right_block"), F.col("items").alias("right_items"))
-    met = left.join(right, "bucket").where("left_block <= right_block").select("left_items", "right_items")
-    return in_tasks(met, partial(_compared, percent), "a binary, b binary").distinct()
+    cell = ("bucket", "group", "share")
+    met = rest.unionByName(all_members).join(sets, "node")
+    met = met.repartition(*cell).sortWithinPartitions(*cell, "side", "block")
+    return in_tasks(met.select(*cell, "side", "block", "node", "root", "found"), partial(_compared, percent), "a binary, b binary").distinct()
 
 
 def _compared(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from canteiro.llm.shingles import links_between
 
-    for batch in batches:
-        for index in range(batch.num_rows):
-            sides = []
-            for name in ("left_items", "right_items"):
-                items = batch.column(name)[index].values
-                found = items.field("found")
-                sides.append(
-                    (
-                        items.field("node").to_pylist(),
-                        items.field("root").to_pylist(),
-                        found.flatten().to_numpy(zero_copy_only=False),
-                        pc.list_value_length(found).to_numpy(zero_copy_only=False),
+    cell, side, kept, block, size = None, None, None, [], 0
+
+    def packed(rows: list) -> tuple:
+        found = [r[2] for r in rows]
+        return [r[0] for r in rows], [r[1] for r in rows], np.concatenate(found), np.array([len(f) for f in found])
+
+    def links() -> Iterator[pa.RecordBatch]:
+        if kept and block:
+            for begin in range(0, len(kept), BLOCK_ROWS):
+                found = links_between(packed(kept[begin : begin + BLOCK_ROWS]), packed(block), percent)
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([a for a, _ in found], type=pa.binary()), pa.array([b for _, b in found], type=pa.binary())],
+                        names=["a", "b"],
                     )
-                )
-            links = links_between(*sides, percent)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a for a, _ in links], type=pa.binary()), pa.array([b for _, b in links], type=pa.binary())],
-                names=["a", "b"],
-            )
+
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "group", "share", "side", "block")), strict=True))
+        nodes, roots, sets = (batch.column(c) for c in ("node", "root", "found"))
+        for place, key in enumerate(keys):
+            if key[:3] != cell:
+                yield from links()
+                cell, kept, block, size = key[:3], [], [], 0
+            elif key[3:] != side or size >= BLOCK_SHINGLES or len(block) >= BLOCK_ROWS:
+                yield from links()
+                block, size = [], 0
+            side = key[3:]
+            found = sets[place].values.to_numpy(zero_copy_only=False).copy()
+            row = (nodes[place].as_py(), roots[place].as_py(), found)
+            if key[3] == 0:
+                kept.append(row)
+            else:
+                block.append(row)
+                size += len(found)
+    yield from links()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -167,11 +218,10 @@ def components(links: DataFrame) -> DataFrame:
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("root").alias("near"))
         )
-        above = state.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        step = (
-            state.join(near, "node")
-            .join(above, "root")
-            .select("node", F.least("root", "near", "above").alias("root"), F.col("root").alias("old"))
+        heads = state.select("root").distinct()
+        above = heads.join(state.select(F.col("node").alias("root"), F.col("root").alias("above")), "root")
+        step = spread_join(state.join(near, "node"), above, "root", "node").select(
+            "node", F.least("root", "near", "above").alias("root"), F.col("root").alias("old")
         )
         step = written(step, "roots")
         state = step.select("node", "root")
@@ -192,7 +242,7 @@ def groups(
 
     ``node`` is the key of the document's set and ``root`` of its group; ``component`` is the least id of the group.
     """
-    texts = documents.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text"))
+    texts = documents.select(F.col(f"`{id_column}`").alias("doc"), F.col(f"`{text_column}`").alias("text"))
     hashed = texts.select("doc", row_hash("text").alias("content"), "text")
     signed = written(_signed(hashed, width, bands, rows_per_band), "signatures")
     whole = signed.where("node IS NOT NULL")
@@ -234,11 +284,11 @@ def groups(
         )
         joined = components(lifted.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
         above = joined.select(F.col("node").alias("root"), F.col("root").alias("above"))
-        roots = tops.join(above, "root", "left").select("node", F.coalesce("above", "root").alias("root"))
+        roots = spread_join(tops, above, "root", "node", "left").select("node", F.coalesce("above", "root").alias("root"))
 
     placed = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = placed.groupBy("root").agg(F.min("least").alias("component"))
-    component = placed.join(ids, "root").select("node", "root", "component")
+    component = spread_join(placed, ids, "root", "node").select("node", "root", "component")
     grouped = whole.join(component, "node")
     alone = signed.where("node IS NULL").withColumn("component", F.col("doc")).withColumn("root", F.col("node"))
     columns = ("doc", "content", "n_shingles", "node", "root", "component")
@@ -253,14 +303,16 @@ def without_near_duplicates(
     order = F.struct(F.col("doc").isNull(), F.col("doc"), F.col("content"))
     pairs = found.groupBy("root", "doc", "content").agg(F.count("*").alias("n"))
     chosen = pairs.groupBy("root").agg(F.min(order).alias("first"))
-    judged = pairs.join(chosen, "root")
+    judged = spread_join(pairs, chosen, "root", "content")
     stays = F.col("doc").eqNullSafe(F.col("first")["doc"]) & (F.col("content") == F.col("first")["content"])
     judged = written(judged.select(F.col("doc").alias("__doc"), F.col("content").alias("__content"), stays.alias("__stays"), "n"), "judged")
-    rows = documents.withColumn("__hash", row_hash(text_column))
-    same = F.col(id_column).eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__content"))
+    # the user's columns travel in a struct, so no name of theirs meets one of ours
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    rows = documents.select(whole.alias("__row"), F.col(f"`{id_column}`").alias("__id"), row_hash(F.col(f"`{text_column}`")).alias("__hash"))
+    same = F.col("__id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__content"))
     kept = rows.join(judged.where("NOT __stays"), same, "left_anti")
     repeated = judged.where("__stays AND n > 1")
     if not repeated.isEmpty():
-        once = kept.join(repeated, same, "left_semi").dropDuplicates([id_column, "__hash"])
+        once = kept.join(repeated, same, "left_semi").dropDuplicates(["__id", "__hash"])
         kept = kept.join(repeated, same, "left_anti").unionByName(once)
-    return kept.select(*documents.columns)
+    return kept.select(*[F.col("__row").getField(c).alias(c) for c in documents.columns])

@@ -559,19 +559,49 @@ def test_pipeline_on_odd_rows(spark, odd_documents, no_documents, data):
 
 
 def brute_frequent_lines(rows, most):
-    """(source, normal line) that more than ``most`` documents hold, most of them different ones."""
+    """(source, normal line) that more than ``most`` different texts hold."""
     import re
 
     normal = lambda line: re.sub("[0-9]", "0", re.sub("[ \t\n\x0b\x0c\r]+", " ", line).strip(" ").lower())
     holders = defaultdict(set)
-    for doc, text, source in rows:
-        lines = {normal(x) for x in (text or "").split("\n")} - {""}
-        for line in lines:
-            holders[source, line].add((doc, text, min(lines), max(lines)))
-    frequent = {
-        key for key, held in holders.items() if len(held) > most and 2 * len({h[2:] for h in held}) >= len(held)
-    }
-    return frequent, normal
+    for _, text, source in rows:
+        for line in {normal(x) for x in (text or "").split("\n")} - {""}:
+            holders[source, line].add(text)
+    return {key for key, held in holders.items() if len(held) > most}, normal
+
+
+def test_line_quality_sql_on_copies(spark, tmp_path):
+    from compare import compare
+
+    import duckdb
+
+    from canteiro.llm.queries import QUERIES
+
+    letters = lambda i: str(i).translate(str.maketrans("0123456789", "abcdefghij"))
+    own = lambda i: " ".join(f"own{letters(i)}x{letters(k)}" for k in range(60))
+    rows = [(i, f"shared line\n{own(i)}", "copies") for i in range(60)]
+    rows += [(100 + i, f"shared line\n{own(100)}", "copies") for i in range(200)]
+    rows += [(400 + i, f"(c) 2024 all rights\n{own(400 + i)}\n» next", "template") for i in range(21)]
+    rows += [(500 + i, f"few\n{own(500 + i % 20)}", "limit") for i in range(50)] + [(600, None, None), (601, "", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    build, sql = QUERIES["op4_line_quality"]
+    got = build(spark, str(tmp_path))
+    assert compare(got, connection, sql) is None
+    removed = {r.doc_id: r.words_removed for r in got.collect()}
+    assert {removed[d] for d, _, h in rows if h == "copies"} == {2} and removed[400] == 6 and removed[500] == 0
+
+
+def test_user_columns_with_our_names_and_dots(spark):
+    rows = [(1, "a b c d e f", 7, {"k": 1}, 5), (1, "a b c d e f", 7, {"k": 2}, 6), (2, "a b c d e f", 8, None, 7), (3, "z", 9, {}, 8)]
+    schema = "`doc.id` long, `the.text` string, __hash long, __row map<string,int>, __id int"
+    frame = spark.createDataFrame(rows, schema)
+    kept = near_dups.without_near_duplicates(frame, "doc.id", "the.text")
+    assert kept.columns == frame.columns
+    got = sorted((r["doc.id"], r["__hash"]) for r in kept.collect())
+    assert got == [(1, 7), (3, 9)]
 
 
 def test_pipeline_against_brute_force(spark, data, vocabulary):
