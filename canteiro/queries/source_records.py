@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from canteiro.functions.text import slug
 from canteiro.operators.dedup import with_source_position
+from canteiro.operators.records import parsed_records
 from canteiro.plans.cleaning import clean
 from canteiro.plans.ingest import raw_rows
 from canteiro.queries.registry import Tables, as_of, day, query
 from canteiro.routes import ROUTES
 from canteiro.sources import court, federal, georef, health, panels, portal
-from canteiro.sources.files import matrix_records
+from canteiro.sources.files import matrix_records, placemarks_in
 
 
 def _br(column: str) -> str:
@@ -151,6 +152,65 @@ def court_purchases(t: Tables) -> DataFrame:
     return court.purchases(records, as_of()).select("id_contrato", "valor_contrato", "cnpj_fornecedor", "situacao")
 
 
+@query(
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS id_licitacao, CASE WHEN o_custkey % 5 <> 4 THEN o_totalprice END AS valor_estimado, o_orderpriority AS tipo,
+  CASE WHEN o_orderstatus = 'F' THEN 'Fracassada' WHEN o_custkey % 2 = 0 THEN 'Homologada' ELSE 'Indefinido' END AS situacao,
+  CASE WHEN o_custkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS homologacao,
+  CASE WHEN o_custkey % 2 = 1 AND o_custkey % 3 = 0 THEN 1 ELSE 0 END AS datas_ilegiveis, CAST(o_custkey AS VARCHAR) AS extra
+FROM orders WHERE o_custkey % 11 <> 0
+"""
+)
+def court_tender_records(t: Tables) -> DataFrame:
+    """Tenders from JSON texts whose records spell a key in several ways and give values of several types; no schema is looked for."""
+    key = "element_at(array('ProcessoLicitatorio', 'processoLicitatorio', 'NumeroEdital', 'numero_edital'), 1 + cast(o_custkey % 4 as int))"
+    number = "case when o_custkey % 2 = 0 then cast(o_orderkey as string) else concat('\"', o_orderkey, '\"') end"
+    amount = (
+        f"case o_custkey % 5 when 0 then concat(', \"ValorEstimado\": ', cast(o_totalprice as decimal(18,2))) when 1 then concat(', \"valorestimado\": \"R$ ', {_br('o_totalprice')}, '\"') "
+        "when 2 then concat(', \"valor_estimado\": \"', cast(o_totalprice as decimal(18,2)), '\"') when 3 then concat(', \"ValorEstimado\": null, \"valorTotal\": ', cast(o_totalprice as decimal(18,2))) else '' end"
+    )
+    date = (
+        "case when o_custkey % 2 = 0 then concat(', \"DataHomologacao\": \"', date_format(o_orderdate, 'yyyy-MM-dd'), '\"') "
+        "when o_custkey % 3 = 0 then ', \"dataHomologacao\": \"em breve\"' else '' end"
+    )
+    texts = t.orders.selectExpr(
+        f"case when o_custkey % 11 <> 0 then concat('{{\"', {key}, '\": ', {number}, {amount}, {date}, ', \"TIPO\": \"', o_orderpriority, '\"', "
+        "case when o_orderstatus = 'F' then ', \"parecer\": \"Fracassada\"' else ', \"Parecer\": null' end, ', \"n\": {\"k\": [', o_custkey, ']}}') else '{cut' end as texto",
+    )
+    records, _ = parsed_records(texts, "texto")
+    rows = court.tenders(records, as_of())
+    extra = F.get_json_object("payload_bruto", "$.n.k[0]")
+    return rows.select(
+        "id_licitacao", "valor_estimado", "tipo", "situacao", day("data_homologacao").alias("homologacao"),
+        F.size("_ilegiveis").alias("datas_ilegiveis"), extra.alias("extra"),
+    )
+
+
+@query(
+    """
+SELECT s_name AS nome, CASE WHEN s_suppkey % 5 = 0 THEN r_name WHEN n_nationkey % 4 = 0 THEN 'sem_camada' ELSE n_name || ' & cia' END AS camada,
+  (-40 - n_nationkey) || ',-22.5' AS coords_kml
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+"""
+)
+def map_layers(t: Tables) -> DataFrame:
+    """Placemarks of one map a region, each under the folder that holds it: folders nest, and may have no name."""
+    mark = "concat('<Placemark><name>', s_name, '</name><Point><coordinates>', -40 - n_nationkey, ',-22.5</coordinates></Point></Placemark>')"
+    known = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
+        "n_regionkey", "n_nationkey", "n_name", f"case when s_suppkey % 5 <> 0 then {mark} end as inside", f"case when s_suppkey % 5 = 0 then {mark} end as beside",
+    )
+    folders = known.groupBy("n_regionkey", "n_nationkey", "n_name").agg(
+        F.array_join(F.collect_list("inside"), "").alias("inside"), F.array_join(F.collect_list("beside"), "\n").alias("beside")
+    )
+    named = "case when n_nationkey % 4 <> 0 then concat('<name>', n_name, ' &amp; cia</name>') else '' end"
+    folder = F.expr(f"concat('<Folder>', {named}, inside, '<Folder><name>vazia</name></Folder>', '</Folder>', beside)")
+    maps = folders.groupBy("n_regionkey").agg(F.array_join(F.collect_list(folder), "").alias("folders")).join(
+        t.region, F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    texts = maps.selectExpr("concat('<kml><Document><name>', r_name, '</name>', folders, '</Document></kml>') as texto")
+    return placemarks_in(texts, "texto").select("nome", "camada", "coords_kml")
+
+
 @query(
     """
 SELECT CAST(c_custkey AS VARCHAR) AS proposta_id, CASE WHEN c_nationkey % 2 = 0 THEN 'Em funcionamento' ELSE 'Em ação preparatória' END AS situacao,
@@ -250,6 +310,23 @@ def collection_strategies(t: Tables) -> DataFrame:
     return rows.agg(F.count("*").alias("obras"), F.countDistinct("id_obra").alias("distintas"))
 
 
+@query(
+    _PANEL_SQL
+    + """
+WHERE o_orderstatus <> 'F' AND (o_orderstatus = 'O' OR o_orderdate + INTERVAL 900 DAY >= TIMESTAMP '2000-01-01' - INTERVAL 730 DAY
+  OR o_orderdate >= TIMESTAMP '2000-01-01' - INTERVAL 730 DAY)
+"""
+)
+def collected_works(t: Tables) -> DataFrame:
+    """The rows of the first strategy that gives any, in one plan: the export is empty, so the fallback's active works."""
+    rows = panels.best_strategy(
+        lambda: _panel_rows(t).where(F.col("Identificador") == ""), [lambda: None, lambda: _panel_rows(t)], lambda: None, as_of()
+    )
+    return rows.select(
+        "id_obra", "num_contrato", "num_licitacao", "valor_contrato", day("data_inicio").alias("inicio"), "bairro", "percentual_executado"
+    )
+
+
 @query(
     """
 SELECT CAST(l_orderkey AS VARCHAR) AS id_obra, CASE WHEN l_returnflag = 'A' THEN l_linenumber || ' — CONSTRUCAO' ELSE 'OBRA' END AS nome_obra,

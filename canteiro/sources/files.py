@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import WindowSpec
 
 from canteiro.functions.markup import unescape
 from canteiro.functions.text import WHITESPACE, slug_name
@@ -116,22 +118,128 @@ def with_cells(rows: DataFrame, cells: str, names: Sequence[str]) -> tuple[DataF
     return kept, rows.where(~fits)
 
 
-def _records(spark: SparkSession, path: str, separator: str, encoding: str) -> DataFrame:
-    """Records of CSV files with their place, blank lines left out; a line break inside quotes does not end one.
+@dataclass(frozen=True)
+class _Scan:
+    """What one pass over delimited text tells: the first line that is not blank, whether all text is UTF-8, and for
+    each separator whether a quoted cell goes on after its line."""
 
-    A file is read by one task, because a quoted line break can't be told from a record's end
-    without what stands before it. Land large tables as JSON lines or Parquet.
+    header: str | None
+    utf8: bool
+    opens: dict[str, bool]
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files as they are in the file, in source order; a file is split among tasks."""
+    lines = with_source_position(spark.read.option("lineSep", "\n").text(path))
+    # the text may not be UTF-8, so no pattern touches it here
+    marked = (F.col("_block") == 0) & F.col("value").startswith("\ufeff")
+    return lines.withColumn("value", F.when(marked, F.substring("value", 2, 2**31 - 1)).otherwise(F.col("value")))
+
+
+def _scan(lines: DataFrame, separators: Sequence[str]) -> _Scan:
+    filled = F.btrim("value", F.lit(WHITESPACE)) != ""
+    first = F.min_by("value", F.when(filled, F.struct(*SOURCE_POSITION)))
+    opens = [F.max(F.col("value").contains('"') & F.col("value").rlike(open_after(s, False))).alias(f"o{i}") for i, s in enumerate(separators)]
+    row = lines.agg(first.alias("header"), F.bool_and(F.is_valid_utf8("value")).alias("utf8"), *opens).first()
+    flags = {s: bool(row[f"o{i}"]) for i, s in enumerate(separators)}
+    return _Scan(row["header"], row["utf8"] is not False, flags)
+
+
+def open_after(separator: str, inside: bool) -> str:
+    """Pattern of a line after which a quoted cell is open, for a line that starts inside of one or not.
+
+    A quote opens a cell at its start only; a carriage return ends a record, so a cell starts after it.
     """
-    whole = spark.read.format("binaryFile").load(path).select(
-        F.col("path").alias("_file"), F.decode("content", encoding).alias("value")
+    mark = re.escape(separator)
+    quoted, rest = r'(?:[^"]++|"")*+', rf"[^{mark}\r]*+"
+    cells = rf'(?:(?:"{quoted}"{rest}|(?!"){rest})[{mark}\r])*+'
+    opened = rf'{cells}"{quoted}\z'
+    return rf'^{quoted}(?:\z|"{rest}[{mark}\r]{opened})' if inside else f"^{opened}"
+
+
+def _joined_lines(lines: DataFrame, separator: str) -> DataFrame:
+    """Lines as records: a line inside quotes belongs to the record that was open before it.
+
+    What a line does to the state (inside quotes or not) is one of four functions: it leaves it, turns it, or sets it
+    either way. Functions are composed within each block of a file, then over the blocks, of which there are few; so
+    each block's task knows the state that it starts with. A quote that is never closed is plain text.
+    """
+    from_out, from_in = F.col("value").rlike(open_after(separator, False)), F.col("value").rlike(open_after(separator, True))
+    inside = Window.partitionBy("_file", "_block").orderBy("_row")
+    blocks = Window.partitionBy("_file").orderBy("_block")
+    upto, before = (Window.unboundedPreceding, Window.currentRow), (Window.unboundedPreceding, -1)
+
+    def composed(frame: DataFrame, over: WindowSpec) -> DataFrame:
+        """``turned`` and ``value`` of the functions before a row: the state is the last one set, turned so often since."""
+        turns = frame.withColumn("__turns", F.sum("__turn").over(over.rowsBetween(*upto)))
+        fixed = F.when(F.col("__set").isNotNull(), (F.col("__set") + F.col("__turns")) % 2)
+        return turns.withColumns(
+            {
+                "__turned": F.coalesce(F.sum("__turn").over(over.rowsBetween(*before)), F.lit(0)),
+                "__fixed": F.last(fixed, ignorenulls=True).over(over.rowsBetween(*before)),
+                "__fixed_after": F.last(fixed, ignorenulls=True).over(over.rowsBetween(*upto)),
+            }
+        )
+
+    turn = F.when(from_out & ~from_in, 1).otherwise(0)
+    fixed_to = F.when(from_out & from_in, 1).when(~from_out & ~from_in, 0)
+    states = composed(lines.withColumns({"__turn": turn, "__set": fixed_to}), inside)
+    ends = states.groupBy("_file", "_block").agg(F.max_by(F.struct("__turns", "__fixed_after"), "_row").alias("e"))
+    sums = ends.select(
+        "_file",
+        "_block",
+        F.when(F.col("e.__fixed_after").isNull(), F.col("e.__turns") % 2).otherwise(0).alias("__turn"),
+        ((F.col("e.__fixed_after") + F.col("e.__turns")) % 2).alias("__set"),
     )
+    starts = composed(sums, blocks).select(
+        "_file", "_block", ((F.coalesce("__fixed", F.lit(0)) + F.col("__turned")) % 2).alias("__start")
+    )
+    known = states.join(starts, ["_file", "_block"])
+    state = (F.coalesce("__fixed", "__start") + F.col("__turned")) % 2
+    after = (F.coalesce("__fixed_after", "__start") + F.col("__turns")) % 2
+    place = F.struct("_block", "_row")
+    marked = known.select("value", *SOURCE_POSITION, (state == 0).alias("__first"), (after == 1).alias("__open"))
+
+    # the last record that starts in each block, the last line with a quote that stands alone, and the state at the end
+    paired = F.col("value").rlike(r'^(?:[^"]++|"")*+\z')
+    heads = marked.groupBy("_file", "_block").agg(
+        F.max(F.when(F.col("__first"), place)).alias("head"),
+        F.max(F.when(~paired, place)).alias("quote"),
+        F.max_by("__open", "_row").alias("open"),
+    )
+    whole = blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carried = heads.select(
+        "_file",
+        "_block",
+        F.last("head", ignorenulls=True).over(blocks.rowsBetween(*before)).alias("__carried"),
+        F.last("quote", ignorenulls=True).over(whole).alias("__quote"),
+        F.last("open").over(whole).alias("__never"),
+    )
+    rows = marked.join(carried, ["_file", "_block"])
+    # after a quote that is never closed, every line is a record
+    plain = F.col("__never") & (place > F.col("__quote"))
+    single = plain | (F.col("__first") & ~F.col("__open"))
+    head = F.coalesce(F.last(F.when(F.col("__first"), place), ignorenulls=True).over(inside.rowsBetween(*upto)), F.col("__carried"))
+    told = rows.withColumns({"__single": single, "__head": head})
+    alone = told.where("__single").select("value", *SOURCE_POSITION)
+    several = (
+        told.where("NOT __single")
+        .groupBy("_file", "__head")
+        .agg(F.sort_array(F.collect_list(F.struct("_block", "_row", "value"))).alias("parts"))
+        .select(F.array_join("parts.value", "\n").alias("value"), "_file", "__head._block", "__head._row")
+    )
+    return alone.unionByName(several)
+
+
+def _records(lines: DataFrame, separator: str, opens: bool) -> DataFrame:
+    """Records of delimited text with their place, blank ones left out; a line break inside quotes does not end one."""
+    whole = _joined_lines(lines, separator) if opens else lines
     mark = re.escape(separator)
+    # a carriage return ends a record as well
     record = rf'(?:(?:"(?:[^"]++|"")*+")?+[^{mark}\r\n]*+(?:{mark}|(?=[\r\n]|\z)))++'
-    listed = F.regexp_extract_all(F.regexp_replace("value", "^\ufeff", ""), F.lit(record), F.lit(0))
-    found = F.filter(listed, lambda text: F.btrim(text, F.lit(WHITESPACE)) != "")
-    return whole.select("_file", F.lit(0).cast("long").alias("_block"), F.posexplode(found).alias("_row", CORRUPT)).select(
-        "_file", "_block", F.col("_row").cast("long").alias("_row"), CORRUPT
-    )
+    parts = F.when(F.col("value").contains("\r"), F.regexp_extract_all("value", F.lit(record), F.lit(0))).otherwise(F.array("value"))
+    filled = F.filter(parts, lambda text: F.btrim(text, F.lit(WHITESPACE)) != "")
+    return whole.select(*SOURCE_POSITION, F.posexplode(filled).alias("_item", CORRUPT))
 
 
 def read_csv_records(
@@ -139,17 +247,32 @@ def read_csv_records(
 ) -> tuple[DataFrame, DataFrame]:
     """CSV with a header, every cell as text in source order, and the records with too many cells.
 
-    Short records are padded; a quoted cell may hold separators and line breaks.
+    Short records are padded; a quoted cell may hold separators and line breaks. A file is read by
+    as many tasks as it has blocks.
     """
-    records = _records(spark, path, separator, encoding)
-    parsed = records.withColumn("__cells", csv_cells(CORRUPT, separator))
-    header = parsed.where("_row = 0").select("__cells").first()
-    if header is None:
-        return spark.createDataFrame([], "_file string, _block long, _row long"), records.where(F.lit(False))
-    names = _unique_names(header[0])
-    body = parsed.where("_row > 0")
-    rows, rejects = with_cells(body, "__cells", names)
-    return rows.select(*[F.col(f"`{n}`") for n in names], *SOURCE_POSITION), rejects.select(CORRUPT, "_file")
+    lines = _lines(spark, path)
+    if encoding != "UTF-8":
+        lines = lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
+    return _csv_rows(lines, separator, _scan(lines, [separator]))
+
+
+def _csv_rows(lines: DataFrame, separator: str, scan: _Scan) -> tuple[DataFrame, DataFrame]:
+    spark = lines.sparkSession
+    records = _records(lines, separator, scan.opens[separator])
+    if scan.header is None:
+        nothing = records.where(F.lit(False))
+        return spark.createDataFrame([], "_file string, _block long, _row long, _item int"), nothing.select(CORRUPT, "_file")
+    place = F.struct("_block", "_row", "_item")
+    tops = records.groupBy("_file").agg(F.min(F.struct(place.alias("place"), CORRUPT)).alias("top"))
+    header = scan.header
+    if scan.opens[separator] or "\r" in header:
+        # the header may go on after its line, or end within it
+        header = tops.orderBy("_file").first()["top"][CORRUPT]
+    names = _unique_names(spark.range(1).select(csv_cells(F.lit(header), separator)).first()[0])
+    # every file has its own header
+    body = records.join(tops.select("_file", "top.place"), "_file").where(place != F.col("place")).drop("place")
+    rows, rejects = with_cells(body.withColumn("__cells", csv_cells(CORRUPT, separator)), "__cells", names)
+    return rows.select(*[F.col(f"`{n}`") for n in names], *SOURCE_POSITION, "_item"), rejects.select(CORRUPT, "_file")
 
 
 def _unique_names(cells: Sequence[str]) -> list[str]:
@@ -178,30 +301,20 @@ def read_delimited(
 ) -> tuple[DataFrame, DataFrame]:
     """Delimited text of unknown encoding and separator, and the records with too many cells.
 
-    UTF-8 when every line decodes, else Windows-1252. The first separator that cuts the header
-    into at least two columns wins.
+    UTF-8 when all lines are, else Windows-1252. The first separator that cuts the header into at
+    least two columns wins. One pass finds both, and whether cells go on after their line.
     """
-    utf8 = spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
-    encoding = "UTF-8" if utf8 else "ISO-8859-1"
-    header = spark.read.text(path).where(F.btrim("value", F.lit(WHITESPACE)) != "").first()
-    for separator in separators:
-        if header is None or separator not in re.sub(r'"(?:[^"]|"")*"', "", header[0]):
-            continue
-        rows, rejects = read_csv_records(spark, path, separator, encoding)
-        if utf8:
-            return rows, rejects
+    lines = _lines(spark, path)
+    scan = _scan(lines, separators)
+    if not scan.utf8:
+        # a byte is a character; those that only Windows prints are translated
         source, target = _windows_1252_table()
-        return tuple(
-            frame.select(
-                *[
-                    F.translate(F.col(f"`{n}`"), source, target).alias(n.translate(str.maketrans(source, target)))
-                    if n not in SOURCE_POSITION
-                    else F.col(n)
-                    for n in frame.columns
-                ]
-            )
-            for frame in (rows, rejects)
-        )
+        text = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+        lines = lines.withColumn("value", F.translate(text, source, target))
+        scan = replace(scan, header=lines.where(F.btrim("value", F.lit(WHITESPACE)) != "").orderBy(*SOURCE_POSITION).first()["value"])
+    for separator in separators:
+        if scan.header is not None and separator in re.sub(r'"(?:[^"]|"")*"', "", scan.header):
+            return _csv_rows(lines, separator, scan)
     raise ValueError(f"no separator gives a table for {path}")
 
 
@@ -246,25 +359,21 @@ def placemarks_in(maps: DataFrame, text: str) -> DataFrame:
         r"(?s)<(?:\w+:)?(?:Folder|Document)\b[^>]*+>(?:\s*+<(?:\w+:)?name\b[^>]*+>.*?</(?:\w+:)?name>)?"
         r"|</(?:\w+:)?(?:Folder|Document)>|<(?:\w+:)?Placemark\b.*?</(?:\w+:)?Placemark>"
     )
-    tokens = maps.select(F.regexp_extract_all(text, F.lit(token), F.lit(0)).alias("tokens"))
-    start = F.struct(
-        F.array().cast("array<string>").alias("open"),
-        F.array().cast("array<struct<layer: string, mark: string>>").alias("found"),
+    # marks as rows: the depth after each is a running sum, and a placemark belongs to the folder that was
+    # opened last at its depth; a map's own order is all that is sorted
+    tokens = maps.select(
+        F.monotonically_increasing_id().alias("map"), F.regexp_extract_all(text, F.lit(token), F.lit(0)).alias("tokens")
     )
-
-    def step(state: Column, part: Column) -> Column:
-        closes, marks = part.startswith("</"), part.rlike(r"^<(?:\w+:)?Placemark")
-        name = _element(part, "name")
-        inner = F.slice(state["open"], F.lit(1), F.greatest(F.size(state["open"]) - 1, F.lit(0)))
-        found = F.struct(F.element_at(state["open"], -1).alias("layer"), part.alias("mark"))
-        return (
-            F.when(marks & (F.size(state["open"]) > 0), F.struct(state["open"].alias("open"), F.array_append(state["found"], found).alias("found")))
-            .when(marks, state)
-            .when(closes, F.struct(inner.alias("open"), state["found"].alias("found")))
-            .otherwise(F.struct(F.array_append(state["open"], F.coalesce(name, F.lit(""))).alias("open"), state["found"].alias("found")))
-        )
-
-    marks = tokens.select(F.explode(F.aggregate("tokens", start, step)["found"]).alias("f"))
+    parts = tokens.select("map", F.posexplode("tokens").alias("k", "mark"))
+    is_placemark = F.col("mark").rlike(r"^<(?:\w+:)?Placemark")
+    step = F.when(is_placemark, 0).when(F.col("mark").startswith("</"), -1).otherwise(1)
+    running = Window.partitionBy("map").orderBy("k")
+    sums = parts.withColumn("step", step).withColumn("sum", F.sum("step").over(running))
+    # a folder closed too often closes nothing
+    depths = sums.withColumn("depth", F.col("sum") - F.least(F.lit(0), F.min("sum").over(running)))
+    level = Window.partitionBy("map", "depth").orderBy("k")
+    layer = F.last(F.when(F.col("step") == 1, F.coalesce(_element(F.col("mark"), "name"), F.lit(""))), ignorenulls=True).over(level)
+    marks = depths.withColumn("layer", layer).where((F.col("step") == 0) & (F.col("depth") > 0)).select(F.struct("layer", "mark").alias("f"))
     schema = (
         "name string, description string, styleUrl string, Style struct<IconStyle: struct<Icon: struct<href: string>>>, "
         "Point struct<coordinates: string>, MultiGeometry struct<Point: struct<coordinates: string>>"

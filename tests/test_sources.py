@@ -124,6 +124,58 @@ def test_csv_loses_no_row(spark, tmp_path):
     assert [r._corrupt_record for r in rejects.collect()] == ["6;7;8;9"]
 
 
+def brute_csv(text, separator):
+    """Records of a whole text: a quote opens a cell at its start, and is plain when nothing closes it."""
+    import re
+
+    mark = re.escape(separator)
+    record = rf'(?:(?:"(?:[^"]++|"")*+")?+[^{mark}\r\n]*+(?:{mark}|(?=[\r\n]|\Z)))++'
+    found = [m[0] for m in re.finditer(record, text) if m[0].strip(" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0")]
+    cell = rf'((?:"(?:[^"]++|"")*+")?+[^{mark}]*+){mark}'
+    rows = [re.findall(cell, r + separator) for r in found]
+    plain = lambda c: re.sub(r'(?s)^"(.*)"([^"]*)$', r"\1\2", c).replace('""', '"') if re.match(r'(?s)^"(.*)"([^"]*)$', c) else c
+    return [[plain(c) or None for c in row] for row in rows]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_csv_is_read_by_several_tasks(spark, tmp_path, seed):
+    import random
+
+    rng = random.Random(seed)
+    pieces = ["a", ";", ";", "\n", "\n", '"', '"', '""', ' "', "\r\n", "é", "xyz", ";\n", '";"']
+    texts = {}
+    for name in ("p", "q", "r"):
+        body = "".join(rng.choice(pieces) for _ in range(150 if name != "r" else 12))
+        texts[name] = "c0;c1;c2;c3;c4;c5;c6;c7;c8\n" + body
+        write(tmp_path / f"{name}.csv", texts[name])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for name, text in texts.items():
+            rows, rejects = files.read_csv_records(spark, str(tmp_path / f"{name}.csv"), ";")
+            if name != "r":
+                assert len({r._block for r in rows.select("_block").distinct().collect()}) > 1
+            expected = brute_csv(text, ";")[1:]
+            fits = [(row + [None] * 9)[:9] for row in expected if len(row) <= 9]
+            got = rows.orderBy("_block", "_row", "_item").collect()
+            assert [list(r)[:9] for r in got] == fits, name
+            assert rejects.count() == len(expected) - len(fits)
+        whole, _ = files.read_csv_records(spark, str(tmp_path), ";")
+        assert whole.count() == sum(sum(len(r) <= 9 for r in brute_csv(t, ";")[1:]) for t in texts.values())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_without_line_breaks_in_cells_needs_no_shuffle(spark, tmp_path):
+    from test_plan_shapes import plan_of
+
+    rows, _ = files.read_csv_records(spark, write(tmp_path / "x.csv", 'a,b\n1,"x, y"\n2,z\n'))
+    plan = plan_of(rows)
+    assert "Window" not in plan and "hashpartitioning(_block" not in plan
+    assert [(r.a, r.b) for r in rows.orderBy("_row").collect()] == [("1", "x, y"), ("2", "z")]
+
+
 def test_csv_header_names(spark, tmp_path):
     rows, _ = files.read_csv_records(spark, write(tmp_path / "x.csv", "A,a,,\n1,2,3,4\n"))
     assert names(rows) == ["A0", "a1", "_c2", "_c3"]
