@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -107,6 +108,56 @@ def run_summary(runs: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Section:
+    """A part of a report: groups of rows, and what is measured of each group."""
+
+    name: str
+    by: tuple[str, ...]
+    measures: Mapping[str, Column]
+    # name of a measure with the share of all rows in percent
+    share: str | None = None
+
+
+NO_VALUE = "(nulo)"
+
+
+def report_sections(df: DataFrame, sections: Sequence[Section]) -> DataFrame:
+    """secao, grupo, medida, valor of all sections, from one pass over the rows with a grouping set for each.
+
+    A group is named by its values, NULL as ``(nulo)``. A share is taken of the total, which is the set without columns
+    of the same aggregate, so the rows are not read again for it.
+    """
+    columns = list(dict.fromkeys(name for section in sections for name in section.by))
+    sets = [list(by) for by in dict.fromkeys([*(section.by for section in sections), ()])]
+    measures = {(section.name, name): f"m{i}_{j}" for i, section in enumerate(sections) for j, name in enumerate(section.measures)}
+    aggregates = [section.measures[name].cast("double").alias(measures[section.name, name]) for section in sections for name in section.measures]
+    counted = [F.count("*").cast("double").alias("__rows"), *aggregates]
+    if columns:
+        grouped = df.groupingSets([[F.col(c) for c in by] for by in sets], *[F.col(c) for c in columns])
+        groups = grouped.agg(F.grouping_id().alias("__set"), *counted)
+    else:
+        groups = df.agg(F.lit(0).alias("__set"), *counted)
+
+    def number(by: Sequence[str]) -> int:
+        """What ``grouping_id`` gives: a bit for each column that is left out."""
+        return sum(1 << place for place, name in enumerate(reversed(columns)) if name not in by)
+
+    total = groups.where(F.col("__set") == number(())).agg(F.max("__rows")).scalar()
+    lines = []
+    for section in sections:
+        cells = [(name, F.col(measures[section.name, name])) for name in section.measures]
+        if section.share:
+            cells.append((section.share, F.round(F.col("__rows") * 100.0 / total, 1)))
+        group = F.concat_ws(" / ", *[F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)) for c in section.by])
+        made = F.array(*[F.struct(F.lit(section.name).alias("secao"), group.alias("grupo"), F.lit(n).alias("medida"), v.alias("valor")) for n, v in cells])
+        lines.append(F.when(F.col("__set") == number(section.by), made).otherwise(F.array().cast(_LINES)))
+    return groups.select(F.explode(F.concat(*lines)).alias("line")).select("line.*")
+
+
+_LINES = "array<struct<secao: string, grupo: string, medida: string, valor: double>>"
+
+
 def largest_first(df: DataFrame, column: str, *then: str) -> DataFrame:
     return df.orderBy(F.col(column).desc(), *then)
 

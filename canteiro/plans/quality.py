@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canteiro.operators.profile import coverage, distribution, largest_first, null_checks, null_or_empty, row_counts
+from canteiro.operators.profile import (
+    Section,
+    coverage,
+    distribution,
+    exact_mean,
+    largest_first,
+    null_checks,
+    null_or_empty,
+    report_sections,
+    row_counts,
+)
 
 STRUCTURED = ("obras", "contratos", "fornecedores", "aditivos")
 
@@ -17,8 +28,8 @@ def counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return row_counts(named).orderBy("tabela")
 
 
-def raw_contracts(df: DataFrame) -> DataFrame:
-    checks = {
+def raw_contracts_checks() -> dict[str, Column]:
+    return {
         "sem_situacao": null_or_empty("situacao"),
         **null_checks(
             sem_valor="valor_inicial", sem_data_assinatura="data_assinatura", sem_data_fim="data_fim_vigencia",
@@ -28,15 +39,21 @@ def raw_contracts(df: DataFrame) -> DataFrame:
         "expirados": F.col("situacao") == "Expirado",
         "indefinidos": F.col("situacao") == "Indefinido",
     }
-    return largest_first(coverage(df, ["fonte"], checks), "total", "fonte")
 
 
-def raw_tenders(df: DataFrame) -> DataFrame:
-    checks = {
+def raw_contracts(df: DataFrame) -> DataFrame:
+    return largest_first(coverage(df, ["fonte"], raw_contracts_checks()), "total", "fonte")
+
+
+def raw_tenders_checks() -> dict[str, Column]:
+    return {
         **null_checks(sem_situacao="situacao", sem_valor="valor_estimado", sem_vencedor="cnpj_vencedor"),
         "sem_data": F.col("data_publicacao").isNull() & F.col("data_abertura").isNull(),
     }
-    return largest_first(coverage(df, ["fonte"], checks), "total", "fonte")
+
+
+def raw_tenders(df: DataFrame) -> DataFrame:
+    return largest_first(coverage(df, ["fonte"], raw_tenders_checks()), "total", "fonte")
 
 
 # raw table -> named NULL checks
@@ -70,12 +87,17 @@ def raw_works(table: str, df: DataFrame) -> DataFrame:
     return coverage(df, ["fonte"], null_checks(**RAW_WORKS_CHECKS[table]))
 
 
+# named NULL checks of the consolidated works
+WORKS_CHECKS = dict(
+    sem_situacao="situacao", sem_percentual="percentual_executado", sem_valor="valor_contrato",
+    sem_lat="latitude", sem_data_inicio="data_inicio", sem_data_fim="data_prevista_fim",
+)
+
+
 def works_coverage(works: DataFrame) -> DataFrame:
-    checks = null_checks(
-        sem_situacao="situacao", sem_percentual="percentual_executado", sem_valor="valor_contrato",
-        sem_lat="latitude", sem_data_inicio="data_inicio", sem_data_fim="data_prevista_fim",
+    report = coverage(
+        works, ["fonte_origem"], null_checks(**WORKS_CHECKS), {"media_percentual": "percentual_executado"}
     )
-    report = coverage(works, ["fonte_origem"], checks, {"media_percentual": "percentual_executado"})
     return largest_first(report, "total", "fonte_origem")
 
 
@@ -103,6 +125,45 @@ def contracts_without_status(contracts: DataFrame) -> DataFrame:
     )
 
 
+def _counted(checks: Mapping[str, Column]) -> dict[str, Column]:
+    return {"total": F.count("*"), **{name: F.count_if(check) for name, check in checks.items()}}
+
+
+def table_sections(name: str) -> list[Section]:
+    """Sections of the report for one table: its count, and what the table is known for."""
+    label = f"{name} (estruturada)" if name in STRUCTURED else name
+    sections = [Section("contagens", (), {label: F.count("*")})]
+    mean = {"media_percentual": exact_mean("percentual_executado", 1)}
+    if name == "raw_contratos":
+        sections.append(Section(f"cobertura_{name}", ("fonte",), _counted(raw_contracts_checks())))
+    elif name == "raw_licitacoes":
+        sections.append(Section(f"cobertura_{name}", ("fonte",), _counted(raw_tenders_checks())))
+    elif name in RAW_WORKS_CHECKS:
+        sections.append(Section(f"cobertura_{name}", ("fonte",), _counted(null_checks(**RAW_WORKS_CHECKS[name]))))
+    elif name == "obras":
+        sections += [
+            Section("cobertura_obras", ("fonte_origem",), {**_counted(null_checks(**WORKS_CHECKS)), **mean}),
+            Section("situacao_obras", ("situacao",), {"qtd": F.count("*"), **mean}, share="pct"),
+            Section("obras_sem_percentual", (), {"linhas": F.count_if(F.col("percentual_executado").isNull())}),
+        ]
+    elif name == "contratos":
+        sections += [
+            Section("situacao_contratos", ("fonte_origem", "situacao"), {"qtd": F.count("*")}),
+            Section("contratos_sem_situacao", (), {"linhas": F.count_if(null_or_empty("situacao"))}),
+        ]
+    return sections
+
+
+def report_lines(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All sections whose tables are given as one frame: secao, grupo, medida, valor.
+
+    Each table is read once, whatever the number of its sections. Of the audits that must be empty, the lines give the
+    number of rows; ``report`` gives the rows.
+    """
+    parts = [report_sections(df, table_sections(name)) for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def report(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All sections whose tables are given."""
     sections = {"contagens": counts(tables)}

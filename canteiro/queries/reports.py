@@ -283,3 +283,55 @@ _WORKS_GAPS = {
 )
 def coverage_works(t: Tables) -> DataFrame:
     return quality.works_coverage(_gaps(t, list(_WORKS_GAPS.values()), "fonte_origem"))
+
+
+_LINES_SQL = """
+WITH o AS (
+  SELECT l_returnflag AS f, CASE WHEN l_linenumber <> 1 THEN l_linestatus END AS s, CASE WHEN l_linenumber <> 2 THEN CAST(l_partkey AS DOUBLE) END AS p, l_linenumber AS n
+  FROM lineitem),
+k AS (SELECT o_orderstatus AS f, CASE o_orderpriority WHEN '1-URGENT' THEN '' WHEN '5-LOW' THEN NULL ELSE o_orderpriority END AS s FROM orders),
+r AS (SELECT c_mktsegment AS f, CASE WHEN c_nationkey % 3 = 0 THEN 'Vigente' WHEN c_nationkey % 3 = 1 THEN 'Expirado' END AS s, c_custkey AS c FROM customer),
+m AS (
+  SELECT 'contagens' AS secao, '' AS grupo, unnest([{'k': 'obras (estruturada)', 'v': count(*)}]) AS x FROM o
+  UNION ALL SELECT 'contagens', '', unnest([{'k': 'contratos (estruturada)', 'v': count(*)}]) FROM k
+  UNION ALL SELECT 'contagens', '', unnest([{'k': 'raw_contratos', 'v': count(*)}]) FROM r
+  UNION ALL SELECT 'contagens', '', unnest([{'k': 'fornecedores (estruturada)', 'v': count(*)}]) FROM supplier
+  UNION ALL SELECT 'cobertura_raw_contratos', f, unnest([{'k': 'total', 'v': count(*)}, {'k': 'sem_situacao', 'v': count(*) - count(s)},
+      {'k': 'sem_valor', 'v': count(*) FILTER (WHERE c % 5 = 0)}, {'k': 'sem_data_assinatura', 'v': 0}, {'k': 'sem_data_fim', 'v': count(*)},
+      {'k': 'sem_cnpj', 'v': count(*) FILTER (WHERE c % 7 = 0)}, {'k': 'vigentes', 'v': count(*) FILTER (WHERE s = 'Vigente')},
+      {'k': 'expirados', 'v': count(*) FILTER (WHERE s = 'Expirado')}, {'k': 'indefinidos', 'v': 0}]) FROM r GROUP BY f
+  UNION ALL SELECT 'cobertura_obras', f, unnest([{'k': 'total', 'v': count(*)}, {'k': 'sem_situacao', 'v': count(*) FILTER (WHERE n = 1)},
+      {'k': 'sem_percentual', 'v': count(*) FILTER (WHERE n = 2)}, {'k': 'sem_valor', 'v': count(*) FILTER (WHERE n = 3)}, {'k': 'sem_lat', 'v': count(*) FILTER (WHERE n = 4)},
+      {'k': 'sem_data_inicio', 'v': count(*) FILTER (WHERE n = 5)}, {'k': 'sem_data_fim', 'v': count(*) FILTER (WHERE n = 6)}]) FROM o GROUP BY f
+  UNION ALL SELECT 'situacao_obras', coalesce(s, '(nulo)'), unnest([{'k': 'qtd', 'v': count(*)}]) FROM o GROUP BY s
+  UNION ALL SELECT 'obras_sem_percentual', '', unnest([{'k': 'linhas', 'v': count(*) FILTER (WHERE p IS NULL)}]) FROM o
+  UNION ALL SELECT 'situacao_contratos', f || ' / ' || coalesce(s, '(nulo)'), unnest([{'k': 'qtd', 'v': count(*)}]) FROM k GROUP BY f, s
+  UNION ALL SELECT 'contratos_sem_situacao', '', unnest([{'k': 'linhas', 'v': count(*) FILTER (WHERE s IS NULL OR s = '')}]) FROM k)
+SELECT secao, grupo, x.k AS medida, CAST(x.v AS DOUBLE) AS valor FROM m
+UNION ALL SELECT 'situacao_obras', coalesce(s, '(nulo)'), 'pct', round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM o), 1) FROM o GROUP BY s
+UNION ALL SELECT 'situacao_obras', coalesce(s, '(nulo)'), 'media_percentual', round(CAST(sum(CAST(p AS DECIMAL(38,2))) AS DOUBLE) / nullif(count(p), 0), 1) FROM o GROUP BY s
+UNION ALL SELECT 'cobertura_obras', f, 'media_percentual', round(CAST(sum(CAST(p AS DECIMAL(38,2))) AS DOUBLE) / nullif(count(p), 0), 1) FROM o GROUP BY f
+"""
+
+
+@query(_LINES_SQL)
+def report_lines(t: Tables) -> DataFrame:
+    """All sections of the quality report as lines, each table read once."""
+    works = t.lineitem.select(
+        F.col("l_returnflag").alias("fonte_origem"),
+        F.when(F.col("l_linenumber") != 1, F.col("l_linestatus")).alias("situacao"),
+        *[
+            F.when(F.col("l_linenumber") != place + 1, F.col("l_partkey").cast("double")).alias(name)
+            for place, name in enumerate(_WORKS_GAPS.values())
+            if place
+        ],
+    )
+    contracts = t.orders.selectExpr(
+        "o_orderstatus as fonte_origem", "case o_orderpriority when '1-URGENT' then '' when '5-LOW' then null else o_orderpriority end as situacao"
+    )
+    raw = t.customer.selectExpr(
+        "c_mktsegment as fonte", "case when c_nationkey % 3 = 0 then 'Vigente' when c_nationkey % 3 = 1 then 'Expirado' end as situacao",
+        "case when c_custkey % 5 <> 0 then c_acctbal end as valor_inicial", "timestamp'1999-01-01' as data_assinatura",
+        "cast(null as timestamp) as data_fim_vigencia", "case when c_custkey % 7 <> 0 then cast(c_custkey as string) end as cnpj_fornecedor",
+    )
+    return quality.report_lines({"obras": works, "contratos": contracts, "raw_contratos": raw, "fornecedores": t.supplier})

@@ -32,3 +32,19 @@ def test_library_never_forces_a_broadcast_or_collects():
     for path in (ROOT / "canteiro").rglob("*.py"):
         source = path.read_text(encoding="utf-8")
         assert not [word for word in banned if word in source], path
+
+
+def test_report_reads_each_table_once(spark, data):
+    frame = REGISTRY["report_lines"].build(spark, data)
+    frame.collect()
+    plan = frame.sparkSession._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "simple")
+    final = plan.split("== Initial Plan ==")[0]
+    for column in ("l_returnflag", "o_orderstatus", "c_mktsegment", "s_suppkey"):
+        assert sum("FileScan" in line and column in line for line in final.splitlines()) <= 1, column
+
+
+def test_fold_has_no_higher_order_function(spark):
+    from canteiro.functions.text import fold
+
+    plan = plan_of(spark.createDataFrame([("a",)], "t string").select(fold("t")))
+    assert "lambda" not in plan and "aggregate(" not in plan and "transform(" not in plan
