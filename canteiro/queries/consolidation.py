@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canteiro.plans import contracts as contract_plans
 from canteiro.plans import features as feature_plans
 from canteiro.plans import suppliers as supplier_plans
 from canteiro.plans import works as work_plans
+from canteiro.plans.incremental import refreshed
 from canteiro.plans.structured import structured_tables
 from canteiro.queries.registry import Tables, as_of, day, query
 
@@ -252,6 +253,66 @@ def works_consolidated(t: Tables) -> DataFrame:
     )
 
 
+# every column of every work, source by source; what a source does not have is NULL
+_WORK_ROWS_SQL = (
+    "WITH "
+    + _CONTRACTS_SQL
+    + """,
+e AS (SELECT n_nationkey, n_regionkey, CASE WHEN n_regionkey = 2 THEN TIMESTAMP '1999-02-01' WHEN n_regionkey = 1 THEN TIMESTAMP '1999-12-31' END AS fim,
+        CASE WHEN n_regionkey = 1 THEN TIMESTAMP '1999-01-01' END AS prazo FROM nation),
+s AS (SELECT l_suppkey, l_linenumber, max(l_extendedprice) AS valor, min(l_extendedprice) AS pago, max(l_shipdate) AS parada, min(l_shipdate) AS ini
+      FROM lineitem GROUP BY l_suppkey, l_linenumber),
+w AS (
+  SELECT 'painel_obras_atual_macae' AS fonte_origem, CAST(p_partkey AS VARCHAR) AS id_origem, p_name AS nome, p_name AS objeto, 'Obra Municipal' AS tipo,
+    CASE p_type WHEN 'ECONOMY' THEN 'Concluída' WHEN 'SMALL' THEN 'Em andamento' WHEN 'PROMO' THEN 'Cancelada' ELSE 'Em vistoria' END AS situacao,
+    p_brand AS secretaria, CAST(NULL AS VARCHAR) AS bairro,
+    CASE WHEN p_size > 40 THEN 55.0 WHEN p_type = 'ECONOMY' THEN 100.0 WHEN p_type = 'SMALL' THEN round_even(CAST(730 - p_size AS DOUBLE) / 1096 * 100, 1)
+      WHEN p_type <> 'PROMO' AND p_size > 30 THEN -1.0 ELSE 0.0 END AS percentual_executado,
+    p_retailprice AS valor_contrato, CAST(NULL AS DOUBLE) AS valor_aditivos, CAST(NULL AS DOUBLE) AS valor_final, CAST(NULL AS BIGINT) AS qtd_aditivos,
+    TIMESTAMP '1998-01-01' + to_days(p_size) AS ini, TIMESTAMP '2001-01-01' + to_days(p_size) AS prazo, CAST(NULL AS TIMESTAMP) AS fim,
+    CAST(NULL AS BIGINT) AS ano_conclusao, CASE WHEN p_size > 25 THEN -22.5::DOUBLE END AS latitude, -41.75::DOUBLE AS longitude,
+    CASE WHEN p_size > 25 THEN 'POINT(-41.75 -22.5)' END AS geometry, CAST(NULL AS VARCHAR) AS num_licitacao FROM part
+  UNION ALL SELECT 'painel_obras_legado_macae', CAST(s_suppkey AS VARCHAR), s_name, s_name, 'Obra Municipal', 'Concluída', NULL, NULL, 100.0, s_acctbal,
+    CAST(n_nationkey AS DOUBLE), NULL, CAST(n_regionkey AS BIGINT), NULL, prazo, fim, CAST(1990 + s_nationkey AS BIGINT), NULL, NULL, NULL, CAST(s_nationkey AS VARCHAR)
+    FROM supplier JOIN e ON n_nationkey = s_nationkey
+  UNION ALL SELECT fonte, id_contrato, objeto, objeto, 'Obra Municipal', CASE WHEN situacao = 'Vigente' THEN 'Em andamento' ELSE 'Indefinido' END, NULL,
+    CASE WHEN objeto LIKE 'REFORMA%' THEN 'Novo Centro' END,
+    CASE WHEN situacao = 'Vigente' AND fim IS NOT NULL THEN least(99.0, round_even(CAST(date_diff('day', assinatura, TIMESTAMP '2000-01-01') AS DOUBLE) / 400 * 100, 1)) ELSE 0.0 END,
+    valor, aditivos, NULL, NULL, assinatura, fim, NULL, NULL, NULL, NULL, NULL, NULL FROM c WHERE obra
+  UNION ALL SELECT 'sismob_cidadao', CAST(c_custkey AS VARCHAR), CASE WHEN c_nationkey < 8 THEN c_name WHEN c_nationkey < 16 THEN c_mktsegment ELSE 'Obra SISMOB ' || c_custkey END,
+    CASE WHEN c_nationkey < 16 THEN c_mktsegment ELSE '' END, 'Saúde', 'Concluída', 'Saúde', NULL, 100.0, c_acctbal, NULL, NULL, NULL, NULL,
+    CASE WHEN c_nationkey > 3 THEN TIMESTAMP '1999-06-01' ELSE TIMESTAMP '1998-06-01' END, TIMESTAMP '1999-01-01' + to_days(CAST(c_custkey % 400 AS INTEGER)), NULL, NULL, NULL, NULL, NULL
+    FROM customer
+  UNION ALL SELECT 'egim_google_mymaps', p_name || ' ' || p_partkey, p_name || ' ' || p_partkey, p_brand, 'Georreferenciada', 'Em fase de planejamento', NULL, NULL, 0.0,
+    round(p_retailprice, 2), NULL, NULL, NULL, TIMESTAMP '1997-01-01',
+    CASE WHEN p_size > 25 THEN TIMESTAMP '1997-01-01' + to_days(p_size) ELSE make_timestamp(1975 + p_size, 3, 1, 0, 0, 0) END, NULL, NULL, -22.25, -41.5 - p_size,
+    'POINT(' || CAST(-41.5 - p_size AS DOUBLE) || ' -22.25)', NULL FROM part
+  UNION ALL SELECT 'tce_rj_obras_paralisadas', l_suppkey || '-' || l_linenumber, 'Obra parada', CASE WHEN l_linenumber > 3 THEN 'Creche' ELSE 'Obra parada' END,
+    CASE WHEN l_linenumber > 3 THEN 'Creche' ELSE 'Obra Paralisada' END, 'Paralisada', CASE WHEN l_linenumber > 5 THEN 'SEMED' ELSE 'Educação' END, NULL,
+    CASE WHEN l_linenumber = 7 THEN 12.5 ELSE least(99.0, round_even(pago / valor * 100, 1)) END, valor, NULL, pago, NULL, ini, parada, NULL, NULL, NULL, NULL, NULL, NULL FROM s)
+"""
+)
+
+
+@query(
+    _WORK_ROWS_SQL
+    + """
+SELECT sha256(fonte_origem || '|' || id_origem) AS id, fonte_origem, id_origem, nome, objeto, tipo, situacao, secretaria, bairro, CAST(NULL AS VARCHAR) AS endereco,
+  'Macaé' AS municipio, 'RJ' AS uf, CAST(percentual_executado AS DOUBLE) AS percentual_executado, CAST(NULL AS DOUBLE) AS percentual_executado_financeiro,
+  valor_contrato, valor_aditivos, valor_final, qtd_aditivos, strftime(ini, '%Y-%m-%d') AS data_inicio, strftime(prazo, '%Y-%m-%d') AS data_prevista_fim,
+  strftime(fim, '%Y-%m-%d') AS data_conclusao, ano_conclusao,
+  CASE WHEN prazo IS NOT NULL THEN greatest(0, date_diff('day', prazo, coalesce(fim, TIMESTAMP '2000-01-01'))) END AS dias_atraso,
+  latitude, longitude, geometry, CAST(NULL AS VARCHAR) AS cnpj_executora, CAST(NULL AS VARCHAR) AS num_contrato, num_licitacao
+FROM w
+"""
+)
+def works_rows(t: Tables) -> DataFrame:
+    """Every consolidated and enriched work of all six sources with all its columns."""
+    consolidated, _ = work_plans.works(all_raw(t), as_of())
+    dates = ("data_inicio", "data_prevista_fim", "data_conclusao")
+    return consolidated.withColumns({name: day(name) for name in dates})
+
+
 _STRUCTURED_SQL = (
     "WITH "
     + _CONTRACTS_SQL
@@ -297,6 +358,71 @@ def amendments_structured(t: Tables) -> DataFrame:
     return contract_plans.amendments(raw, rows)[0].select("id_contrato", "tipo", "motivo", "valor")
 
 
+_STRUCTURED_ROWS_SQL = (
+    _STRUCTURED_SQL
+    + """
+SELECT 'fornecedores' AS tabela, cnpj AS chave, to_json({'razao_social': 'Empresa', 'contratos': count(*), 'valor': CAST(sum(CAST(valor AS DECIMAL(38,2))) AS VARCHAR),
+    'primeiro': strftime(min(assinatura), '%Y-%m-%d'), 'ultimo': strftime(max(assinatura), '%Y-%m-%d'), 'anos': count(DISTINCT year(assinatura))}) AS linha
+FROM c WHERE cnpj IS NOT NULL GROUP BY cnpj
+UNION ALL SELECT 'contratos', numero || '|' || fonte, to_json({'obra': sha256(fonte || '|' || id_contrato), 'fornecedor': sha256(cnpj), 'objeto': objeto,
+    'situacao': CASE WHEN situacao IS NOT NULL THEN situacao WHEN fim < TIMESTAMP '2000-01-01' THEN 'Expirado' WHEN fim IS NULL THEN 'Indefinido' ELSE 'Vigente' END,
+    'assinatura': strftime(assinatura, '%Y-%m-%d'), 'fim': strftime(fim, '%Y-%m-%d')}) FROM k WHERE rn = 1
+UNION ALL SELECT 'aditivos', sha256(numero || '|' || fonte), to_json({'tipo': 'Consolidado', 'motivo': 'Aditivo(s) registrado(s) na fonte original'}) FROM k WHERE rn = 1 AND aditivos > 0
+"""
+)
+
+
+def _structured_lines(tables: dict[str, DataFrame]) -> DataFrame:
+    """Suppliers, contracts and amendments as lines: table, key, record."""
+    options = {"ignoreNullFields": "false"}
+
+    def listed(name: str, key: Column, **cells: Column | str) -> DataFrame:
+        record = F.to_json(F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in cells.items()]), options)
+        return tables[name].select(F.lit(name).alias("tabela"), key.alias("chave"), record.alias("linha"))
+
+    suppliers = listed(
+        "fornecedores", F.col("cnpj"), razao_social="razao_social", contratos="total_contratos",
+        valor=F.col("valor_total").cast("decimal(38,2)").cast("string"),
+        primeiro=day("primeiro_contrato"), ultimo=day("ultimo_contrato"), anos="anos_atuacao",
+    )
+    linked = listed(
+        "contratos", F.concat("numero", F.lit("|"), "fonte_origem"), obra="id_obra", fornecedor="id_fornecedor", objeto="objeto",
+        situacao="situacao", assinatura=day("data_assinatura"), fim=day("data_fim"),
+    )
+    added = listed("aditivos", F.col("id_contrato"), tipo="tipo", motivo="motivo")
+    return suppliers.unionByName(linked).unionByName(added)
+
+
+@query(_STRUCTURED_ROWS_SQL)
+def structured_rows(t: Tables) -> DataFrame:
+    """Rows of suppliers, contracts and amendments of one structured run, each as its key and a record."""
+    return _structured_lines(structured_tables(all_raw(t), as_of()))
+
+
+def earlier_contracts(t: Tables) -> DataFrame:
+    """The raw contracts as they were: some rows are missing, some had other values, and some are gone since."""
+    now = raw_contracts(t)
+    order = F.col("id_contrato").cast("long")
+    was = now.where(order % 50 != 8).withColumns(
+        {
+            "valor_inicial": F.when(order % 10 == 3, F.lit(1.0)).otherwise(F.col("valor_inicial")),
+            "cnpj_fornecedor": F.when(order % 40 == 5, F.lit("1")).otherwise(F.col("cnpj_fornecedor")),
+            "num_licitacao": F.when(order % 60 == 7, F.lit("antes")).otherwise(F.col("num_licitacao")),
+            "objeto": F.when(order % 30 == 9, F.lit("Pavimentação")).otherwise(F.col("objeto")),
+        }
+    )
+    gone = now.where(order % 50 == 11).withColumn("id_contrato", F.concat(F.lit("9"), "id_contrato", F.lit("000000000")))
+    return was.unionByName(gone)
+
+
+@query(_STRUCTURED_ROWS_SQL)
+def structured_refresh(t: Tables) -> DataFrame:
+    """The structured rows of an earlier version of the raw contracts, brought up to date by the rows that changed."""
+    old, new = earlier_contracts(t), raw_contracts(t)
+    before = structured_tables({"raw_contratos": old}, as_of())
+    return _structured_lines(refreshed(before, old, new, as_of()))
+
+
 @query(
     _STRUCTURED_SQL
     + """
