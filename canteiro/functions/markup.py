@@ -47,13 +47,22 @@ def unescape(text: Column | str) -> Column:
     return once(_col(text), replaced)
 
 
-def _text_nodes(html: Column, joiner: str) -> Column:
-    """Text between tags, each piece trimmed, empty pieces dropped."""
+# stand for the start of a row, the start of a cell, and their ends: characters that no text has
+_ROW, _CELL, _CELL_END, _ROW_END = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+_MARKS = _ROW + _CELL + _CELL_END + _ROW_END
+
+
+def _pieces(html: Column) -> Column:
+    """Text between tags with a cut between pieces, blanks around cuts and marks removed."""
     visible = F.regexp_replace(html, _HIDDEN, _CUT)
     pieces = unescape(F.regexp_replace(visible, _TAG, _CUT))
     joined = F.regexp_replace(pieces, rf"(?U)\s*{_CUT}[\s{_CUT}]*", _CUT)
-    trimmed = F.regexp_replace(joined, rf"(?U)^[\s{_CUT}]+|[\s{_CUT}]+$", "")
-    return F.replace(trimmed, F.lit(_CUT), F.lit(joiner))
+    return F.regexp_replace(joined, rf"(?U)^[\s{_CUT}]+|[\s{_CUT}]+$", "")
+
+
+def _text_nodes(html: Column, joiner: str) -> Column:
+    """Text between tags, each piece trimmed, empty pieces dropped."""
+    return F.replace(_pieces(html), F.lit(_CUT), F.lit(joiner))
 
 
 def html_text(html: Column | str) -> Column:
@@ -73,14 +82,18 @@ def html_attributes(html: Column | str) -> Column:
     Keys are lower case; a repeated key keeps its last value (session setting LAST_WIN).
     """
     html = _col(html)
+    # the table's own tags become marks, so one pass cleans all cells, and splitting finds them
     table = F.regexp_extract(html, r"(?is)<table\b.*?(?:</table|\z)", 0)
-    rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)(?=<tr\b|</tr|</table|\z)"), 1)
+    for tag, mark in ((r"<tr\b", _ROW), (r"<t[dh]\b", _CELL), ("</t[dh]", _CELL_END), ("</(?:tr|table)", _ROW_END)):
+        table = F.regexp_replace(table, rf"(?is){tag}[^>]*>?", mark)
+    cleaned = F.regexp_replace(_pieces(table), rf"(?U)[\s{_CUT}]*([{_MARKS}])[\s{_CUT}]*", "$1")
+    rows = F.split(F.replace(cleaned, F.lit(_CUT), F.lit("")), _ROW)
 
     def row_entry(row: Column) -> Column:
-        cells = F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)(?=<t[dh]\b|</t[dh]|\z)"), 1)
+        cells = F.split(F.substring_index(row, _ROW_END, 1), _CELL)
+        first, second = (F.substring_index(F.get(cells, F.lit(n)), _CELL_END, 1) for n in (1, 2))
         return F.struct(
-            F.coalesce(F.lower(_text_nodes(F.get(cells, F.lit(0)), "")), F.lit("")).alias("key"),
-            F.coalesce(_text_nodes(F.get(cells, F.lit(1)), ""), F.lit("")).alias("value"),
+            F.coalesce(F.lower(first), F.lit("")).alias("key"), F.coalesce(second, F.lit("")).alias("value")
         )
 
     def line_entry(line: Column) -> Column:
@@ -90,7 +103,8 @@ def html_attributes(html: Column | str) -> Column:
             F.trim(F.substring(line, F.length(key) + 2, F.length(line))).alias("value"),
         )
 
-    from_table = _pairs(F.transform(rows, row_entry))
+    # what stands before the first row is none
+    from_table = _pairs(F.transform(F.slice(rows, F.lit(2), F.size(rows)), row_entry))
     lines = F.filter(F.split(_text_nodes(html, "\n"), "\n"), lambda line: line.contains(":"))
     from_lines = _pairs(F.transform(lines, line_entry))
     found = once(from_table, lambda pairs: F.when(F.size(pairs) > 0, pairs).otherwise(from_lines))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from canteiro import vocab
 from canteiro.functions.numbers import amount
-from canteiro.functions.text import _col, contains_any, fold, once, strip
+from canteiro.functions.text import _col, contains_any, first_listed, fold, strip
 from canteiro.functions.dates import (
     elapsed_percent,
     expected_end,
@@ -81,12 +81,14 @@ def is_active_work(
 
 
 def _stage(text: Column, running_words: tuple[str, ...]) -> Column:
-    return (
-        F.when(contains_any(text, vocab.FINISHED_WORDS), "concluída")
-        .when(contains_any(text, running_words), "em andamento")
-        .when(contains_any(text, vocab.HALTED_WORDS), "paralisada")
-        .when(contains_any(text, vocab.PLANNED_WORDS), "planejada")
+    stages = (
+        (vocab.FINISHED_WORDS, "concluída"),
+        (running_words, "em andamento"),
+        (vocab.HALTED_WORDS, "paralisada"),
+        (vocab.PLANNED_WORDS, "planejada"),
     )
+    choices = [(word, stage) for words, stage in stages for word in words]
+    return first_listed(text, choices, F.lit(None).cast("string"))
 
 
 def marker_status(attributes: Column, marker: Column, layer: Column) -> Column:
@@ -101,12 +103,8 @@ def marker_status(attributes: Column, marker: Column, layer: Column) -> Column:
     values = F.transform(F.concat(named("status"), named("situação")), lambda e: e["value"])
     joined = F.lower(F.array_join(values, " "))
     icon = F.lower(marker)
-    by_icon = None
-    for colour, stage in vocab.MARKER_STATUS:
-        value = None if stage == "indefinido" else stage
-        hit = icon.contains(colour)
-        by_icon = F.when(hit, F.lit(value)) if by_icon is None else by_icon.when(hit, F.lit(value))
-    by_other = once(joined, lambda text: _stage(text, broad))
+    by_icon = F.nullif(first_listed(icon, list(vocab.MARKER_STATUS), F.lit("indefinido")), F.lit("indefinido"))
+    by_other = _stage(joined, broad)
     return F.coalesce(own, by_other, by_icon, _stage(F.lower(layer), broad), F.lit("indefinido"))
 
 

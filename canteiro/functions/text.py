@@ -156,9 +156,48 @@ def slug_name(name: str) -> str:
 def contains_any(text: Column | str, words: Sequence[str]) -> Column:
     """True when ``text`` holds any of the words; NULL text gives False.
 
-    One alternation of literal words, so the text is computed and scanned once.
+    One pattern of all words, so the text is computed and scanned once.
     """
-    return F.coalesce(_col(text).rlike("|".join(re.escape(word) for word in words)), F.lit(False))
+    return F.coalesce(_col(text).rlike(words_pattern(words)), F.lit(False))
+
+
+def _branches(words: Sequence[str]) -> str:
+    """Pattern of the words with their common beginnings written once, the longest word first."""
+    heads: dict[str, list[str]] = {}
+    for word in words:
+        if word:
+            heads.setdefault(word[0], []).append(word[1:])
+    parts = [re.escape(head) + _branches(rests) for head, rests in sorted(heads.items())]
+    if not parts:
+        return ""
+    body = parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+    return f"(?:{body})?" if "" in words else body
+
+
+def words_pattern(words: Iterable[str]) -> str:
+    """Pattern of any of the words: a trie, so a place in the text is tried once however many words there are."""
+    return _branches(sorted(set(words)))
+
+
+def words_found(text: Column, words: Iterable[str]) -> Column:
+    """The longest of the words at each place of the text where one begins, in one pass; words may overlap."""
+    return F.regexp_extract_all(text, F.lit(f"(?=({words_pattern(words)}))"), F.lit(1))
+
+
+def first_listed(text: Column, choices: Sequence[tuple[str, object]], default: Column) -> Column:
+    """Value of the first word of the list that the text holds, wherever it stands; the text is scanned once."""
+    words = [word for word, _ in choices]
+
+    def choose(found: Column) -> Column:
+        chosen = None
+        for word, value in choices:
+            # a longer word that begins at the same place stands for this one too
+            holders = F.array(*[F.lit(other) for other in words if word in other])
+            hit = F.arrays_overlap(found, holders)
+            chosen = F.when(hit, F.lit(value)) if chosen is None else chosen.when(hit, F.lit(value))
+        return chosen.otherwise(default)
+
+    return once(words_found(text, words), choose)
 
 
 def once(value: Column, body: Callable[[Column], Column]) -> Column:

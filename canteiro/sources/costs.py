@@ -6,20 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canteiro import vocab
-from canteiro.functions.text import fold, once
+from canteiro.functions.text import first_listed, fold
 
 
 def cost_category(work_type: Column | str) -> Column:
     """Cost category of a work type: the first listed word it holds, else the default."""
 
-    def category(folded: Column) -> Column:
-        found = None
-        for word, name in vocab.COST_CATEGORY_BY_WORD:
-            hit = folded.contains(word)
-            found = F.when(hit, name) if found is None else found.when(hit, name)
-        return found.otherwise(vocab.DEFAULT_COST_CATEGORY)
-
-    return once(fold(work_type, trim=False), category)
+    return first_listed(fold(work_type, trim=False), list(vocab.COST_CATEGORY_BY_WORD), F.lit(vocab.DEFAULT_COST_CATEGORY))
 
 
 def reference_cost(category: Column) -> Column:
