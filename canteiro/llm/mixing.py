@@ -1,16 +1,17 @@
 """Mixing sources to target weights by a low-discrepancy schedule of equal-token blocks.
 
 Each source is a stream: its documents in a hashed order, one after the other, repeated as often as its target asks.
-The stream is cut into blocks of equal words. The schedule has one slot per block: slot t lies at the t-th point of a
+The stream is cut into blocks of equal words, the same for all sources. Slot t of the schedule lies at the t-th point of a
 golden-ratio sequence, the point falls into one source's share of the cumulative weights, and the slot takes that
-source's next block. Any stretch of the schedule therefore holds the sources close to their weights.
+source's next block, until the source's target is reached with a last block that is cut. Any stretch of the schedule
+therefore holds the sources close to their weights, and the mix is read in the order of its slots.
 
 Sources weigh 1, 2, 3, repeating, by the code points of their names, NULL last, and share the words of all sources. A
 target stops at ``most_repeats`` times its source's words; the excess goes to the others by weight until none is above.
 
 Defined cases: NULL texts have no words and are never taken; a NULL source is a source of its own; rows that repeat
 are taken like any others; a source without words has target 0; an empty table gives an empty mix; other columns only
-tell rows apart. Each source's taken words equal its target, rounded.
+tell rows apart. Each source's taken words equal its target, rounded; blocks that find no slot follow the others.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from canteiro.llm.common import row_hash, whole_part, with_running_total, word_count, written
 
 BLOCK_WORDS = 1024
+# slots beyond the number of blocks
+MORE_SLOTS = 64
 MOST_REPEATS = 3
 # points of the schedule are whole numbers below this; it is the period of the sequence
 POINTS = 1 << 31
@@ -126,15 +129,20 @@ def mix(
     sizes = counted.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     sources = written(targets(sizes, most_repeats), "sources")
     n_words = sources.agg(F.coalesce(F.sum("n_taken"), F.lit(0))).first()[0]
-    slots = written(_schedule(spark, sources, -(-n_words // block_words)), "schedule")
-
-    # a source whose share is smaller than the gaps of the sequence gets one slot after the others
-    blocks = slots.groupBy("source_id").agg(F.count("*").alias("n_slots"))
-    cut = (
-        sources.join(blocks, "source_id", "left")
-        .withColumn("late", F.col("n_slots").isNull())
-        .withColumn("block_size", F.ceil(F.col("n_taken") / F.coalesce("n_slots", F.lit(1))).cast("long"))
+    # a source's slots differ from its share by a few, so a few more let each source reach its target
+    n_slots = -(-n_words // block_words) + MORE_SLOTS if n_words else 0
+    wanted = sources.where("n_taken > 0").select("source_id", F.ceil(F.col("n_taken") / block_words).cast("long").alias("n_blocks"))
+    ranked = _schedule(spark, sources, n_slots).join(wanted, "source_id").where("block < n_blocks").drop("n_blocks")
+    slots = written(ranked, "schedule")
+
+    # the blocks for which the sequence had no slot come after the others
+    given = slots.groupBy("source_id").agg(F.count("*").alias("n_given"))
+    missing = wanted.join(given, "source_id", "left").withColumn("n_given", F.coalesce("n_given", F.lit(0)).cast("long"))
+    late = missing.where("n_given < n_blocks").select(
+        "source_id", F.explode(F.sequence(F.col("n_given"), F.col("n_blocks") - 1)).alias("block")
     )
+    width = F.lit(sources.count())
+    late = late.select((n_slots + F.col("block") * width + F.col("source_id")).cast("long").alias("slot"), "source_id", "block")
     named = F.col("source").eqNullSafe(F.col("name"))
     ids = sources.select(F.col("source").alias("name"), "source_id")
     rows = counted.join(ids, named).drop("name", "source")
@@ -144,7 +152,7 @@ def mix(
         hashed.where("size > 0"), ["source_id"], "bucket", ["key", "doc", "content", "rest", "row"], F.col("size"), "at"
     )
     spread = placed.join(
-        cut.where("n_taken > 0").select("source_id", "source_size", "n_taken", "block_size", "late"), "source_id"
+        sources.where("n_taken > 0").select("source_id", "source_size", "n_taken"), "source_id"
     ).where("at < n_taken")
     last_epoch = whole_part(F.col("n_taken") - 1 - F.col("at"), F.col("source_size"))
     epochs = (
@@ -152,14 +160,13 @@ def mix(
         .withColumn("begin", F.col("at") + F.col("epoch") * F.col("source_size"))
         .withColumn("end", F.least(F.col("begin") + F.col("size"), F.col("n_taken")))
     )
-    block = lambda word: whole_part(word, F.col("block_size"))
+    block = lambda word: whole_part(word, block_words)
     cuts = epochs.withColumn("block", F.explode(F.sequence(block(F.col("begin")), block(F.col("end") - 1))))
-    first = F.greatest(F.col("begin"), F.col("block") * F.col("block_size"))
-    after = F.least(F.col("end"), (F.col("block") + 1) * F.col("block_size"))
+    first = F.greatest(F.col("begin"), F.col("block") * block_words)
+    after = F.least(F.col("end"), (F.col("block") + 1) * block_words)
     pieces = cuts.select(
         "source_id",
         "block",
-        "late",
         "row",
         "doc",
         "content",
@@ -168,25 +175,23 @@ def mix(
         (first - F.col("begin")).cast("long").alias("word_start"),
         (after - first).cast("long").alias("n_words"),
     )
-    late = sources.select(
-        (F.lit(-(-n_words // block_words)) + F.col("source_id")).cast("long").alias("slot"),
-        "source_id",
-        F.lit(0).cast("long").alias("block"),
-    ).join(cut.where("late AND n_taken > 0").select("source_id"), "source_id", "left_semi")
-    scheduled = pieces.join(slots.unionByName(late), ["source_id", "block"]).drop("late")
+    scheduled = pieces.join(slots.unionByName(late), ["source_id", "block"])
     return Mix(rows.drop("key", "bucket"), sources, scheduled)
 
 
 def mixed_texts(documents: DataFrame, text_column: str = "text", **options: object) -> DataFrame:
     """The mix as documents: a row for each time that a document is taken, cut where its source's target ends.
 
-    All columns are kept. Rows that share id, source and text are told apart by a hash of their other columns; rows that
+    A row has the place of its first slot; each partition of the result is in the order of the schedule. All columns are
+    kept. Rows that share id, source and text are told apart by a hash of their other columns; rows that
     are equal in all columns stand for each other.
     """
     made = mix(documents, text_column=text_column, **options)
     id_column = options.get("id_column", "doc_id")
     source_column = options.get("source_column", "source")
-    taken = made.pieces.groupBy("row", "doc", "content", "rest", "source_id", "epoch").agg(F.sum("n_words").alias("__taken"))
+    taken = made.pieces.groupBy("row", "doc", "content", "rest", "source_id", "epoch").agg(
+        F.sum("n_words").alias("__taken"), F.min(F.struct("slot", "word_start")).alias("__slot")
+    )
     names = made.sources.select("source_id", F.col("source").alias("__source"))
     taken = taken.join(names, "source_id").select(
         F.col("doc").alias("__doc"),
@@ -194,6 +199,7 @@ def mixed_texts(documents: DataFrame, text_column: str = "text", **options: obje
         F.col("rest").alias("__others"),
         "__source",
         "__taken",
+        "__slot",
     )
     hashed = documents.withColumns(
         {"__hash": row_hash(text_column), "__rest": _rest(documents, id_column, text_column, source_column)}
@@ -205,7 +211,7 @@ def mixed_texts(documents: DataFrame, text_column: str = "text", **options: obje
         & (F.col("__rest") == F.col("__others"))
         & F.col(source_column).eqNullSafe(F.col("__source"))
     )
-    joined = rows.join(taken, same)
+    joined = rows.join(taken, same).sortWithinPartitions("__slot")
     return joined.withColumn(text_column, first_words(F.col(text_column), F.col("__taken"))).select(*documents.columns)
 
 

@@ -31,7 +31,7 @@ def op1_mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
     from canteiro.llm.mixing import mix
 
     made = mix(_table(spark, folder, "documents"), seed=SEED)
-    taken = made.pieces.groupBy("row").agg(F.sum("n_words").alias("taken"))
+    taken = made.pieces.groupBy("row").agg(F.sum("n_words").alias("taken"), F.min("slot").alias("slot"))
     rows = made.documents.join(taken, "row", "left").join(
         made.sources.select("source_id", "source_size", "target"), "source_id"
     )
@@ -41,6 +41,7 @@ def op1_mixed_sources(spark: SparkSession, folder: str) -> DataFrame:
         "source_size",
         "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
+        "slot",
     )
 
 

@@ -322,16 +322,45 @@ def test_mix_of_odd_rows(odd_documents, odd_rows, no_documents):
     assert mixing.mix(no_documents).pieces.count() == 0
 
 
-def test_stretches_of_the_schedule_keep_the_weights(spark):
-    rows = [(i, " ".join(["w"] * 100), "abc"[i % 3]) for i in range(300)]
+def test_stretches_of_the_emitted_rows_keep_the_weights(spark, monkeypatch):
+    # sources of 1, 2 and 3 shares; each document is a block
+    rows = [(i, " ".join([f"w{i}"] * 50), "abc"[i % 3]) for i in range(900)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    made = mixing.mix(frame, seed=1, block_words=50)
-    slots = dict(made.pieces.select("slot", "source_id").distinct().collect())
-    ids = {r.source_id: r.weight if "weight" in r else None for r in made.sources.collect()}
-    share = {s: sum(1 for k in slots if slots[k] == s) / len(slots) for s in ids}
-    for begin in range(0, len(slots) - 60, 60):
-        part = [slots[k] for k in sorted(slots)[begin : begin + 60]]
-        assert all(abs(part.count(s) / 60 - share[s]) < 0.1 for s in share)
+
+    def worst(made):
+        sources = [r.source for r in made]
+        share = {s: sources.count(s) / len(sources) for s in set(sources)}
+        stretches = [sources[k : k + 60] for k in range(0, len(sources) - 60, 7)]
+        return max(abs(part.count(s) / 60 - share[s]) for part in stretches for s in share)
+
+    made = mixing.mixed_texts(frame, seed=1, block_words=50).coalesce(1)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        emitted = made.collect()
+        assert len({r.source for r in emitted}) == 3 and worst(emitted) < 0.06
+        # a sequence that doesn't spread its points gives another order
+        monkeypatch.setattr(mixing, "GOLDEN", 3)
+        other = mixing.mixed_texts(frame, seed=1, block_words=50).coalesce(1).collect()
+        assert worst(other) > 0.2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_taken_words_follow_from_the_slots(spark):
+    rows = [(i, " ".join(["w"] * (30 + i % 50)), f"s{i % 5}") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    made = mixing.mix(frame, seed=1, block_words=64)
+    targets = {r.source_id: r.n_taken for r in made.sources.collect()}
+    blocks = defaultdict(Counter)
+    order = defaultdict(set)
+    for r in made.pieces.collect():
+        blocks[r.source_id][r.block] += r.n_words
+        order[r.source_id].add((r.block, r.slot))
+    for source, n in targets.items():
+        assert sorted(blocks[source]) == list(range(-(-n // 64)))
+        assert all(words == 64 for block, words in blocks[source].items() if block < n // 64)
+        slots = [slot for _, slot in sorted(order[source])]
+        assert slots == sorted(slots) and len(slots) == len(blocks[source])
 
 
 def test_mixed_texts(odd_documents, odd_rows, no_documents):
