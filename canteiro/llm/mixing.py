@@ -117,11 +117,11 @@ def mix(
     spark = documents.sparkSession
     counted = written(
         documents.select(
-            F.col(id_column).alias("doc"),
-            F.col(source_column).alias("source"),
-            row_hash(text_column).alias("content"),
+            F.col(f"`{id_column}`").alias("doc"),
+            F.col(f"`{source_column}`").alias("source"),
+            row_hash(F.col(f"`{text_column}`")).alias("content"),
             _rest(documents, id_column, text_column, source_column).alias("rest"),
-            word_count(text_column).alias("size"),
+            word_count(F.col(f"`{text_column}`")).alias("size"),
             F.monotonically_increasing_id().alias("row"),
         ),
         "sizes",
@@ -201,18 +201,24 @@ def mixed_texts(documents: DataFrame, text_column: str = "text", **options: obje
         "__taken",
         "__slot",
     )
-    hashed = documents.withColumns(
-        {"__hash": row_hash(text_column), "__rest": _rest(documents, id_column, text_column, source_column)}
-    )
-    rows = hashed.dropDuplicates([id_column, source_column, "__hash", "__rest"])
+    # the user's columns travel in a struct, so no name of theirs meets one of ours
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("__row"),
+        F.col(f"`{id_column}`").alias("__id"),
+        F.col(f"`{source_column}`").alias("__from"),
+        row_hash(F.col(f"`{text_column}`")).alias("__hash"),
+        _rest(documents, id_column, text_column, source_column).alias("__rest"),
+    ).dropDuplicates(["__id", "__from", "__hash", "__rest"])
     same = (
-        F.col(id_column).eqNullSafe(F.col("__doc"))
+        F.col("__id").eqNullSafe(F.col("__doc"))
         & (F.col("__hash") == F.col("__content"))
         & (F.col("__rest") == F.col("__others"))
-        & F.col(source_column).eqNullSafe(F.col("__source"))
+        & F.col("__from").eqNullSafe(F.col("__source"))
     )
     joined = rows.join(taken, same).sortWithinPartitions("__slot")
-    return joined.withColumn(text_column, first_words(F.col(text_column), F.col("__taken"))).select(*documents.columns)
+    cells = {c: F.col("__row").getField(c) for c in documents.columns}
+    cells[text_column] = first_words(cells[text_column], F.col("__taken"))
+    return joined.select(*[cell.alias(c) for c, cell in cells.items()])
 
 
 def first_words(text: Column, n_words: Column) -> Column:

@@ -45,7 +45,7 @@ KEY = r"\bAKIA[0-9A-Z]{16}\b"
 # a value goes to its closing quote on the line, else to white space or a quote that ends a word
 _QUOTED = r"{q}[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+){{0,200}}(?={q})"
 SECRET = (
-    r"(?<![A-Za-z0-9])(?i:password|passwd|secret|token|api[_\-]?key)(?:\\{0,3}[\"'])?[\x20\t]*+[=:]{1,2}>?[\x20\t]*+"
+    r"(?<![A-Za-z0-9])(?i:password|passwd|pwd|passphrase|passcode|secret|token|api[_\-]?key)(?:\\{0,3}[\"'])?[\x20\t]*+[=:]{1,2}>?[\x20\t]*+"
     + "(?:" + _QUOTED.format(q='"') + "|" + _QUOTED.format(q="'")
     + r"|[\"']?(?=\S{6})[^\s\"']++(?:[\"'](?=[A-Za-z0-9])[^\s\"']*+){0,200})"
 )
@@ -268,7 +268,7 @@ def pseudonymized(documents: DataFrame, key: str, text_column: str = "text") ->
 
     A column named ``findings`` is replaced.
     """
-    text = F.col(text_column)
+    text = F.col(f"`{text_column}`")
     kinds = F.transform(
         F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)), lambda m: F.struct(kind_of(m).alias("kind"), m.alias("m"))
     )
@@ -284,8 +284,12 @@ def pseudonymized(documents: DataFrame, key: str, text_column: str = "text") ->
             F.struct(F.array_join(parts, "").alias("text"), counts.alias("findings"))
         )
 
-    made = documents.withColumn("__made", let(kinds, replaced))
-    return made.select(
-        *[F.col("__made.text").alias(c) if c == text_column else F.col(c) for c in documents.columns if c != "findings"],
-        F.col("__made.findings").alias("findings"),
-    )
+    # the user's columns travel in a struct, so no name of theirs meets one of ours
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    made = documents.select(whole.alias("__row"), let(kinds, replaced).alias("__made"))
+    cells = [
+        F.col("__made.text").alias(c) if c == text_column else F.col("__row").getField(c).alias(c)
+        for c in documents.columns
+        if c != "findings"
+    ]
+    return made.select(*cells, F.col("__made.findings").alias("findings"))

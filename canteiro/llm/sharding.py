@@ -13,17 +13,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from canteiro.llm.common import whole_part, written
+from canteiro.llm.common import row_hash, whole_part, written
 from canteiro.llm.feistel import permuted, seeded
 
 def numbered(frame: DataFrame, order: list[str], name: str = "row_number") -> DataFrame:
-    """Global row numbers from 0 in the order of the given columns, then of all others.
+    """Global row numbers from 0 in the order of the given columns, which should leave only equal rows tied.
 
     Rows are dealt into ranges and sorted; a number is the row's place in its range plus the rows of the ranges
     before it. Only one row per range is summed over all.
     """
-    rest = [c for c in frame.columns if c not in order]
-    ranged = frame.repartitionByRange(*order, *rest).sortWithinPartitions(*order, *rest)
+    ranged = frame.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = written(ranged.withColumn("__place", F.monotonically_increasing_id()), "numbered")
     part, inside = F.shiftright("__place", 33), F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
     ends = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
@@ -35,13 +34,22 @@ def numbered(frame: DataFrame, order: list[str], name: str = "row_number") -> Da
 
 def sharded(frame: DataFrame, order: list[str], shards: int, seed: int = 0) -> DataFrame:
     """The rows with row_number, shard and slot. Columns of these names are replaced."""
-    kept = frame.drop("row_number", "shard", "slot", "__place", "__part")
-    rows = numbered(kept, order)
+    names = [c for c in frame.columns if c not in ("row_number", "shard", "slot")]
+    # the user's columns travel in a struct; a hash of all of them, maps as JSON texts, settles ties
+    cells = [
+        F.to_json(F.struct(F.col(f"`{c}`")), {"ignoreNullFields": "false"}) if "map<" in kind else F.col(f"`{c}`")
+        for c, kind in frame.dtypes
+        if c in names
+    ]
+    keys = [F.col(f"`{c}`").alias(f"key{place}") for place, c in enumerate(order)]
+    whole = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+    boxed = frame.select(*keys, row_hash(*cells).alias("tie"), whole)
+    rows = numbered(boxed, [*(f"key{place}" for place in range(len(order))), "tie"])
     total = rows.count()
     place = permuted(F.col("row_number"), total, seeded(seed))
-    return (
-        rows.withColumn("__at", place)
-        .withColumn("shard", F.pmod("__at", F.lit(shards)).cast("int"))
-        .withColumn("slot", whole_part(F.col("__at"), shards))
-        .drop("__at")
+    return rows.withColumn("at", place).select(
+        *[F.col("row").getField(c).alias(c) for c in names],
+        "row_number",
+        F.pmod("at", F.lit(shards)).cast("int").alias("shard"),
+        whole_part(F.col("at"), shards).alias("slot"),
     )

@@ -10,13 +10,15 @@ The vocabulary file holds pieces by rank. A piece's score is the logarithm of it
 A character that is no piece costs its UTF-8 bytes, each with a score below that of every piece. Of segmentations with
 equal scores the one whose last piece is longer is taken, at every place.
 
-Defined cases: a NULL or empty text has no words and no tokens; repeated rows are counted like any others; other
+Defined cases: a NULL or empty text has no words and no tokens; a very long word is counted outside the trie, by the
+same scores; repeated rows are counted like any others; other
 columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,6 +50,10 @@ def piece_scores(path: str) -> dict[str, float]:
     return {piece: -math.log(rank) - total for rank, (_, piece) in enumerate(ranked, 1)}
 
 
+# letters of a word that goes into the trie; longer ones are counted by themselves
+LONGEST_IN_TRIE = 4096
+
+
 class PretokenCounts(dict):
     """Token count of each word met so far; a missing word is inserted in the trie when it is asked for."""
 
@@ -68,6 +74,8 @@ class PretokenCounts(dict):
             self._restart()
             self.clear()
         pretoken = WORD_MARK + word.decode()
+        if len(pretoken) > LONGEST_IN_TRIE:
+            return self._alone(pretoken)
         node, path = 0, [0]
         for end, character in enumerate(pretoken, 1):
             following = self._children.get((node, character))
@@ -79,6 +87,25 @@ class PretokenCounts(dict):
         self[word] = count = self._count[node]
         return count
 
+    def _alone(self, pretoken: str) -> int:
+        """Count of a very long word, which shares little with others: the same scores, of which only the last few
+        are kept."""
+        recent = deque([(0.0, 0)], maxlen=self._longest)
+        for end in range(1, len(pretoken) + 1):
+            score, count = None, 0
+            for length in range(min(self._longest, end), 0, -1):
+                piece = self._scores.get(pretoken[end - length : end])
+                if piece is not None:
+                    best, n = recent[-length]
+                    if score is None or best + piece > score:
+                        score, count = best + piece, n + 1
+            unknown = len(pretoken[end - 1].encode())
+            best, n = recent[-1]
+            if score is None or best + unknown * self._byte_score > score:
+                score, count = best + unknown * self._byte_score, n + unknown
+            recent.append((score, count))
+        return recent[-1][1]
+
     def _extended(self, pretoken: str, end: int, path: list[int]) -> int:
         """A new node for the prefix that ends here, with its forward score from its ancestors."""
         unknown = len(pretoken[end - 1].encode())

@@ -232,6 +232,8 @@ PERSONAL = [
     ("access_token = " + "ab12" * 50, r"access_token = [0-9a-f]{200}"),
     (f"token={JWT}", rf"token=[0-9a-f]{{{len(JWT)}}}"),
     ("token=bob@example.com", r"token=[0-9a-f]{15}"),
+    ("pwd=hunter2222", r"pwd=[0-9a-f]{10}"),
+    ("passphrase: 'corr3ct horse'", r"passphrase: '[0-9a-f]{13}'"),
 ]
 
 
@@ -481,6 +483,19 @@ def test_token_counts_of_odd_rows(odd_documents, odd_rows, no_documents, vocabul
     assert token_counts.counted(no_documents, path).count() == 0
 
 
+def test_long_words_are_counted_alike(spark, vocabulary, monkeypatch):
+    import random
+
+    scores = token_counts.piece_scores(vocabulary("piece_bpe_32k.model"))
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdeé漢 ".strip()) for _ in range(n)) for n in (5, 60, 400)]
+    whole = token_counts.PretokenCounts(scores)
+    expected = [whole[w.encode()] for w in words]
+    monkeypatch.setattr(token_counts, "LONGEST_IN_TRIE", 3)
+    alone = token_counts.PretokenCounts(scores)
+    assert [alone[w.encode()] for w in words] == expected and len(alone._best) == 1
+
+
 def test_segmentations_are_the_best():
     scores = {"▁": -3.0, "a": -2.0, "b": -2.0, "ab": -3.5, "▁a": -2.5, "ba": -2.2, "▁ab": -9.0}
 
@@ -627,6 +642,17 @@ def test_user_columns_with_our_names_and_dots(spark):
     rows = [(1, "a b c d e f", 7, {"k": 1}, 5), (1, "a b c d e f", 7, {"k": 2}, 6), (2, "a b c d e f", 8, None, 7), (3, "z", 9, {}, 8)]
     schema = "`doc.id` long, `the.text` string, __hash long, __row map<string,int>, __id int"
     frame = spark.createDataFrame(rows, schema)
+    made = pseudonyms.pseudonymized(frame.withColumn("__made", F.lit(4)), KEY, "the.text")
+    assert sorted((r["doc.id"], r["__hash"], r["__made"], r["the.text"]) for r in made.collect()) == [
+        (1, 7, 4, "a b c d e f"), (1, 7, 4, "a b c d e f"), (2, 8, 4, "a b c d e f"), (3, 9, 4, "z"),
+    ]
+    other = frame.withColumns({"__taken": F.lit(3), "__source": F.lit("s"), "n.chars": F.lit(1), "source": F.lit("x")})
+    mixed = mixing.mixed_texts(other, text_column="the.text", id_column="doc.id", seed=1, block_words=4)
+    assert mixed.columns == other.columns and {r["__taken"] for r in mixed.collect()} == {3}
+    assert sum(len(r["the.text"].split()) for r in mixed.collect()) == 19
+    spread = sharding.sharded(other.withColumn("__at", F.lit(1)).withColumn("__n", F.lit(2)), ["doc.id", "the.text"], 2, 9)
+    assert sorted((r.shard, r.slot) for r in spread.collect()) == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    assert {(r["__at"], r["__n"], r["n.chars"]) for r in spread.collect()} == {(1, 2, 1)}
     kept = near_dups.without_near_duplicates(frame, "doc.id", "the.text")
     assert kept.columns == frame.columns
     got = sorted((r["doc.id"], r["__hash"]) for r in kept.collect())
