@@ -76,19 +76,19 @@ def unspot(number: int) -> tuple[int, int, int]:
     return number >> 2 * _LEAD, number >> _LEAD & mask, number & mask
 
 
-def key(low: int, high: int, data: bytes) -> int:
-    """64-bit key of bytes and the range of leads that they stand for."""
-    return int.from_bytes(blake2b(_SPAN.pack(low, high) + data, digest_size=8).digest(), "little", signed=True)
+def key(kind: bytes, low: int, high: int, data: bytes) -> int:
+    """64-bit key of bytes and the range of leads that they stand for; keys of two kinds have nothing in common."""
+    return int.from_bytes(blake2b(_SPAN.pack(low, high) + data, digest_size=8, person=kind).digest(), "little", signed=True)
 
 
 def whole_key(data: bytes, place: int, low: int, high: int, width: int, base: int = 0) -> int:
     """Key of all bytes that the windows with these leads cover."""
-    return key(low, high, data[place - high + 1 - base : place - low + width - base])
+    return key(b"whole", low, high, data[place - high + 1 - base : place - low + width - base])
 
 
 def common_key(data: bytes, place: int, low: int, high: int, width: int, base: int = 0) -> int:
     """Key of the bytes that every window with these leads has."""
-    return key(low, high, data[place - low - base : place - high + 1 + width - base])
+    return key(b"common", low, high, data[place - low - base : place - high + 1 + width - base])
 
 
 def cut(low: int, high: int, ways: int) -> list[tuple[int, int]]:
