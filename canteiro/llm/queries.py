@@ -168,6 +168,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_warc": (op9_warc, checks.WARC),
     "op10_packed": (op10_packed, None),
     "op11_hard_negatives": (op11_hard_negatives, checks.HARD_NEGATIVES),
-    "op12_spellings": (op12_spellings, None),
+    "op12_spellings": (op12_spellings, checks.SPELLINGS),
     "op13_repeats": (op13_repeats, None),
 }
