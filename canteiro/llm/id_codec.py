@@ -1,124 +1,194 @@
 """Adaptive context-mixing range coder for token ids; many blocks are coded at once, in step.
 
-Each block is coded on its own from a reset model. For each id the model offers up to three predictions: the id that
-followed the last two ids (order 2), the last id (order 1), and the block's current favourite (order 0). The range is
-split by adaptive weights: the share of the order-2 prediction, then the share of order 1 in the rest, then of order 0;
-what is left says that no prediction is right, and the id follows among the block's literals, 16 bits each. Weights
-are learned per state, which is the confidence of the predictions and whether they agree. Predictions and confidences
-sit in small hashed tables of the block.
-
-The coder is a carry-less range coder with 64-bit bounds that moves 32 bits at a time. All blocks of a batch take one
-step per id as numpy arrays, so Python's cost per step is shared by all blocks; every step uses whole numbers only and
-gives the same bytes on every machine.
-
-A coded block is the number of its words (32 bits), the words of the range coder, and the literals (16 bits each), all
-little-endian.
+Each block is coded on its own from a reset model. An id is four digits of four bits, the highest first, each coded
+under the digits before it. Order 0 is an adaptive distribution of each digit, as a cumulative table, for every
+beginning of an id. Orders 1 and 2 predict the id that followed the last one and the last two ids when they were met
+last; their predictions sit with a confidence in small hashed tables of the block, and speak for their digits as long
+as the digits before them were right. For every digit the three are mixed by weights, and the mixture, with a floor
+under every value, drives the range coder. So any id below 65536 can be coded, met before or not.
+
+After a digit its table of order 0 moves towards the value that came, by a part that shrinks with the table's visits. A
+weight of order 1 or 2 moves towards the share of digits at which the order was right and no higher order was; weights
+are kept for each digit, the confidence of both predictions, and whether they agree.
+
+The coder is a carry-less range coder with 64-bit bounds that moves 32 bits at a time. All blocks of a batch take a
+step together as numpy arrays, so Python's cost per step is shared by all blocks; the encoder models the four digits of
+an id at once, the decoder learns from them at once. Every step uses whole numbers only and gives the same bytes on
+every machine.
+
+A coded block is the words of the range coder, 32 bits each, little-endian.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-BLOCK_TOKENS = 1024
+BLOCK_TOKENS = 2048
 # ids must be below this
 ID_SPACE = 1 << 16
-IDS, WORDS, LITERALS = np.dtype("<u4"), np.dtype("<u4"), np.dtype("<u2")
+IDS, WORDS = np.dtype("<u4"), np.dtype("<u4")
 
+_DIGITS, _VALUES = 4, 16
+# by digit: the shift to its end, and to what stands before it
+_ENDS = np.array([[12], [8], [4], [0]], dtype=np.int32)
+_BEFORE = np.array([[16], [12], [8], [4], [0]], dtype=np.int32)
 _LOW_RANGE = np.uint64(1 << 32)
-_FOUR, _SIXTEEN, _MASK = np.uint64(4), np.uint64(16), np.uint64(0xFFFF)
-_ORDER1, _ORDER2, _STATES = 512, 1024, 32
-
-# Weights are parts of 65536. The three weights of a state share one number, 16 bits each: order 2 lowest, order 0
-# highest. A weight loses a sixteenth of itself, and gains a sixteenth of its target: the ceiling when its prediction
-# was right, the floor when it was wrong. Orders behind the one that was right are left as they are.
-_FLOOR, _CEILINGS = 64, (65536 - 1024, 49152, 49152)
-_START = (16384, 16384, 4096)
-
+_WORD = np.uint64(32)
 
-def _packed(weights: tuple[int, ...]) -> int:
-    return sum(weight << (16 * place) for place, weight in enumerate(weights))
+# Cumulative tables run from 0 to _TOTAL; a mixture gets _LEAST for each value on top, and so ends below 2**_SCALE.
+_SCALE = np.uint64(15)
+_LEAST = 4
+_TOTAL = (1 << 15) - 1 - _VALUES * _LEAST
+_EDGES = np.arange(_VALUES + 1)
+_LAST_PLACE = np.uint64((1 << 15) - 1)
+# a row is a cumulative table and the number of its visits; it is moved as one item
+_ROW = _VALUES + 2
+_ITEM = np.dtype(f"V{2 * _ROW}")
+_NEW = np.append(_EDGES * _TOTAL // _VALUES, 0).astype(np.int16).view(_ITEM)
+_FLOOR = np.append(_EDGES * _LEAST, 0).astype(np.int16)
+# by value: the table that is sure of it, and a mask of the edges beyond it
+_SURE = np.zeros((_VALUES, _ROW), dtype=np.int16)
+_SURE[:, : _VALUES + 1] = np.where(_EDGES > np.arange(_VALUES)[:, None], _TOTAL, 0)
+_BEYOND = np.where(_SURE > 0, -1, 0).astype(np.int16).reshape(-1).view(_ITEM)
+_SURE = _SURE.reshape(-1).view(_ITEM)
+# by visits: a table moves by one part in two to this power
+_MOST_VISITS = 63
+_SHIFTS = np.log2(np.arange(_MOST_VISITS + 1) + 1.5).round().clip(1).astype(np.int16)
+_SHIFTS = np.repeat(_SHIFTS, _ROW).view(_ITEM)
+# tables of order 0 before those of a digit: one for each beginning of an id
+_BEGINNINGS = [sum(_VALUES**k for k in range(digit)) for digit in range(_DIGITS + 1)]
+_HASHED = 2048
+_BYTE_SUM, _TOP_BYTE = np.uint64(0x0101010101010101), np.uint64(56)
 
-
-# by outcome: the order that was right, or 3
-_TOUCHED = np.array([_packed((0xFFF,) * min(outcome + 1, 3)) for outcome in range(4)], dtype=np.uint64)
-_GAINED = np.array(
-    [
-        _packed(tuple((_CEILINGS[k] if k == outcome else _FLOOR) >> 4 for k in range(min(outcome + 1, 3))))
-        for outcome in range(4)
-    ],
-    dtype=np.uint64,
-)
-# by right predictions, as bits: order 2, order 1, order 0
-_OUTCOME = np.array([3, 0, 1, 0, 2, 0, 1, 0], dtype=np.intp)
+# Weights are parts of 65536. A state's two share one number: order 2 in the lower 16 bits, order 1 above; order 0 has
+# what is left. A weight loses a part in 32 of itself, and gains _GAIN when its order was right and no higher one was.
+# A state is a code, the confidence of order 2 times 4 plus that of order 1, and 16 more if both predict one digit.
+# No confidence is no prediction.
+_CODES = np.arange(16)
+_GAIN = 2016
+_GAINS = np.select([_CODES >> 2 > 0, _CODES & 3 > 0], [_GAIN, _GAIN << 16], 0).astype(np.int32)
+_LOSSES = 0x07FF07FF
+_START = np.array([0, 12000, 24000, 30000])
+_STARTS = _START[_CODES >> 2] + (_START[_CODES & 3] << 16)
+# by right orders (order 2 is the lower bit): what stays of a code
+_STAYS = np.array([0, 12, 3, 15], dtype=np.uint8)
 
 
 class _Model:
-    """Predictions and weights of all blocks of a batch; rows of its arrays stand for order 2, order 1 and order 0."""
+    """Tables and weights of all blocks of a batch; two rows of its arrays stand for order 2 and order 1."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        # each block has the slots of order 2, then those of order 1, then the one of order 0
-        per_block = _ORDER2 + _ORDER1 + 1
-        first = self.lane * per_block
-        self._first = np.stack([first, first + _ORDER2])
-        self._slots = np.stack([first, first + _ORDER2, first + _ORDER2 + _ORDER1])
-        # entries are id * 4 + confidence
-        self._entries = np.zeros(lanes * per_block, dtype=np.int32)
-        self._weights = np.full(lanes * _STATES, _packed(_START), dtype=np.uint64)
-        self._base_state = self.lane * _STATES
+        lane = np.arange(lanes)
+        per_block = _BEGINNINGS[_DIGITS]
+        self._tables = np.empty(lanes * per_block, dtype=_ITEM)
+        self._tables[:] = _NEW
+        self.first_tables = np.stack([lane * per_block + begin for begin in _BEGINNINGS[:_DIGITS]])
+        # entries are id * 4 + confidence; each block has the slots of order 2, then those of order 1
+        self._entries = np.zeros(lanes * 2 * _HASHED, dtype=np.int32)
+        self._first_slots = np.stack([lane * 2 * _HASHED, lane * 2 * _HASHED + _HASHED])
+        self._slots = self._first_slots.copy()
+        self._weights = np.tile(np.tile(_STARTS, 2 * _DIGITS), lanes).astype(np.int32)
+        self.first_states = np.stack([(lane * _DIGITS + digit) * 32 for digit in range(_DIGITS)])
         self._last = np.zeros(lanes, dtype=np.int64)
-        self._rows = np.arange(4) * lanes
-        # rows by outcome: the predicted id (the last row is for literals), the range below it, and its own range
-        self.ids = np.zeros((4, lanes), dtype=np.int32)
-        self.below = np.zeros((4, lanes), dtype=np.uint64)
-        self.ranges = np.zeros((4, lanes), dtype=np.uint64)
-
-    def places(self, outcome: np.ndarray) -> np.ndarray:
-        """Where the rows by outcome, laid out flat, hold each block's own cell."""
-        return self._rows.take(outcome) + self.lane
-
-    def predict(self, span: np.ndarray) -> None:
-        """Set the predictions, and split the ranges."""
-        self._now = self._entries.take(self._slots)
-        predicted = np.right_shift(self._now, 2, out=self.ids[:3])
-        self._confidence = self._now.astype(np.uint8) & 3
-        state = (predicted[0] == predicted[1]).view(np.uint8) << 4
-        state |= self._confidence[1] << 2
-        state |= self._confidence[0]
-        self._state = self._base_state + state
-        self._weight = shifted = self._weights.take(self._state)
-        for row in range(3):
-            if row:
-                shifted = shifted >> _SIXTEEN
-            part = np.multiply(span >> _SIXTEEN, shifted & _MASK, out=self.ranges[row])
-            span = span - part
-            np.add(self.below[row], part, out=self.below[row + 1])
-        self.ranges[3] = span
-
-    def right(self, ids: np.ndarray) -> np.ndarray:
-        """Which predictions are right: a row of bytes for each order."""
-        return (self.ids[:3] == ids).view(np.uint8)
-
-    def learn(self, ids: np.ndarray, right: np.ndarray, outcome: np.ndarray) -> None:
-        """Take the true ids (int32), the right predictions, and the outcome: the first order that was right, or 3."""
-        weight = self._weight
-        self._weights[self._state] = weight - ((weight >> _FOUR) & _TOUCHED.take(outcome)) + _GAINED.take(outcome)
-        # a right prediction gains confidence; a wrong one loses it, and is replaced when it has none: the changes are
-        # 1 and -1, and a replaced entry takes all bits of the new one
-        confidence = self._confidence
-        change = right + ((confidence != 3).view(np.uint8) & right)
-        change -= np.uint8(1)
-        entries = self._now + change.view(np.int8)
-        replaced = ((right | confidence) == 0).astype(np.int32)
-        np.negative(replaced, out=replaced)
-        replaced &= entries ^ ((ids << 2) | 1)
-        entries ^= replaced
-        self._entries[self._slots] = entries
-        mixed = ids.astype(np.int64)
-        mixed *= 40503
-        self._slots[0] = (((mixed >> 3) ^ self._last) & (_ORDER2 - 1)) + self._first[0]
-        self._slots[1] = ((mixed >> 4) & (_ORDER1 - 1)) + self._first[1]
-        self._last = mixed >> 7
+        self._rows = (np.arange(_DIGITS * lanes) * _ROW).reshape(_DIGITS, lanes)
+
+    def predict(self) -> None:
+        """Take the predictions of an id."""
+        self._entry = self._entries.take(self._slots, mode="clip")
+        self.predicted = self._entry >> 2
+        self.confidence = (self._entry & 3).astype(np.uint8)
+        # rows by order, then digit
+        self.digits = (self.predicted[:, None] >> _ENDS) & (_VALUES - 1)
+        self.agree = (self.digits[0] == self.digits[1]).view(np.uint8) << 4
+
+    def find(self, places, states, tables=None, weights=None) -> tuple[np.ndarray, np.ndarray]:
+        """The tables and the weights of digits."""
+        return self._tables.take(places, out=tables, mode="clip"), self._weights.take(states, out=weights, mode="clip")
+
+    def edges(self, tables: np.ndarray, shares: tuple, digits: np.ndarray, values: np.ndarray) -> tuple:
+        """Where the parts of the values begin and end in the mixture."""
+        rest, order2, order1 = shares
+        flat = tables.reshape(-1).view(np.int16)
+        at = self._rows + values
+        begin = flat.take(at, mode="clip").astype(np.int32)
+        at += 1
+        end = flat.take(at, mode="clip").astype(np.int32)
+        for edge in (begin, end):
+            edge *= rest
+            edge >>= 16
+        # a prediction adds its share after its digit; the sign of a difference is the mask
+        before = (digits - values) >> 31
+        begin += order2 & before[0]
+        begin += order1 & before[1]
+        until = (digits - values - 1) >> 31
+        end += order2 & until[0]
+        end += order1 & until[1]
+        floor = values * _LEAST
+        begin += floor
+        end += floor
+        end += _LEAST
+        return begin, end
+
+    def learn(self, places, tables, states, weights, codes, values) -> None:
+        """Take the values of digits, and the codes that are left after them."""
+        self._weights[states] = weights - ((weights >> 5) & _LOSSES) + _GAINS.take(codes, mode="clip")
+        now = tables.reshape(-1).view(np.int16).reshape(-1, _ROW)
+        visits = now[:, -1].copy()
+        change = _SURE.take(values, mode="clip").reshape(-1).view(np.int16).reshape(now.shape)
+        change -= now
+        change >>= _SHIFTS.take(visits, mode="clip").view(np.int16).reshape(now.shape)
+        change += now
+        visits += 1
+        np.minimum(visits, _MOST_VISITS, out=change[:, -1])
+        self._tables[places] = change.reshape(-1).view(_ITEM).reshape(places.shape)
+
+    def follow(self, ids: np.ndarray) -> None:
+        """Take the whole ids: predictions are confirmed or replaced, and the next ones are looked for."""
+        entry, confidence = self._entry, self.confidence
+        right = (self.predicted == ids) & (confidence > 0)
+        weaker = np.where(confidence > 1, entry - 1, (ids << 2) + 1)
+        self._entries[self._slots] = np.where(right, entry + (confidence < 3), weaker)
+        spread = (ids.astype(np.int64) + 1) * 0x9E3779B1
+        spread &= 0xFFFFFFFF
+        slots = self._slots
+        np.add(self._first_slots[0], ((spread ^ (self._last * 0x85EBCA6B)) >> 11) & (_HASHED - 1), out=slots[0])
+        np.add(self._first_slots[1], (spread >> 13) & (_HASHED - 1), out=slots[1])
+        self._last = spread
+
+
+def _shares(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The weight of order 0, and what predictions of order 2 and order 1 add to a mixture."""
+    order2, order1 = weights & 0xFFFF, (weights >> 16) & 0xFFFF
+    rest = 65536 - order2
+    rest -= order1
+    order2 *= _TOTAL
+    order2 >>= 16
+    order1 *= _TOTAL
+    order1 >>= 16
+    return rest, order2, order1
+
+
+def _mixed(table: np.ndarray, shares: tuple, digits: np.ndarray) -> np.ndarray:
+    """The mixture of each block; the same numbers as those of ``edges``, for all values."""
+    rest, *added = shares
+    parts = table.view(np.int16).reshape(-1, _ROW).astype(np.int32)
+    parts *= rest[:, None]
+    parts >>= 16
+    mixed = parts.astype(np.int16)
+    for digit, share in zip(digits, added, strict=True):
+        part = _BEYOND.take(digit, mode="clip").view(np.int16).reshape(mixed.shape)
+        part &= share.astype(np.int16)[:, None]
+        mixed += part
+    mixed += _FLOOR
+    return mixed
+
+
+def _values(mixed: np.ndarray, past: np.ndarray) -> np.ndarray:
+    """The value of each block in whose part of the mixture a number lies."""
+    at_most = (mixed[:, 1 : _VALUES + 1] <= past[:, None]).view(np.uint64)
+    ended = ((at_most[:, 0] + at_most[:, 1]) * _BYTE_SUM) >> _TOP_BYTE
+    # numbers beyond the mixture are only met after the end of a block
+    return np.minimum(ended.astype(np.int32), _VALUES - 1)
 
 
 def _cut(at: np.ndarray, width: np.ndarray) -> np.ndarray:
@@ -138,49 +208,54 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
     steps = block_ids if lanes > 1 else last
     padded = np.zeros(lanes * steps, dtype=np.int32)
     padded[: len(ids)] = ids
-    values = padded.reshape(lanes, steps)
-    table = np.ascontiguousarray(values.T)
-    literal = np.zeros(table.shape, dtype=bool)
+    table = np.ascontiguousarray(padded.reshape(lanes, steps).T)
     model = _Model(lanes)
-    below, ranges = model.below.reshape(-1), model.ranges.reshape(-1)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-    words = np.zeros((lanes, steps + 4), dtype=WORDS)
+    # two digits take less than 32 bits and a word at most
+    words = np.zeros((lanes, 2 * steps + 2), dtype=WORDS)
     filled = np.zeros(lanes, dtype=np.int64)
     early = None
     for step in range(steps):
         if step == last:
             # the last block is complete; what its lane codes from here on is not read
             early = _closed(words[-1], filled[-1], low[-1])
-        small = np.flatnonzero(span < _LOW_RANGE)
-        if len(small):
-            at = low[small]
-            width = _cut(at, span[small])
-            words[small, filled[small]] = at >> np.uint64(32)
-            filled[small] += 1
-            low[small], span[small] = at << np.uint64(32), width << np.uint64(32)
         now = table[step]
-        model.predict(span)
-        right = model.right(now)
-        outcome = _OUTCOME.take(right[0] | (right[1] << 1) | (right[2] << 2))
-        np.equal(outcome, 3, out=literal[step])
-        place = model.places(outcome)
-        low = low + below.take(place)
-        span = ranges.take(place)
-        model.learn(now, right, outcome)
+        model.predict()
+        beginnings = now >> _BEFORE
+        values = beginnings[1:] & (_VALUES - 1)
+        # predictions that are right up to each digit
+        held = ((model.predicted[:, None] >> _BEFORE) == beginnings).view(np.uint8)
+        held *= model.confidence[:, None]
+        codes = (held[0] << 2) | held[1]
+        places = model.first_tables + beginnings[:-1]
+        states = model.first_states + (codes[:-1] | model.agree)
+        tables, weights = model.find(places, states)
+        begin, end = model.edges(tables, _shares(weights), model.digits, values)
+        end -= begin
+        begin, width = begin.astype(np.uint64), end.astype(np.uint64)
+        for digit in range(_DIGITS):
+            if digit % 2 == 0:
+                small = np.flatnonzero(span < _LOW_RANGE)
+                if len(small):
+                    at = low[small]
+                    cut = _cut(at, span[small])
+                    words[small, filled[small]] = at >> _WORD
+                    filled[small] += 1
+                    low[small], span[small] = at << _WORD, cut << _WORD
+            unit = span >> _SCALE
+            span = unit * width[digit]
+            unit *= begin[digit]
+            low += unit
+        model.learn(places, tables, states, weights, codes[1:], values)
+        model.follow(now)
     closed = [_closed(words[lane], filled[lane], low[lane]) for lane in range(lanes)]
     if early is not None:
         closed[-1] = early
-    held = np.ascontiguousarray(literal.T)
-    held[-1, last:] = False
-    literals, ends = values[held].astype(LITERALS), np.cumsum(held.sum(axis=1))
-    return [
-        np.array([len(part)], dtype=WORDS).tobytes() + part.tobytes() + some.tobytes()
-        for part, some in zip(closed, np.split(literals, ends[:-1]), strict=True)
-    ]
+    return closed
 
 
-def _closed(words: np.ndarray, filled: int, low: np.uint64) -> np.ndarray:
-    return np.append(words[:filled], [int(low) >> 32, int(low) & 0xFFFFFFFF]).astype(WORDS)
+def _closed(words: np.ndarray, filled: int, low: np.uint64) -> bytes:
+    return np.append(words[:filled], [int(low) >> 32, int(low) & 0xFFFFFFFF]).astype(WORDS).tobytes()
 
 
 def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
@@ -188,40 +263,51 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     if not coded:
         return []
     lanes, steps = len(coded), max(lengths)
-    counts = [int.from_bytes(part[:4], "little") for part in coded]
-    words = np.zeros((lanes, max(counts) + steps + 2), dtype=WORDS)
-    literals = np.zeros((lanes, steps + 1), dtype=np.int32)
-    for lane, (part, n) in enumerate(zip(coded, counts, strict=True)):
-        words[lane, :n] = np.frombuffer(part, dtype=WORDS, offset=4, count=n)
-        some = np.frombuffer(part, dtype=LITERALS, offset=4 + 4 * n)
-        literals[lane, : len(some)] = some
-    width = literals.shape[1]
-    # a lane has a place more than it has steps, so lanes of shorter blocks run on inside their rows
-    literals, next_literal = literals.reshape(-1), np.arange(lanes) * width
+    width = max(len(part) // WORDS.itemsize for part in coded) + 1
+    words = np.zeros((lanes, width), dtype=WORDS)
+    for lane, part in enumerate(coded):
+        some = np.frombuffer(part, dtype=WORDS)
+        words[lane, : len(some)] = some
     model = _Model(lanes)
-    all_ids, below, ranges = model.ids.reshape(-1), model.below.reshape(-1), model.ranges.reshape(-1)
     low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-    code = (words[:, 0].astype(np.uint64) << np.uint64(32)) | words[:, 1]
+    code = (words[:, 0].astype(np.uint64) << _WORD) | words[:, 1]
     used = np.full(lanes, 2, dtype=np.int64)
     table = np.zeros((steps, lanes), dtype=np.int32)
+    shape, rows = (_DIGITS, lanes), np.arange(lanes) * _ROW
+    places, states = np.zeros(shape, dtype=np.int64), np.zeros(shape, dtype=np.int64)
+    tables, weights = np.zeros(shape, dtype=_ITEM), np.zeros(shape, dtype=np.int32)
+    codes, values = np.zeros((_DIGITS + 1, lanes), dtype=np.uint8), np.zeros(shape, dtype=np.int32)
     for step in range(steps):
-        small = np.flatnonzero(span < _LOW_RANGE)
-        if len(small):
-            at = low[small]
-            cut = _cut(at, span[small])
-            code[small] = (code[small] << np.uint64(32)) | words[small, used[small]]
-            used[small] += 1
-            low[small], span[small] = at << np.uint64(32), cut << np.uint64(32)
-        model.predict(span)
-        past = code - low
-        above = (past >= model.below[1:]).view(np.uint8)
-        outcome = (above[0] + above[1] + above[2]).astype(np.intp)
-        literals.take(next_literal, out=model.ids[3], mode="clip")
-        place = model.places(outcome)
-        now = all_ids.take(place, out=table[step], mode="clip")
-        next_literal += above[2]
-        low = low + below.take(place)
-        span = ranges.take(place)
-        model.learn(now, model.right(now), outcome)
+        now = table[step]
+        model.predict()
+        np.bitwise_or(model.confidence[0] << 2, model.confidence[1], out=codes[0])
+        for digit in range(_DIGITS):
+            if digit % 2 == 0:
+                small = np.flatnonzero(span < _LOW_RANGE)
+                if len(small):
+                    at = low[small]
+                    cut = _cut(at, span[small])
+                    # a block that is complete runs on over its last word, a zero
+                    code[small] = (code[small] << _WORD) | words[small, np.minimum(used[small], width - 1)]
+                    used[small] += 1
+                    low[small], span[small] = at << _WORD, cut << _WORD
+            np.add(model.first_tables[digit], now, out=places[digit])
+            np.add(model.first_states[digit], codes[digit] | model.agree[digit], out=states[digit])
+            model.find(places[digit], states[digit], tables[digit], weights[digit])
+            digits = model.digits[:, digit]
+            mixed = _mixed(tables[digit], _shares(weights[digit]), digits)
+            unit = span >> _SCALE
+            values[digit] = value = _values(mixed, np.minimum((code - low) // unit, _LAST_PLACE).astype(np.int16))
+            flat, at = mixed.reshape(-1), rows + value
+            begin = flat.take(at, mode="clip")
+            span = unit * (flat.take(at + 1, mode="clip") - begin).astype(np.uint64)
+            unit *= begin.astype(np.uint64)
+            low += unit
+            right = (digits == value).view(np.uint8)
+            np.bitwise_and(codes[digit], _STAYS.take(right[0] | (right[1] << 1)), out=codes[digit + 1])
+            now <<= 4
+            now |= value
+        model.learn(places, tables, states, weights, codes[1:], values)
+        model.follow(now)
     blocks = np.ascontiguousarray(table.T).astype(IDS)
     return [blocks[lane, :n] for lane, n in enumerate(lengths)]

@@ -445,6 +445,43 @@ def test_codec_round_trip():
     assert sum(map(len, encoded(repeated))) < len(repeated) / 2
 
 
+def test_codec_mixes_all_orders():
+    """Order 0 learns a distribution, orders 1 and 2 what follows; nothing is kept beside the coder."""
+    from canteiro.llm.id_codec import BLOCK_TOKENS, encoded
+
+    def bits(ids):
+        return 8 * sum(map(len, encoded(ids.astype("<u4")))) / len(ids)
+
+    rng = np.random.default_rng(4)
+    n = 4 * BLOCK_TOKENS
+    few = rng.choice(50_000, 16, replace=False)
+    alone = rng.choice(few, n)
+    assert 4 < bits(alone) < 4.7
+    # each id of the few is followed by one of its own; then by one that the two before it settle
+    follows = np.stack([alone[: n // 2], (alone[: n // 2] * 7 + 1) % 50_000], axis=1).reshape(-1)
+    assert bits(follows) < 0.75 * bits(alone)
+    # of 16 thirds, the two ids before settle one, the last id alone leaves four
+    pairs = rng.choice(few[:4], (n // 3, 2))
+    third = (pairs[:, 0] * 31 + pairs[:, 1] * 17) % 50_000
+    settled, free = np.column_stack([pairs, third]), np.column_stack([pairs, rng.permutation(third)])
+    assert bits(settled.reshape(-1)) < 0.8 * bits(free.reshape(-1))
+    assert 16 < bits(rng.integers(0, 65536, n)) < 19
+
+
+def test_codec_survives_damage():
+    from canteiro.llm.id_codec import decoded, encoded
+
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 500, 3000).astype("<u4")
+    coded = encoded(ids, 400)
+    for _ in range(20):
+        part = bytearray(coded[3])
+        part[int(rng.integers(len(part)))] ^= int(rng.integers(1, 256))
+        got = decoded([*coded[:3], bytes(part), *coded[4:]], [400] * 7 + [200])
+        assert [np.array_equal(got[k], ids[400 * k : 400 * k + 400]) for k in (0, 1, 2, 4, 5, 6, 7)] == [True] * 7
+        assert len(got[3]) == 400
+
+
 def test_bins():
     bins = OpenBins(10, 2, 5)
     assert [bins.place(n) for n in (6, 7, 3, 4, 9, 8, 1, 2)] == [(5, 0), (6, 0), (6, 7), (5, 6), (7, 0), (8, 0), (7, 9), (8, 8)]
