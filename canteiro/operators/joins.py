@@ -51,6 +51,19 @@ def match_or_reject(
     return left.join(right, condition, "inner"), left.join(right, condition, "left_anti")
 
 
+MATCHED = "__matched"
+
+
+def marked_matches(
+    left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str]
+) -> DataFrame:
+    """The rows of ``match_or_reject`` in one frame, from one join: ``MATCHED`` is true beside a partner and false on a
+    row without one, whose cells of ``right`` are NULL."""
+    marked = right.withColumn(MATCHED, F.lit(True))
+    condition = [left[a] == marked[b] for a, b in zip(left_keys, right_keys, strict=True)]
+    return left.join(marked, condition, "left").withColumn(MATCHED, F.coalesce(F.col(MATCHED), F.lit(False)))
+
+
 def within_keys(df: DataFrame, key: str, wanted: DataFrame, wanted_key: str) -> DataFrame:
     """Rows whose key is in another dataset."""
     keys = wanted.select(F.col(wanted_key).cast("string").alias("__wanted")).where(

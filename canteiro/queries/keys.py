@@ -211,12 +211,9 @@ SELECT l_orderkey, l_linenumber, NULL, 'sem pedido' FROM lineitem WHERE l_orderk
 def fk_inner_and_reject(t: Tables) -> DataFrame:
     """Lines with their order, and the lines whose order is not in the set."""
     wanted = t.orders.where(F.col("o_orderpriority") != "5-LOW").select("o_orderkey", "o_orderstatus")
-    matched, rejected = joins.match_or_reject(t.lineitem, wanted, ["l_orderkey"], ["o_orderkey"])
-    kept = matched.select("l_orderkey", "l_linenumber", "o_orderstatus", F.lit("com pedido").alias("destino"))
-    lost = rejected.select(
-        "l_orderkey", "l_linenumber", F.lit(None).cast("string").alias("o_orderstatus"), F.lit("sem pedido").alias("destino")
-    )
-    return kept.unionByName(lost)
+    rows = joins.marked_matches(t.lineitem, wanted, ["l_orderkey"], ["o_orderkey"])
+    outcome = F.when(F.col(joins.MATCHED), F.lit("com pedido")).otherwise(F.lit("sem pedido"))
+    return rows.select("l_orderkey", "l_linenumber", "o_orderstatus", outcome.alias("destino"))
 
 
 @query(

@@ -211,6 +211,18 @@ def test_match_or_reject_conserves_rows(spark):
     assert matched.select("v").collect()[0][0] == 5
 
 
+def test_marked_matches_are_the_rows_of_match_or_reject(spark):
+    left = spark.createDataFrame([("1", "a"), ("1", "a"), ("2", "a"), (None, "a"), (None, "a")], "i string, f string")
+    right = spark.createDataFrame([("1", "a", 5), ("1", "a", None), ("3", "a", 6), (None, "a", 7)], "j string, g string, v int")
+    matched, rejected = joins.match_or_reject(left, right, ["i", "f"], ["j", "g"])
+    marked = joins.marked_matches(left, right, ["i", "f"], ["j", "g"])
+    cells = ("i", "f", "v")
+    assert sorted(map(str, matched.select(*cells).collect())) == sorted(map(str, marked.where(joins.MATCHED).select(*cells).collect()))
+    lost = marked.where(~F.col(joins.MATCHED))
+    assert sorted(map(str, rejected.collect())) == sorted(map(str, lost.select("i", "f").collect()))
+    assert lost.where("v is not null or j is not null").count() == 0
+
+
 def test_field_helpers(spark):
     frame = spark.createDataFrame([("9999", " ", "t")], "municipio_ibge string, x string, valor string")
     assert rows(fields.with_defaults(frame, {"x": "d", "novo": 1}).select("x", "novo")) == [("d", 1)]

@@ -43,6 +43,13 @@ def test_report_reads_each_table_once(spark, data):
         assert sum("FileScan" in line and column in line for line in final.splitlines()) <= 1, column
 
 
+def test_lines_and_rejects_come_from_one_join_in_small_parts(spark, data):
+    plan = plan_of(REGISTRY["fk_inner_and_reject"].build(spark, data)).split("== Physical Plan ==")[-1]
+    assert len([line for line in plan.splitlines() if "Join" in line]) == 1
+    # what a task sorts at once follows from what it reads from a shuffle
+    assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").rstrip("m")) <= 16
+
+
 def test_fold_has_no_higher_order_function(spark):
     from canteiro.functions.text import fold
 
