@@ -32,9 +32,12 @@ def changed_keys(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFra
     Only the keys and a hash of each row are shuffled. A column that one version lacks counts as NULL there.
     """
     names = sorted({*old.columns, *new.columns} - set(keys))
+    # cells of one exact type are hashed as they are, others by their text
+    kinds = dict(old.dtypes).items() & dict(new.dtypes).items()
+    exact = {column for column, kind in kinds if kind in ("timestamp", "date", "boolean", "int", "bigint", "string")}
 
     def hashed(df: DataFrame, name: str) -> DataFrame:
-        cells = [field(df, column).cast("string") for column in names]
+        cells = [F.col(f"`{column}`") if column in exact else field(df, column).cast("string") for column in names]
         return df.select(*keys, F.xxhash64(*[part for cell in cells for part in (cell.isNull(), cell)]).alias(name))
 
     both = hashed(old, "__old").join(hashed(new, "__new"), list(keys), "full_outer")
@@ -70,12 +73,17 @@ def refreshed(
     ``before`` stay as they are.
     """
     keys = stage(changed_keys(old, new, RAW_KEY))
-    touched = stage(
-        old.join(keys, list(RAW_KEY), "left_semi").unionByName(new.join(keys, list(RAW_KEY), "left_semi"), allowMissingColumns=True)
-    )
+
+    def reaching(df: DataFrame) -> DataFrame:
+        """What a changed row says of its supplier and its number."""
+        cells = [name for name in ("cnpj_fornecedor", "num_licitacao") if name in df.columns]
+        return df.select(*RAW_KEY, *cells).join(keys, list(RAW_KEY), "left_semi")
+
+    touched = stage(reaching(old).unionByName(reaching(new), allowMissingColumns=True))
     result = {}
 
-    numbers = touched.select(strip(field(touched, "cnpj_fornecedor")).alias("cnpj")).where(blank_to_null("cnpj").isNotNull()).distinct()
+    named_there = touched.select(strip(field(touched, "cnpj_fornecedor")).alias("cnpj"))
+    numbers = stage(named_there.where(blank_to_null("cnpj").isNotNull()).distinct())
     named = new.withColumn("cnpj", strip(field(new, "cnpj_fornecedor"))).join(numbers, "cnpj", "left_semi").drop("cnpj")
     result["fornecedores"] = _replaced(before["fornecedores"], numbers, ["cnpj"], suppliers(named))
 

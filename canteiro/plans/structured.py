@@ -36,16 +36,22 @@ KEYS = {
 
 
 def structured_tables(
-    raw: Mapping[str, DataFrame], as_of: Column, gazetteer: DataFrame | None = None
+    raw: Mapping[str, DataFrame],
+    as_of: Column,
+    gazetteer: DataFrame | None = None,
+    stage: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> dict[str, DataFrame]:
     """The four tables as one lazy plan: keys are derived from the natural ones, so nothing has
-    to be written and read back to learn them."""
-    result = {"fornecedores": suppliers(raw["raw_contratos"])}
+    to be written and read back to learn them.
+
+    ``stage`` may write a table and read it back; those that a later table reads go through it.
+    """
+    result = {"fornecedores": stage(suppliers(raw["raw_contratos"]))}
     result["obras"], _ = works(raw, as_of, gazetteer)
     # a contract's work comes from the contract's own source: other sources, and what enriches a
     # work, stay out of these two branches
     keys = work_keys({"raw_contratos": raw["raw_contratos"]})
-    result["contratos"], _ = contracts(raw["raw_contratos"], keys, result["fornecedores"], as_of)
+    result["contratos"] = stage(contracts(raw["raw_contratos"], keys, result["fornecedores"], as_of)[0])
     result["aditivos"], _ = amendments(raw["raw_contratos"], result["contratos"])
     return result
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canteiro.operators.staging import written
 from canteiro.plans import contracts as contract_plans
 from canteiro.plans import features as feature_plans
 from canteiro.plans import suppliers as supplier_plans
@@ -418,9 +419,13 @@ def earlier_contracts(t: Tables) -> DataFrame:
 @query(_STRUCTURED_ROWS_SQL)
 def structured_refresh(t: Tables) -> DataFrame:
     """The structured rows of an earlier version of the raw contracts, brought up to date by the rows that changed."""
+
+    def stage(df: DataFrame) -> DataFrame:
+        return written(df, "refresh")
+
     old, new = earlier_contracts(t), raw_contracts(t)
-    before = structured_tables({"raw_contratos": old}, as_of())
-    return _structured_lines(refreshed(before, old, new, as_of()))
+    before = structured_tables({"raw_contratos": old}, as_of(), stage=stage)
+    return _structured_lines(refreshed(before, old, new, as_of(), stage))
 
 
 @query(

@@ -50,6 +50,13 @@ def test_lines_and_rejects_come_from_one_join_in_small_parts(spark, data):
     assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes").rstrip("m")) <= 16
 
 
+def test_refresh_reads_what_it_made_once(spark, data):
+    plan = plan_of(REGISTRY["structured_refresh"].build(spark, data)).split("== Physical Plan ==")[-1]
+    # intermediate tables are read back: only the suppliers named again (one read) and the
+    # amendments there were (two) come from the given orders
+    assert sum("FileScan" in line and "orders.parquet" in line for line in plan.splitlines()) <= 3
+
+
 def test_fold_has_no_higher_order_function(spark):
     from canteiro.functions.text import fold
 

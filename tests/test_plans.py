@@ -322,3 +322,17 @@ def test_incremental_run_equals_the_full_one(spark, data, as_of):
         for name, frame in full.items():
             shape = lambda df, names=frame.columns: sorted(map(repr, df.select(*names).collect()))
             assert shape(got[name]) == shape(frame), name
+
+
+def test_changed_keys_of_typed_and_of_retyped_cells(spark):
+    from canteiro.plans.incremental import changed_keys
+
+    schema = "k string, f string, t timestamp, d date, b boolean, n bigint, v double, s string"
+    row = ("1", "a", datetime(2020, 1, 1), datetime(2020, 1, 1).date(), True, 5, 0.5, "x")
+    changes = [(), (2, datetime(2020, 1, 1, 0, 0, 0, 1)), (3, datetime(2020, 1, 2).date()), (4, None), (5, 6), (6, 1.5), (7, None), (7, "")]
+    was = [(str(i), *row[1:]) for i in range(len(changes))]
+    now = [tuple(c[1] if c and c[0] == at else cell for at, cell in enumerate(r)) for r, c in zip(was, changes, strict=True)]
+    old, new = spark.createDataFrame(was, schema), spark.createDataFrame(now, schema)
+    assert sorted(r.k for r in changed_keys(old, new, ["k", "f"]).collect()) == [str(i) for i in range(1, len(changes))]
+    # a cell of another type is the same when its text is
+    assert changed_keys(old, old.withColumns({"n": F.col("n").cast("string"), "t": F.col("t").cast("string")}), ["k", "f"]).count() == 0
