@@ -2,9 +2,10 @@
 
 A pre-token is a word with the word mark before it. Its best segmentation has the highest sum of piece scores. The
 forward score of a prefix does not depend on what follows, so the distinct pre-tokens of a task are inserted in a trie
-and each node gets its forward score once, from its ancestors; the count at a pre-token's last node is its result.
-Documents sum the counts of their pre-tokens. The trie starts anew when it has ``max_nodes`` nodes; counts do not
-depend on that, and no document or table of pre-tokens is moved.
+and each node gets its forward score once, from its ancestors; the count at a pre-token's last node is its result. Only pieces that can end
+with a prefix's last characters are looked up for it.
+Documents sum the counts of their pre-tokens. The trie starts anew when it has ``max_nodes`` nodes, and the known words
+when they are as many; counts do not depend on that, and no document or table of pre-tokens is moved.
 
 The vocabulary file holds pieces by rank. A piece's score is the logarithm of its share under Zipf's law of that rank.
 A character that is no piece costs its UTF-8 bytes, each with a score below that of every piece. Of segmentations with
@@ -54,6 +55,34 @@ def piece_scores(path: str) -> dict[str, float]:
 LONGEST_IN_TRIE = 4096
 
 
+# characters by which the pieces that may end at a place are known
+TAIL = 3
+
+
+class _Endings(dict):
+    """By the last characters before a place: the lengths that a longer piece may have there, the pieces that are no
+    longer than these characters, and the bytes of the last character with their score. Longest first."""
+
+    def __init__(self, scores: dict[str, float], byte_score: float):
+        super().__init__()
+        self._scores, self._byte_score = scores, byte_score
+        longer: dict[str, set[int]] = {}
+        for piece in scores:
+            if len(piece) > TAIL:
+                longer.setdefault(piece[-TAIL:], set()).add(len(piece))
+        self._longer = {tail: tuple(sorted(lengths, reverse=True)) for tail, lengths in longer.items()}
+
+    def __missing__(self, tail: str) -> tuple:
+        ends = ((length, self._scores.get(tail[-length:])) for length in range(len(tail), 0, -1))
+        unknown = len(tail[-1].encode())
+        short = tuple((length, score) for length, score in ends if score is not None)
+        self[tail] = found = self._longer.get(tail, ()), short, unknown, unknown * self._byte_score
+        return found
+
+
+CHARACTERS = 0x110000
+
+
 class PretokenCounts(dict):
     """Token count of each word met so far; a missing word is inserted in the trie when it is asked for."""
 
@@ -63,28 +92,33 @@ class PretokenCounts(dict):
         self._longest = max(map(len, scores), default=1)
         self._byte_score = min(scores.values(), default=0.0) - BYTE_PENALTY
         self._max_nodes = max_nodes
+        self._endings = _Endings(scores, self._byte_score)
         self._restart()
 
     def _restart(self) -> None:
-        self._children: dict[tuple[int, str], int] = {}
+        if len(self._endings) > self._max_nodes:
+            self._endings.clear()
+        # by node and character as one number: numbers are no work for the garbage collector
+        self._children: dict[int, int] = {}
         self._best, self._count = [0.0], [0]
 
     def __missing__(self, word: bytes) -> int:
         if len(self._best) > self._max_nodes:
             self._restart()
-            self.clear()
+            # known words need no node; they are kept until they are as many
+            if len(self) > self._max_nodes:
+                self.clear()
         pretoken = WORD_MARK + word.decode()
         if len(pretoken) > LONGEST_IN_TRIE:
             return self._alone(pretoken)
-        node, path = 0, [0]
-        for end, character in enumerate(pretoken, 1):
-            following = self._children.get((node, character))
-            if following is None:
-                following = self._extended(pretoken, end, path)
-                self._children[node, character] = following
-            node = following
+        following, node, path = self._children.get, 0, [0]
+        for character in map(ord, pretoken):
+            node = following(node * CHARACTERS + character)
+            if node is None:
+                self._extend(pretoken, path)
+                break
             path.append(node)
-        self[word] = count = self._count[node]
+        self[word] = count = self._count[path[-1]]
         return count
 
     def _alone(self, pretoken: str) -> int:
@@ -106,24 +140,33 @@ class PretokenCounts(dict):
             recent.append((score, count))
         return recent[-1][1]
 
-    def _extended(self, pretoken: str, end: int, path: list[int]) -> int:
-        """A new node for the prefix that ends here, with its forward score from its ancestors."""
-        unknown = len(pretoken[end - 1].encode())
-        score, count = None, 0
-        for length in range(min(self._longest, end), 0, -1):
-            piece = self._scores.get(pretoken[end - length : end])
-            if piece is None:
-                continue
-            before = path[end - length]
-            if score is None or self._best[before] + piece > score:
-                score, count = self._best[before] + piece, self._count[before] + 1
-        before = path[end - 1]
-        fallback = self._best[before] + unknown * self._byte_score
-        if score is None or fallback > score:
-            score, count = fallback, self._count[before] + unknown
-        self._best.append(score)
-        self._count.append(count)
-        return len(self._best) - 1
+    def _extend(self, pretoken: str, path: list[int]) -> None:
+        """New nodes for the prefixes beyond the path, each with its forward score from its ancestors."""
+        get, endings, children = self._scores.get, self._endings, self._children
+        bests, counts, node = self._best, self._count, path[-1]
+        for end in range(len(path), len(pretoken) + 1):
+            longer, short, unknown, unknown_score = endings[pretoken[end - TAIL if end > TAIL else 0 : end]]
+            score, count = None, 0
+            for length in longer:
+                if length <= end:
+                    piece = get(pretoken[end - length : end])
+                    if piece is not None:
+                        before = path[end - length]
+                        best = bests[before] + piece
+                        if score is None or best > score:
+                            score, count = best, counts[before] + 1
+            for length, piece in short:
+                before = path[end - length]
+                best = bests[before] + piece
+                if score is None or best > score:
+                    score, count = best, counts[before] + 1
+            best = bests[node] + unknown_score
+            if score is None or best > score:
+                score, count = best, counts[node] + unknown
+            children[node * CHARACTERS + ord(pretoken[end - 1])] = node = len(bests)
+            bests.append(score)
+            counts.append(count)
+            path.append(node)
 
 
 def counter(vocabulary: str, max_nodes: int = MAX_NODES) -> PretokenCounts:

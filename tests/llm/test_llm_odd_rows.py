@@ -533,6 +533,30 @@ def test_long_words_are_counted_alike(spark, vocabulary, monkeypatch):
     assert [alone[w.encode()] for w in words] == expected and len(alone._best) == 1
 
 
+def test_a_new_prefix_takes_few_look_ups(vocabulary):
+    import random
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    scores = Counted(token_counts.piece_scores(vocabulary("piece_bpe_32k.model")))
+    rng = random.Random(4)
+    words = ["".join(rng.choices(("in", "er", "on", "ção", "e", "ß", "漢", "."), k=5)) for _ in range(500)]
+    counts, small = token_counts.PretokenCounts(scores), token_counts.PretokenCounts(dict(scores), max_nodes=300)
+    found = [counts[word.encode()] for word in words]
+    assert scores.asked < 4 * len(counts._best)
+    # a word that is known outlives the trie, up to as many words as nodes
+    assert [small[word.encode()] for word in words[:100]] == found[:100]
+    assert len(small) == len(set(words[:100]))
+    assert [small[word.encode()] for word in words] == found and len(small) <= 301
+    alone = token_counts.PretokenCounts(dict(scores))
+    assert [alone._alone(token_counts.WORD_MARK + word) for word in words] == found
+
+
 def test_segmentations_are_the_best():
     scores = {"▁": -3.0, "a": -2.0, "b": -2.0, "ab": -3.5, "▁a": -2.5, "ba": -2.2, "▁ab": -9.0}
 
