@@ -13,8 +13,9 @@ from array import array
 import numpy as np
 
 ID_TYPE = np.dtype("<u4")
-# pieces kept by one worker; the memo starts anew beyond it, ids do not depend on it
-MEMO_PIECES = 800_000
+# pieces kept by one worker, some 200 bytes each; the memo starts anew beyond it, ids do not depend on it. A dict of
+# 700,000 pieces or more would double its table.
+MEMO_PIECES = 690_000
 
 # a word of Latin letters, then marks: one or two pre-tokens, which the model can take without the pre-tokenizer
 _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
@@ -46,6 +47,9 @@ class _Pieces(dict):
         return np.array(self._encode(text, add_special_tokens=False).ids, dtype=ID_TYPE).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
+        if piece.isascii() and piece.isalpha():
+            self[piece] = ids = array("I", [token.id for token in self._tokenize("\u0120" + piece)]).tobytes()
+            return ids
         after_break = piece[:1] == "\n"
         core = piece[1:] if after_break else piece
         if not core or core[0].isspace() or core[-1].isspace():
@@ -76,8 +80,7 @@ class PieceEncoder:
     def __init__(self, path: str, memo_pieces: int = MEMO_PIECES):
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._memo = _Pieces(self._tokenizer)
+        self._memo = _Pieces(Tokenizer.from_file(path))
         self._limit = memo_pieces
         self.whole = self._memo.whole
 
@@ -89,7 +92,7 @@ class PieceEncoder:
         # a line break opens its piece: "a b\nc" is cut as "a", " b", "\nc", the first one after a made-up break
         pieces = ("\n" + body).replace("\n", " \n").split(" ")[1:]
         if len(self._memo) > self._limit:
-            self._memo = _Pieces(self._tokenizer)
+            self._memo.clear()
         try:
             ids = b"".join(map(self._memo.__getitem__, pieces))[len(self._memo.newline) :]
         except _NotSafe:

@@ -405,6 +405,24 @@ def test_ids_of_odd_texts(odd_rows, vocabulary):
             assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == expected, text
 
 
+def test_forgotten_pieces_take_no_memory(vocabulary):
+    import tracemalloc
+
+    from canteiro.llm.tokens import PieceEncoder
+
+    path = vocabulary("byte_bpe_50k.json")
+    tokenizer, encoder, most = Tokenizer.from_file(path), PieceEncoder(path, memo_pieces=100_000), 0
+    tracemalloc.start()
+    for at in range(0, 250_000, 1000):
+        text = " ".join("".join(chr(97 + n // 26**k % 26) for k in range(5)) for n in range(at, at + 1000))
+        ids = encoder.encode(text)
+        most = max(most, tracemalloc.get_traced_memory()[0])
+    tracemalloc.stop()
+    assert np.frombuffer(ids, dtype="<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    # 100,000 pieces take 12 MB
+    assert most < 18 << 20
+
+
 def test_id_files_round_trip(spark, odd_documents, odd_rows, no_documents, vocabulary, tmp_path):
     path = vocabulary("byte_bpe_50k.json")
     tokenizer = Tokenizer.from_file(path)
