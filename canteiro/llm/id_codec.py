@@ -1,200 +1,251 @@
 """Adaptive context-mixing range coder for token ids; many blocks are coded at once, in step.
 
-Each block is coded on its own from a reset model. An id is four digits of four bits, the highest first, each coded
-under the digits before it. Order 0 is an adaptive distribution of each digit, as a cumulative table, for every
-beginning of an id. Orders 1 and 2 predict the id that followed the last one and the last two ids when they were met
-last; their predictions sit with a confidence in small hashed tables of the block, and speak for their digits as long
-as the digits before them were right. For every digit the three are mixed by weights, and the mixture, with a floor
-under every value, drives the range coder. So any id below 65536 can be coded, met before or not.
-
-After a digit its table of order 0 moves towards the value that came, by a part that shrinks with the table's visits. A
-weight of order 1 or 2 moves towards the share of digits at which the order was right and no higher order was; weights
-are kept for each digit, the confidence of both predictions, and whether they agree.
-
-The coder is a carry-less range coder with 64-bit bounds that moves 32 bits at a time. All blocks of a batch take a
-step together as numpy arrays, so Python's cost per step is shared by all blocks; the encoder models the four digits of
-an id at once, the decoder learns from them at once. Every step uses whole numbers only and gives the same bytes on
-every machine.
+Each block is coded on its own from a reset model. The ids of a block are numbered as they are first met, and the coder
+works on these numbers; the next free number stands for an id not met before. Order 0 is the distribution of the
+numbers so far: counts of what came, one for a number met since the counts were last taken up, and a part for a new
+id that follows the share of new ids in the last stretch. Counts are taken up after stretches that grow with the block.
+Orders 1 and 2 predict the number that followed the last one and the last two when they were met last; the
+predictions sit with a confidence in small hashed tables of the block. For every id the three are mixed by weights into
+one distribution, and the mixture drives the range coder.
+
+An id not met before follows its number in the same coder: its class (length in bits and the bit below the highest)
+under an adaptive distribution of the block's new ids, then its other bits. So any id below 65536 can be coded.
+
+A weight of order 1 or 2 moves towards the share of ids at which the order was right and no higher order was; weights
+are kept for each confidence of both predictions, and whether they agree.
+
+The coder has 64-bit bounds and moves 32 bits at a time; a carry is added to the words before it. All blocks of a batch
+take a step together as numpy arrays, so Python's cost per step is shared by all blocks; what the encoder knows
+beforehand it computes for a whole stretch at once. Every step uses whole numbers only and gives the same bytes on every
+machine.
 
 A coded block is the words of the range coder, 32 bits each, little-endian.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 BLOCK_TOKENS = 2048
-# ids must be below this
+# ids must be below this, and a block may not hold more of them
 ID_SPACE = 1 << 16
 IDS, WORDS = np.dtype("<u4"), np.dtype("<u4")
 
-_DIGITS, _VALUES = 4, 16
-# by digit: the shift to its end, and to what stands before it
-_ENDS = np.array([[12], [8], [4], [0]], dtype=np.int32)
-_BEFORE = np.array([[16], [12], [8], [4], [0]], dtype=np.int32)
 _LOW_RANGE = np.uint64(1 << 32)
 _WORD = np.uint64(32)
-
-# Cumulative tables run from 0 to _TOTAL; a mixture gets _LEAST for each value on top, and so ends below 2**_SCALE.
-_SCALE = np.uint64(15)
-_LEAST = 4
-_TOTAL = (1 << 15) - 1 - _VALUES * _LEAST
-_EDGES = np.arange(_VALUES + 1)
-_LAST_PLACE = np.uint64((1 << 15) - 1)
-# a row is a cumulative table and the number of its visits; it is moved as one item
-_ROW = _VALUES + 2
-_ITEM = np.dtype(f"V{2 * _ROW}")
-_NEW = np.append(_EDGES * _TOTAL // _VALUES, 0).astype(np.int16).view(_ITEM)
-_FLOOR = np.append(_EDGES * _LEAST, 0).astype(np.int16)
-# by value: the table that is sure of it, and a mask of the edges beyond it
-_SURE = np.zeros((_VALUES, _ROW), dtype=np.int16)
-_SURE[:, : _VALUES + 1] = np.where(_EDGES > np.arange(_VALUES)[:, None], _TOTAL, 0)
-_BEYOND = np.where(_SURE > 0, -1, 0).astype(np.int16).reshape(-1).view(_ITEM)
-_SURE = _SURE.reshape(-1).view(_ITEM)
-# by visits: a table moves by one part in two to this power
-_MOST_VISITS = 63
-_SHIFTS = np.log2(np.arange(_MOST_VISITS + 1) + 1.5).round().clip(1).astype(np.int16)
-_SHIFTS = np.repeat(_SHIFTS, _ROW).view(_ITEM)
-# tables of order 0 before those of a digit: one for each beginning of an id
-_BEGINNINGS = [sum(_VALUES**k for k in range(digit)) for digit in range(_DIGITS + 1)]
+_LOWER = np.uint64(0xFFFFFFFF)
+_WIDEST = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+# a mixture has 2**_SCALE parts; weights are parts of 65536
+_SCALE = np.uint64(24)
+_TOTAL = 1 << 24
+_LAST_PLACE = np.uint64(_TOTAL - 1)
+# counts are taken up after so many ids at least, and a part of those before
+_STRETCH, _GROWTH = 16, 2
 _HASHED = 2048
-_BYTE_SUM, _TOP_BYTE = np.uint64(0x0101010101010101), np.uint64(56)
 
-# Weights are parts of 65536. A state's two share one number: order 2 in the lower 16 bits, order 1 above; order 0 has
-# what is left. A weight loses a part in 32 of itself, and gains _GAIN when its order was right and no higher one was.
-# A state is a code, the confidence of order 2 times 4 plus that of order 1, and 16 more if both predict one digit.
-# No confidence is no prediction.
-_CODES = np.arange(16)
+# A state's two weights share one number: order 2 in the lower 16 bits, order 1 above; order 0 has what is left, a part
+# in 64 at least. A weight loses a part in 32 of itself, and gains _GAIN when its order was right and no higher one was.
+# A state is the confidence of order 2 times 4 plus that of order 1, and 16 more if both predict one number. No
+# confidence is no prediction.
+_STATES = 32
 _GAIN = 2016
-_GAINS = np.select([_CODES >> 2 > 0, _CODES & 3 > 0], [_GAIN, _GAIN << 16], 0).astype(np.int32)
+# by right orders (order 2 is the lower bit)
+_GAINS = np.array([0, _GAIN, _GAIN << 16, _GAIN], dtype=np.uint32)
 _LOSSES = 0x07FF07FF
 _START = np.array([0, 12000, 24000, 30000])
-_STARTS = _START[_CODES >> 2] + (_START[_CODES & 3] << 16)
-# by right orders (order 2 is the lower bit): what stays of a code
-_STAYS = np.array([0, 12, 3, 15], dtype=np.uint8)
+_CODES = np.arange(_STATES) & 15
+_STARTS = (_START[_CODES >> 2] + (_START[_CODES & 3] << 16)).astype(np.uint32)
+
+# classes of new ids, and what one that came adds to their cumulative table, which learns for so many ids
+_CLASSES = 32
+_CLASS = np.arange(_CLASSES)
+_FREE_BITS = np.maximum((_CLASS >> 1) - 1, 0).astype(np.uint64)
+_CLASS_BEGINS = np.where(_CLASS < 2, _CLASS, (2 + (_CLASS & 1)) << np.maximum((_CLASS >> 1) - 1, 0))
+_EDGES = np.arange(_CLASSES + 1, dtype=np.int16)[:, None]
+_ONCE, _LEARNED = np.int16(4), 8000
+
+
+def _stretches(steps: int) -> Iterator[tuple[int, int]]:
+    begin = 0
+    while begin < steps:
+        end = min(steps, begin + max(_STRETCH, begin // _GROWTH))
+        yield begin, end
+        begin = end
+
+
+def _number_type(steps: int) -> np.dtype:
+    """A type for numbers of a block times 4, and for places of its counts."""
+    return np.dtype(np.int16 if steps < 1 << 13 else np.int32)
+
+
+class _Counts:
+    """Order 0: where each number's part begins, by block; the parts of a block are in order of the numbers.
+
+    The numbers that can be added in a stretch have a place each from its beginning on; the first of them that is not
+    in use stands for a new id.
+    """
+
+    def __init__(self, lanes: int, steps: int):
+        self._type = _number_type(steps)
+        # numbers in use, and those in use when the counts were taken up
+        self.used = np.zeros(lanes, dtype=np.int32)
+        self._known = np.zeros(lanes, dtype=np.int64)
+        self.first = np.zeros(lanes, dtype=np.int64)
+        # the part of a new id
+        self.new = np.full(lanes, _STRETCH, dtype=np.int32)
+        self._counts = np.zeros(0, dtype=np.int32)
+
+    def take_up(self, came: np.ndarray, before: int, room: int) -> None:
+        """Count the numbers of the last stretch; ``before`` ids have come, and ``room`` numbers may be added."""
+        counts, used = self._counts, self.used.astype(np.int64)
+        if len(came):
+            counts = counts + np.bincount((came + self.first).ravel(), minlength=len(counts)).astype(np.int32)
+            self.new = np.maximum((used - self._known) * before // len(came), 1).astype(np.int32)
+        ends = np.cumsum(used)
+        within = np.arange(ends[-1])
+        kept = counts.take(within + np.repeat(self.first - (ends - used), used))
+        width = used + room + 2
+        lasts = np.cumsum(width)
+        self.first = lasts - width
+        places = within + np.repeat(self.first - (ends - used), used)
+        steps = np.ones(lasts[-1] + 1, dtype=np.int32)
+        steps[places + 1] = kept
+        steps[self.first] = -(before + room + 1)
+        steps[0] = 0
+        self.edges = np.cumsum(steps, dtype=np.int32).astype(self._type)
+        self._counts = np.zeros(lasts[-1], dtype=np.int32)
+        self._counts[places] = kept
+        self._known, self._kept, self._within = used, kept, within - np.repeat(ends - used, used)
+        self.next = self.first + 1
+
+    def numbers(self, before: int, room: int) -> np.ndarray:
+        """The number at each place of the counts of each block."""
+        held = np.empty((len(self.used), before + room + 1), dtype=self._type)
+        held[:, :before] = np.repeat(self._within.astype(self._type), self._kept).reshape(len(held), before)
+        held[:, before:] = self.used[:, None] + np.arange(room + 1, dtype=np.int32)
+        return held
+
+
+class _Orders:
+    """Predictions and weights of all blocks of a batch; two rows stand for order 2 and order 1."""
+
+    def __init__(self, lanes: int, steps: int):
+        lane = np.arange(lanes)
+        # entries are number * 4 + confidence; each block has the places of order 2, then those of order 1
+        self._entries = np.zeros(lanes * 2 * _HASHED, dtype=_number_type(steps))
+        self._first = np.stack([lane * 2 * _HASHED, lane * 2 * _HASHED + _HASHED])
+        self._places = self._first.copy()
+        self._weights = np.tile(_STARTS, lanes)
+        self._first_states = lane * _STATES
+        self._spread = np.zeros(lanes, dtype=np.int64)
+
+    def predict(self) -> tuple[np.ndarray, np.ndarray]:
+        """What the orders predict, and the weights of the state."""
+        self._entry = self._entries.take(self._places, mode="clip")
+        predicted = self._entry >> 2
+        self._sure = self._entry & 3
+        states = (predicted[0] == predicted[1]).astype(np.int64)
+        states <<= 2
+        states += self._sure[0]
+        states <<= 2
+        states += self._sure[1]
+        states += self._first_states
+        self._state = states
+        self._weight = self._weights.take(states, mode="clip")
+        return predicted, self._weight
+
+    def learn(self, numbers: np.ndarray, same: np.ndarray) -> None:
+        """Weights move, predictions are confirmed or replaced, and the next ones are looked for.
+
+        ``same`` tells where the predictions are the numbers that came.
+        """
+        sure, entry = self._sure, self._entry
+        right = sure > 0
+        right &= same
+        stays = sure > 1
+        stays |= right
+        right = right.view(np.int8)
+        came = right[1] << 1
+        came |= right[0]
+        weight = self._weight
+        kept = weight >> 5
+        kept &= _LOSSES
+        np.subtract(weight, kept, out=kept)
+        kept += _GAINS.take(came, mode="clip")
+        self._weights[self._state] = kept
+        # a right one gains confidence, up to 3; a wrong one loses it, or is replaced when it has one or none
+        right <<= 1
+        right -= 1
+        held = entry + right
+        entry |= 3
+        np.minimum(held, entry, out=held)
+        fresh = numbers << 2
+        fresh += 1
+        self._entries[self._places.reshape(-1)] = np.where(stays, held, fresh).reshape(-1)
+        numbers = numbers.astype(np.int64)
+        spread = numbers * 0x9E3779B1
+        hashed = spread ^ self._spread
+        hashed >>= 11
+        hashed &= _HASHED - 1
+        np.add(self._first[0], hashed, out=self._places[0])
+        numbers &= _HASHED - 1
+        np.add(self._first[1], numbers, out=self._places[1])
+        spread *= 5
+        spread += 0x85EBCA6B
+        self._spread = spread
+
+
+class _NewIds:
+    """Distributions of the classes of new ids, by block."""
 
+    def __init__(self, lanes: int):
+        self._tables = np.repeat(_EDGES, lanes, axis=1)
+        self._flat, self._lanes, self._lane = self._tables.reshape(-1), lanes, np.arange(lanes)
+        self.total, self._times = _CLASSES, 0
 
-class _Model:
-    """Tables and weights of all blocks of a batch; two rows of its arrays stand for order 2 and order 1."""
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """The class at each of the places of the first lanes."""
+        ended = self._tables[1:, : len(places)] <= places
+        return ended.view(np.uint8).sum(axis=0, dtype=np.uint8)
 
-    def __init__(self, lanes: int):
-        lane = np.arange(lanes)
-        per_block = _BEGINNINGS[_DIGITS]
-        self._tables = np.empty(lanes * per_block, dtype=_ITEM)
-        self._tables[:] = _NEW
-        self.first_tables = np.stack([lane * per_block + begin for begin in _BEGINNINGS[:_DIGITS]])
-        # entries are id * 4 + confidence; each block has the slots of order 2, then those of order 1
-        self._entries = np.zeros(lanes * 2 * _HASHED, dtype=np.int32)
-        self._first_slots = np.stack([lane * 2 * _HASHED, lane * 2 * _HASHED + _HASHED])
-        self._slots = self._first_slots.copy()
-        self._weights = np.tile(np.tile(_STARTS, 2 * _DIGITS), lanes).astype(np.int32)
-        self.first_states = np.stack([(lane * _DIGITS + digit) * 32 for digit in range(_DIGITS)])
-        self._last = np.zeros(lanes, dtype=np.int64)
-        self._rows = (np.arange(_DIGITS * lanes) * _ROW).reshape(_DIGITS, lanes)
-
-    def predict(self) -> None:
-        """Take the predictions of an id."""
-        self._entry = self._entries.take(self._slots, mode="clip")
-        self.predicted = self._entry >> 2
-        self.confidence = (self._entry & 3).astype(np.uint8)
-        # rows by order, then digit
-        self.digits = (self.predicted[:, None] >> _ENDS) & (_VALUES - 1)
-        self.agree = (self.digits[0] == self.digits[1]).view(np.uint8) << 4
-
-    def find(self, places, states, tables=None, weights=None) -> tuple[np.ndarray, np.ndarray]:
-        """The tables and the weights of digits."""
-        return self._tables.take(places, out=tables, mode="clip"), self._weights.take(states, out=weights, mode="clip")
-
-    def edges(self, tables: np.ndarray, shares: tuple, digits: np.ndarray, values: np.ndarray) -> tuple:
-        """Where the parts of the values begin and end in the mixture."""
-        rest, order2, order1 = shares
-        flat = tables.reshape(-1).view(np.int16)
-        at = self._rows + values
-        begin = flat.take(at, mode="clip").astype(np.int32)
-        at += 1
-        end = flat.take(at, mode="clip").astype(np.int32)
-        for edge in (begin, end):
-            edge *= rest
-            edge >>= 16
-        # a prediction adds its share after its digit; the sign of a difference is the mask
-        before = (digits - values) >> 31
-        begin += order2 & before[0]
-        begin += order1 & before[1]
-        until = (digits - values - 1) >> 31
-        end += order2 & until[0]
-        end += order1 & until[1]
-        floor = values * _LEAST
-        begin += floor
-        end += floor
-        end += _LEAST
-        return begin, end
-
-    def learn(self, places, tables, states, weights, codes, values) -> None:
-        """Take the values of digits, and the codes that are left after them."""
-        self._weights[states] = weights - ((weights >> 5) & _LOSSES) + _GAINS.take(codes, mode="clip")
-        now = tables.reshape(-1).view(np.int16).reshape(-1, _ROW)
-        visits = now[:, -1].copy()
-        change = _SURE.take(values, mode="clip").reshape(-1).view(np.int16).reshape(now.shape)
-        change -= now
-        change >>= _SHIFTS.take(visits, mode="clip").view(np.int16).reshape(now.shape)
-        change += now
-        visits += 1
-        np.minimum(visits, _MOST_VISITS, out=change[:, -1])
-        self._tables[places] = change.reshape(-1).view(_ITEM).reshape(places.shape)
-
-    def follow(self, ids: np.ndarray) -> None:
-        """Take the whole ids: predictions are confirmed or replaced, and the next ones are looked for."""
-        entry, confidence = self._entry, self.confidence
-        right = (self.predicted == ids) & (confidence > 0)
-        weaker = np.where(confidence > 1, entry - 1, (ids << 2) + 1)
-        self._entries[self._slots] = np.where(right, entry + (confidence < 3), weaker)
-        spread = (ids.astype(np.int64) + 1) * 0x9E3779B1
-        spread &= 0xFFFFFFFF
-        slots = self._slots
-        np.add(self._first_slots[0], ((spread ^ (self._last * 0x85EBCA6B)) >> 11) & (_HASHED - 1), out=slots[0])
-        np.add(self._first_slots[1], (spread >> 13) & (_HASHED - 1), out=slots[1])
-        self._last = spread
-
-
-def _shares(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The weight of order 0, and what predictions of order 2 and order 1 add to a mixture."""
-    order2, order1 = weights & 0xFFFF, (weights >> 16) & 0xFFFF
-    rest = 65536 - order2
-    rest -= order1
-    order2 *= _TOTAL
-    order2 >>= 16
-    order1 *= _TOTAL
-    order1 >>= 16
-    return rest, order2, order1
-
-
-def _mixed(table: np.ndarray, shares: tuple, digits: np.ndarray) -> np.ndarray:
-    """The mixture of each block; the same numbers as those of ``edges``, for all values."""
-    rest, *added = shares
-    parts = table.view(np.int16).reshape(-1, _ROW).astype(np.int32)
-    parts *= rest[:, None]
-    parts >>= 16
-    mixed = parts.astype(np.int16)
-    for digit, share in zip(digits, added, strict=True):
-        part = _BEYOND.take(digit, mode="clip").view(np.int16).reshape(mixed.shape)
-        part &= share.astype(np.int16)[:, None]
-        mixed += part
-    mixed += _FLOOR
-    return mixed
-
-
-def _values(mixed: np.ndarray, past: np.ndarray) -> np.ndarray:
-    """The value of each block in whose part of the mixture a number lies."""
-    at_most = (mixed[:, 1 : _VALUES + 1] <= past[:, None]).view(np.uint64)
-    ended = ((at_most[:, 0] + at_most[:, 1]) * _BYTE_SUM) >> _TOP_BYTE
-    # numbers beyond the mixture are only met after the end of a block
-    return np.minimum(ended.astype(np.int32), _VALUES - 1)
-
-
-def _cut(at: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """Cut the range at the next multiple of 2**32, so the upper 32 bits are settled."""
-    crosses = (at ^ (at + width)) >= _LOW_RANGE
-    return np.where(crosses, (~at + np.uint64(1)) & np.uint64(0xFFFFFFFF), width)
+    def find(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where classes begin, and their parts."""
+        at = classes * self._lanes
+        at += self._lane[: len(classes)]
+        begin = self._flat.take(at, mode="clip")
+        at += self._lanes
+        return begin.astype(np.uint64), (self._flat.take(at, mode="clip") - begin).astype(np.uint64)
+
+    def learn(self, classes: np.ndarray) -> None:
+        self._times += 1
+        if self._times <= _LEARNED:
+            after = (_EDGES > classes.astype(np.int16)).view(np.int8) * _ONCE
+            self._tables[:, : len(classes)] += after
+            self.total += int(_ONCE)
+
+
+def _shares(weights: np.ndarray) -> np.ndarray:
+    """The parts of the mixture that predictions of order 2 and order 1 add."""
+    shares = np.empty((2, *weights.shape), dtype=np.int32)
+    np.bitwise_and(weights, 0xFFFF, out=shares[0], casting="unsafe")
+    np.right_shift(weights, 16, out=shares[1], casting="unsafe")
+    shares <<= 8
+    return shares
+
+
+def _quotient(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Whole quotients; exact, as both numbers are far below 2**53."""
+    return (part / whole).astype(np.int32)
+
+
+def _most_first(n_new: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Lanes, those with most new ids first, and how many have a first one, a second one, and so on."""
+    order = np.argsort(-n_new, kind="stable")
+    most = int(n_new[order[0]])
+    return order, (len(n_new) - np.cumsum(np.bincount(n_new, minlength=most + 1)))[:most].tolist()
 
 
 def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
@@ -206,56 +257,154 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
     lanes = -(-len(ids) // block_ids)
     last = len(ids) - (lanes - 1) * block_ids
     steps = block_ids if lanes > 1 else last
-    padded = np.zeros(lanes * steps, dtype=np.int32)
-    padded[: len(ids)] = ids
-    table = np.ascontiguousarray(padded.reshape(lanes, steps).T)
-    model = _Model(lanes)
-    low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-    # two digits take less than 32 bits and a word at most
-    words = np.zeros((lanes, 2 * steps + 2), dtype=WORDS)
-    filled = np.zeros(lanes, dtype=np.int64)
-    early = None
-    for step in range(steps):
-        if step == last:
-            # the last block is complete; what its lane codes from here on is not read
-            early = _closed(words[-1], filled[-1], low[-1])
-        now = table[step]
-        model.predict()
-        beginnings = now >> _BEFORE
-        values = beginnings[1:] & (_VALUES - 1)
-        # predictions that are right up to each digit
-        held = ((model.predicted[:, None] >> _BEFORE) == beginnings).view(np.uint8)
-        held *= model.confidence[:, None]
-        codes = (held[0] << 2) | held[1]
-        places = model.first_tables + beginnings[:-1]
-        states = model.first_states + (codes[:-1] | model.agree)
-        tables, weights = model.find(places, states)
-        begin, end = model.edges(tables, _shares(weights), model.digits, values)
-        end -= begin
-        begin, width = begin.astype(np.uint64), end.astype(np.uint64)
-        for digit in range(_DIGITS):
-            if digit % 2 == 0:
-                small = np.flatnonzero(span < _LOW_RANGE)
-                if len(small):
-                    at = low[small]
-                    cut = _cut(at, span[small])
-                    words[small, filled[small]] = at >> _WORD
-                    filled[small] += 1
-                    low[small], span[small] = at << _WORD, cut << _WORD
-            unit = span >> _SCALE
-            span = unit * width[digit]
-            unit *= begin[digit]
-            low += unit
-        model.learn(places, tables, states, weights, codes[1:], values)
-        model.follow(now)
-    closed = [_closed(words[lane], filled[lane], low[lane]) for lane in range(lanes)]
-    if early is not None:
-        closed[-1] = early
-    return closed
-
-
-def _closed(words: np.ndarray, filled: int, low: np.uint64) -> bytes:
-    return np.append(words[:filled], [int(low) >> 32, int(low) & 0xFFFFFFFF]).astype(WORDS).tobytes()
+    if steps > ID_SPACE:
+        raise ValueError(f"a block has at most {ID_SPACE} ids")
+    numbers, new = np.zeros((lanes, steps), dtype=_number_type(steps)), np.zeros((lanes, steps), dtype=bool)
+    at = np.arange(steps, dtype=numbers.dtype)
+    first_places, number, backwards = np.zeros(ID_SPACE, dtype=at.dtype), np.zeros_like(at), at[::-1].copy()
+    for lane in range(lanes):
+        some = ids[lane * block_ids : (lane + 1) * block_ids].astype(np.int64)
+        n = len(some)
+        first_places[some[::-1]] = backwards[steps - n :]
+        first = first_places.take(some, mode="clip")
+        came = np.equal(first, at[:n], out=new[lane, :n]).nonzero()[0]
+        number[came] = at[: len(came)]
+        number.take(first, out=numbers[lane, :n], mode="clip")
+    found = ids[np.flatnonzero(new.reshape(-1)[: len(ids)])].astype(np.int64)
+    n_new = np.count_nonzero(new, axis=1)
+    numbers, new = np.ascontiguousarray(numbers.T), np.ascontiguousarray(new.T)
+
+    counts, orders, coder = _Counts(lanes, steps), _Orders(lanes, steps), _Encoder(lanes)
+    came, ended = numbers[:0], None
+    for begin, end in _stretches(steps):
+        counts.take_up(came, begin, end - begin)
+        came = numbers[begin:end]
+        shape = (end - begin, lanes)
+        starts, widths = np.empty(shape, dtype=np.int32), np.empty(shape, dtype=np.int32)
+        _parts(counts, orders, begin, came, new[begin:end], starts, widths)
+        for k in range(end - begin):
+            if begin + k == last:
+                # the last block is complete; what its lane codes from here on is not kept
+                ended = coder.state(lanes - 1)
+            coder.code(starts[k], widths[k])
+    if ended is not None:
+        coder.back_to(lanes - 1, ended)
+
+    order, active = _most_first(n_new)
+    firsts = (np.cumsum(n_new) - n_new)[order]
+    coder.deal(order)
+    new_ids = _NewIds(lanes)
+    for k, n in enumerate(active):
+        coder.code_new(found.take(firsts[:n] + k, mode="clip"), new_ids)
+    return coder.closed()
+
+
+def _parts(counts: _Counts, orders: _Orders, begin: int, came, new, starts, widths) -> None:
+    """Where the parts of the numbers of a stretch begin in the mixtures, and how wide they are."""
+    old = counts.first + came
+    first = counts.edges.take(old, mode="clip").astype(np.int32)
+    old += 1
+    wide = counts.edges.take(old, mode="clip") - first
+    wide += new * (counts.new - 1)
+    whole = begin + counts.new
+    for k in range(len(came)):
+        number = came[k]
+        predicted, weights = orders.predict()
+        shares = _shares(weights)
+        rest = _TOTAL - shares[0]
+        rest -= shares[1]
+        part = _quotient(rest, whole)
+        same = predicted == number
+        np.multiply(first[k], part, out=starts[k])
+        np.multiply(wide[k], part, out=widths[k])
+        added = shares * same
+        widths[k] += added[0]
+        widths[k] += added[1]
+        shares *= predicted < number
+        starts[k] += shares[0]
+        starts[k] += shares[1]
+        whole += new[k]
+        orders.learn(number, same)
+    counts.used = counts.used + np.count_nonzero(new, axis=0).astype(np.int32)
+
+
+class _Encoder:
+    """Bounds and words of all blocks of a batch. The last word of a lane waits for carries; words before it may hold
+    one more than a word, which moves on in the end."""
+
+    def __init__(self, lanes: int):
+        self._low, self._span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, _WIDEST)
+        self._waiting = np.zeros(lanes, dtype=np.uint64)
+        self._lane = np.arange(lanes)
+        self._lanes: list[np.ndarray] = []
+        self._words: list[np.ndarray] = []
+
+    def state(self, lane: int) -> tuple:
+        return self._low[lane], self._span[lane], self._waiting[lane], len(self._words)
+
+    def back_to(self, lane: int, state: tuple) -> None:
+        """Undo what the lane has coded since."""
+        self._low[lane], self._span[lane], self._waiting[lane], n = state
+        for k in range(n, len(self._words)):
+            stay = self._lanes[k] != lane
+            self._lanes[k], self._words[k] = self._lanes[k][stay], self._words[k][stay]
+
+    def deal(self, order: np.ndarray) -> None:
+        """Put the lanes in another order."""
+        self._low, self._span = self._low[order], self._span[order]
+        self._waiting, self._lane = self._waiting[order], self._lane[order]
+
+    def _moved(self, lanes: np.ndarray) -> None:
+        at = self._low.take(lanes, mode="clip")
+        self._lanes.append(self._lane.take(lanes, mode="clip"))
+        self._words.append(self._waiting.take(lanes, mode="clip"))
+        self._waiting[lanes] = at >> _WORD
+        self._low[lanes] = at << _WORD
+        self._span[lanes] = self._span.take(lanes, mode="clip") << _WORD
+
+    def code(self, starts: np.ndarray, widths: np.ndarray) -> None:
+        unit = self._span >> _SCALE
+        np.multiply(unit, widths, out=self._span, casting="unsafe", dtype=np.uint64)
+        np.multiply(unit, starts, out=unit, casting="unsafe", dtype=np.uint64)
+        self._low += unit
+        self._waiting += self._low < unit
+        small = (self._span < _LOW_RANGE).nonzero()[0]
+        if len(small):
+            self._moved(small)
+
+    def code_new(self, ids: np.ndarray, new_ids: _NewIds) -> None:
+        """Code new ids of the first lanes."""
+        n = len(ids)
+        bits = np.frexp(ids.astype(np.float64))[1].astype(np.int64)
+        free = np.maximum(bits - 2, 0)
+        classes = np.where(ids < 2, ids, 2 * bits - 4 + (ids >> free))
+        begin, part = new_ids.find(classes)
+        unit = self._span[:n] // np.uint64(new_ids.total)
+        added = unit * begin
+        unit *= part
+        unit >>= free.astype(np.uint64)
+        added += unit * (ids - _CLASS_BEGINS.take(classes)).astype(np.uint64)
+        self._low[:n] += added
+        self._waiting[:n] += self._low[:n] < added
+        self._span[:n] = unit
+        small = (unit < _LOW_RANGE).nonzero()[0]
+        if len(small):
+            self._moved(small)
+        new_ids.learn(classes)
+
+    def closed(self) -> list[bytes]:
+        """The bytes of each lane."""
+        parts = [self._waiting, self._low >> _WORD, self._low & _LOWER]
+        lanes = np.concatenate([*self._lanes, *[self._lane] * len(parts)])
+        small = np.int16 if len(self._low) < 1 << 15 else np.int64
+        words = np.concatenate([*self._words, *parts])[np.argsort(lanes.astype(small), kind="stable")]
+        # a lane begins with a word that nothing is carried into
+        while (carries := words >> _WORD).any():
+            words &= _LOWER
+            words[:-1] += carries[1:]
+        ends = np.cumsum(np.bincount(lanes, minlength=len(self._low))).tolist()
+        words = words.astype(WORDS)
+        return [words[begin + 1 : end].tobytes() for begin, end in zip([0, *ends], ends, strict=False)]
 
 
 def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
@@ -263,51 +412,151 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     if not coded:
         return []
     lanes, steps = len(coded), max(lengths)
-    width = max(len(part) // WORDS.itemsize for part in coded) + 1
-    words = np.zeros((lanes, width), dtype=WORDS)
-    for lane, part in enumerate(coded):
-        some = np.frombuffer(part, dtype=WORDS)
-        words[lane, : len(some)] = some
-    model = _Model(lanes)
-    low, span = np.zeros(lanes, dtype=np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
-    code = (words[:, 0].astype(np.uint64) << _WORD) | words[:, 1]
-    used = np.full(lanes, 2, dtype=np.int64)
-    table = np.zeros((steps, lanes), dtype=np.int32)
-    shape, rows = (_DIGITS, lanes), np.arange(lanes) * _ROW
-    places, states = np.zeros(shape, dtype=np.int64), np.zeros(shape, dtype=np.int64)
-    tables, weights = np.zeros(shape, dtype=_ITEM), np.zeros(shape, dtype=np.int32)
-    codes, values = np.zeros((_DIGITS + 1, lanes), dtype=np.uint8), np.zeros(shape, dtype=np.int32)
-    for step in range(steps):
-        now = table[step]
-        model.predict()
-        np.bitwise_or(model.confidence[0] << 2, model.confidence[1], out=codes[0])
-        for digit in range(_DIGITS):
-            if digit % 2 == 0:
-                small = np.flatnonzero(span < _LOW_RANGE)
-                if len(small):
-                    at = low[small]
-                    cut = _cut(at, span[small])
-                    # a block that is complete runs on over its last word, a zero
-                    code[small] = (code[small] << _WORD) | words[small, np.minimum(used[small], width - 1)]
-                    used[small] += 1
-                    low[small], span[small] = at << _WORD, cut << _WORD
-            np.add(model.first_tables[digit], now, out=places[digit])
-            np.add(model.first_states[digit], codes[digit] | model.agree[digit], out=states[digit])
-            model.find(places[digit], states[digit], tables[digit], weights[digit])
-            digits = model.digits[:, digit]
-            mixed = _mixed(tables[digit], _shares(weights[digit]), digits)
-            unit = span >> _SCALE
-            values[digit] = value = _values(mixed, np.minimum((code - low) // unit, _LAST_PLACE).astype(np.int16))
-            flat, at = mixed.reshape(-1), rows + value
-            begin = flat.take(at, mode="clip")
-            span = unit * (flat.take(at + 1, mode="clip") - begin).astype(np.uint64)
-            unit *= begin.astype(np.uint64)
-            low += unit
-            right = (digits == value).view(np.uint8)
-            np.bitwise_and(codes[digit], _STAYS.take(right[0] | (right[1] << 1)), out=codes[digit + 1])
-            now <<= 4
-            now |= value
-        model.learn(places, tables, states, weights, codes[1:], values)
-        model.follow(now)
-    blocks = np.ascontiguousarray(table.T).astype(IDS)
-    return [blocks[lane, :n] for lane, n in enumerate(lengths)]
+    coder = _Decoder(coded)
+    counts, orders = _Counts(lanes, steps), _Orders(lanes, steps)
+    numbers = np.zeros((steps, lanes), dtype=_number_type(steps))
+    came, n_new = numbers[:0], np.zeros(lanes, dtype=np.int64)
+    length = np.array(lengths)
+    shorter, ended = set(lengths) - {steps}, []
+    for begin, end in _stretches(steps):
+        room = end - begin
+        counts.take_up(came, begin, room)
+        came = numbers[begin:end]
+        edges, first, after, used = counts.edges, counts.first, counts.next, counts.used
+        held, row = counts.numbers(begin, room).reshape(-1), np.arange(lanes) * (end + 1)
+        more = counts.new - 1
+        until, whole = np.full(lanes, begin, dtype=np.int32), begin + counts.new
+        for k in range(room):
+            if begin + k in shorter:
+                # these blocks are complete; what their lanes read from here on is not kept
+                some = np.flatnonzero(length == begin + k)
+                n_new[some] = used[some]
+                ended.append((some, coder.state(some)))
+            predicted, weights = orders.predict()
+            shares = _shares(weights)
+            order2, order1 = shares
+            rest = _TOTAL - order2
+            rest -= order1
+            part = _quotient(rest, whole)
+            place = coder.place()
+            # what predictions have added up to this place is taken off, that of order 2 first
+            off = edges.take(after + predicted, mode="clip") * part
+            off -= 1
+            off[0] += order1 * (predicted[1] <= predicted[0])
+            for share, begins in zip(shares, off, strict=True):
+                np.subtract(place, begins, out=begins)
+                np.maximum(begins, 0, out=begins)
+                np.minimum(begins, share, out=begins)
+                place -= begins
+            at = _quotient(place, part)
+            np.minimum(at, until, out=at)
+            number = held.take(row + at, out=came[k], mode="clip")
+            at = first + number
+            start = edges.take(at, mode="clip").astype(np.int32)
+            at += 1
+            span = edges.take(at, mode="clip") - start
+            new = number == used
+            span += more * new
+            start *= part
+            span *= part
+            same = predicted == number
+            added = shares * same
+            span += added[0]
+            span += added[1]
+            shares *= predicted < number
+            start += order2
+            start += order1
+            coder.take(start, span)
+            used += new
+            until += new
+            whole += new
+            orders.learn(number, same)
+    some = np.flatnonzero(length == steps)
+    n_new[some] = counts.used[some]
+    for some, state in ended:
+        coder.back_to(some, state)
+
+    order, active = _most_first(n_new)
+    coder.deal(order)
+    new_ids, found = _NewIds(lanes), np.zeros((lanes, max(len(active), 1)), dtype=IDS)
+    columns = np.empty((len(active), lanes), dtype=IDS)
+    for k, n in enumerate(active):
+        columns[k, :n] = coder.new_ids(n, new_ids)
+    found[order, : len(active)] = columns.T
+    numbers = np.ascontiguousarray(numbers.T)
+    return [found[lane].take(numbers[lane, :n], mode="clip") for lane, n in enumerate(lengths)]
+
+
+class _Decoder:
+    """Spans and words of all blocks of a batch; a lane's code is told from its lower bound."""
+
+    def __init__(self, coded: list[bytes]):
+        lanes = len(coded)
+        width = max(len(part) // WORDS.itemsize for part in coded) + 2
+        words = np.zeros((lanes, width), dtype=WORDS)
+        for lane, part in enumerate(coded):
+            some = np.frombuffer(part, dtype=WORDS)
+            words[lane, : len(some)] = some
+        # lanes are at much the same word, so words of one place stand together
+        self._words, self._lanes = words.T.ravel(), lanes
+        self._last = np.arange(lanes) + (width - 1) * lanes
+        self._code = (words[:, 0].astype(np.uint64) << _WORD) | words[:, 1]
+        self._span = np.full(lanes, _WIDEST)
+        self._next = np.arange(lanes) + 2 * lanes
+
+    def state(self, lanes: np.ndarray) -> tuple:
+        return self._code[lanes], self._span[lanes], self._next[lanes]
+
+    def back_to(self, lanes: np.ndarray, state: tuple) -> None:
+        self._code[lanes], self._span[lanes], self._next[lanes] = state
+
+    def deal(self, order: np.ndarray) -> None:
+        """Put the lanes in another order."""
+        self._code, self._span = self._code[order], self._span[order]
+        self._next, self._last = self._next[order], self._last[order]
+
+    def _moved(self, lanes: np.ndarray) -> None:
+        at = self._next.take(lanes, mode="clip")
+        # a block that is complete runs on over its last word, a zero
+        code = self._code.take(lanes, mode="clip") << _WORD
+        code |= self._words.take(np.minimum(at, self._last.take(lanes, mode="clip")), mode="clip")
+        self._code[lanes] = code
+        at += self._lanes
+        self._next[lanes] = at
+        self._span[lanes] = self._span.take(lanes, mode="clip") << _WORD
+
+    def place(self) -> np.ndarray:
+        """Where each block's code lies in its mixture."""
+        self._unit = self._span >> _SCALE
+        place = self._code // self._unit
+        np.minimum(place, _LAST_PLACE, out=place)
+        return place.astype(np.int32)
+
+    def take(self, starts: np.ndarray, widths: np.ndarray) -> None:
+        unit = self._unit
+        np.multiply(unit, widths, out=self._span, casting="unsafe", dtype=np.uint64)
+        np.multiply(unit, starts, out=unit, casting="unsafe", dtype=np.uint64)
+        self._code -= unit
+        small = (self._span < _LOW_RANGE).nonzero()[0]
+        if len(small):
+            self._moved(small)
+
+    def new_ids(self, n: int, new_ids: _NewIds) -> np.ndarray:
+        """New ids of the first lanes."""
+        code, total = self._code[:n], new_ids.total
+        unit = self._span[:n] // np.uint64(total)
+        place = np.minimum(code // unit, np.uint64(total - 1)).astype(np.int16)
+        classes = new_ids.at(place).astype(np.int64)
+        begin, part = new_ids.find(classes)
+        free = _FREE_BITS.take(classes)
+        code -= unit * begin
+        unit *= part
+        unit >>= free
+        rest = np.minimum(code // unit, (np.uint64(1) << free) - np.uint64(1))
+        code -= unit * rest
+        self._span[:n] = unit
+        small = (unit < _LOW_RANGE).nonzero()[0]
+        if len(small):
+            self._moved(small)
+        new_ids.learn(classes)
+        return _CLASS_BEGINS.take(classes) + rest.astype(np.int64)

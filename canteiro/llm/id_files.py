@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from canteiro.llm.common import in_tasks, row_hash, shared_folder, written
 
 MAGIC = b"IDBLOCK1"
-# a block under way takes some 180 KB
-BLOCKS_AT_ONCE = 1024
+# a block under way takes some 45 KB
+BLOCKS_AT_ONCE = 4096
 _BLOCK = np.dtype([("n_ids", "<u4"), ("n_bytes", "<u4"), ("crc", "<u4")])
 _DOCUMENT = np.dtype([("doc", "<i8"), ("known", "u1"), ("n_ids", "<u8")])
 _TAIL = struct.Struct("<QQI8s")
