@@ -45,6 +45,8 @@ _LAST_PLACE = np.uint64(_TOTAL - 1)
 # counts are taken up after so many ids at least, and a part of those before
 _STRETCH, _GROWTH = 16, 2
 _HASHED = 2048
+_HASHED_MASK, _TOP_BITS = np.uint32(_HASHED - 1), np.uint32(21)
+_MIX, _MIX_AGAIN = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 
 # A state's two weights share one number: order 2 in the lower 16 bits, order 1 above; order 0 has what is left, a part
 # in 64 at least. A weight loses a part in 32 of itself, and gains _GAIN when its order was right and no higher one was.
@@ -68,6 +70,9 @@ _EDGES = np.arange(_CLASSES + 1, dtype=np.int16)[:, None]
 _ONCE, _LEARNED = np.int16(4), 8000
 
 
+_STRIP = 32
+
+
 def _stretches(steps: int) -> Iterator[tuple[int, int]]:
     begin = 0
     while begin < steps:
@@ -82,7 +87,7 @@ def _number_type(steps: int) -> np.dtype:
 
 
 class _Counts:
-    """Order 0: where each number's part begins, by block; the parts of a block are in order of the numbers.
+    """Order 0: where each number's part begins, by number and block; the parts of a block are in order of the numbers.
 
     The numbers that can be added in a stretch have a place each from its beginning on; the first of them that is not
     in use stands for a new id.
@@ -90,41 +95,46 @@ class _Counts:
 
     def __init__(self, lanes: int, steps: int):
         self._type = _number_type(steps)
+        self._lanes, self.lane = lanes, np.arange(lanes)
         # numbers in use, and those in use when the counts were taken up
         self.used = np.zeros(lanes, dtype=np.int32)
-        self._known = np.zeros(lanes, dtype=np.int64)
-        self.first = np.zeros(lanes, dtype=np.int64)
+        self._known = self.used.astype(np.int64)
         # the part of a new id
         self.new = np.full(lanes, _STRETCH, dtype=np.int32)
-        self._counts = np.zeros(0, dtype=np.int32)
+        self._counts = np.zeros((0, lanes), dtype=self._type)
 
     def take_up(self, came: np.ndarray, before: int, room: int) -> None:
-        """Count the numbers of the last stretch; ``before`` ids have come, and ``room`` numbers may be added."""
-        counts, used = self._counts, self.used.astype(np.int64)
+        """Count the numbers of the last stretch, given their places; ``before`` ids have come, and ``room`` numbers
+        may be added."""
+        used = self.used.astype(np.int64)
+        rows = int(used.max()) + room + 2
+        counts = np.zeros((rows, self._lanes), dtype=self._type)
         if len(came):
-            counts = counts + np.bincount((came + self.first).ravel(), minlength=len(counts)).astype(np.int32)
+            n = int(used.max())
+            counts[: len(self._counts)] = self._counts[:n]
+            counts[:n] += np.bincount(came.reshape(-1), minlength=n * self._lanes).reshape(n, -1).astype(self._type)
             self.new = np.maximum((used - self._known) * before // len(came), 1).astype(np.int32)
-        ends = np.cumsum(used)
-        within = np.arange(ends[-1])
-        kept = counts.take(within + np.repeat(self.first - (ends - used), used))
-        width = used + room + 2
-        lasts = np.cumsum(width)
-        self.first = lasts - width
-        places = within + np.repeat(self.first - (ends - used), used)
-        steps = np.ones(lasts[-1] + 1, dtype=np.int32)
-        steps[places + 1] = kept
-        steps[self.first] = -(before + room + 1)
-        steps[0] = 0
-        self.edges = np.cumsum(steps, dtype=np.int32).astype(self._type)
-        self._counts = np.zeros(lasts[-1], dtype=np.int32)
-        self._counts[places] = kept
-        self._known, self._kept, self._within = used, kept, within - np.repeat(ends - used, used)
-        self.next = self.first + 1
+            self._counts = counts[:n]
+        self._known = used
+        # a number that may be added has a place
+        steps = np.maximum(counts, 1)
+        edges = np.zeros_like(counts)
+        for k in range(rows - 1):
+            np.add(edges[k], steps[k], out=edges[k + 1])
+        self.edges = edges.reshape(-1)
+
+    def places(self, numbers: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+        """Where the edges have the beginnings of numbers; those of the next numbers are a row further."""
+        places = np.multiply(numbers, self._lanes, out=out, dtype=np.int64)
+        places += self.lane
+        return places
 
     def numbers(self, before: int, room: int) -> np.ndarray:
         """The number at each place of the counts of each block."""
-        held = np.empty((len(self.used), before + room + 1), dtype=self._type)
-        held[:, :before] = np.repeat(self._within.astype(self._type), self._kept).reshape(len(held), before)
+        held = np.empty((self._lanes, before + room + 1), dtype=self._type)
+        counts = self._counts.T.reshape(-1)
+        known = np.tile(np.arange(len(self._counts), dtype=self._type), self._lanes)
+        held[:, :before] = np.repeat(known, counts).reshape(self._lanes, before)
         held[:, before:] = self.used[:, None] + np.arange(room + 1, dtype=np.int32)
         return held
 
@@ -134,25 +144,26 @@ class _Orders:
 
     def __init__(self, lanes: int, steps: int):
         lane = np.arange(lanes)
-        # entries are number * 4 + confidence; each block has the places of order 2, then those of order 1
+        # entries are number * 4 + confidence: those of order 2 by block, then those of order 1 by place, as low numbers
+        # are met most
         self._entries = np.zeros(lanes * 2 * _HASHED, dtype=_number_type(steps))
-        self._first = np.stack([lane * 2 * _HASHED, lane * 2 * _HASHED + _HASHED])
+        self._first, self._lanes = np.stack([lane * _HASHED, lane + lanes * _HASHED]), lanes
         self._places = self._first.copy()
-        self._weights = np.tile(_STARTS, lanes)
-        self._first_states = lane * _STATES
-        self._spread = np.zeros(lanes, dtype=np.int64)
+        self._weights = np.repeat(_STARTS, lanes)
+        self._lane = lane
+        self._spread = np.zeros(lanes, dtype=np.uint32)
 
     def predict(self) -> tuple[np.ndarray, np.ndarray]:
         """What the orders predict, and the weights of the state."""
         self._entry = self._entries.take(self._places, mode="clip")
         predicted = self._entry >> 2
         self._sure = self._entry & 3
-        states = (predicted[0] == predicted[1]).astype(np.int64)
-        states <<= 2
-        states += self._sure[0]
-        states <<= 2
-        states += self._sure[1]
-        states += self._first_states
+        states = self._sure[0] << 2
+        states |= self._sure[1]
+        states |= (predicted[0] == predicted[1]).view(np.int8) << 4
+        states = states.astype(np.int64)
+        states *= self._lanes
+        states += self._lane
         self._state = states
         self._weight = self._weights.take(states, mode="clip")
         return predicted, self._weight
@@ -185,16 +196,15 @@ class _Orders:
         fresh = numbers << 2
         fresh += 1
         self._entries[self._places.reshape(-1)] = np.where(stays, held, fresh).reshape(-1)
-        numbers = numbers.astype(np.int64)
-        spread = numbers * 0x9E3779B1
+        spread = numbers.astype(np.uint32)
+        low = spread & _HASHED_MASK
+        np.multiply(low, self._lanes, out=self._places[1], dtype=np.int64)
+        spread *= _MIX
         hashed = spread ^ self._spread
-        hashed >>= 11
-        hashed &= _HASHED - 1
+        hashed >>= _TOP_BITS
         np.add(self._first[0], hashed, out=self._places[0])
-        numbers &= _HASHED - 1
-        np.add(self._first[1], numbers, out=self._places[1])
-        spread *= 5
-        spread += 0x85EBCA6B
+        self._places[1] += self._first[1]
+        spread *= _MIX_AGAIN
         self._spread = spread
 
 
@@ -229,11 +239,11 @@ class _NewIds:
 
 def _shares(weights: np.ndarray) -> np.ndarray:
     """The parts of the mixture that predictions of order 2 and order 1 add."""
-    shares = np.empty((2, *weights.shape), dtype=np.int32)
-    np.bitwise_and(weights, 0xFFFF, out=shares[0], casting="unsafe")
-    np.right_shift(weights, 16, out=shares[1], casting="unsafe")
+    shares = np.empty((2, *weights.shape), dtype=np.uint32)
+    np.bitwise_and(weights, 0xFFFF, out=shares[0])
+    np.right_shift(weights, 16, out=shares[1])
     shares <<= 8
-    return shares
+    return shares.view(np.int32)
 
 
 def _quotient(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -241,6 +251,14 @@ def _quotient(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return (part / whole).astype(np.int32)
 
 
+def _turned(table: np.ndarray) -> np.ndarray:
+    """The transposed table, made in strips that stay in the processor's cache."""
+    turned = np.empty(table.shape[::-1], dtype=table.dtype)
+    for at in range(0, len(table), _STRIP):
+        turned[:, at : at + _STRIP] = table[at : at + _STRIP].T
+    return turned
+
+
 def _most_first(n_new: np.ndarray) -> tuple[np.ndarray, list[int]]:
     """Lanes, those with most new ids first, and how many have a first one, a second one, and so on."""
     order = np.argsort(-n_new, kind="stable")
@@ -272,16 +290,16 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
         number.take(first, out=numbers[lane, :n], mode="clip")
     found = ids[np.flatnonzero(new.reshape(-1)[: len(ids)])].astype(np.int64)
     n_new = np.count_nonzero(new, axis=1)
-    numbers, new = np.ascontiguousarray(numbers.T), np.ascontiguousarray(new.T)
+    numbers, new = _turned(numbers), _turned(new)
 
     counts, orders, coder = _Counts(lanes, steps), _Orders(lanes, steps), _Encoder(lanes)
-    came, ended = numbers[:0], None
+    places, ended = numbers[:0], None
     for begin, end in _stretches(steps):
-        counts.take_up(came, begin, end - begin)
-        came = numbers[begin:end]
+        counts.take_up(places, begin, end - begin)
         shape = (end - begin, lanes)
         starts, widths = np.empty(shape, dtype=np.int32), np.empty(shape, dtype=np.int32)
-        _parts(counts, orders, begin, came, new[begin:end], starts, widths)
+        places = counts.places(numbers[begin:end])
+        _parts(counts, orders, begin, numbers[begin:end], places, new[begin:end], starts, widths)
         for k in range(end - begin):
             if begin + k == last:
                 # the last block is complete; what its lane codes from here on is not kept
@@ -299,12 +317,10 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
     return coder.closed()
 
 
-def _parts(counts: _Counts, orders: _Orders, begin: int, came, new, starts, widths) -> None:
+def _parts(counts: _Counts, orders: _Orders, begin: int, came, places, new, starts, widths) -> None:
     """Where the parts of the numbers of a stretch begin in the mixtures, and how wide they are."""
-    old = counts.first + came
-    first = counts.edges.take(old, mode="clip").astype(np.int32)
-    old += 1
-    wide = counts.edges.take(old, mode="clip") - first
+    first = counts.edges.take(places, mode="clip").astype(np.int32)
+    wide = counts.edges.take(places + len(counts.lane), mode="clip") - first
     wide += new * (counts.new - 1)
     whole = begin + counts.new
     for k in range(len(came)):
@@ -364,8 +380,8 @@ class _Encoder:
 
     def code(self, starts: np.ndarray, widths: np.ndarray) -> None:
         unit = self._span >> _SCALE
-        np.multiply(unit, widths, out=self._span, casting="unsafe", dtype=np.uint64)
-        np.multiply(unit, starts, out=unit, casting="unsafe", dtype=np.uint64)
+        np.multiply(unit, widths.astype(np.uint64), out=self._span)
+        unit *= starts.astype(np.uint64)
         self._low += unit
         self._waiting += self._low < unit
         small = (self._span < _LOW_RANGE).nonzero()[0]
@@ -415,14 +431,14 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     coder = _Decoder(coded)
     counts, orders = _Counts(lanes, steps), _Orders(lanes, steps)
     numbers = np.zeros((steps, lanes), dtype=_number_type(steps))
-    came, n_new = numbers[:0], np.zeros(lanes, dtype=np.int64)
+    n_new, at_numbers = np.zeros(lanes, dtype=np.int64), numbers[:0]
     length = np.array(lengths)
     shorter, ended = set(lengths) - {steps}, []
     for begin, end in _stretches(steps):
         room = end - begin
-        counts.take_up(came, begin, room)
-        came = numbers[begin:end]
-        edges, first, after, used = counts.edges, counts.first, counts.next, counts.used
+        counts.take_up(at_numbers, begin, room)
+        came, at_numbers = numbers[begin:end], np.empty((room, lanes), dtype=np.int64)
+        edges, after, used = counts.edges, counts.lane + lanes, counts.used
         held, row = counts.numbers(begin, room).reshape(-1), np.arange(lanes) * (end + 1)
         more = counts.new - 1
         until, whole = np.full(lanes, begin, dtype=np.int32), begin + counts.new
@@ -440,7 +456,10 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             part = _quotient(rest, whole)
             place = coder.place()
             # what predictions have added up to this place is taken off, that of order 2 first
-            off = edges.take(after + predicted, mode="clip") * part
+            at = predicted.astype(np.int64)
+            at *= lanes
+            at += after
+            off = edges.take(at, mode="clip") * part
             off -= 1
             off[0] += order1 * (predicted[1] <= predicted[0])
             for share, begins in zip(shares, off, strict=True):
@@ -451,10 +470,9 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             at = _quotient(place, part)
             np.minimum(at, until, out=at)
             number = held.take(row + at, out=came[k], mode="clip")
-            at = first + number
+            at = counts.places(number, at_numbers[k])
             start = edges.take(at, mode="clip").astype(np.int32)
-            at += 1
-            span = edges.take(at, mode="clip") - start
+            span = edges.take(at + lanes, mode="clip") - start
             new = number == used
             span += more * new
             start *= part
@@ -483,7 +501,7 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     for k, n in enumerate(active):
         columns[k, :n] = coder.new_ids(n, new_ids)
     found[order, : len(active)] = columns.T
-    numbers = np.ascontiguousarray(numbers.T)
+    numbers = _turned(numbers)
     return [found[lane].take(numbers[lane, :n], mode="clip") for lane, n in enumerate(lengths)]
 
 
@@ -534,8 +552,8 @@ class _Decoder:
 
     def take(self, starts: np.ndarray, widths: np.ndarray) -> None:
         unit = self._unit
-        np.multiply(unit, widths, out=self._span, casting="unsafe", dtype=np.uint64)
-        np.multiply(unit, starts, out=unit, casting="unsafe", dtype=np.uint64)
+        np.multiply(unit, widths.astype(np.uint64), out=self._span)
+        unit *= starts.astype(np.uint64)
         self._code -= unit
         small = (self._span < _LOW_RANGE).nonzero()[0]
         if len(small):

@@ -28,16 +28,22 @@ from canteiro.llm.common import in_tasks, row_hash, shared_folder, written
 MAGIC = b"IDBLOCK1"
 # a block under way takes some 45 KB
 BLOCKS_AT_ONCE = 4096
+IDS_AT_ONCE = 1 << 23
 _BLOCK = np.dtype([("n_ids", "<u4"), ("n_bytes", "<u4"), ("crc", "<u4")])
 _DOCUMENT = np.dtype([("doc", "<i8"), ("known", "u1"), ("n_ids", "<u8")])
 _TAIL = struct.Struct("<QQI8s")
 
 
+def _at_once(block_ids: int) -> int:
+    """Blocks of one batch; fewer if they are long."""
+    return max(1, min(BLOCKS_AT_ONCE, IDS_AT_ONCE // block_ids))
+
+
 class FileWriter:
     """Writes ids of documents in order; holds one batch of blocks."""
 
     def __init__(self, sink, block_ids: int):
-        self._sink, self._block_ids = sink, block_ids
+        self._sink, self._block_ids, self._stride = sink, block_ids, block_ids * _at_once(block_ids)
         self._waiting: list[bytes] = []
         self._size = 0
         self._blocks: list[tuple[int, int, int]] = []
@@ -50,7 +56,7 @@ class FileWriter:
         self._waiting.append(ids)
         self._size += len(ids)
         self.n_ids += len(ids) // 4
-        if self._size >= 4 * self._block_ids * BLOCKS_AT_ONCE:
+        if self._size >= 4 * self._stride:
             self._flush(last=False)
 
     def _flush(self, last: bool) -> None:
@@ -58,9 +64,8 @@ class FileWriter:
 
         data = np.frombuffer(b"".join(self._waiting), dtype=IDS)
         whole = len(data) if last else len(data) // self._block_ids * self._block_ids
-        stride = self._block_ids * BLOCKS_AT_ONCE
-        for begin in range(0, whole, stride):
-            some = data[begin : min(begin + stride, whole)]
+        for begin in range(0, whole, self._stride):
+            some = data[begin : min(begin + self._stride, whole)]
             for at, coded in enumerate(encoded(some, self._block_ids)):
                 block = some[at * self._block_ids : (at + 1) * self._block_ids]
                 self._sink.write(coded)
@@ -97,7 +102,7 @@ class FileReader:
 
         self._source.seek(len(MAGIC))
         # a step costs much the same for few blocks as for many, so all batches are of one size
-        n_batches = -(-len(self._blocks) // BLOCKS_AT_ONCE)
+        n_batches = -(-len(self._blocks) // _at_once(int(self._blocks["n_ids"].max(initial=1))))
         for some in np.array_split(self._blocks, n_batches) if n_batches else ():
             ids = decoded([self._source.read(int(b["n_bytes"])) for b in some], some["n_ids"].tolist())
             for block, entry in zip(ids, some, strict=True):
