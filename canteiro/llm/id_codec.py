@@ -103,37 +103,40 @@ class _Counts:
         self.new = np.full(lanes, _STRETCH, dtype=np.int32)
         self._counts = np.zeros((0, lanes), dtype=self._type)
 
-    def take_up(self, came: np.ndarray, before: int, room: int) -> None:
-        """Count the numbers of the last stretch, given their places; ``before`` ids have come, and ``room`` numbers
-        may be added."""
+    def take_up(self, before: int, room: int) -> None:
+        """Take up the counts of the last stretch; ``before`` ids have come, and ``room`` numbers may be added."""
         used = self.used.astype(np.int64)
-        rows = int(used.max()) + room + 2
-        counts = np.zeros((rows, self._lanes), dtype=self._type)
-        if len(came):
-            n = int(used.max())
-            counts[: len(self._counts)] = self._counts[:n]
-            counts[:n] += np.bincount(came.reshape(-1), minlength=n * self._lanes).reshape(n, -1).astype(self._type)
-            self.new = np.maximum((used - self._known) * before // len(came), 1).astype(np.int32)
-            self._counts = counts[:n]
-        self._known = used
+        n = int(used.max())
+        counts = np.zeros((n + room + 2, self._lanes), dtype=self._type)
+        if before:
+            counts[:n] = self._counts[:n]
+            self.new = np.maximum((used - self._known) * before // self._room, 1).astype(np.int32)
+        self._counts, self._flat, self._known, self._room = counts, counts.reshape(-1), used, room
         # a number that may be added has a place
         steps = np.maximum(counts, 1)
         edges = np.zeros_like(counts)
-        for k in range(rows - 1):
+        for k in range(len(counts) - 1):
             np.add(edges[k], steps[k], out=edges[k + 1])
         self.edges = edges.reshape(-1)
 
-    def places(self, numbers: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+    def count(self, places: np.ndarray) -> None:
+        """Count numbers, one of each block, given their places."""
+        counts = self._flat.take(places, mode="clip")
+        counts += 1
+        self._flat[places] = counts
+
+    def places(self, numbers: np.ndarray) -> np.ndarray:
         """Where the edges have the beginnings of numbers; those of the next numbers are a row further."""
-        places = np.multiply(numbers, self._lanes, out=out, dtype=np.int64)
+        places = np.multiply(numbers, self._lanes, dtype=np.int64)
         places += self.lane
         return places
 
     def numbers(self, before: int, room: int) -> np.ndarray:
         """The number at each place of the counts of each block."""
         held = np.empty((self._lanes, before + room + 1), dtype=self._type)
-        counts = self._counts.T.reshape(-1)
-        known = np.tile(np.arange(len(self._counts), dtype=self._type), self._lanes)
+        n = int(self._known.max())
+        counts = self._counts[:n].T.reshape(-1)
+        known = np.tile(np.arange(n, dtype=self._type), self._lanes)
         held[:, :before] = np.repeat(known, counts).reshape(self._lanes, before)
         held[:, before:] = self.used[:, None] + np.arange(room + 1, dtype=np.int32)
         return held
@@ -293,18 +296,18 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
     numbers, new = _turned(numbers), _turned(new)
 
     counts, orders, coder = _Counts(lanes, steps), _Orders(lanes, steps), _Encoder(lanes)
-    places, ended = numbers[:0], None
+    ended = None
     for begin, end in _stretches(steps):
-        counts.take_up(places, begin, end - begin)
-        shape = (end - begin, lanes)
-        starts, widths = np.empty(shape, dtype=np.int32), np.empty(shape, dtype=np.int32)
-        places = counts.places(numbers[begin:end])
-        _parts(counts, orders, begin, numbers[begin:end], places, new[begin:end], starts, widths)
-        for k in range(end - begin):
-            if begin + k == last:
-                # the last block is complete; what its lane codes from here on is not kept
-                ended = coder.state(lanes - 1)
-            coder.code(starts[k], widths[k])
+        counts.take_up(begin, end - begin)
+        whole = begin + counts.new
+        for at in range(begin, end, _STRIP):
+            until = min(end, at + _STRIP)
+            for k, (start, width) in enumerate(_parts(counts, orders, whole, numbers[at:until], new[at:until]), at):
+                if k == last:
+                    # the last block is complete; what its lane codes from here on is not kept
+                    ended = coder.state(lanes - 1)
+                coder.code(start, width)
+        counts.used = counts.used + np.count_nonzero(new[begin:end], axis=0).astype(np.int32)
     if ended is not None:
         coder.back_to(lanes - 1, ended)
 
@@ -317,31 +320,32 @@ def encoded(ids: np.ndarray, block_ids: int = BLOCK_TOKENS) -> list[bytes]:
     return coder.closed()
 
 
-def _parts(counts: _Counts, orders: _Orders, begin: int, came, places, new, starts, widths) -> None:
-    """Where the parts of the numbers of a stretch begin in the mixtures, and how wide they are."""
-    first = counts.edges.take(places, mode="clip").astype(np.int32)
-    wide = counts.edges.take(places + len(counts.lane), mode="clip") - first
+def _parts(counts: _Counts, orders: _Orders, whole: np.ndarray, came: np.ndarray, new: np.ndarray) -> Iterator[tuple]:
+    """Where the parts of numbers begin in the mixtures, and how wide they are; ``whole`` is all of order 0."""
+    places = counts.places(came)
+    firsts = counts.edges.take(places, mode="clip").astype(np.int32)
+    wide = counts.edges.take(places + len(whole), mode="clip") - firsts
     wide += new * (counts.new - 1)
-    whole = begin + counts.new
-    for k in range(len(came)):
-        number = came[k]
+    for k, number in enumerate(came):
+        counts.count(places[k])
         predicted, weights = orders.predict()
         shares = _shares(weights)
         rest = _TOTAL - shares[0]
         rest -= shares[1]
         part = _quotient(rest, whole)
         same = predicted == number
-        np.multiply(first[k], part, out=starts[k])
-        np.multiply(wide[k], part, out=widths[k])
+        start, width = firsts[k], wide[k]
+        start *= part
+        width *= part
         added = shares * same
-        widths[k] += added[0]
-        widths[k] += added[1]
+        width += added[0]
+        width += added[1]
         shares *= predicted < number
-        starts[k] += shares[0]
-        starts[k] += shares[1]
+        start += shares[0]
+        start += shares[1]
         whole += new[k]
         orders.learn(number, same)
-    counts.used = counts.used + np.count_nonzero(new, axis=0).astype(np.int32)
+        yield start, width
 
 
 class _Encoder:
@@ -431,13 +435,13 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     coder = _Decoder(coded)
     counts, orders = _Counts(lanes, steps), _Orders(lanes, steps)
     numbers = np.zeros((steps, lanes), dtype=_number_type(steps))
-    n_new, at_numbers = np.zeros(lanes, dtype=np.int64), numbers[:0]
+    n_new = np.zeros(lanes, dtype=np.int64)
     length = np.array(lengths)
     shorter, ended = set(lengths) - {steps}, []
     for begin, end in _stretches(steps):
         room = end - begin
-        counts.take_up(at_numbers, begin, room)
-        came, at_numbers = numbers[begin:end], np.empty((room, lanes), dtype=np.int64)
+        counts.take_up(begin, room)
+        came = numbers[begin:end]
         edges, after, used = counts.edges, counts.lane + lanes, counts.used
         held, row = counts.numbers(begin, room).reshape(-1), np.arange(lanes) * (end + 1)
         more = counts.new - 1
@@ -470,7 +474,8 @@ def decoded(coded: list[bytes], lengths: list[int]) -> list[np.ndarray]:
             at = _quotient(place, part)
             np.minimum(at, until, out=at)
             number = held.take(row + at, out=came[k], mode="clip")
-            at = counts.places(number, at_numbers[k])
+            at = counts.places(number)
+            counts.count(at)
             start = edges.take(at, mode="clip").astype(np.int32)
             span = edges.take(at + lanes, mode="clip") - start
             new = number == used

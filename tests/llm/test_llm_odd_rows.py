@@ -486,6 +486,43 @@ def test_codec_mixes_all_orders():
     assert 16 < bits(rng.integers(0, 65536, n)) < 19
 
 
+def test_codec_mixes_whole_ids():
+    """Ids of a skewed distribution, as those of texts, stay near their entropy; blocks differ in how many are new."""
+    from canteiro.llm.id_codec import BLOCK_TOKENS, decoded, encoded
+
+    rng = np.random.default_rng(6)
+    ids = (rng.permutation(50_000)[rng.zipf(1.3, 16 * BLOCK_TOKENS) % 400]).astype("<u4")
+    ids[3 * BLOCK_TOKENS : 4 * BLOCK_TOKENS] = rng.integers(0, 65536, BLOCK_TOKENS)
+    ids[5 * BLOCK_TOKENS : 6 * BLOCK_TOKENS] = 65535
+    ids = ids[: -BLOCK_TOKENS // 2]
+    coded = encoded(ids)
+    got = decoded(coded, [BLOCK_TOKENS] * 15 + [BLOCK_TOKENS // 2])
+    assert np.array_equal(np.concatenate(got), ids)
+    share = np.bincount(np.unique(ids[: 3 * BLOCK_TOKENS], return_inverse=True)[1]) / (3 * BLOCK_TOKENS)
+    entropy = -(share * np.log2(share)).sum()
+    assert 8 * sum(map(len, coded[:3])) / (3 * BLOCK_TOKENS) < 1.31 * entropy
+    # other lengths than the last one's may differ, too
+    cut = [1, 700, 2048, 0, 2048, 16, 17]
+    some = encoded(ids[: 7 * BLOCK_TOKENS])
+    parts = [encoded(ids[k * BLOCK_TOKENS : k * BLOCK_TOKENS + n])[0] if n else b"\0" * 8 for k, n in enumerate(cut)]
+    for k, (part, n) in enumerate(zip(decoded(parts, cut), cut, strict=True)):
+        assert np.array_equal(part, ids[k * BLOCK_TOKENS : k * BLOCK_TOKENS + n])
+    assert some == coded[:7]
+
+
+def test_memo_keeps_pieces_met_first(vocabulary):
+    from canteiro.llm.tokens import PieceEncoder
+
+    path = vocabulary("byte_bpe_50k.json")
+    tokenizer, encoder = Tokenizer.from_file(path), PieceEncoder(path, memo_pieces=100)
+    encoder.encode("first come, first kept")
+    for at in range(40):
+        text = " ".join(f"{chr(97 + at % 26)}{chr(97 + k)}x%%,{'é' * (at % 3)}" for k in range(26)) + " come% kept&&&& d\u00e9j\u00e0#,"
+        expected = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == expected
+    assert "come," in encoder._memo and len(encoder._memo) <= 160
+
+
 def test_codec_survives_damage():
     from canteiro.llm.id_codec import decoded, encoded
 
