@@ -8,8 +8,8 @@ Orders 1 and 2 predict the number that followed the last one and the last two wh
 predictions sit with a confidence in small hashed tables of the block. For every id the three are mixed by weights into
 one distribution, and the mixture drives the range coder.
 
-An id not met before follows its number in the same coder: its class (length in bits and the bit below the highest)
-under an adaptive distribution of the block's new ids, then its other bits. So any id below 65536 can be coded.
+The new ids of a block follow its numbers in the same coder: each one's class (length in bits and the bit below the
+highest) under an adaptive distribution of the block's new ids, then its other bits. So any id below 65536 can be coded.
 
 A weight of order 1 or 2 moves towards the share of ids at which the order was right and no higher order was; weights
 are kept for each confidence of both predictions, and whether they agree.
